@@ -1 +1,235 @@
-"""placeholder"""
+"""Registered session / environment / prompt queries: S4-S6, E1-E10, J4-J6, W2, A9."""
+
+from pyspark.sql import functions as F
+
+from spanlake.operators import prompts as P
+from spanlake.operators import sessions as SS
+from spanlake.plans.fixture_sql import with_tables
+from spanlake.plans.q_lineage import ROOT_CTE
+from spanlake.plans.registry import query, spans, table
+from spanlake.sources.fixtures import file_table
+
+LAST_CTE = r"""
+last AS (SELECT session_id, arg_max(text, ord) FILTER (WHERE type = 'user' AND NOT is_tool_result) AS last_text,
+  count(*) FILTER (WHERE type = 'user' AND NOT is_tool_result) AS n_qual FROM transcripts GROUP BY session_id),
+ls AS (SELECT session_id, n_qual, regexp_replace(last_text, '^\s+', '') AS t FROM last),
+nm AS (SELECT session_id, CASE WHEN n_qual > 0 AND starts_with(t, 'Base directory for this skill:') THEN
+  string_split(regexp_replace(substr(split_part(t, chr(10), 1), 31), '^\s+|\s+$', '', 'g'), '/')[-1] END AS skill_name
+  FROM ls)"""
+E1_SQL = "SELECT session_id, skill_name, coalesce(skill_name IN ('feedback-trace', 'tag-trace'), false) AS skipped FROM nm"
+
+
+@query("e1_skip_filter", with_tables(E1_SQL, "transcripts", extra=LAST_CTE))
+def e1(spark, sf):
+    return SS.skip_decisions(table(spark, sf, "transcripts"))
+
+
+@query("s4_transcript_reader", with_tables(E1_SQL, "transcripts", extra=LAST_CTE))
+def s4(spark, sf):
+    return SS.skip_decisions(SS.read_transcripts(spark, file_table(spark, sf, "transcripts_jsonl"), glob=None))
+
+
+@query("w2_last_user_entry", with_tables("SELECT session_id, last_text FROM last WHERE n_qual > 0", "transcripts",
+                                         extra=LAST_CTE))
+def w2(spark, sf):
+    t = table(spark, sf, "transcripts")
+    q = t.filter((F.col("type") == "user") & ~F.col("is_tool_result"))
+    return q.groupBy("session_id").agg(F.max_by("text", "ord").alias("last_text"))
+
+
+SUMMARY_SESSION = ROOT_CTE.replace("outputs AS response, span_count", "outputs AS response, session_id, span_count")
+LATEST_CTE = SUMMARY_SESSION + """,
+latest AS (SELECT session_id, trace_id, timestamp_ms FROM
+  (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY timestamp_ms DESC, trace_id) AS rn FROM summary
+   WHERE session_id IS NOT NULL) WHERE rn = 1)"""
+
+
+@query("j4_latest_trace_per_session", with_tables("SELECT * FROM latest", "spans", extra=LATEST_CTE))
+def j4(spark, sf):
+    return SS.latest_trace_per_session(SS.session_traces(spans(spark, sf)))
+
+
+VERSIONS_CTE = """
+ne AS (SELECT *, lag(instructions) OVER (PARTITION BY project ORDER BY snapshot_ms, session_id) AS prev
+  FROM env_snapshots WHERE instructions <> ''),
+ch AS (SELECT *, CASE WHEN prev IS NULL OR prev <> instructions THEN 1 ELSE 0 END AS changed FROM ne),
+vv AS (SELECT session_id, changed, CAST(sum(changed) OVER (PARTITION BY project ORDER BY snapshot_ms, session_id
+  ROWS UNBOUNDED PRECEDING) AS INT) AS prompt_version FROM ch),
+versions AS (SELECT e.*, v.prompt_version, coalesce(v.changed = 1, false) AS is_new_version,
+  CASE WHEN v.prompt_version IS NOT NULL THEN 'main.default.claude_md.' || e.project END AS prompt_name,
+  CASE WHEN e.git_sha IS NOT NULL AND e.git_sha <> 'none' THEN 'git:' || substr(e.git_sha, 1, 8) ELSE 'no-git' END
+   AS commit_message
+  FROM env_snapshots e LEFT JOIN vv v ON e.session_id = v.session_id)"""
+
+
+def _versions(spark, sf):
+    return P.assign_prompt_versions(table(spark, sf, "env_snapshots"))
+
+
+@query("e7_prompt_versions", with_tables("""
+SELECT session_id, project, prompt_name, prompt_version, is_new_version, commit_message FROM versions""",
+    "env_snapshots", extra=VERSIONS_CTE))
+def e7(spark, sf):
+    return _versions(spark, sf).select("session_id", "project", "prompt_name", "prompt_version",
+                                       "is_new_version", "commit_message")
+
+
+def _enrich(spark, sf):
+    env = _versions(spark, sf).withColumnRenamed("instructions_hash", "claude_md_hash")
+    return SS.enrich_latest_traces(SS.session_traces(spans(spark, sf)), env)
+
+
+ENRICH_CTE = LATEST_CTE + "," + VERSIONS_CTE + """,
+enriched AS (SELECT l.session_id, l.trace_id, coalesce(v.git_sha, 'none') AS git_sha,
+  coalesce(v.git_dirty, 'none') AS git_dirty, coalesce(v.instructions_hash, 'none') AS claude_md_hash,
+  coalesce(v.skills_hash, 'none') AS skills_hash,
+  strftime(make_timestamp(v.snapshot_ms * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS snapshot_timestamp,
+  v.prompt_name, v.prompt_version,
+  CASE WHEN v.prompt_name IS NOT NULL AND v.prompt_name <> '' AND v.prompt_version IS NOT NULL
+       AND v.prompt_version <> 0 THEN 'prompts:/' || v.prompt_name || '/' || v.prompt_version END AS prompt_uri
+  FROM latest l JOIN versions v ON l.session_id = v.session_id)"""
+
+
+@query("e2_env_enrichment", with_tables("""
+SELECT session_id, trace_id, git_sha, git_dirty, claude_md_hash, skills_hash, snapshot_timestamp FROM enriched""",
+    "spans", "env_snapshots", extra=ENRICH_CTE))
+def e2(spark, sf):
+    enriched, _ = _enrich(spark, sf)
+    return enriched.select("session_id", "trace_id", "git_sha", "git_dirty", "claude_md_hash", "skills_hash",
+                           "snapshot_timestamp")
+
+
+@query("e3_prompt_uri", with_tables("SELECT trace_id, prompt_uri FROM enriched", "spans", "env_snapshots",
+                                    extra=ENRICH_CTE))
+def e3(spark, sf):
+    enriched, _ = _enrich(spark, sf)
+    return enriched.select("trace_id", "prompt_uri")
+
+
+@query("j5_unmatched_snapshots", with_tables("""
+SELECT session_id FROM env_snapshots e WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.session_id = e.session_id)""",
+    "spans", "env_snapshots", extra=LATEST_CTE))
+def j5(spark, sf):
+    _, unmatched = _enrich(spark, sf)
+    return unmatched.select("session_id")
+
+
+COMPANION_SQL = """
+SELECT 'tr-env-' || substr(sha256('env_snapshot|' || trace_id), 1, 32) AS companion_trace_id, session_id,
+ trace_id AS session_trace_id, git_sha, claude_md_hash, prompt_uri, 'env_snapshot' AS companion_type
+FROM enriched WHERE prompt_uri IS NOT NULL"""
+
+
+@query("e4_companion_traces", with_tables(COMPANION_SQL, "spans", "env_snapshots", extra=ENRICH_CTE))
+def e4(spark, sf):
+    enriched, _ = _enrich(spark, sf)
+    return SS.companion_traces(enriched)
+
+
+@query("j6_companion_crossref", with_tables(f"""
+SELECT c.session_trace_id AS trace_id, c.companion_trace_id AS snapshot_trace_id, e.session_id
+FROM ({COMPANION_SQL}) c JOIN enriched e ON e.trace_id = c.session_trace_id""",
+    "spans", "env_snapshots", extra=ENRICH_CTE))
+def j6(spark, sf):
+    enriched, _ = _enrich(spark, sf)
+    comp = SS.companion_traces(enriched)
+    return comp.join(enriched.select(F.col("trace_id").alias("session_trace_id"), "session_id"),
+                     ["session_trace_id", "session_id"]) \
+               .select(F.col("session_trace_id").alias("trace_id"),
+                       F.col("companion_trace_id").alias("snapshot_trace_id"), "session_id")
+
+
+@query("e5_consume_once", with_tables("""
+SELECT session_id, arg_max(snapshot_ms, snapshot_ms) AS snapshot_ms, arg_max(git_sha, snapshot_ms) AS git_sha
+FROM env_snapshots GROUP BY session_id""", "env_snapshots"))
+def e5(spark, sf):
+    return SS.consume_snapshots(table(spark, sf, "env_snapshots")).select("session_id", "snapshot_ms", "git_sha")
+
+
+@query("e6_instruction_hash", with_tables("""
+SELECT session_id, CASE WHEN instructions = '' THEN 'none' ELSE sha256(instructions) END AS claude_md_hash
+FROM env_snapshots""", "env_snapshots"))
+def e6(spark, sf):
+    env = table(spark, sf, "env_snapshots")
+    return env.select("session_id", P.content_hash(F.when(F.col("instructions") != "", F.col("instructions")))
+                      .alias("claude_md_hash"))
+
+
+@query("a9_skills_hash", """
+SELECT source AS project, sha256(string_agg(source || '/' || CAST(doc_id AS VARCHAR) || chr(10) || text, chr(0)
+  ORDER BY source || '/' || CAST(doc_id AS VARCHAR))) AS skills_hash, count(*) AS n_parts
+FROM documents GROUP BY source""")
+def a9(spark, sf):
+    docs = table(spark, sf, "documents")
+    parts = docs.select(F.col("source").alias("project"),
+                        F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("key"),
+                        F.col("text").alias("content"))
+    return P.skills_hash(parts, groups=parts)
+
+
+@query("e8_traces_by_commit", with_tables("""
+SELECT git_sha, claude_md_hash, count(*) AS n_traces FROM enriched WHERE git_sha <> 'none'
+GROUP BY git_sha, claude_md_hash""", "spans", "env_snapshots", extra=ENRICH_CTE))
+def e8(spark, sf):
+    from spanlake.operators.evaluation import traces_for_commit
+    enriched, _ = _enrich(spark, sf)
+    return traces_for_commit(enriched)
+
+
+E9_CTE = """
+qv AS (SELECT e.prompt_name, e.prompt_version, s.trace_id, s.error_span_count > 0 AS failed,
+  (SELECT arg_max(f.value, f.create_ms) FROM feedback_log f WHERE f.trace_id = s.trace_id AND f.name = 'quality') AS quality
+  FROM enriched e JOIN summary s ON s.trace_id = e.trace_id WHERE e.prompt_version IS NOT NULL),
+g AS (SELECT prompt_name, prompt_version, count(*) AS n_traces,
+  CAST(count(*) FILTER (WHERE failed) AS DOUBLE) / count(*) AS error_rate,
+  count(quality) AS n_rated,
+  CASE WHEN count(quality) > 0 THEN CAST(count(*) FILTER (WHERE quality = 'good') AS DOUBLE) / count(quality) END AS good_rate
+  FROM qv GROUP BY prompt_name, prompt_version)"""
+
+
+@query("e9_quality_by_version", with_tables("""
+SELECT *, error_rate - lag(error_rate) OVER (PARTITION BY prompt_name ORDER BY prompt_version) AS error_rate_delta
+FROM g""", "spans", "env_snapshots", "feedback_log", extra=ENRICH_CTE + ",\n" + E9_CTE))
+def e9(spark, sf):
+    from spanlake.operators.evaluation import quality_by_version
+    from spanlake.operators.lineage import trace_summary
+    enriched, _ = _enrich(spark, sf)
+    s = spans(spark, sf)
+    return quality_by_version(enriched, trace_summary(s), table(spark, sf, "feedback_log"))
+
+
+E10_RAW = """
+raw AS (SELECT session_id, CASE WHEN git_sha = 'none' THEN NULL ELSE git_sha || chr(10) END AS head,
+  CASE WHEN git_dirty = 'true' THEN ' M CLAUDE.md' || chr(10) WHEN git_dirty = 'false' THEN chr(10) END AS porcelain
+  FROM env_snapshots)"""
+
+
+def _raw_git(env):
+    return env.select(
+        "session_id",
+        F.when(F.col("git_sha") == "none", F.lit(None).cast("string")).otherwise(F.concat("git_sha", F.lit("\n")))
+        .alias("head"),
+        F.when(F.col("git_dirty") == "true", F.lit(" M CLAUDE.md\n")).when(F.col("git_dirty") == "false", F.lit("\n"))
+        .alias("porcelain"))
+
+
+@query("e10_snapshot_normalise", with_tables(r"""
+SELECT session_id, CASE WHEN coalesce(regexp_replace(head, '^\s+|\s+$', '', 'g') <> '', false)
+   THEN regexp_replace(head, '^\s+|\s+$', '', 'g') ELSE 'none' END AS git_sha,
+ CASE WHEN coalesce(regexp_replace(head, '^\s+|\s+$', '', 'g') <> '', false) THEN
+   CASE WHEN coalesce(regexp_replace(porcelain, '^\s+|\s+$', '', 'g') <> '', false) THEN 'true' ELSE 'false' END
+   ELSE 'none' END AS git_dirty
+FROM raw""", "env_snapshots", extra=E10_RAW))
+def e10(spark, sf):
+    return P.normalise_snapshot(_raw_git(table(spark, sf, "env_snapshots"))).select("session_id", "git_sha", "git_dirty")
+
+
+@query("s5_s6_snapshot_files", with_tables("""
+SELECT session_id, git_sha, git_dirty, instructions_hash AS claude_md_hash, instructions AS claude_md_content,
+ skills_hash, prompt_name, prompt_version,
+ strftime(make_timestamp(snapshot_ms * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS snapshot_timestamp
+FROM versions""", "env_snapshots", extra=VERSIONS_CTE))
+def s5_s6(spark, sf):
+    snaps = P.read_snapshots(spark, file_table(spark, sf, "snapshots_json"))
+    return snaps.select("session_id", "git_sha", "git_dirty", "claude_md_hash", "claude_md_content", "skills_hash",
+                        "prompt_name", "prompt_version", "snapshot_timestamp")

@@ -234,6 +234,31 @@ def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
+def _write_transcripts_jsonl(spark: SparkSession, sf_dir: str, path: str) -> None:
+    from spanlake.operators.sessions import transcripts_to_jsonl
+    lines = transcripts_to_jsonl(load_table(spark, sf_dir, "transcripts"))
+    (lines.repartition("session_id").sortWithinPartitions("session_id", "ord")
+     .select("session_id", "value").write.mode("overwrite").partitionBy("session_id").text(path))
+
+
+def _write_snapshots_json(spark: SparkSession, sf_dir: str, path: str) -> None:
+    from spanlake.operators.prompts import assign_prompt_versions, snapshot_rows, write_snapshots
+    rows = snapshot_rows(assign_prompt_versions(load_table(spark, sf_dir, "env_snapshots")))
+    write_snapshots(rows, path, mode="overwrite")
+
+
+_FILE_WRITERS = {"transcripts_jsonl": _write_transcripts_jsonl, "snapshots_json": _write_snapshots_json}
+
+
+def file_table(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of raw files (JSON Lines transcripts, snapshot JSON) written once
+    from the derived tables, for the file readers S4 and S5."""
+    path = table_path(spark, sf_dir, name)
+    if not _exists(spark, path):
+        _FILE_WRITERS[name](spark, sf_dir, path)
+    return path
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read a derived table, writing it first if this data folder has none yet."""
     if name not in _DERIVERS:
