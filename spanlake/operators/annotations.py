@@ -111,3 +111,12 @@ def feedback_search_counts(traces: DataFrame, tag_log: DataFrame, feedback_log:
         F.count_if(tag_equals(key, negative)).alias("negative"),
         F.count(F.lit(1)).alias("all_traces"),
     )
+
+
+def search_traces(traces: DataFrame, predicate=None, order_by=None, max_results: int | None = None) -> DataFrame:
+    """The store's search as a DataFrame: predicate, order (default newest
+    first by timestamp_ms, then trace_id) and an optional limit (top-k)."""
+    out = traces if predicate is None else traces.filter(predicate)
+    order_by = order_by or [F.desc("timestamp_ms"), F.asc("trace_id")]
+    out = out.orderBy(*order_by)
+    return out.limit(max_results) if max_results else out

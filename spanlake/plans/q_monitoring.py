@@ -1 +1,94 @@
-"""placeholder"""
+"""Registered monitoring / maintenance queries: M1-M3, C1-C4."""
+
+from spanlake.operators import monitoring as M
+from spanlake.plans.fixture_sql import percentile_ctes, with_tables
+from spanlake.plans.registry import query, spans
+from spanlake.sources import dimensions as D
+
+AS_OF_RETENTION = "2024-01-31 00:00:00"
+PROFILE_COLUMNS = ["request_id", "trace_id", "span_id", "span_name", "span_type", "parent_span_id",
+                   "start_time_ms", "end_time_ms", "status", "execution_order", "experiment_id"]
+
+
+@query("m1_dashboard_hourly", with_tables("""
+SELECT date_trunc('hour', timestamp) AS bucket_start, count(*) AS n_spans, count(DISTINCT trace_id) AS n_traces,
+ count(*) FILTER (WHERE status = 'ERROR') AS n_errors,
+ CAST(count(*) FILTER (WHERE status = 'ERROR') AS DOUBLE) * 100.0 / count(*) AS error_rate_pct,
+ CAST(SUM(end_time_ms - start_time_ms) AS DOUBLE) / COUNT(end_time_ms - start_time_ms) / 1000.0 AS avg_seconds,
+ CAST(max(end_time_ms - start_time_ms) AS DOUBLE) / 1000.0 AS max_seconds
+FROM spans GROUP BY 1""", "spans"))
+def m1(spark, sf):
+    return M.dashboard(spans(spark, sf))
+
+
+M2_CTE = """
+base AS (SELECT span_id, trace_id, span_name, end_time_ms - start_time_ms AS ms FROM spans
+  WHERE end_time_ms IS NOT NULL),""" + percentile_ctes("base", "span_name", "ms", {"med": 0.5}, name="pm") + """,
+dev AS (SELECT b.*, pm.med AS median_ms, abs(CAST(b.ms AS DOUBLE) - pm.med) AS absdev FROM base b
+  JOIN pm ON pm.g = b.span_name),""" + percentile_ctes("dev", "span_name", "absdev", {"mad": 0.5}, name="pd")
+
+
+@query("m2_unusual_durations", with_tables("""
+SELECT * FROM (SELECT d.span_id, d.trace_id, d.span_name, d.ms AS duration_ms, d.median_ms, pd.mad AS mad_ms,
+  0.6745 * (CAST(d.ms AS DOUBLE) - d.median_ms) / pd.mad AS robust_z
+  FROM dev d JOIN pd ON pd.g = d.span_name WHERE pd.mad > 0) WHERE abs(robust_z) > 3.5""", "spans", extra=M2_CTE))
+def m2(spark, sf):
+    return M.unusual_durations(spans(spark, sf))
+
+
+@query("m3_slo_report", with_tables("""
+SELECT bucket_start, span_type, n_spans, latency_sli, error_rate,
+ 1.0 - error_rate / (CAST(1.0 AS DOUBLE) - CAST(0.99 AS DOUBLE)) AS error_budget_remaining FROM (
+ SELECT date_trunc('day', timestamp) AS bucket_start, span_type, count(*) AS n_spans,
+  CAST(count(*) FILTER (WHERE coalesce(end_time_ms - start_time_ms <= 10000, false)) AS DOUBLE) / count(*) AS latency_sli,
+  CAST(count(*) FILTER (WHERE status = 'ERROR') AS DOUBLE) / count(*) AS error_rate
+ FROM spans GROUP BY 1, 2)""", "spans"))
+def m3(spark, sf):
+    return M.slo_report(spans(spark, sf))
+
+
+@query("c1_contract_audit", with_tables("""
+SELECT 'null_request_id' AS check_name, count(*) FILTER (WHERE request_id IS NULL) AS violations FROM spans
+UNION ALL SELECT 'null_span_id', count(*) FILTER (WHERE span_id IS NULL) FROM spans
+UNION ALL SELECT 'end_before_start', count(*) FILTER (WHERE end_time_ms < start_time_ms) FROM spans
+UNION ALL SELECT 'duplicate_span_id', coalesce(sum(n - 1), 0) FROM
+  (SELECT count(*) AS n FROM spans WHERE span_id IS NOT NULL GROUP BY trace_id, span_id HAVING count(*) > 1)
+UNION ALL SELECT 'dangling_parent', count(*) FROM spans c WHERE parent_span_id IS NOT NULL AND NOT EXISTS
+  (SELECT 1 FROM spans p WHERE p.trace_id = c.trace_id AND p.span_id = c.parent_span_id)
+UNION ALL SELECT 'experiment_pk_duplicate', 0 UNION ALL SELECT 'experiment_null_key', 0
+UNION ALL SELECT 'run_pk_duplicate', 0 UNION ALL SELECT 'run_null_key', 0""", "spans"))
+def c1(spark, sf):
+    s = spans(spark, sf)
+    return M.contract_audit(s, D.experiments_from_spans(s), D.runs_from_spans(s))
+
+
+def _profile_sql():
+    parts = []
+    for c in PROFILE_COLUMNS:
+        parts.append(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, "
+                     f"count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS min_value, "
+                     f"CAST(max({c}) AS VARCHAR) AS max_value FROM spans")
+    return "\nUNION ALL ".join(parts)
+
+
+@query("c2_column_profile", with_tables(_profile_sql(), "spans"))
+def c2(spark, sf):
+    return M.column_profile(spans(spark, sf), PROFILE_COLUMNS)
+
+
+@query("c3_retention_tiers", with_tables(f"""
+SELECT CASE WHEN timestamp < TIMESTAMP '{AS_OF_RETENTION}' - INTERVAL 7 DAY THEN 'archive' ELSE 'live' END AS tier,
+ CAST(timestamp AS DATE) AS span_date, count(*) AS n_spans FROM spans GROUP BY 1, 2""", "spans"))
+def c3(spark, sf):
+    from pyspark.sql import functions as F
+    return (M.retention_tiers(spans(spark, sf), AS_OF_RETENTION).groupBy("tier", "span_date")
+            .agg(F.count(F.lit(1)).alias("n_spans")))
+
+
+@query("c4_date_partitions", with_tables("""
+SELECT CAST(timestamp AS DATE) AS span_date, count(*) AS n_spans, count(DISTINCT trace_id) AS n_traces
+FROM spans GROUP BY 1""", "spans"))
+def c4(spark, sf):
+    from pyspark.sql import functions as F
+    return (M.with_span_date(spans(spark, sf)).groupBy("span_date")
+            .agg(F.count(F.lit(1)).alias("n_spans"), F.count_distinct("trace_id").alias("n_traces")))
