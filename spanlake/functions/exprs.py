@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_or_name", "duration_ms", "duration_s", "avg_seconds", "is_error", "error_count",
+    "col_or_name", "ntz_to_instant", "instant_to_ntz", "duration_ms", "duration_s", "avg_seconds", "is_error", "error_count",
     "error_rate_pct", "ms_to_ts", "fmt_utc", "iso_utc", "preview", "split_kv",
     "sha_or_none", "commit_message", "prompt_uri", "status_or_ok", "map_or_empty",
     "map_text", "lstrip_ws", "strip_ws", "skill_invocation_name", "tag_equals",
@@ -68,6 +68,17 @@ def ms_to_ts(ms) -> Column:
     return F.timestamp_add("MILLISECOND", col_or_name(ms), epoch_ntz())
 
 
+def ntz_to_instant(ts) -> Column:
+    """UTC wall-clock TIMESTAMP_NTZ -> TIMESTAMP instant (event time for
+    watermarks), without going through the session time zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch_ntz(), col_or_name(ts)))
+
+
+def instant_to_ntz(ts) -> Column:
+    """TIMESTAMP instant -> UTC wall-clock TIMESTAMP_NTZ."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col_or_name(ts)), epoch_ntz())
+
+
 def fmt_utc(ms) -> Column:
     """Epoch ms -> 'YYYY-MM-DD HH:MM:SS UTC'."""
     return F.date_format(ms_to_ts(ms), UTC_FORMAT)

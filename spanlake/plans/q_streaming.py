@@ -1 +1,35 @@
-"""placeholder"""
+"""Registered streaming queries: ST1-ST3 (each runs its stream to completion
+over the whole table, then returns the sink contents)."""
+
+from pyspark.sql import functions as F
+
+from spanlake.plans.fixture_sql import with_tables
+from spanlake.plans.registry import query
+from spanlake.session import scratch_dir
+from spanlake.sources.fixtures import materialise
+from spanlake.streaming import streams as ST
+
+
+@query("st1_error_alert_stream", with_tables("""
+SELECT date_trunc('hour', timestamp) AS window_start, date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS window_end,
+ count(*) AS error_count, count(*) > 10 AS alert FROM spans WHERE status = 'ERROR' GROUP BY 1, 2""", "spans"))
+def st1(spark, sf):
+    work = scratch_dir(spark, "streams", "st1", unique=True)
+    return ST.error_alerts(spark, materialise(spark, sf, "spans"), work)
+
+
+@query("st2_session_snapshot_join", with_tables("""
+SELECT r.session_id, r.trace_id, e.snapshot_ms, r.start_time_ms AS trace_start_ms
+FROM env_snapshots e JOIN spans r ON r.session_id = e.session_id AND r.parent_span_id IS NULL
+ AND r.start_time_ms >= e.snapshot_ms AND r.start_time_ms <= e.snapshot_ms + CAST(31 AS BIGINT) * 86400000""",
+    "spans", "env_snapshots"))
+def st2(spark, sf):
+    work = scratch_dir(spark, "streams", "st2", unique=True)
+    return ST.session_snapshot_join(spark, materialise(spark, sf, "spans"), materialise(spark, sf, "env_snapshots"), work)
+
+
+@query("st3_incremental_ingest", with_tables("SELECT trace_id, span_id, status, start_time_ms FROM spans", "spans"))
+def st3(spark, sf):
+    work = scratch_dir(spark, "streams", "st3", unique=True)
+    t = ST.ingest_spans(spark, materialise(spark, sf, "spans"), f"{work}/table", work)
+    return t.select("trace_id", "span_id", "status", "start_time_ms")
