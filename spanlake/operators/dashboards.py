@@ -31,6 +31,15 @@ def _since_instant(as_of: str, hours: int):
     return F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
+def order_small(df: DataFrame, *cols) -> DataFrame:
+    """ORDER BY for a result with one row per category (span type or name).
+
+    Such a result is small at any scale, so it is gathered into one partition
+    and sorted there: no range-partition sampling job, and the aggregation
+    before it keeps its full parallelism (repartition, not coalesce)."""
+    return df.repartition(1).sortWithinPartitions(*cols)
+
+
 # ---- S11 views -------------------------------------------------------------
 
 def recent_traces(spans: DataFrame, as_of: str, days: int = RECENT_DAYS) -> DataFrame:
@@ -107,7 +116,7 @@ def q5_recent_top(spans, as_of, days=7, k=100):
 
 
 def q6_training_by_count(spans):
-    return training_performance(spans).orderBy(F.desc("execution_count"), "span_name")
+    return order_small(training_performance(spans), F.desc("execution_count"), "span_name")
 
 
 def q7_slow_operations(spans, threshold_s=SLOW_SECONDS, k=50):
@@ -139,7 +148,7 @@ def q11_training_summary(spans):
     return (spans.filter(F.col("span_type") == TRAINING).groupBy("span_name")
             .agg(F.count(F.lit(1)).alias("execution_count"), avg_seconds().alias("avg_duration_seconds"),
                  F.max(duration_s()).alias("max_duration_seconds"), error_count().alias("error_count"))
-            .orderBy(F.desc("execution_count"), "span_name"))
+            .transform(lambda g: order_small(g, F.desc("execution_count"), "span_name")))
 
 
 def q12_most_recent_trace(spans):
@@ -171,17 +180,17 @@ def q14_duration_profile(spans, exact: bool = True, accuracy: int = 100000):
     (fixed-size sketch) for very high-cardinality groups.
     """
     ms = duration_ms()
-    if exact:
-        p50 = F.percentile(ms, F.lit(0.5)) / F.lit(1000.0)
-        p95 = F.percentile(ms, F.lit(0.95)) / F.lit(1000.0)
-    else:
-        p50 = F.percentile_approx(ms, 0.5, accuracy) / F.lit(1000.0)
-        p95 = F.percentile_approx(ms, 0.95, accuracy) / F.lit(1000.0)
-    return (spans.groupBy("span_type")
-            .agg(F.count(F.lit(1)).alias("total_executions"), avg_seconds().alias("avg_duration"),
-                 F.min(duration_s()).alias("min_duration"), F.max(duration_s()).alias("max_duration"),
-                 p50.alias("median_duration"), p95.alias("p95_duration"))
-            .orderBy(F.desc("avg_duration"), "span_type"))
+    probs = F.array(F.lit(0.5), F.lit(0.95))
+    # one call with both probabilities: a single value map per group
+    pct = F.percentile(ms, probs) if exact else F.percentile_approx(ms, probs, accuracy)
+    g = (spans.groupBy("span_type")
+         .agg(F.count(F.lit(1)).alias("total_executions"), avg_seconds().alias("avg_duration"),
+              F.min(duration_s()).alias("min_duration"), F.max(duration_s()).alias("max_duration"),
+              pct.alias("_pct")))
+    g = g.select("span_type", "total_executions", "avg_duration", "min_duration", "max_duration",
+                 (F.col("_pct")[0] / F.lit(1000.0)).alias("median_duration"),
+                 (F.col("_pct")[1] / F.lit(1000.0)).alias("p95_duration"))
+    return order_small(g, F.desc("avg_duration"), "span_type")
 
 
 def q15_latest_errors(spans, k=10):
@@ -218,7 +227,7 @@ def q20_recent_training(spans, k=10):
 def q21_avg_by_operation(spans):
     return (spans.groupBy("span_name")
             .agg(F.count(F.lit(1)).alias("executions"), avg_seconds().alias("avg_seconds"))
-            .orderBy(F.desc("avg_seconds"), "span_name"))
+            .transform(lambda g: order_small(g, F.desc("avg_seconds"), "span_name")))
 
 
 def q22_error_rate(spans):
@@ -237,7 +246,7 @@ def q24_training_by_avg(spans):
     return (spans.filter(F.col("span_type") == TRAINING).groupBy("span_name")
             .agg(avg_seconds().alias("avg_duration_seconds"), F.count(F.lit(1)).alias("execution_count"),
                  error_count().alias("error_count"))
-            .orderBy(F.desc("avg_duration_seconds"), "span_name"))
+            .transform(lambda g: order_small(g, F.desc("avg_duration_seconds"), "span_name")))
 
 
 def q25_failed(spans):
