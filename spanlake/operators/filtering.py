@@ -29,7 +29,8 @@ def lookup_traces(spans: DataFrame, requests: DataFrame) -> tuple[DataFrame, Dat
     """Spans of every requested trace (one copy per request) and the
     requests whose trace does not exist (the 'not found, skipping' report)."""
     found = requests.join(spans, "trace_id", "inner")
-    missing = requests.join(spans.select("trace_id"), "trace_id", "left_anti")
+    # distinct first: a partial aggregate shrinks the span side before the shuffle
+    missing = requests.join(spans.select("trace_id").distinct(), "trace_id", "left_anti")
     return found, missing
 
 

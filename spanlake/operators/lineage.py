@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanlake.functions.exprs import fmt_utc, preview, status_or_ok, tag_not_equals
 
 COMPANION_TYPE = "env_snapshot"  # fixed value: tag cc_env.type of companion traces
+SESSION_KEY = "mlflow.trace.session"
 
 
 def trace_summary(spans: DataFrame) -> DataFrame:
@@ -29,6 +30,7 @@ def trace_summary(spans: DataFrame) -> DataFrame:
         F.col("outputs").alias("outputs"),
         F.col("request_id").alias("request_id"),
         F.col("experiment_id").alias("experiment_id"),
+        F.col("request_metadata")[SESSION_KEY].alias("session_id"),
     ))
     g = spans.groupBy("trace_id").agg(
         root.alias("r"),
@@ -47,6 +49,7 @@ def trace_summary(spans: DataFrame) -> DataFrame:
         F.col("r.inputs").alias("request"),
         F.col("r.outputs").alias("response"),
         "span_count", "error_span_count",
+        F.col("r.session_id").alias("session_id"),
     )
 
 

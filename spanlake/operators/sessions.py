@@ -124,10 +124,10 @@ def skip_decisions(entries: DataFrame, stop_events: DataFrame | None = None,
 # ---- J4 / W1: latest trace per session -----------------------------------------
 
 def session_traces(spans: DataFrame) -> DataFrame:
-    """(trace_id, session_id, timestamp_ms) with the session from request metadata."""
+    """(trace_id, session_id, timestamp_ms): the root span's session (request
+    metadata) from the same single aggregate that finds the root."""
     from spanlake.operators.lineage import trace_summary
-    sess = spans.groupBy("trace_id").agg(F.max(F.col("request_metadata")[SESSION_KEY]).alias("session_id"))
-    return trace_summary(spans).join(sess, "trace_id").select("trace_id", "session_id", "timestamp_ms")
+    return trace_summary(spans).select("trace_id", "session_id", "timestamp_ms")
 
 
 def latest_trace_per_session(traces: DataFrame) -> DataFrame:

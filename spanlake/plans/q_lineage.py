@@ -13,7 +13,7 @@ ranked AS (SELECT s.*, count(*) OVER (PARTITION BY trace_id) AS span_count,
   FROM spans s),
 summary AS (SELECT trace_id, request_id, experiment_id, span_id AS root_span_id, span_name AS root_span_name,
   start_time_ms AS timestamp_ms, end_time_ms, coalesce(status, 'OK') AS status, inputs AS request,
-  outputs AS response, span_count, error_span_count FROM ranked WHERE rn = 1)"""
+  outputs AS response, span_count, error_span_count, session_id FROM ranked WHERE rn = 1)"""
 
 
 @query("j1_lineage_self_join", with_tables(LINEAGE_SQL, "spans"))

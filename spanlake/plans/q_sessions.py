@@ -37,7 +37,7 @@ def w2(spark, sf):
     return q.groupBy("session_id").agg(F.max_by("text", "ord").alias("last_text"))
 
 
-SUMMARY_SESSION = ROOT_CTE.replace("outputs AS response, span_count", "outputs AS response, session_id, span_count")
+SUMMARY_SESSION = ROOT_CTE
 LATEST_CTE = SUMMARY_SESSION + """,
 latest AS (SELECT session_id, trace_id, timestamp_ms FROM
   (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY timestamp_ms DESC, trace_id) AS rn FROM summary
