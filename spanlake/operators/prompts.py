@@ -1,9 +1,8 @@
 """Instruction fingerprints, prompt versions and snapshot files.
 
-Prompt versioning (E7) is a change-detection scan per project ordered by time.
-A plain window partitioned by project would send a hot project to one task,
-so the scan runs in two levels: a window inside (project, time bucket), a
-per-bucket summary aggregate, and a small window over the bucket summaries.
+Prompt versioning (E7) is a change-detection scan per project ordered by time,
+run as a bucketed two-level scan (functions/scans.py) so a hot project is not
+scanned by a single task.
 """
 
 from __future__ import annotations
@@ -12,11 +11,12 @@ import hashlib
 import os
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanlake.functions.exprs import commit_message, sha_or_none
+from spanlake.functions.scans import change_versions
 from spanlake.schema import SNAPSHOT
 
 # Fixed values that must equal the reference's.
@@ -123,39 +123,6 @@ def scan_skill_files(spark: SparkSession, roots: list[tuple[str, str]]) -> DataF
 
 # ---- E7: prompt versions -----------------------------------------------------------------
 
-def change_versions(df: DataFrame, key: str, order: list[str], value: str,
-                    bucket: Column, out: str = "version") -> DataFrame:
-    """Running count of value changes per key in `order` (gaps and islands):
-    a row opens a new version iff its value differs from the previous row's.
-
-    Two-level scan so no key is scanned by a single task: (1) lag and running
-    count inside (key, bucket); (2) per-bucket first/last value and change count
-    (a partial aggregate); (3) a window over the few bucket rows per key gives
-    each bucket its offset and whether its first row changes; (4) join back.
-    Adds `out` (int) and `is_new_version`.
-    """
-    w = Window.partitionBy(key, "_b").orderBy(*order)
-    x = (df.withColumn("_b", bucket)
-         .withColumn("_prev", F.lag(value).over(w)))
-    x = x.withColumn("_chg", F.when(F.col("_prev").isNull(), F.lit(0))
-                     .otherwise((F.col(value) != F.col("_prev")).cast("int")))
-    x = x.withColumn("_cum", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    ordk = F.struct(*order)
-    summ = x.groupBy(key, "_b").agg(F.min_by(value, ordk).alias("_first"), F.max_by(value, ordk).alias("_last"),
-                                     F.sum("_chg").alias("_n"))
-    wb = Window.partitionBy(key).orderBy("_b")
-    prev_last = F.lag("_last").over(wb)
-    summ = summ.withColumn("_fchg", F.when(prev_last.isNull(), F.lit(1))
-                           .otherwise((F.col("_first") != prev_last).cast("int")))
-    summ = summ.withColumn("_base", F.coalesce(
-        F.sum(F.col("_fchg") + F.col("_n")).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    j = x.join(summ.select(key, "_b", "_fchg", "_base"), [key, "_b"])
-    ver = (F.col("_base") + F.col("_fchg") + F.col("_cum")).cast("int")
-    new = F.when(F.col("_prev").isNull(), F.col("_fchg") == 1).otherwise(F.col("_chg") == 1)
-    return j.withColumn(out, ver).withColumn("is_new_version", new) \
-            .drop("_b", "_prev", "_chg", "_cum", "_fchg", "_base")
-
-
 def assign_prompt_versions(snapshots: DataFrame, project: str = "project", content: str = "instructions",
                            order: tuple[str, ...] = ("snapshot_ms", "session_id"),
                            name_prefix: str = DEFAULT_PROMPT_NAME, bucket_ms: int = DAY_MS) -> DataFrame:

@@ -236,3 +236,10 @@ def q25(spark, sf):
 @query("q26_span_count", with_tables("SELECT COUNT(*) AS trace_count FROM spans", "spans"))
 def q26(spark, sf):
     return d.q26_count(spans(spark, sf))
+
+
+@query("s11_named_views", with_tables(LINEAGE_SQL, "spans"))
+def s11(spark, sf):
+    """Publish the four views, read one back through the catalog."""
+    d.register_views(spans(spark, sf), AS_OF_RECENT, prefix="spanlake_")
+    return spark.table("spanlake_trace_lineage")

@@ -13,14 +13,15 @@ from __future__ import annotations
 import hashlib
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import epoch_ntz
+from spanlake.functions.scans import bucketed_row_number
 from spanlake.schema import EVENT
 from spanlake.session import scratch_dir
 
-FIXTURE_VERSION = "v3"
+FIXTURE_VERSION = "v4"
 TABLES = ("spans", "env_snapshots", "transcripts", "tag_log", "feedback_log")
 SESSION_KEY = "mlflow.trace.session"
 
@@ -68,8 +69,9 @@ def derive_spans(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = N
         F.timestamp_diff("MILLISECOND", epoch_ntz(), F.col("ts")).alias("ms0"),
         _trace_id(F.col("user_id"), F.col("ts")).alias("trace_id"),
     )
-    # A fixture trace is one user-week; the window is bounded by that.
-    s = e.withColumn("seq", F.row_number().over(Window.partitionBy("trace_id").orderBy("ts", "event_id")))
+    # Position of each event in its trace, per (trace, hour) plus the counts of
+    # the trace's earlier hours, so a very large trace is not numbered by one task.
+    s = bucketed_row_number(e, "trace_id", ["ts", "event_id"], F.floor(F.col("ms0") / F.lit(3_600_000)), out="seq")
     parents = s.select(
         F.col("trace_id").alias("p_trace"), F.col("seq").alias("p_seq"), F.col("event_id").alias("parent_event")
     )
