@@ -75,7 +75,17 @@ def most_recent_session_trace(spans: DataFrame) -> DataFrame:
             .orderBy(F.desc("timestamp_ms"), "trace_id").limit(1).select("trace_id"))
 
 
-def trace_tree(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
+def _cut(df: DataFrame, workdir: str | None, name: str) -> DataFrame:
+    """Cut the lineage: write the round's state as a parquet table in the shared
+    scratch folder and read it back (reliable checkpoint() when no folder)."""
+    if workdir is None:
+        return df.checkpoint(eager=True)
+    path = f"{workdir}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def trace_tree(spans: DataFrame, max_rounds: int = 64, workdir: str | None = None) -> DataFrame:
     """Depth, top span and name path of every span, by pointer jumping.
 
     A span whose parent is NULL or not in its trace is a top (depth 0). Each
@@ -84,7 +94,13 @@ def trace_tree(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
     (trace_id, span id) and its result is checkpointed to cut the lineage.
     Spans on a parent cycle never reach a top: depth, top and path stay NULL.
     Returns trace_id, span_id, depth, root_span_id, path ('/'-joined names).
+    Round states are cut with reliable checkpoint() (into spark.checkpoint.dir);
+    with `workdir` ("auto" = a fresh folder in the shared scratch area) they are
+    written as parquet tables instead.
     """
+    if workdir == "auto":
+        from spanlake.session import scratch_dir
+        workdir = scratch_dir(spans.sparkSession, "tree", unique=True)
     nodes = spans.select("trace_id", "span_id", "parent_span_id", "span_name")
     known = spans.select(F.col("trace_id").alias("k_trace"), F.col("span_id").alias("k_id")).distinct()
     n = nodes.join(known, (nodes.trace_id == known.k_trace) & (nodes.parent_span_id == known.k_id), "left")
@@ -96,7 +112,7 @@ def trace_tree(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
         F.col("span_name").alias("path"),
         F.when(is_top, F.col("span_id")).alias("top"),
     )
-    state = state.checkpoint(eager=True)
+    state = _cut(state, workdir, "round-0")
     done = state.filter(F.col("anc").isNull())
     pending = state.filter(F.col("anc").isNotNull())
     remaining = pending.count()
@@ -114,7 +130,8 @@ def trace_tree(spans: DataFrame, max_rounds: int = 64) -> DataFrame:
             (F.col("dist") + F.col("a_dist")).alias("dist"),
             F.concat(F.col("a_path"), F.lit("/"), F.col("path")).alias("path"),
             F.col("a_top").alias("top"),
-        ).checkpoint(eager=True)
+        )
+        step = _cut(step, workdir, f"round-{rounds}")
         done = done.unionByName(step.filter(F.col("anc").isNull()))
         pending = step.filter(F.col("anc").isNotNull())
         left = pending.count()
