@@ -18,8 +18,15 @@ from spanlake.schema import SPAN
 SESSION_KEY = "mlflow.trace.session"
 
 
-def span_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    return spark.readStream.schema(SPAN).option("maxFilesPerTrigger", max_files).parquet(path)
+def span_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """File-source stream over a span folder. Without `max_files` the first
+    trigger back-fills everything already there (files of a historical table
+    are not in event-time order, so rate-limiting them would make most rows
+    "late"); later triggers pick up new files, and the watermarks bound state."""
+    r = spark.readStream.schema(SPAN)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(path)
 
 
 # ---- ST1 ----------------------------------------------------------------------------
@@ -82,8 +89,7 @@ def session_snapshot_join(spark: SparkSession, spans_path: str, snapshots_path:
     session's traces) that start within `horizon_days` after the snapshot:
     a stream-stream interval join whose state is bounded by the watermarks.
     Returns session_id, trace_id, snapshot_ms, trace_start_ms."""
-    snaps = (spark.readStream.schema("session_id string, snapshot_ms long").option("maxFilesPerTrigger", 1)
-             .parquet(snapshots_path)
+    snaps = (spark.readStream.schema("session_id string, snapshot_ms long").parquet(snapshots_path)
              .select(F.col("session_id").alias("s_session"), "snapshot_ms", F.timestamp_millis("snapshot_ms").alias("snap_ts"))
              .withWatermark("snap_ts", delay))
     roots = (span_stream(spark, spans_path).filter(F.col("parent_span_id").isNull())
