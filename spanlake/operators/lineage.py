@@ -11,32 +11,35 @@ COMPANION_TYPE = "env_snapshot"  # fixed value: tag cc_env.type of companion tra
 SESSION_KEY = "mlflow.trace.session"
 
 
-def trace_summary(spans: DataFrame) -> DataFrame:
+def trace_summary(spans: DataFrame, with_payload: bool = True) -> DataFrame:
     """One row per trace from its root span.
 
     Root = a span without parent, earliest first (a trace with only dangling
     parents falls back to its earliest span). `min(struct)` is an ordinary
     partial aggregate, so a trace with very many spans is combined map-side
-    instead of being gathered in one task.
+    instead of being gathered in one task. Catalyst cannot prune fields inside
+    the struct, so callers that do not need request/response pass
+    `with_payload=False` and the scan never reads the JSON payload columns.
     """
-    root = F.min(F.struct(
+    fields = [
         F.col("parent_span_id").isNotNull().alias("has_parent"),
         F.col("start_time_ms").alias("start"),
         F.col("span_id").alias("span_id"),
         F.col("end_time_ms").alias("end"),
         F.col("status").alias("status"),
         F.col("span_name").alias("name"),
-        F.col("inputs").alias("inputs"),
-        F.col("outputs").alias("outputs"),
         F.col("request_id").alias("request_id"),
         F.col("experiment_id").alias("experiment_id"),
         F.col("request_metadata")[SESSION_KEY].alias("session_id"),
-    ))
+    ]
+    if with_payload:
+        fields += [F.col("inputs").alias("inputs"), F.col("outputs").alias("outputs")]
     g = spans.groupBy("trace_id").agg(
-        root.alias("r"),
+        F.min(F.struct(*fields)).alias("r"),
         F.count(F.lit(1)).alias("span_count"),
         F.count_if(F.coalesce(F.col("status") == "ERROR", F.lit(False))).alias("error_span_count"),
     )
+    payload = ([F.col("r.inputs").alias("request"), F.col("r.outputs").alias("response")] if with_payload else [])
     return g.select(
         "trace_id",
         F.col("r.request_id").alias("request_id"),
@@ -46,8 +49,7 @@ def trace_summary(spans: DataFrame) -> DataFrame:
         F.col("r.start").alias("timestamp_ms"),
         F.col("r.end").alias("end_time_ms"),
         status_or_ok("r.status").alias("status"),
-        F.col("r.inputs").alias("request"),
-        F.col("r.outputs").alias("response"),
+        *payload,
         "span_count", "error_span_count",
         F.col("r.session_id").alias("session_id"),
     )
@@ -70,7 +72,7 @@ def list_recent_traces(spans: DataFrame, max_results: int = 10) -> DataFrame:
 def most_recent_session_trace(spans: DataFrame) -> DataFrame:
     """Newest trace that is not a companion env_snapshot trace (tags lacking
     the key are kept: null-safe inequality)."""
-    s = trace_summary(spans).join(trace_tags(spans), "trace_id", "left")
+    s = trace_summary(spans, with_payload=False).join(trace_tags(spans), "trace_id", "left")
     return (s.filter(tag_not_equals("cc_env.type", COMPANION_TYPE))
             .orderBy(F.desc("timestamp_ms"), "trace_id").limit(1).select("trace_id"))
 

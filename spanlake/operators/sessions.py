@@ -127,7 +127,7 @@ def session_traces(spans: DataFrame) -> DataFrame:
     """(trace_id, session_id, timestamp_ms): the root span's session (request
     metadata) from the same single aggregate that finds the root."""
     from spanlake.operators.lineage import trace_summary
-    return trace_summary(spans).select("trace_id", "session_id", "timestamp_ms")
+    return trace_summary(spans, with_payload=False).select("trace_id", "session_id", "timestamp_ms")
 
 
 def latest_trace_per_session(traces: DataFrame) -> DataFrame:

@@ -92,3 +92,10 @@ def test_dimension_join_broadcast_is_size_checked(spark, spans):
     # over the bound: no forced broadcast (Spark's own size estimate / AQE still apply)
     unhinted = plan(join_dimension(spans, exps, "experiment_id", max_broadcast_rows=1), "extended")
     assert "strategy=broadcast" not in unhinted
+
+
+def test_session_lookup_does_not_read_payload_columns(spans):
+    from spanlake.operators.sessions import latest_trace_per_session, session_traces
+    p = plan(latest_trace_per_session(session_traces(spans)))
+    read = [l for l in p.splitlines() if l.startswith("ReadSchema")][0]
+    assert "inputs" not in read and "outputs" not in read and "tags" not in read
