@@ -27,26 +27,29 @@ FALSY_JSON = ("null", "{}", "[]", '""', "false", "0", "0.0")
 def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.jsonl") -> DataFrame:
     """JSON Lines transcripts -> (session_id, ord, type, is_tool_result, text, parse_ok).
 
-    One file per session: `<session>.jsonl`, or a `session_id=` partition
-    directory. Blank lines are skipped. Entry order is the file order, kept as
-    (file, split start, position in split) - splits of one file are read by
-    different tasks, so no single task must see a whole file. An unparsable
-    line marks the session `parse_ok = false`.
+    The session comes from the entry's `sessionId` field when present, else a
+    `session_id=` partition directory, else the file name `<session>.jsonl`.
+    Blank lines are skipped. Entry order is the file order, kept as (file,
+    split start, position in split): splits of one file are read by different
+    tasks, so no task must see a whole file. An unparsable line marks its
+    session `parse_ok = false` (a line that cannot be parsed has no sessionId,
+    so it is attributed through the file or directory name).
     """
-    reader = spark.read.option("recursiveFileLookup", "false")
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.text(path)
     has_session = "session_id" in raw.columns
+    from_file = (F.col("session_id").cast("string") if has_session
+                 else F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.jsonl)?$", 1))
     df = raw.select(
         "value",
-        (F.col("session_id").cast("string") if has_session
-         else F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.jsonl)?$", 1)).alias("session_id"),
+        from_file.alias("_file_session"),
         F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                  F.monotonically_increasing_id().alias("i")).alias("ord"),
     ).filter(F.regexp_replace("value", r"^\s+|\s+$", "") != "")
-    v = F.try_parse_json("value")
-    df = df.withColumn("v", v)
+    df = df.withColumn("v", F.try_parse_json("value"))
+    session = F.coalesce(F.try_variant_get(F.col("v"), "$.sessionId", "string"), F.col("_file_session"))
     tool = F.try_variant_get(F.col("v"), "$.toolUseResult", "variant")
     content = F.try_variant_get(F.col("v"), "$.message.content", "variant")
     parts = F.try_variant_get(content, "$", "array<variant>")
@@ -61,7 +64,7 @@ def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.jsonl
             .when(parts.isNotNull(), part_text)
             .otherwise(F.coalesce(F.try_variant_get(content, "$", "string"), F.to_json(content))))
     return df.select(
-        "session_id", "ord",
+        session.alias("session_id"), "ord",
         F.try_variant_get(F.col("v"), "$.type", "string").alias("type"),
         F.coalesce(~F.to_json(tool).isin(list(FALSY_JSON)), F.lit(False)).alias("is_tool_result"),
         text.alias("text"),
@@ -71,8 +74,9 @@ def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.jsonl
 
 def transcripts_to_jsonl(entries: DataFrame) -> DataFrame:
     """Render flat transcript rows as JSON Lines (one `value` per entry), the
-    way the host writes them: odd entries carry list-form content with a
-    non-text part; tool results carry a `toolUseResult` object."""
+    way the host writes them: every entry names its `sessionId`; odd entries
+    carry list-form content with a non-text part; tool results carry a
+    `toolUseResult` object."""
     list_content = F.array(
         F.struct(F.lit("text").alias("type"), F.col("text").alias("text")),
         F.struct(F.lit("image").alias("type"), F.lit(None).cast("string").alias("text")),
@@ -80,7 +84,7 @@ def transcripts_to_jsonl(entries: DataFrame) -> DataFrame:
     tool = F.struct(F.lit("ok").alias("stdout"))
 
     def line(content, with_tool):
-        fields = [F.col("type").alias("type")]
+        fields = [F.col("type").alias("type"), F.col("session_id").alias("sessionId")]
         if with_tool:
             fields.append(tool.alias("toolUseResult"))
         fields.append(F.struct(F.col("type").alias("role"), content.alias("content")).alias("message"))
