@@ -273,3 +273,22 @@ def test_v6_zero_division(spark):
     df = spark.createDataFrame([(0, 0), (0, 0)], "y_true int, y_pred int")
     r = binary_metrics(df).collect()[0]
     assert (r.accuracy, r.precision, r.recall, r.f1_score) == (1.0, 0.0, 0.0, 0.0)
+
+
+def test_v2_pluggable_judge_runs_in_pandas(spark):
+    import pandas as pd
+    from spanlake.operators.evaluation import issue_summary, judge_traces
+    summary = spark.createDataFrame([("t1", 3, 0), ("t2", 5, 2), ("t3", 1, 1)],
+                                    "trace_id string, span_count long, error_span_count long")
+
+    def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        failed = pdf["error_span_count"] > 0
+        return pd.DataFrame({"trace_id": pdf["trace_id"], "passed": ~failed,
+                             "category": failed.map({True: "errors", False: None}),
+                             "rationale": pdf["error_span_count"].astype(str) + " errors"})
+
+    scores = judge_traces(summary, judge)
+    assert sorted((r.trace_id, r.passed) for r in scores.collect()) == [("t1", True), ("t2", False), ("t3", False)]
+    issue = issue_summary(scores).collect()[0]
+    assert (issue.name, issue.n_traces, issue.confidence, issue.example_trace_ids) == ("errors", 2, 100, "t2,t3")
+    assert abs(issue.frequency - 2 / 3) < 1e-12
