@@ -2,9 +2,9 @@
 
 Streams read the span table (or snapshot table) folder as a file source, so
 new files are picked up incrementally. Results go through `foreachBatch`
-into an append-only parquet table keyed by batch id; readers take the latest
-value per key ("upsert on read"), which makes every sink idempotent under
-retried batches and lost executors.
+into one parquet folder per batch id, written with overwrite; readers take
+the latest value per key ("upsert on read"). A retried batch replaces its own
+folder, so the sinks are idempotent under retries and lost executors.
 """
 
 from __future__ import annotations
@@ -42,9 +42,11 @@ def error_counts_stream(spans: DataFrame, window: str = "1 hour", delay: str = "
 
 
 def upsert_sink(out_path: str):
-    """foreachBatch writer: append the batch's rows tagged with the batch id."""
+    """foreachBatch writer: the batch's rows go to their own `batch_id=N`
+    folder with overwrite, so a batch retried after a failure replaces its
+    earlier partial output instead of adding to it."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
     return write
 
 
@@ -124,8 +126,8 @@ def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: s
          .withWatermark("_event_time", delay)
          .dropDuplicatesWithinWatermark(["trace_id", "span_id"]))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.drop("_event_time").write.mode("append").parquet(table_path)
+    def write(batch: DataFrame, batch_id: int) -> None:  # idempotent per batch (see upsert_sink)
+        batch.drop("_event_time").write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
 
     run_available(s, f"{work}/ckpt", "append", sink=write)
     return spark.read.schema(SPAN).parquet(table_path)
