@@ -292,3 +292,22 @@ def test_v2_pluggable_judge_runs_in_pandas(spark):
     issue = issue_summary(scores).collect()[0]
     assert (issue.name, issue.n_traces, issue.confidence, issue.example_trace_ids) == ("errors", 2, 100, "t2,t3")
     assert abs(issue.frequency - 2 / 3) < 1e-12
+
+
+def test_e2_tag_rows_and_companion(spark):
+    from spanlake.operators.sessions import companion_traces, enrich_latest_traces, enrichment_tag_rows
+    traces = spark.createDataFrame([("t1", "s", 10), ("t2", "s", 20), ("t3", None, 30), ("t4", "u", 5)],
+                                   "trace_id string, session_id string, timestamp_ms long")
+    snaps = spark.createDataFrame(
+        [("s", "abc", "true", "h", None, 1704067200000, "p", 3), ("x", "d", "false", "h", "k", 1, None, None)],
+        "session_id string, git_sha string, git_dirty string, claude_md_hash string, skills_hash string, "
+        "snapshot_ms long, prompt_name string, prompt_version int")
+    enriched, unmatched = enrich_latest_traces(traces, snaps)
+    assert [r.session_id for r in unmatched.collect()] == ["x"]
+    tags = {(r.trace_id, r.key): r.value for r in enrichment_tag_rows(enriched).collect()}
+    assert tags[("t2", "cc_env.git_sha")] == "abc" and tags[("t2", "cc_env.skills_hash")] == "none"
+    assert tags[("t2", "cc_env.snapshot_timestamp")] == "2024-01-01T00:00:00+00:00"
+    assert tags[("t2", "cc_env.prompt_uri")] == "prompts:/p/3"
+    assert not any(t == "t1" for t, _ in tags)          # only the session's latest trace
+    comp = companion_traces(enriched).collect()
+    assert len(comp) == 1 and comp[0].session_trace_id == "t2" and comp[0].companion_trace_id.startswith("tr-env-")
