@@ -119,7 +119,8 @@ def write_partitioned(spans: DataFrame, path: str, mode: str = "append") -> None
     """C4 sink: date-partitioned span table; rebalance first so each date is
     written by as many tasks as its size needs (a hot day is split)."""
     (with_span_date(spans).hint("rebalance", "span_date").sortWithinPartitions("span_date", "trace_id", "start_time_ms")
-     .write.mode(mode).partitionBy("span_date").parquet(path))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic")  # overwrite only the dates written
+     .partitionBy("span_date").parquet(path))
 
 
 def write_retention(spans: DataFrame, live_path: str, archive_path: str, as_of: str, days: int = RETENTION_DAYS) -> None:
