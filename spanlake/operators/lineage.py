@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import fmt_utc, preview, status_or_ok, tag_not_equals
+from spanlake.schema import SESSION_KEY
 
 COMPANION_TYPE = "env_snapshot"  # fixed value: tag cc_env.type of companion traces
-SESSION_KEY = "mlflow.trace.session"
 
 
 def trace_summary(spans: DataFrame, with_payload: bool = True) -> DataFrame:

@@ -18,7 +18,6 @@ SKIP_SKILLS = ("feedback-trace", "tag-trace")
 ENV_TAG_PREFIX = "cc_env."
 ENV_TAG_KEYS = ("git_sha", "git_dirty", "claude_md_hash", "skills_hash", "snapshot_timestamp")
 COMPANION_TYPE = "env_snapshot"
-SESSION_KEY = "mlflow.trace.session"
 FALSY_JSON = ("null", "{}", "[]", '""', "false", "0", "0.0")
 
 

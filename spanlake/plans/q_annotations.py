@@ -5,6 +5,7 @@ from spanlake.operators.lineage import trace_summary, trace_tags
 from spanlake.plans.fixture_sql import with_tables
 from spanlake.plans.q_dashboards import TAG_TEXT_CTE
 from spanlake.plans.registry import query, spans, table
+from spanlake.schema import SESSION_KEY
 
 TAG_LATEST = TAG_TEXT_CTE.split("\ntag_text")[0].rstrip().rstrip(",")
 
@@ -72,4 +73,4 @@ def f7(spark, sf):
 @query("f8_metadata_search", with_tables("""
 SELECT trace_id, span_id FROM spans WHERE session_id = 'sess-1'""", "spans"))
 def f8(spark, sf):
-    return A.search_by_metadata(spans(spark, sf), "mlflow.trace.session", "sess-1").select("trace_id", "span_id")
+    return A.search_by_metadata(spans(spark, sf), SESSION_KEY, "sess-1").select("trace_id", "span_id")

@@ -18,7 +18,7 @@ DUR = "CAST(end_time_ms - start_time_ms AS DOUBLE) / 1000.0"
 AVG_DUR = "CAST(SUM(end_time_ms - start_time_ms) AS DOUBLE) / COUNT(end_time_ms - start_time_ms) / 1000.0"
 ERRS = "CAST(SUM(CASE WHEN status = 'ERROR' THEN 1 ELSE 0 END) AS BIGINT)"
 ATTR_TEXT = "concat('event_type=', attr_event_type, ',k=', attr_k, ',tokens=', attr_tokens)"
-META_TEXT = "concat('mlflow.trace.session=', session_id)"
+META_TEXT = "concat('trace.session=', session_id)"
 TAG_TEXT_CTE = """
 tag_latest AS (SELECT trace_id, key, arg_max(value, seq) AS value FROM tag_log GROUP BY trace_id, key),
 tag_text AS (SELECT trace_id, string_agg(key || '=' || value, ',' ORDER BY key) AS tags FROM tag_latest GROUP BY trace_id)"""

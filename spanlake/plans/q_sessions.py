@@ -200,7 +200,7 @@ def e9(spark, sf):
 
 E10_RAW = """
 raw AS (SELECT session_id, CASE WHEN git_sha = 'none' THEN NULL ELSE git_sha || chr(10) END AS head,
-  CASE WHEN git_dirty = 'true' THEN ' M CLAUDE.md' || chr(10) WHEN git_dirty = 'false' THEN chr(10) END AS porcelain
+  CASE WHEN git_dirty = 'true' THEN ' M README.md' || chr(10) WHEN git_dirty = 'false' THEN chr(10) END AS porcelain
   FROM env_snapshots)"""
 
 
@@ -209,7 +209,7 @@ def _raw_git(env):
         "session_id",
         F.when(F.col("git_sha") == "none", F.lit(None).cast("string")).otherwise(F.concat("git_sha", F.lit("\n")))
         .alias("head"),
-        F.when(F.col("git_dirty") == "true", F.lit(" M CLAUDE.md\n")).when(F.col("git_dirty") == "false", F.lit("\n"))
+        F.when(F.col("git_dirty") == "true", F.lit(" M README.md\n")).when(F.col("git_dirty") == "false", F.lit("\n"))
         .alias("porcelain"))
 
 

@@ -3,6 +3,9 @@
 from pyspark.sql import types as T
 
 S, L, I = T.StringType(), T.LongType(), T.IntegerType()
+
+# Request-metadata key holding a trace's session id (FIXTURES.md §2).
+SESSION_KEY = "trace.session"
 MAP_SS = T.MapType(S, S, True)
 
 EVENT = T.StructType([
@@ -60,6 +63,7 @@ RUN = T.StructType([
 ])
 
 # Environment snapshot written at session start (one JSON object per session).
+# The field names are those of the snapshot files being read.
 SNAPSHOT = T.StructType([
     T.StructField("session_id", S),
     T.StructField("git_sha", S),

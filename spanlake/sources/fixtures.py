@@ -18,12 +18,11 @@ from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import epoch_ntz
 from spanlake.functions.scans import bucketed_row_number
-from spanlake.schema import EVENT
+from spanlake.schema import EVENT, SESSION_KEY
 from spanlake.session import scratch_dir
 
-FIXTURE_VERSION = "v5"
+FIXTURE_VERSION = "v6"
 TABLES = ("spans", "env_snapshots", "transcripts", "tag_log", "feedback_log")
-SESSION_KEY = "mlflow.trace.session"
 
 # Fixed values of the fixture recipe (FIXTURES.md §2).
 CLOCK_SKEW_MS = 864000000      # +10 days on every 97th event

@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import instant_to_ntz, ntz_to_instant
-from spanlake.schema import SPAN
+from spanlake.schema import SESSION_KEY, SPAN
 
-SESSION_KEY = "mlflow.trace.session"
 
 
 def span_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

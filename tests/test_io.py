@@ -32,18 +32,18 @@ def test_s6_s5_round_trip(spark, tmp_path):
 def test_s7_skill_scan_hash(spark, tmp_path):
     import hashlib
     from spanlake.operators.prompts import scan_skill_files, skills_hash
-    root = tmp_path / ".claude" / "skills"
+    root = tmp_path / "proj" / "skills"
     for name, body in (("beta", "B\r\nline"), ("alpha", "A")):
         (root / name).mkdir(parents=True)
         (root / name / "SKILL.md").write_bytes(body.encode())
     (root / "alpha" / "notes.md").write_text("ignored")
     (root / "bad").mkdir()
     (root / "bad" / "SKILL.md").write_bytes(b"\xff\xfe\xfa")
-    parts = scan_skill_files(spark, [(".claude/skills", str(root)), ("dup", str(root))])
+    parts = scan_skill_files(spark, [("skills", str(root)), ("dup", str(root))])
     got = sorted((r.key, r.content) for r in parts.collect())
-    assert got == [(".claude/skills/alpha/SKILL.md", "A"), (".claude/skills/beta/SKILL.md", "B\nline")]
+    assert got == [("skills/alpha/SKILL.md", "A"), ("skills/beta/SKILL.md", "B\nline")]
     h = skills_hash(parts.withColumn("project", F.lit("p"))).collect()[0].skills_hash
-    want = hashlib.sha256(".claude/skills/alpha/SKILL.md\nA\0.claude/skills/beta/SKILL.md\nB\nline".encode()).hexdigest()
+    want = hashlib.sha256("skills/alpha/SKILL.md\nA\0skills/beta/SKILL.md\nB\nline".encode()).hexdigest()
     assert h == want
 
 
