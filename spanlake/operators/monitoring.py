@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanlake.functions.exprs import avg_seconds, duration_ms, error_count, is_error
+from spanlake.functions.exprs import avg_seconds, duration_ms, error_count
 
 MAD_SCALE = 0.6745        # robust z-score constant (Iglewicz & Hoaglin)
 MAD_THRESHOLD = 3.5
@@ -130,6 +130,3 @@ def write_retention(spans: DataFrame, live_path: str, archive_path: str, as_of:
     write_partitioned(t.filter(F.col("tier") == "live").drop("tier", "span_date"), live_path, mode="overwrite")
     write_partitioned(t.filter(F.col("tier") == "archive").drop("tier", "span_date"), archive_path, mode="overwrite")
 
-
-def errors_of(spans: DataFrame) -> DataFrame:
-    return spans.filter(is_error())

@@ -49,15 +49,9 @@ def derive_tag_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_tags(tag_log: DataFrame) -> DataFrame:
-    """Last write wins per (trace, key), then one MAP per trace.
-
-    max_by is a partial aggregate (map-side combine), and the per-trace map is
-    bounded by the number of distinct keys, not by the number of writes.
-    """
-    latest = tag_log.groupBy("trace_id", "key").agg(F.max_by("value", "seq").alias("value"))
-    return latest.groupBy("trace_id").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("tags")
-    )
+    """Per-trace tag map, last write wins per key."""
+    from spanlake.operators.annotations import tag_maps
+    return tag_maps(tag_log)
 
 
 def derive_spans(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = None) -> DataFrame:

@@ -3,7 +3,6 @@
 sf0.001 for all queries; the driver repeats this at sf0.01.
 """
 
-import os
 
 import pytest
 
