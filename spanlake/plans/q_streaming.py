@@ -33,3 +33,23 @@ def st3(spark, sf):
     work = scratch_dir(spark, "streams", "st3", unique=True)
     t = ST.ingest_spans(spark, materialise(spark, sf, "spans"), f"{work}/table", work)
     return t.select("trace_id", "span_id", "status", "start_time_ms")
+
+
+@query("st3_tag_upsert_stream", with_tables("""
+SELECT trace_id, key, arg_max(value, seq) AS value FROM tag_log GROUP BY trace_id, key""", "tag_log"))
+def st3_tags(spark, sf):
+    work = scratch_dir(spark, "streams", "st3-tags", unique=True)
+    return ST.tag_upserts(spark, materialise(spark, sf, "tag_log"), work)
+
+
+@query("st2_consume_once_stream", with_tables("""
+SELECT session_id, snapshot_ms, arg_min(trace_id, (trace_start_ms, trace_id)) AS trace_id,
+ min(trace_start_ms) AS trace_start_ms FROM (
+ SELECT r.session_id, r.trace_id, e.snapshot_ms, r.start_time_ms AS trace_start_ms
+ FROM env_snapshots e JOIN spans r ON r.session_id = e.session_id AND r.parent_span_id IS NULL
+  AND r.start_time_ms >= e.snapshot_ms AND r.start_time_ms <= e.snapshot_ms + CAST(31 AS BIGINT) * 86400000)
+GROUP BY session_id, snapshot_ms""", "spans", "env_snapshots"))
+def st2_once(spark, sf):
+    work = scratch_dir(spark, "streams", "st2-once", unique=True)
+    m = ST.session_snapshot_join(spark, materialise(spark, sf, "spans"), materialise(spark, sf, "env_snapshots"), work)
+    return ST.first_stop_per_snapshot(m)

@@ -130,3 +130,27 @@ def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: s
 
     run_available(s, f"{work}/ckpt", "append", sink=write)
     return spark.read.schema(SPAN).parquet(table_path)
+
+
+def tag_upserts(spark: SparkSession, tag_log_path: str, work: str, max_files: int | None = None) -> DataFrame:
+    """ST3 (tags): stream the append-only tag log; each micro-batch writes its
+    own last-write-per-(trace, key) rows (a partial aggregate of the batch) to
+    its batch folder, and the reader keeps the highest `seq` per (trace, key)
+    across batches. Returns (trace_id, key, value)."""
+    r = spark.readStream.schema("trace_id string, seq long, key string, value string")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    log = r.parquet(tag_log_path)
+    out = f"{work}/out"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.groupBy("trace_id", "key").agg(F.max_by(F.struct("seq", "value"), "seq").alias("l"))
+         .select("trace_id", "key", "l.seq", "l.value")
+         .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
+
+    run_available(log, f"{work}/ckpt", "append", sink=write)
+    try:
+        merged = spark.read.parquet(out)
+    except Exception:  # noqa: BLE001 - no batch produced output
+        return spark.createDataFrame([], "trace_id string, key string, value string")
+    return merged.groupBy("trace_id", "key").agg(F.max_by("value", "seq").alias("value"))

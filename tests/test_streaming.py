@@ -62,3 +62,14 @@ def test_st2_join_then_consume_once(spark, tmp_path):
     assert sorted(r.trace_id for r in m.collect()) == ["t1", "t2"]     # t0 started before the snapshot
     first = ST.first_stop_per_snapshot(m).collect()
     assert [(r.session_id, r.trace_id) for r in first] == [("s", "t1")]
+
+
+def test_st3_tag_upserts_last_write_wins_across_batches(spark, tmp_path):
+    from spanlake.streaming import streams as ST
+    src, work = str(tmp_path / "log"), str(tmp_path / "w")
+    sch = "trace_id string, seq long, key string, value string"
+    spark.createDataFrame([("t", 1, "a", "1"), ("t", 2, "b", "x")], sch).write.mode("append").parquet(src)
+    ST.tag_upserts(spark, src, work)
+    spark.createDataFrame([("t", 3, "a", "2"), ("t", 0, "b", "old")], sch).write.mode("append").parquet(src)
+    got = {(r.key, r.value) for r in ST.tag_upserts(spark, src, work).collect()}
+    assert got == {("a", "2"), ("b", "x")}
