@@ -126,9 +126,12 @@ def filter_and_create_traces(spans: DataFrame, requests: DataFrame, span_names=N
     source_trace_id and filtered='true'. Experiment: `experiment_id` unless
     None/'' else the source span's.
     """
-    found, _ = lookup_traces(spans, requests)
-    matched = filter_spans(found, span_names, attributes)
-    r = reparent(matched, group=("request_key", "trace_id"))
+    # The matched set and its re-parenting depend only on the trace, not on the
+    # request, so they are computed once per requested trace (semi-join with
+    # the distinct ids) and fanned out to the requests (J2) at the end.
+    wanted = requests.select("trace_id").distinct()
+    matched = filter_spans(spans, span_names, attributes).join(wanted, "trace_id", "left_semi")
+    r = reparent(matched, group=("trace_id",)).join(requests.select("request_key", "trace_id"), "trace_id")
     fp = criteria_fingerprint(span_names, attributes)
     tid = new_trace_id(F.col("trace_id"), F.col("request_key"), fp)
     exp = F.lit(experiment_id) if experiment_id else F.col("experiment_id")
