@@ -28,13 +28,18 @@ def tag_maps(tag_log: DataFrame) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("tags"))
 
 
-def tag_requests_to_log(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+def tag_requests_to_log(requests: DataFrame, default_target: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """T8 command in bulk. `requests` = (batch_id, trace_id, seq, pair).
 
-    A batch with any pair lacking '=' is rejected whole (atomic, our choice;
-    the reference applies earlier pairs, then aborts). Returns (tag log rows,
-    rejected batches with the offending pairs).
-    """
+    A request without trace_id tags `default_target` (one row with trace_id,
+    e.g. `lineage.most_recent_session_trace`, T7). A batch with any pair
+    lacking '=' is rejected whole (atomic, our choice; the reference applies
+    earlier pairs, then aborts). Returns (tag log rows, rejected batches with
+    the offending pairs)."""
+    if default_target is not None:
+        target = F.broadcast(default_target.select(F.col("trace_id").alias("_default")).limit(1))  # one row
+        requests = (requests.join(target, how="left")
+                    .withColumn("trace_id", F.coalesce("trace_id", "_default")).drop("_default"))
     s = requests.withColumn("_kv", split_kv("pair"))
     bad_batches = s.filter(~F.col("_kv.valid")).groupBy("batch_id").agg(
         F.array_sort(F.collect_list("pair")).alias("invalid_pairs"))

@@ -173,7 +173,10 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", "false")
           .json(path))
-    return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    # files are named env_{session_id}.json: the name backs up a missing field
+    from_name = F.regexp_extract(F.col("_metadata.file_name"), r"^env_(.*)\.json$", 1)
+    return (df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+            .withColumn("session_id", F.coalesce(F.col("session_id"), F.nullif(from_name, F.lit("")))))
 
 
 # ---- E10: snapshot normalisation ----------------------------------------------------------------

@@ -311,3 +311,16 @@ def test_e2_tag_rows_and_companion(spark):
     assert not any(t == "t1" for t, _ in tags)          # only the session's latest trace
     comp = companion_traces(enriched).collect()
     assert len(comp) == 1 and comp[0].session_trace_id == "t2" and comp[0].companion_trace_id.startswith("tr-env-")
+
+
+def test_t8_default_target_is_latest_session_trace(spark):
+    from spanlake.operators.annotations import latest_tag_values, tag_requests_to_log
+    from spanlake.operators.lineage import most_recent_session_trace
+    spans = make_spans(spark, [
+        {"trace_id": "old", "span_id": "a", "start_time_ms": 1},
+        {"trace_id": "new", "span_id": "b", "start_time_ms": 5},
+        {"trace_id": "comp", "span_id": "c", "start_time_ms": 9, "tags": {"cc_env.type": "env_snapshot"}},
+    ])
+    req = spark.createDataFrame([(1, None, 1, "k=v"), (1, "old", 2, "x=y")], "batch_id int, trace_id string, seq int, pair string")
+    log, _ = tag_requests_to_log(req, most_recent_session_trace(spans))
+    assert sorted(rows(latest_tag_values(log), "trace_id", "key", "value")) == [("new", "k", "v"), ("old", "x", "y")]

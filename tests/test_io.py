@@ -82,3 +82,9 @@ def test_s11_views(spark):
     names = register_views(spans, "2024-01-05", prefix="t_")
     assert spark.table("t_trace_lineage").filter("span_id = 'b'").collect()[0].parent_span_name == "n0"
     assert spark.table("t_error_traces").count() == 1 and len(names) == 4
+
+
+def test_s5_session_from_file_name(spark, tmp_path):
+    from spanlake.operators.prompts import read_snapshots
+    (tmp_path / "env_abc.json").write_text(json.dumps({"git_sha": "none"}) + "\n")
+    assert [r.session_id for r in read_snapshots(spark, str(tmp_path)).collect()] == ["abc"]
