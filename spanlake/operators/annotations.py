@@ -56,8 +56,18 @@ def feedback_tags(feedback_log: DataFrame, seq_offset: int = 0) -> DataFrame:
     return flag.unionByName(named)
 
 
-def log_feedback(feedback_log: DataFrame, new: DataFrame) -> DataFrame:
-    """Append assessments (many per trace are kept)."""
+def log_feedback(feedback_log: DataFrame, new: DataFrame, default_target: DataFrame | None = None) -> DataFrame:
+    """Append assessments (many per trace are kept). New rows without a
+    trace_id go to `default_target` (one row, e.g. the latest session trace);
+    source defaults to HUMAN. The has_feedback tag rows come from
+    `feedback_tags` over the result."""
+    if default_target is not None:
+        target = F.broadcast(default_target.select(F.col("trace_id").alias("_default")).limit(1))  # one row
+        new = new.join(target, how="left").withColumn("trace_id", F.coalesce("trace_id", "_default")).drop("_default")
+    if "source_type" in new.columns:
+        new = new.withColumn("source_type", F.coalesce("source_type", F.lit(HUMAN)))
+    else:
+        new = new.withColumn("source_type", F.lit(HUMAN))
     return feedback_log.unionByName(new, allowMissingColumns=True)
 
 

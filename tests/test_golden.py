@@ -324,3 +324,17 @@ def test_t8_default_target_is_latest_session_trace(spark):
     req = spark.createDataFrame([(1, None, 1, "k=v"), (1, "old", 2, "x=y")], "batch_id int, trace_id string, seq int, pair string")
     log, _ = tag_requests_to_log(req, most_recent_session_trace(spans))
     assert sorted(rows(latest_tag_values(log), "trace_id", "key", "value")) == [("new", "k", "v"), ("old", "x", "y")]
+
+
+def test_t9_feedback_append_default_target_and_tags(spark):
+    from spanlake.operators.annotations import feedback_tags, latest_tag_values, log_feedback
+    log = spark.createDataFrame([("t1", "quality", "good", "HUMAN", "u", 1, None)],
+                                "trace_id string, name string, value string, source_type string, source_id string, "
+                                "create_ms long, rationale string")
+    new = spark.createDataFrame([(None, "quality", "poor", "u2", 2, "slow")],
+                                "trace_id string, name string, value string, source_id string, create_ms long, rationale string")
+    target = spark.createDataFrame([("t2",)], "trace_id string")
+    out = log_feedback(log, new, target)
+    assert sorted(rows(out, "trace_id", "value", "source_type")) == [("t1", "good", "HUMAN"), ("t2", "poor", "HUMAN")]
+    tags = {(r.trace_id, r.key): r.value for r in latest_tag_values(feedback_tags(out)).collect()}
+    assert tags[("t2", "has_feedback")] == "true" and tags[("t2", "feedback_quality")] == "poor"
