@@ -24,24 +24,26 @@ def sample_traces(traces: DataFrame, n: int = SAMPLE_SIZE, seed: int = 42) -> Da
     return traces.withColumn("_h", h).orderBy("_h", "trace_id").limit(n).drop("_h")
 
 
-def rule_scores(summary: DataFrame, feedback: DataFrame | None = None, max_seconds: float = 60.0) -> DataFrame:
-    """V2 built-in scorers over trace summaries: errors, latency (root span end -
-    start; an unfinished root is not a failure: idle time is not counted) and
-    negative human feedback. Returns trace_id, passed, category, rationale."""
+def rule_scores(summary: DataFrame, feedback: DataFrame | None = None, max_seconds: float | None = None) -> DataFrame:
+    """V2 built-in scorers over trace summaries: failed spans, negative latest
+    human feedback and, only when `max_seconds` is given, root-span latency.
+    Wall-clock time is not a failure by default: a coding-agent session idles
+    while it waits for the user. Returns trace_id, passed, category, rationale."""
     dur = (F.col("end_time_ms") - F.col("timestamp_ms")).cast("double") / F.lit(1000.0)
+    slow = F.coalesce(dur > max_seconds, F.lit(False)) if max_seconds is not None else F.lit(False)
     s = summary
     neg = F.lit(False)
     if feedback is not None:
-        poor = (feedback.filter((F.col("name") == "quality"))
-                .groupBy("trace_id").agg(F.max_by("value", "create_ms").alias("q")))
-        s = s.join(poor, "trace_id", "left")
+        q = (feedback.filter(F.col("name") == "quality")
+             .groupBy("trace_id").agg(F.max_by("value", "create_ms").alias("q")))
+        s = s.join(q, "trace_id", "left")
         neg = F.coalesce(F.col("q") == "poor", F.lit(False))
     category = (F.when(F.col("error_span_count") > 0, F.lit("errors"))
-                .when(F.coalesce(dur > max_seconds, F.lit(False)), F.lit("slow"))
+                .when(slow, F.lit("slow"))
                 .when(neg, F.lit("negative_feedback")))
     rationale = (F.when(F.col("error_span_count") > 0,
                         F.format_string("%d of %d spans failed", F.col("error_span_count"), F.col("span_count")))
-                 .when(F.coalesce(dur > max_seconds, F.lit(False)), F.format_string("root span took %.3f s", dur))
+                 .when(slow, F.format_string("root span took %.3f s", dur))
                  .when(neg, F.lit("latest human quality rating is poor"))
                  .otherwise(F.lit("no failure signal")))
     return s.select("trace_id", category.isNull().alias("passed"), category.alias("category"),

@@ -21,10 +21,8 @@ fq AS (SELECT trace_id, arg_max(value, create_ms) AS q FROM feedback_log WHERE n
 sc AS (SELECT s.trace_id, CAST(s.end_time_ms - s.timestamp_ms AS DOUBLE) / 1000.0 AS dur, s.error_span_count,
   s.span_count, coalesce(fq.q = 'poor', false) AS neg FROM summary s LEFT JOIN fq ON fq.trace_id = s.trace_id),
 scores AS (SELECT trace_id,
-  CASE WHEN error_span_count > 0 THEN 'errors' WHEN coalesce(dur > 60.0, false) THEN 'slow'
-       WHEN neg THEN 'negative_feedback' END AS category,
+  CASE WHEN error_span_count > 0 THEN 'errors' WHEN neg THEN 'negative_feedback' END AS category,
   CASE WHEN error_span_count > 0 THEN error_span_count || ' of ' || span_count || ' spans failed'
-       WHEN coalesce(dur > 60.0, false) THEN 'root span took ' || printf('%.3f', dur) || ' s'
        WHEN neg THEN 'latest human quality rating is poor' ELSE 'no failure signal' END AS rationale
   FROM sc)"""
 

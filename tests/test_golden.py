@@ -338,3 +338,12 @@ def test_t9_feedback_append_default_target_and_tags(spark):
     assert sorted(rows(out, "trace_id", "value", "source_type")) == [("t1", "good", "HUMAN"), ("t2", "poor", "HUMAN")]
     tags = {(r.trace_id, r.key): r.value for r in latest_tag_values(feedback_tags(out)).collect()}
     assert tags[("t2", "has_feedback")] == "true" and tags[("t2", "feedback_quality")] == "poor"
+
+
+def test_v2_idle_time_is_not_a_failure_by_default(spark):
+    from spanlake.operators.evaluation import rule_scores
+    summary = spark.createDataFrame([("t", 0, 3_600_000, 2, 0)],
+                                    "trace_id string, timestamp_ms long, end_time_ms long, span_count long, error_span_count long")
+    assert rule_scores(summary).collect()[0].passed is True
+    r = rule_scores(summary, max_seconds=60).collect()[0]
+    assert (r.passed, r.category, r.rationale) == (False, "slow", "root span took 3600.000 s")
