@@ -35,14 +35,14 @@ def tag_requests_to_log(requests: DataFrame, default_target: DataFrame | None =
     e.g. `lineage.most_recent_session_trace`, T7). A batch with any pair
     lacking '=' is rejected whole (atomic, our choice; the reference applies
     earlier pairs, then aborts). Returns (tag log rows, rejected batches with
-    the offending pairs)."""
+    the number of invalid pairs and the first one)."""
     if default_target is not None:
         target = F.broadcast(default_target.select(F.col("trace_id").alias("_default")).limit(1))  # one row
         requests = (requests.join(target, how="left")
                     .withColumn("trace_id", F.coalesce("trace_id", "_default")).drop("_default"))
     s = requests.withColumn("_kv", split_kv("pair"))
     bad_batches = s.filter(~F.col("_kv.valid")).groupBy("batch_id").agg(
-        F.array_sort(F.collect_list("pair")).alias("invalid_pairs"))
+        F.count(F.lit(1)).alias("n_invalid"), F.min("pair").alias("first_invalid"))
     good = s.join(bad_batches.select("batch_id"), "batch_id", "left_anti")
     log = good.select("trace_id", "seq", F.col("_kv.key").alias("key"), F.col("_kv.value").alias("value"))
     return log, bad_batches

@@ -89,6 +89,9 @@ def session_snapshot_join(spark: SparkSession, spans_path: str, snapshots_path:
     """ST2: SessionStart snapshots joined to Stop events (root spans of the
     session's traces) that start within `horizon_days` after the snapshot:
     a stream-stream interval join whose state is bounded by the watermarks.
+    A trace pairs only with snapshots of its own session taken in the
+    `horizon_days` before it: one per session start, so the output grows with
+    traces x session starts in the horizon, not with all pairs of a session.
     Returns session_id, trace_id, snapshot_ms, trace_start_ms."""
     snaps = (spark.readStream.schema("session_id string, snapshot_ms long").parquet(snapshots_path)
              .select(F.col("session_id").alias("s_session"), "snapshot_ms", F.timestamp_millis("snapshot_ms").alias("snap_ts"))

@@ -94,7 +94,7 @@ def test_t8_last_write_wins_and_atomic_rejects(spark):
         "batch_id int, trace_id string, seq int, pair string")
     log, bad = tag_requests_to_log(req)
     assert sorted(rows(latest_tag_values(log), "key", "value")) == [("a", "2"), ("b", "x=y")]
-    assert rows(bad, "batch_id", "invalid_pairs") == [(2, ["bad"])]
+    assert rows(bad, "batch_id", "n_invalid", "first_invalid") == [(2, 1, "bad")]
 
 
 def test_t10_feedback_round_trip(spark):
