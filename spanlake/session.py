@@ -53,12 +53,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
-    """A path under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    # checkpoint dirs are suffixed with a per-application uuid; keep tables one level up
-    # so a later session over the same data can reuse them.
-    root = os.path.dirname(base) if os.path.basename(base).count("-") >= 4 else base
-    path = "/".join([root, "spanlake", *parts])
+    """A path under the shared checkpoint folder (never a machine-local temp dir on a cluster).
+
+    The base is the folder the cluster names in `spark.checkpoint.dir`; when
+    only a checkpoint directory was set programmatically, its parent (Spark
+    appends a per-application uuid folder to it)."""
+    ensure_checkpoint_dir(spark)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        root = os.path.dirname(spark.sparkContext.getCheckpointDir().rstrip("/"))
+    path = "/".join([root.rstrip("/"), "spanlake", *parts])
     if unique:
         path = f"{path}-{uuid.uuid4().hex[:12]}"
     return path
