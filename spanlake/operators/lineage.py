@@ -142,7 +142,8 @@ def trace_tree(spans: DataFrame, max_rounds: int = 64, workdir: str | None = Non
         remaining = left
     out = done.select("trace_id", "span_id", F.col("dist").alias("depth"),
                       F.col("top").alias("root_span_id"), "path")
-    cyclic = nodes.join(out.select("trace_id", "span_id"), ["trace_id", "span_id"], "left_anti").select(
+    # whatever is still pending hangs off a cycle: no depth, top or path
+    cyclic = pending.select(
         "trace_id", "span_id", F.lit(None).cast("int").alias("depth"),
         F.lit(None).cast("string").alias("root_span_id"), F.lit(None).cast("string").alias("path"))
     return out.unionByName(cyclic)
