@@ -32,33 +32,6 @@ def content_hash(content: Column) -> Column:
     return sha_or_none(content)
 
 
-def _digest_partition(batches):
-    """Stream rows sorted by (group, key); one SHA-256 per group.
-
-    Memory is one Arrow batch; the digest state is carried across batches, so a
-    group of any size is hashed without being gathered into one row.
-    """
-    cur, h, n = None, None, 0
-    out_g, out_h, out_n = [], [], []
-    for pdf in batches:
-        for g, k, c in zip(pdf["g"], pdf["k"], pdf["c"]):
-            if g != cur:
-                if cur is not None:
-                    out_g.append(cur); out_h.append(h.hexdigest()); out_n.append(n)
-                cur, h, n = g, hashlib.sha256(), 0
-            if n:
-                h.update(b"\0")
-            h.update(f"{k}\n{c}".encode("utf-8", "surrogatepass"))
-            n += 1
-        if len(out_g) >= 1024:
-            yield pd.DataFrame({"g": out_g, "digest": out_h, "n_parts": out_n})
-            out_g, out_h, out_n = [], [], []
-    if cur is not None:
-        out_g.append(cur); out_h.append(h.hexdigest()); out_n.append(n)
-    if out_g:
-        yield pd.DataFrame({"g": out_g, "digest": out_h, "n_parts": out_n})
-
-
 def ordered_concat_digest(df: DataFrame, group: str, key: str, content: str) -> DataFrame:
     """Per group, SHA-256 of the parts sorted by key, each `key\\ncontent`,
     joined by NUL. Groups are hash-partitioned and sorted by key inside each
@@ -67,6 +40,35 @@ def ordered_concat_digest(df: DataFrame, group: str, key: str, content: str) ->
     d = (df.select(F.col(group).cast("string").alias("g"), F.col(key).cast("string").alias("k"),
                    F.col(content).cast("string").alias("c"))
          .repartition("g").sortWithinPartitions("g", "k"))
+
+    # Defined here so it is shipped to the Python workers by value: the
+    # executors do not need this package installed.
+    def _digest_partition(batches):
+        """Stream rows sorted by (group, key); one SHA-256 per group.
+
+        Memory is one Arrow batch; the digest state is carried across batches, so a
+        group of any size is hashed without being gathered into one row.
+        """
+        cur, h, n = None, None, 0
+        out_g, out_h, out_n = [], [], []
+        for pdf in batches:
+            for g, k, c in zip(pdf["g"], pdf["k"], pdf["c"]):
+                if g != cur:
+                    if cur is not None:
+                        out_g.append(cur); out_h.append(h.hexdigest()); out_n.append(n)
+                    cur, h, n = g, hashlib.sha256(), 0
+                if n:
+                    h.update(b"\0")
+                h.update(f"{k}\n{c}".encode("utf-8", "surrogatepass"))
+                n += 1
+            if len(out_g) >= 1024:
+                yield pd.DataFrame({"g": out_g, "digest": out_h, "n_parts": out_n})
+                out_g, out_h, out_n = [], [], []
+        if cur is not None:
+            out_g.append(cur); out_h.append(h.hexdigest()); out_n.append(n)
+        if out_g:
+            yield pd.DataFrame({"g": out_g, "digest": out_h, "n_parts": out_n})
+
     return d.mapInPandas(_digest_partition, "g string, digest string, n_parts long").withColumnRenamed("g", group)
 
 
