@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["bucketed_row_number", "change_versions"]
+__all__ = ["bucketed_row_number", "change_versions", "bucketed_lead"]
 
 
 def bucketed_row_number(df: DataFrame, key: str, order: list[str], bucket: Column, out: str = "seq") -> DataFrame:
@@ -60,3 +60,23 @@ def change_versions(df: DataFrame, key: str, order: list[str], value: str,
     new = F.when(F.col("_prev").isNull(), F.col("_fchg") == 1).otherwise(F.col("_chg") == 1)
     return j.withColumn(out, ver).withColumn("is_new_version", new) \
             .drop("_b", "_prev", "_chg", "_cum", "_fchg", "_base")
+
+
+def bucketed_lead(df: DataFrame, key: str, order: list[str], cols: list[str], bucket: Column,
+                  prefix: str = "next_") -> DataFrame:
+    """lead(c, 1) over (partition by key order by `order`) for each c in `cols`,
+    computed per (key, bucket); the last row of a bucket takes the first row
+    of the key's next non-empty bucket (a partial `min_by` per bucket and a
+    window over the few bucket rows of a key). `bucket` must not decrease
+    along `order` within a key. Adds `prefix + c` columns."""
+    w = Window.partitionBy(key, "_b").orderBy(*order)
+    x = df.withColumn("_b", bucket)
+    for c in cols:
+        x = x.withColumn(prefix + c, F.lead(c).over(w))
+    x = x.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    firsts = x.groupBy(key, "_b").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_first"))
+    firsts = firsts.withColumn("_next_first", F.lead("_first").over(Window.partitionBy(key).orderBy("_b")))
+    j = x.join(firsts.select(key, "_b", "_next_first"), [key, "_b"])
+    for c in cols:
+        j = j.withColumn(prefix + c, F.when(F.col("_last"), F.col("_next_first")[c]).otherwise(F.col(prefix + c)))
+    return j.drop("_b", "_last", "_next_first")

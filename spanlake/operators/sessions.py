@@ -150,6 +150,31 @@ def consume_snapshots(snapshots: DataFrame, order: str = "snapshot_ms") -> DataF
             .select("session_id", "s.*"))
 
 
+def first_stop_after_snapshot(traces: DataFrame, snapshots: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
+    """E5, first-Stop form: each snapshot is consumed by the session's first
+    trace that starts at or after it, unless a newer snapshot of the session
+    comes first (the newer one replaces it; the older is never used).
+
+    The session's snapshots and traces are merged into one time-ordered event
+    list and each snapshot looks at the next event (`bucketed_lead`), so there
+    is no snapshot x trace pairing and a long session is split over time
+    buckets. Returns session_id, snapshot_ms, trace_id, trace_start_ms (NULL
+    when the snapshot was never consumed)."""
+    from spanlake.functions.scans import bucketed_lead
+    snaps = snapshots.select("session_id", F.col("snapshot_ms").alias("ts"), F.lit(0).alias("kind"),
+                             F.lit(None).cast("string").alias("trace_id"))
+    stops = traces.filter(F.col("session_id").isNotNull()).select(
+        "session_id", F.col("timestamp_ms").alias("ts"), F.lit(1).alias("kind"), "trace_id")
+    ev = snaps.unionByName(stops).withColumn("tie", F.coalesce("trace_id", F.lit("")))
+    led = bucketed_lead(ev, "session_id", ["ts", "kind", "tie"], ["kind", "trace_id", "ts"],
+                        F.floor(F.col("ts") / F.lit(bucket_ms)))
+    hit = F.coalesce(F.col("next_kind") == 1, F.lit(False))
+    return led.filter(F.col("kind") == 0).select(
+        "session_id", F.col("ts").alias("snapshot_ms"),
+        F.when(hit, F.col("next_trace_id")).alias("trace_id"),
+        F.when(hit, F.col("next_ts")).alias("trace_start_ms"))
+
+
 # ---- E2 / E3 / J5: enrichment ------------------------------------------------------
 
 def enrich_latest_traces(traces: DataFrame, snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -233,3 +233,15 @@ def s5_s6(spark, sf):
     snaps = P.read_snapshots(spark, file_table(spark, sf, "snapshots_json"))
     return snaps.select("session_id", "git_sha", "git_dirty", "claude_md_hash", "claude_md_content", "skills_hash",
                         "prompt_name", "prompt_version", "snapshot_timestamp")
+
+
+@query("e5_first_stop_after_snapshot", with_tables("""
+SELECT session_id, snapshot_ms, CASE WHEN nk = 1 THEN nt END AS trace_id, CASE WHEN nk = 1 THEN nts END AS trace_start_ms
+FROM (SELECT *, lead(kind) OVER w AS nk, lead(trace_id) OVER w AS nt, lead(ts) OVER w AS nts
+      FROM (SELECT session_id, snapshot_ms AS ts, 0 AS kind, snapshot_ms, CAST(NULL AS VARCHAR) AS trace_id
+            FROM env_snapshots
+            UNION ALL SELECT session_id, timestamp_ms, 1, NULL, trace_id FROM summary WHERE session_id IS NOT NULL) ev
+      WINDOW w AS (PARTITION BY session_id ORDER BY ts, kind, coalesce(trace_id, ''))) l
+WHERE kind = 0""", "spans", "env_snapshots", extra=SUMMARY_SESSION))
+def e5_first_stop(spark, sf):
+    return SS.first_stop_after_snapshot(SS.session_traces(spans(spark, sf)), table(spark, sf, "env_snapshots"))

@@ -347,3 +347,16 @@ def test_v2_idle_time_is_not_a_failure_by_default(spark):
     assert rule_scores(summary).collect()[0].passed is True
     r = rule_scores(summary, max_seconds=60).collect()[0]
     assert (r.passed, r.category, r.rationale) == (False, "slow", "root span took 3600.000 s")
+
+
+def test_e5_first_stop_after_snapshot_supersede_and_buckets(spark):
+    from spanlake.operators.sessions import first_stop_after_snapshot
+    traces = spark.createDataFrame(
+        [("t0", "s", 5), ("t1", "s", 20), ("t2", "s", 35), ("t3", "s", 90), ("u1", "u", 1)],
+        "trace_id string, session_id string, timestamp_ms long")
+    snaps = spark.createDataFrame([("s", 10), ("s", 30), ("s", 31), ("s", 100), ("u", 1)],
+                                  "session_id string, snapshot_ms long")
+    for bucket in (7, 1000):  # many buckets and one bucket give the same answer
+        got = {(r.session_id, r.snapshot_ms): r.trace_id
+               for r in first_stop_after_snapshot(traces, snaps, bucket_ms=bucket).collect()}
+        assert got == {("s", 10): "t1", ("s", 30): None, ("s", 31): "t2", ("s", 100): None, ("u", 1): "u1"}
