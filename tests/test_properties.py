@@ -83,3 +83,50 @@ def test_e5_first_stop_matches_sequential(spark, events, bucket):
     if not snaps:
         want = {("z", 0): None}
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 14)), min_size=1, max_size=14))
+def test_t11_matches_sequential_walk(spark, parents):
+    from spanlake.operators.lineage import trace_tree
+    n = len(parents)
+    spec = [{"span_id": f"s{i}", "span_name": f"n{i}",
+             "parent_span_id": None if p is None else f"s{p}"} for i, p in enumerate(parents)]
+    got = {r.span_id: (r.depth, r.root_span_id, r.path) for r in trace_tree(make_spans(spark, spec)).collect()}
+    par = {f"s{i}": (None if p is None or p >= n else f"s{p}") for i, p in enumerate(parents)}  # p >= n dangles
+    want = {}
+    for i in range(n):
+        node, chain, seen = f"s{i}", [], set()
+        while node is not None and node not in seen:
+            seen.add(node)
+            chain.append(node)
+            node = par[node]
+        if node is not None:          # hit a cycle
+            want[f"s{i}"] = (None, None, None)
+        else:
+            want[f"s{i}"] = (len(chain) - 1, chain[-1], "/".join("n" + c[1:] for c in reversed(chain)))
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant"]), st.booleans(),
+                          st.sampled_from(["hello", "Base directory for this skill: /a/tag-trace",
+                                           "  \n Base directory for this skill: /b/feedback-trace \nx",
+                                           "Base directory for this skill: /c/other", "Base directory for this skill: /d/"])),
+                min_size=0, max_size=8))
+def test_e1_matches_sequential(spark, entries):
+    import os
+    from spanlake.operators.sessions import SKIP_SKILLS, skip_decisions
+    rows = [("s", i, t, tool, text) for i, (t, tool, text) in enumerate(entries)] + [("other", 0, "assistant", False, "x")]
+    df = spark.createDataFrame(rows, "session_id string, ord long, type string, is_tool_result boolean, text string")
+    got = {r.session_id: r.skipped for r in skip_decisions(df).collect()}
+    want = False
+    for _, _, t, tool, text in reversed(rows[:-1]):
+        if t != "user" or tool:
+            continue
+        s = text.lstrip()
+        if not s.startswith("Base directory for this skill:"):
+            break
+        want = os.path.basename(s.split("\n", 1)[0].split(":", 1)[1].strip()) in SKIP_SKILLS
+        break
+    assert got.get("s", False) == want and got["other"] is False
