@@ -11,7 +11,7 @@ from spanlake.schema import SESSION_KEY
 COMPANION_TYPE = "env_snapshot"  # fixed value: tag cc_env.type of companion traces
 
 
-def trace_summary(spans: DataFrame, with_payload: bool = True) -> DataFrame:
+def trace_summary(spans: DataFrame, with_payload: bool = True, with_session: bool = True) -> DataFrame:
     """One row per trace from its root span.
 
     Root = a span without parent, earliest first (a trace with only dangling
@@ -19,7 +19,8 @@ def trace_summary(spans: DataFrame, with_payload: bool = True) -> DataFrame:
     partial aggregate, so a trace with very many spans is combined map-side
     instead of being gathered in one task. Catalyst cannot prune fields inside
     the struct, so callers that do not need request/response pass
-    `with_payload=False` and the scan never reads the JSON payload columns.
+    `with_payload=False` (and `with_session=False` when they do not need the
+    session) and the scan never reads the JSON payload / metadata map columns.
     """
     fields = [
         F.col("parent_span_id").isNotNull().alias("has_parent"),
@@ -30,8 +31,9 @@ def trace_summary(spans: DataFrame, with_payload: bool = True) -> DataFrame:
         F.col("span_name").alias("name"),
         F.col("request_id").alias("request_id"),
         F.col("experiment_id").alias("experiment_id"),
-        F.col("request_metadata")[SESSION_KEY].alias("session_id"),
     ]
+    if with_session:
+        fields.append(F.col("request_metadata")[SESSION_KEY].alias("session_id"))
     if with_payload:
         fields += [F.col("inputs").alias("inputs"), F.col("outputs").alias("outputs")]
     g = spans.groupBy("trace_id").agg(
@@ -51,7 +53,7 @@ def trace_summary(spans: DataFrame, with_payload: bool = True) -> DataFrame:
         status_or_ok("r.status").alias("status"),
         *payload,
         "span_count", "error_span_count",
-        F.col("r.session_id").alias("session_id"),
+        *([F.col("r.session_id").alias("session_id")] if with_session else []),
     )
 
 
@@ -62,7 +64,7 @@ def trace_tags(spans: DataFrame) -> DataFrame:
 
 def list_recent_traces(spans: DataFrame, max_results: int = 10) -> DataFrame:
     """Id, UTC time, status and a 60-character input preview, newest first."""
-    s = trace_summary(spans)
+    s = trace_summary(spans, with_session=False)
     return (s.select("trace_id", "timestamp_ms", "status", "request")
             .orderBy(F.desc("timestamp_ms"), "trace_id").limit(max_results)
             .select("trace_id", fmt_utc("timestamp_ms").alias("timestamp"), "status",
@@ -72,7 +74,7 @@ def list_recent_traces(spans: DataFrame, max_results: int = 10) -> DataFrame:
 def most_recent_session_trace(spans: DataFrame) -> DataFrame:
     """Newest trace that is not a companion env_snapshot trace (tags lacking
     the key are kept: null-safe inequality)."""
-    s = trace_summary(spans, with_payload=False).join(trace_tags(spans), "trace_id", "left")
+    s = trace_summary(spans, with_payload=False, with_session=False).join(trace_tags(spans), "trace_id", "left")
     return (s.filter(tag_not_equals("cc_env.type", COMPANION_TYPE))
             .orderBy(F.desc("timestamp_ms"), "trace_id").limit(1).select("trace_id"))
 

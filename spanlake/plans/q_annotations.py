@@ -44,7 +44,7 @@ SELECT count(*) FILTER (WHERE hf) AS has_feedback, count(*) FILTER (WHERE pos) A
     "spans", "tag_log", "feedback_log", extra=T10_EXTRA))
 def t10(spark, sf):
     s = spans(spark, sf)
-    return A.feedback_search_counts(trace_summary(s, with_payload=False), table(spark, sf, "tag_log"), table(spark, sf, "feedback_log"))
+    return A.feedback_search_counts(trace_summary(s, with_payload=False, with_session=False), table(spark, sf, "tag_log"), table(spark, sf, "feedback_log"))
 
 
 @query("j7_trace_feedback", with_tables("""
@@ -52,7 +52,7 @@ SELECT t.trace_id, count(f.trace_id) AS n_feedback, count(f.trace_id) > 0 AS has
 FROM (SELECT DISTINCT trace_id FROM spans) t LEFT JOIN feedback_log f ON f.trace_id = t.trace_id
 GROUP BY t.trace_id""", "spans", "feedback_log"))
 def j7(spark, sf):
-    return A.traces_with_feedback(trace_summary(spans(spark, sf), with_payload=False), table(spark, sf, "feedback_log"))
+    return A.traces_with_feedback(trace_summary(spans(spark, sf), with_payload=False, with_session=False), table(spark, sf, "feedback_log"))
 
 
 @query("f6_tag_search", with_tables("""

@@ -13,7 +13,7 @@ from spanlake.sources import dimensions as D
 @query("v1_sample_traces", with_tables("""
 SELECT trace_id FROM summary ORDER BY sha256('42|' || trace_id), trace_id LIMIT 50""", "spans", extra=ROOT_CTE))
 def v1(spark, sf):
-    return EV.sample_traces(trace_summary(spans(spark, sf), with_payload=False)).select("trace_id")
+    return EV.sample_traces(trace_summary(spans(spark, sf), with_payload=False, with_session=False)).select("trace_id")
 
 
 SCORES_CTE = ROOT_CTE + """,
@@ -29,7 +29,7 @@ scores AS (SELECT trace_id,
 
 def _scores(spark, sf):
     s = spans(spark, sf)
-    return EV.rule_scores(trace_summary(s, with_payload=False), table(spark, sf, "feedback_log"))
+    return EV.rule_scores(trace_summary(s, with_payload=False, with_session=False), table(spark, sf, "feedback_log"))
 
 
 @query("v2_rule_scores", with_tables("SELECT trace_id, category IS NULL AS passed, category, rationale FROM scores",
@@ -56,7 +56,7 @@ SELECT t.trace_id,
 FROM (SELECT DISTINCT trace_id FROM spans) t JOIN feedback_log f ON f.trace_id = t.trace_id GROUP BY t.trace_id""",
     "spans", "feedback_log"))
 def v4(spark, sf):
-    return EV.evaluation_dataset(trace_summary(spans(spark, sf), with_payload=False), table(spark, sf, "feedback_log"))
+    return EV.evaluation_dataset(trace_summary(spans(spark, sf), with_payload=False, with_session=False), table(spark, sf, "feedback_log"))
 
 
 @query("v5_aggregated_metrics", with_tables("""
@@ -133,5 +133,5 @@ SELECT s.trace_id, s.timestamp_ms, s.status FROM summary s JOIN
 def s9(spark, sf):
     from spanlake.operators.annotations import search_traces
     s = spans(spark, sf)
-    t = trace_summary(s, with_payload=False).join(trace_tags(s), "trace_id", "left")
+    t = trace_summary(s, with_payload=False, with_session=False).join(trace_tags(s), "trace_id", "left")
     return search_traces(t, F.col("tags")["purchase"] == "7", max_results=10).select("trace_id", "timestamp_ms", "status")

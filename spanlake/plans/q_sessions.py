@@ -195,7 +195,7 @@ def e9(spark, sf):
     from spanlake.operators.lineage import trace_summary
     enriched, _ = _enrich(spark, sf)
     s = spans(spark, sf)
-    return quality_by_version(enriched, trace_summary(s, with_payload=False), table(spark, sf, "feedback_log"))
+    return quality_by_version(enriched, trace_summary(s, with_payload=False, with_session=False), table(spark, sf, "feedback_log"))
 
 
 E10_RAW = """

@@ -27,7 +27,7 @@ def experiments_from_spans(spans: DataFrame) -> DataFrame:
 def runs_from_spans(spans: DataFrame) -> DataFrame:
     """S3: one run per trace (root span's experiment and name)."""
     from spanlake.operators.lineage import trace_summary
-    s = trace_summary(spans, with_payload=False)
+    s = trace_summary(spans, with_payload=False, with_session=False)
     times = spans.groupBy("trace_id").agg(F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time"))
     j = s.join(times, "trace_id")
     return j.select(
