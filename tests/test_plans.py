@@ -99,3 +99,12 @@ def test_session_lookup_does_not_read_payload_columns(spans):
     p = plan(latest_trace_per_session(session_traces(spans)))
     read = [l for l in p.splitlines() if l.startswith("ReadSchema")][0]
     assert "inputs" not in read and "outputs" not in read and "tags" not in read
+
+
+def test_scoring_reads_no_payload_or_metadata(spans):
+    from spanlake.operators.evaluation import rule_scores
+    from spanlake.operators.lineage import trace_summary
+    p = plan(rule_scores(trace_summary(spans, with_payload=False, with_session=False)))
+    read = [l for l in p.splitlines() if l.startswith("ReadSchema")][0]
+    for col in ("inputs", "outputs", "request_metadata", "attributes", "tags"):
+        assert col not in read
