@@ -3,13 +3,10 @@
 from spanlake.operators import annotations as A
 from spanlake.operators.lineage import trace_summary, trace_tags
 from spanlake.plans.fixture_sql import with_tables
-from spanlake.plans.q_dashboards import TAG_TEXT_CTE
+from spanlake.plans.q_dashboards import TAG_LATEST_CTE as TAG_LATEST
 from spanlake.plans.registry import query, spans, table
 from spanlake.schema import SESSION_KEY
 
-TAG_LATEST = TAG_TEXT_CTE.split("\ntag_text")[0].rstrip().rstrip(",")
-
-
 @query("t8_latest_tags", with_tables("SELECT trace_id, key, value FROM tag_latest", "tag_log", extra=TAG_LATEST))
 def t8(spark, sf):
     return A.latest_tag_values(table(spark, sf, "tag_log"))

@@ -19,8 +19,9 @@ AVG_DUR = "CAST(SUM(end_time_ms - start_time_ms) AS DOUBLE) / COUNT(end_time_ms
 ERRS = "CAST(SUM(CASE WHEN status = 'ERROR' THEN 1 ELSE 0 END) AS BIGINT)"
 ATTR_TEXT = "concat('event_type=', attr_event_type, ',k=', attr_k, ',tokens=', attr_tokens)"
 META_TEXT = "concat('trace.session=', session_id)"
-TAG_TEXT_CTE = """
-tag_latest AS (SELECT trace_id, key, arg_max(value, seq) AS value FROM tag_log GROUP BY trace_id, key),
+TAG_LATEST_CTE = """
+tag_latest AS (SELECT trace_id, key, arg_max(value, seq) AS value FROM tag_log GROUP BY trace_id, key)"""
+TAG_TEXT_CTE = TAG_LATEST_CTE + """,
 tag_text AS (SELECT trace_id, string_agg(key || '=' || value, ',' ORDER BY key) AS tags FROM tag_latest GROUP BY trace_id)"""
 STAR = f"""s.request_id, s.trace_id, s.span_id, s.span_name, s.span_type, s.parent_span_id, s.start_time_ms,
  s.end_time_ms, s.status, {ATTR_TEXT} AS attributes, 0 AS events_count, {META_TEXT} AS request_metadata,
