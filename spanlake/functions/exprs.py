@@ -55,8 +55,9 @@ def is_error(status="status") -> Column:
 
 
 def error_count(status="status") -> Column:
-    """SUM(CASE WHEN status='ERROR' THEN 1 ELSE 0 END): NULL status is not an error."""
-    return F.count_if(F.coalesce(is_error(status), F.lit(False)))
+    """SUM(CASE WHEN status='ERROR' THEN 1 ELSE 0 END): NULL status is not an
+    error (count_if counts only TRUE)."""
+    return F.count_if(is_error(status))
 
 
 def error_rate_pct(status="status") -> Column:
