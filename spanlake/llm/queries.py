@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from spanlake.llm import exact_dedup, packing, secrets, token_counts, token_output
+from spanlake.llm import decontamination, exact_dedup, packing, secrets, token_counts, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_token_output": token_output.op5_token_output,
+    "op6_decontamination": decontamination.op6_decontamination,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op10_packing": packing.op10_packing,
 }
 
