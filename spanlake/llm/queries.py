@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanlake.llm import decontamination, exact_dedup, packing, secrets, token_counts, token_output, toxicity
+from spanlake.llm import decontamination, exact_dedup, jaccard_join, packing, secrets, token_counts, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_token_output": token_output.op5_token_output,
     "op6_decontamination": decontamination.op6_decontamination,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_packing": packing.op10_packing,
 }
