@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from spanlake.llm import decontamination, exact_dedup, jaccard_join, packing, secrets, token_counts, token_output, toxicity
+from spanlake.llm import decontamination, exact_dedup, jaccard_join, packing, secrets, suffix_dedup, token_counts, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_token_counts": token_counts.op4_token_counts,
     "op5_token_output": token_output.op5_token_output,
