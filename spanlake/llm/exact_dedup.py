@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanlake.llm.common import id_text, shuffle_partitions, written
+from spanlake.llm.common import pick, shuffle_partitions, written
 
 WHITE = " \t\n\x0b\x0c\r"
 KEY_CHARS = 24
@@ -40,8 +40,9 @@ def _runs(df: DataFrame) -> DataFrame:
               .withColumn("run", F.sum("weight").over(everything)))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, row, keep_id, group_size, kept, text_sha256.
+    `row` is `row_col`, a unique number of the row, or an internal one.
 
     Equal texts: identical after deleting ASCII white space. The row with the
     most code points in the original text stays, then the smallest id; among
@@ -50,8 +51,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
-    base = id_text(docs, id_col, text_col)
-    base = base.select("doc_id", F.length("text").alias("chars"), normalised(F.col("text")).alias("norm"))
+    row = {"row": row_col} if row_col else {}
+    base = pick(docs, doc_id=id_col, text=text_col, **row)
+    if not row:
+        base = base.withColumn("row", F.monotonically_increasing_id())
+    base = base.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "row")
+    base = base.select("doc_id", "row", F.length("text").alias("chars"), normalised(F.col("text")).alias("norm"))
     base = base.withColumn("hash", F.xxhash64("norm"))
 
     parts = shuffle_partitions(spark)
@@ -62,8 +67,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
            .select("hash", F.ceil(F.col("count") / F.lit(limit)).cast("int").alias("salts")))
     rows = base.join(F.broadcast(hot), "hash", "left")
     spread = F.pmod(F.xxhash64("doc_id", "row"), F.col("salts")).cast("int")
-    rows = (rows.withColumn("row", F.monotonically_increasing_id())
-            .withColumn("salt", F.when(F.col("salts").isNull(), F.lit(-1)).otherwise(spread))
+    rows = (rows.withColumn("salt", F.when(F.col("salts").isNull(), F.lit(-1)).otherwise(spread))
             .withColumn("prefix", F.substring("norm", 1, KEY_CHARS))
             .withColumn("weight", F.lit(1).cast("long")))
     first = _runs(rows.select("doc_id", "row", "chars", "norm", "hash", "salt", "prefix", "weight"))
@@ -75,7 +79,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first = written(spark, first, "exact_dedup")
 
     calm = first.where("salt < 0").select(
-        "doc_id", F.col("rep.doc_id").alias("keep_id"), F.col("run").alias("group_size"),
+        "doc_id", "row", F.col("rep.doc_id").alias("keep_id"), F.col("run").alias("group_size"),
         (F.col("row") == F.col("rep.row")).alias("kept"), F.col("sha").alias("text_sha256"))
 
     # The salts of a hot text meet once more: at most (salts per text) * (hot texts) rows.
@@ -86,14 +90,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                F.col("run").alias("size"), F.col("sha").alias("top_sha"))
     members = first.where("salt >= 0").select("doc_id", "row", F.col("rep.row").alias("rep_row"))
     hot_rows = members.join(F.broadcast(final), "rep_row").select(
-        "doc_id", F.col("top.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
+        "doc_id", "row", F.col("top.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("row") == F.col("top.row")).alias("kept"), F.col("top_sha").alias("text_sha256"))
     return calm.unionByName(hot_rows)
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:
     from spanlake.llm.common import read_table
-    return exact_dedup(read_table(spark, sf_dir, "documents"))
+    return exact_dedup(read_table(spark, sf_dir, "documents")).drop("row")
 
 
 OP1_SQL = r"""

@@ -7,10 +7,10 @@ Chosen paths: in each of RUNS runs a set starts at the root and, at every node,
 goes on to the children named by those of its tokens whose hash at that node
 falls below 1 / (threshold * size). Two sets of similarity >= threshold choose a
 common child at least once on average at every level, others soon part.
-Buckets (nodes) of up to SMALL classes are compared by brute force. Larger ones
-are split again by the same rule, level by level; what no longer parts after
-DEPTH levels (mutually similar sets) is compared in pairs of chunks of SMALL
-classes, so no bucket ever meets in one task. RUNS gives the recall: a pair at
+Buckets (nodes) of more than LARGE classes are split again by the same rule,
+level by level up to DEPTH. All others, and what no longer parts (mutually
+similar sets), are compared by brute force, in pairs of chunks of SMALL classes,
+so no bucket ever meets in one task. RUNS gives the recall: a pair at
 the threshold meets at depth two with probability 0.47 or more in a run, so 16
 runs miss it with probability below 1e-4 (above the threshold far less).
 
@@ -36,8 +36,8 @@ WORDS = 5
 THRESHOLD = (4, 5)      # 0.8, as a fraction
 RUNS = 16
 SMALL = 256
+LARGE = 2048
 DEPTH = 6
-REPEATS = 2             # independent splits of a large bucket
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,7 +119,7 @@ def _split(depth: int):
                 for cls, rep, n, node, tokens in zip(*(piece.column(c).to_pylist() for c in ("cls", "rep", "n", "node")), sets):
                     if xxhash.xxh3_128_digest(tokens.tobytes()) != cls:
                         continue        # another row with the same id
-                    at = mix(np.array([node], np.int64).view(np.uint64) + np.arange(1, REPEATS + 1, dtype=np.uint64) * np.uint64(depth))
+                    at = mix(np.array([node], np.int64).view(np.uint64) + np.uint64(depth))
                     for child in set(choose(at, tokens).view(np.int64).tolist()):
                         for k, v in zip(out, (cls, rep, n, child)):
                             out[k].append(v)
@@ -248,7 +248,7 @@ MEMBER = "node long, lo int, hi int, side int, cls binary, rep long, n int, size
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS,
-                 small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+                 small: int = SMALL, large: int = LARGE) -> tuple[DataFrame, DataFrame]:
     """(members, edges). members: one row per document with doc_id, class_id
     (smallest id with the same shingle set), class_size, n_links (other classes
     of similarity >= 0.8). edges: (a, b) class ids, whose connected components
@@ -271,12 +271,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     while True:
         sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         level = written(spark, level.join(sizes, "node"), f"jaccard_level{depth}")
-        big = level.where(F.col("size") > small)
+        big = level.where(F.col("size") > large)
         n_big = big.count()
         if not n_big or depth == DEPTH:
             done.append(level)
             break
-        done.append(level.where(F.col("size") <= small))
+        done.append(level.where(F.col("size") <= large))
         depth += 1
         texts = big.drop("size").join(base, F.col("rep") == base["doc_id"]).select("cls", "rep", "n", "node", "text")
         level = texts.mapInArrow(_split(depth), "cls binary, rep long, n int, node long").distinct()

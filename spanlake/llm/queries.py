@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanlake.llm import decontamination, exact_dedup, jaccard_join, packing, secrets, suffix_dedup, token_counts, token_output, toxicity
+from spanlake.llm import decontamination, exact_dedup, html_text, jaccard_join, packing, secrets, suffix_dedup, token_counts, token_output, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_html_text": html_text.op9_html_text,
     "op10_packing": packing.op10_packing,
 }
 

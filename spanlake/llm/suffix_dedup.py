@@ -226,7 +226,8 @@ def _sorted_tuples(df: DataFrame) -> DataFrame:
 def _hot_heads(texts: DataFrame, sample_docs: int) -> np.ndarray:
     """Heads in more than one of HOT_SHARE sampled documents: at most
     HOT_SHARE times a document's number of sampled suffixes."""
-    sample = texts.orderBy(F.xxhash64("row")).limit(sample_docs).select("row", "doc_id", "text")
+    chosen = texts.select("row").orderBy(F.xxhash64("row")).limit(sample_docs)
+    sample = texts.select("row", "doc_id", "text").join(F.broadcast(chosen), "row", "left_semi")
 
     def heads(batches):
         for batch in batches:
@@ -234,8 +235,8 @@ def _hot_heads(texts: DataFrame, sample_docs: int) -> np.ndarray:
                 found = [np.unique(Text(d).samples()[3]) for _, _, d in _texts(piece) if len(d) >= WINDOW]
                 yield pa.RecordBatch.from_pydict({"head": (np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64)})
 
-    n = sample.select("row").count()
-    rows = (sample.repartition(16).mapInArrow(heads, "head long").groupBy("head").count()
+    n = chosen.count()
+    rows = (sample.mapInArrow(heads, "head long").groupBy("head").count()
             .where(F.col("count") > max(20, n // HOT_SHARE)).collect())
     return np.array([r["head"] for r in rows], np.int64).view(np.uint64)
 
