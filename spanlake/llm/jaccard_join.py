@@ -35,7 +35,7 @@ from spanlake.llm.wordhash import Words, mix
 WORDS = 5
 THRESHOLD = (4, 5)      # 0.8, as a fraction
 RUNS = 16
-SMALL = 256
+SMALL = 1024
 LARGE = 2048
 DEPTH = 6
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -148,14 +148,14 @@ def _groups(batches, key: list[str]):
         yield held, np.array([0]), np.array([held.num_rows])
 
 
-def _owned(own: list[list[tuple[int, int]]], here: tuple[int, int], n: np.ndarray, side: np.ndarray) -> np.ndarray:
+def _owned(own: list[list[tuple[int, int]]], here: tuple[int, int], n: np.ndarray, side: np.ndarray, cross: bool) -> np.ndarray:
     """Pairs (upper triangle) to compare in this bucket: sizes allow the
     threshold, no larger common bucket, and the pair spans the two chunks."""
     s = len(own)
     num, den = THRESHOLD
     mask = np.triu(np.ones((s, s), bool), 1)
     mask &= den * np.minimum(n[:, None], n[None, :]) >= num * np.maximum(n[:, None], n[None, :])
-    if len(np.unique(side)) > 1:
+    if cross:
         mask &= side[:, None] != side[None, :]
     if not mask.any():
         return mask
@@ -173,7 +173,8 @@ def _members(table, a, b):
     part = table.slice(a, b - a)
     own = [list(zip(x, y)) for x, y in zip(part.column("own_size").to_pylist(), part.column("own_node").to_pylist())]
     here = (part.column("size")[0].as_py(), part.column("node")[0].as_py())
-    return part, own, here, part.column("n").to_numpy().astype(np.int64), part.column("side").to_numpy()
+    cross = part.column("lo")[0] != part.column("hi")[0]       # two chunks: only pairs across them
+    return part, own, here, part.column("n").to_numpy().astype(np.int64), part.column("side").to_numpy(), cross
 
 
 def _needed(batches):
@@ -183,10 +184,10 @@ def _needed(batches):
         for a, b in zip(starts, ends):
             if b - a < 2:
                 continue
-            _, own, here, n, side = _members(table, a, b)
+            _, own, here, n, side, cross = _members(table, a, b)
             if set.intersection(*(set(x for x in nodes if x > here) for nodes in own)):
                 continue        # all of them meet in a larger bucket
-            mask = _owned(own, here, n, side)
+            mask = _owned(own, here, n, side, cross)
             keep += (a + np.flatnonzero(mask.any(0) | mask.any(1))).tolist()
         yield from table.take(pa.array(keep, pa.int64())).to_batches()
 
@@ -198,7 +199,7 @@ def _compare(batches):
     for table, starts, ends in _groups(batches, ["node", "lo", "hi"]):
         out_cls, out_rep, out_links, out_to = [], [], [], []
         for a, b in zip(starts, ends):
-            part, own, here, n, side = _members(table, a, b)
+            part, own, here, n, side, cross = _members(table, a, b)
             sets = shingle_sets(part.column("text"))
             keys = part.column("cls").to_pylist()
             first: dict[bytes, int] = {}
@@ -208,7 +209,7 @@ def _compare(batches):
             at = sorted(first.values())
             if len(at) < 2:
                 continue
-            mask = _owned([own[i] for i in at], here, n[at], side[at])
+            mask = _owned([own[i] for i in at], here, n[at], side[at], cross)
             tokens, who = np.concatenate([sets[i] for i in at]), np.repeat(np.arange(len(at)), n[at])
             order = np.argsort(tokens, kind="stable")
             tokens, who = tokens[order], who[order]
