@@ -25,7 +25,7 @@ from spanlake.llm.tokens import text_slices
 from spanlake.llm.wordhash import Words
 
 WINDOW = 10
-SHARD_WORDS = 1 << 21       # a shard closes after the document that reaches this many words
+SHARD_WORDS = 1 << 20       # a shard closes after the document that reaches this many words
 BLOCK_WORDS = 1 << 20       # benchmark words searched per pass
 INDEX = "part int, shard int, doc_ids array<long>, doc_starts binary, terms binary, term_starts binary, positions binary"
 FOUND = "part int, shard int, doc_no int, doc_id long, n_words long, hits array<int>, items array<long>"

@@ -18,8 +18,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_PIECES = 1_000_000   # pieces a worker remembers; it starts over beyond (memory only, no effect on results)
-SLICE_BYTES = 4 << 20      # text encoded at a time
+CACHE_PIECES = 400_000   # pieces a worker remembers; it starts over beyond (memory only, no effect on results)
+SLICE_BYTES = 2 << 20      # text encoded at a time
 
 
 def default_vocabulary() -> str:
@@ -92,6 +92,7 @@ class Encoder:
             parts = [whole.get(i, ids[offsets[i]:offsets[i + 1]]) for i in range(len(texts))]
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             ids = np.concatenate(parts) if parts else ids
+        pa.default_memory_pool().release_unused()
         return ids, offsets
 
 
