@@ -28,6 +28,7 @@ WINDOW = 10
 SHARD_WORDS = 1 << 20       # a shard closes after the document that reaches this many words
 BLOCK_WORDS = 1 << 20       # benchmark words searched per pass
 INDEX = "part int, shard int, doc_ids array<long>, doc_starts binary, terms binary, term_starts binary, positions binary"
+MERGED = "doc_id long, n_words long, n_hit long, items array<long>"
 FOUND = "part int, shard int, doc_no int, doc_id long, n_words long, hits array<int>, items array<long>"
 
 
@@ -129,8 +130,9 @@ def windows_of(items: list[tuple[int, np.ndarray]], window: int) -> list[tuple[i
             for k in range(max(1, len(words) - window + 1))]
 
 
-def _search(windows: list[tuple[int, np.ndarray]]):
-    """Per document of each shard: merged hit ranges and the items found."""
+def _search(windows: list[tuple[int, np.ndarray]], only: bool):
+    """Per document of each shard: merged hit ranges and the items found, or,
+    for the only block, their final form (one Python worker per task, not two)."""
 
     def run(batches):
         flat = np.concatenate([w for _, w in windows]) if windows else np.zeros(0, np.uint64)
@@ -165,6 +167,12 @@ def _search(windows: list[tuple[int, np.ndarray]]):
                             hits[d] += [int(cut[0]), int(cut[1])]
                 for d, i in found.tolist():
                     items[d].append(i)
+                if only:
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": pa.array(shard.doc_ids, pa.int64()), "n_words": pa.array(np.diff(shard.doc_starts)),
+                        "n_hit": pa.array([sum(h[1::2]) - sum(h[::2]) for h in hits], pa.int64()),
+                        "items": pa.array([sorted(i) for i in items], pa.list_(pa.int64()))})
+                    continue
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([shard.part] * n, pa.int32()), "shard": pa.array([shard.shard] * n, pa.int32()),
                     "doc_no": pa.array(range(n), pa.int32()), "doc_id": pa.array(shard.doc_ids, pa.int64()),
@@ -218,18 +226,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     spark = docs.sparkSession
     index = written(spark, build_index(docs, id_col, text_col), "positional_index")
     items = id_text(benchmark, item_col, item_text_col)
-    found, blocks = None, 0
-    for block in _blocks(items, block_words):
-        windows = windows_of([(-1 if i is None else i, words) for i, words in block], window)
-        rows = index.mapInArrow(_search(windows), FOUND)
-        found = rows if found is None else found.unionByName(rows)
-        blocks += 1
-    if found is None:
-        found = index.mapInArrow(_search([]), FOUND)
-    if blocks > 1:
+    def windows(block):
+        return windows_of([(-1 if i is None else i, words) for i, words in block], window)
+
+    blocks = _blocks(items, block_words)
+    block, later = next(blocks, []), next(blocks, None)
+    if later is None:
+        merged = index.mapInArrow(_search(windows(block), True), MERGED)
+    else:
+        found = index.mapInArrow(_search(windows(block), False), FOUND)
+        while later is not None:
+            found = found.unionByName(index.mapInArrow(_search(windows(later), False), FOUND))
+            later = next(blocks, None)
         found = found.groupBy("part", "shard", "doc_no", "doc_id", "n_words").agg(
             F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
-    merged = found.mapInArrow(_merge, "doc_id long, n_words long, n_hit long, items array<long>")
+        merged = found.mapInArrow(_merge, MERGED)
     return merged.withColumn("items", F.filter("items", lambda i: i != -1))
 
 
