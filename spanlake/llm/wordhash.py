@@ -9,36 +9,40 @@ byte values, modulo 2^64, read from prefix sums, then mixed.
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 
 SEED = 20240607
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_STATE: dict = {}
 
 
 def _tables(n: int):
-    """(byte map, byte values, powers of the base, inverse powers) for n bytes."""
-    if "map" not in _STATE:
+    """(byte map, byte values, powers of the base, inverse powers) for n bytes.
+    A worker keeps one copy for all its tasks."""
+    state = sys.modules.setdefault("_spanlake_wordhash", types.ModuleType("_spanlake_wordhash")).__dict__
+    if "map" not in state:
         low = np.zeros(256, np.uint8)
         for c in [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]:
             low[c] = c
         low[0x41:0x5B] = np.arange(0x61, 0x7B)
-        _STATE["map"] = low
-        _STATE["values"] = np.random.default_rng(SEED).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        _STATE["inverse"] = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        _STATE["n"] = 0
-    if _STATE["n"] < n:
+        state["map"] = low
+        state["values"] = np.random.default_rng(SEED).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        state["inverse"] = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        state["n"] = 0
+    if state["n"] < n:
         size = max(n, 1 << 20)
         with np.errstate(over="ignore"):
             ones = np.full(size, _BASE)
             ones[0] = 1
-            _STATE["powers"] = np.multiply.accumulate(ones)
-            ones = np.full(size, _STATE["inverse"])
+            state["powers"] = np.multiply.accumulate(ones)
+            ones = np.full(size, state["inverse"])
             ones[0] = 1
-            _STATE["inverses"] = np.multiply.accumulate(ones)
-        _STATE["n"] = size
-    return _STATE["map"], _STATE["values"], _STATE["powers"], _STATE["inverses"]
+            state["inverses"] = np.multiply.accumulate(ones)
+        state["n"] = size
+    return state["map"], state["values"], state["powers"], state["inverses"]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
