@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlake.llm.common import id_text, read_table, shuffle_partitions, written
-from spanlake.llm.tokens import append_id, default_vocabulary, encoder, text_slices
+from spanlake.llm.tokens import CACHE_PIECES, ENCODE_BYTES, append_id, default_vocabulary, encoder, text_slices
 
 WINDOW = 4096
 END_ID = 2
@@ -36,11 +36,11 @@ TRIPLE_STEP = 64       # second lengths tried in combinations of three, for each
 ROUNDS = 400
 
 
-def _pieces(path: str, end_id: int, window: int):
+def _pieces(path: str, end_id: int, window: int, pieces: int, slice_bytes: int):
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, pieces)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", slice_bytes):
                 ids, offsets = append_id(*enc.encode(part.column("text")), end_id)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 sizes = np.diff(offsets)
@@ -177,7 +177,7 @@ def plan(histogram: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, in
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, end_id: int = END_ID,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", cache_pieces: int = CACHE_PIECES, slice_bytes: int = ENCODE_BYTES) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.
 
@@ -185,7 +185,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, e
     ids are documents of their own; ties among equal lengths go by hash and id;
     an empty table gives an empty result; other columns are ignored."""
     spark = docs.sparkSession
-    rows = id_text(docs, id_col, text_col).mapInArrow(_pieces(vocabulary or default_vocabulary(), end_id, window), PIECE)
+    rows = id_text(docs, id_col, text_col).mapInArrow(_pieces(vocabulary or default_vocabulary(), end_id, window, cache_pieces, slice_bytes), PIECE)
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(4 * shuffle_partitions(spark))).cast("int"))
     rows = written(spark, rows, "packing_pieces")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.llm.common import id_text, read_table, work_dir
-from spanlake.llm.tokens import default_vocabulary, encoder, text_slices
+from spanlake.llm.tokens import ENCODE_BYTES, default_vocabulary, encoder, text_slices
 
 END_ID = 124            # the byte 0xC0 in word_bpe_49k; its two bytes are "|\0"
 MARK, MARK_BITS, MARKS = 49_408, 13, 5
@@ -33,7 +33,7 @@ def _flat(path: str, end_id: int):
     def run(batches):
         enc = encoder(path)
         for batch in batches:
-            for piece in text_slices(batch, "text"):
+            for piece in text_slices(batch, "text", ENCODE_BYTES):
                 ids, offsets = enc.encode(piece.column("text"))
                 if len(ids) and int(ids.max()) >= MARK:
                     raise ValueError("the vocabulary reaches into the marks")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlake.llm.common import id_text, read_table, work_dir
-from spanlake.llm.tokens import append_id, default_vocabulary, encoder, text_slices
+from spanlake.llm.tokens import ENCODE_BYTES, append_id, default_vocabulary, encoder, text_slices
 
 END_ID = 1
 SEGMENT_IDS = 1 << 19   # a segment closes after the document that reaches this many ids
@@ -113,7 +113,7 @@ def _segments(path: str, end_id: int):
             return row
 
         for batch in batches:
-            for piece in text_slices(batch, "text"):
+            for piece in text_slices(batch, "text", ENCODE_BYTES):
                 ids, offsets = append_id(*enc.encode(piece.column("text")), end_id)
                 at = 0
                 ids_of = piece.column("doc_id").to_pylist()

@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_PIECES = 1_000_000   # pieces a worker remembers; it starts over beyond (memory only, no effect on results)
+ENCODE_BYTES = 4 << 20     # the same for the encoder, where larger slices share more pieces
 SLICE_BYTES = 2 << 20      # text encoded at a time
 
 
@@ -35,6 +36,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "0"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        self.most = CACHE_PIECES
         self.reset()
 
     def reset(self) -> None:
@@ -66,7 +68,7 @@ class Encoder:
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another as uint32, offsets of each text)."""
-        if len(self.rows) > CACHE_PIECES:
+        if len(self.rows) > self.most:
             self.reset()
         odd = np.flatnonzero(pc.match_substring_regex(texts, "[\\x1c-\\x1f]").to_numpy(zero_copy_only=False))
         whole = {int(i): self._whole(texts[int(i)].as_py()) for i in odd}
@@ -92,16 +94,18 @@ class Encoder:
             parts = [whole.get(i, ids[offsets[i]:offsets[i + 1]]) for i in range(len(texts))]
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             ids = np.concatenate(parts) if parts else ids
-        pa.default_memory_pool().release_unused()
+        if self.most < CACHE_PIECES:
+            pa.default_memory_pool().release_unused()      # asked to be lean
         return ids, offsets
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder, kept between tasks in a module of its own."""
+def encoder(path: str, most: int = CACHE_PIECES) -> Encoder:
+    """The worker's encoder, remembering `most` pieces, kept between tasks in a module of its own."""
     home = sys.modules.setdefault("_spanlake_encoders", types.ModuleType("_spanlake_encoders"))
     known = home.__dict__.setdefault("known", {})
     if path not in known:
         known[path] = Encoder(path)
+    known[path].most = most
     return known[path]
 
 
