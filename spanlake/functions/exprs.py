@@ -142,13 +142,17 @@ def map_text(m) -> Column:
     return F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
 
 
+# Fixed values that must equal the reference's: the characters str.strip() takes as white space.
+WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def lstrip_ws(text) -> Column:
-    """Python str.lstrip(): strips all leading white space, not just blanks."""
-    return F.regexp_replace(col_or_name(text), r"^\s+", "")
+    """str.lstrip(): all leading Unicode white space."""
+    return F.regexp_replace(col_or_name(text), f"^{WHITE_SPACE}+", "")
 
 
 def strip_ws(text) -> Column:
-    return F.regexp_replace(col_or_name(text), r"^\s+|\s+$", "")
+    return F.regexp_replace(col_or_name(text), f"^{WHITE_SPACE}+|{WHITE_SPACE}+\\z", "")
 
 
 def skill_invocation_name(text) -> Column:

@@ -40,14 +40,13 @@ def filter_spans(spans: DataFrame, span_names=None, attributes: dict | None = No
 
 
 def parse_attribute_pairs(pairs: list[str]) -> dict[str, str]:
-    """X5 for a command line: 'k=v' split on the first '='; a pair without '=' is an error."""
-    out = {}
-    for p in pairs:
-        if "=" not in p:
-            raise ValueError(f"Invalid attribute format '{p}', expected key=value")
-        k, v = p.split("=", 1)
-        out[k] = v
-    return out
+    """X5 for a command line: key before the first '=', value after it (a later
+    pair wins); all pairs without '=' are named in one error."""
+    parts = [p.partition("=") for p in pairs]
+    broken = [key for key, sign, _ in parts if not sign]
+    if broken:
+        raise ValueError(f"attribute criteria without '=': {', '.join(map(repr, broken))}")
+    return {key: value for key, _, value in parts}
 
 
 def split_pairs(df: DataFrame, pair_col: str = "pair") -> tuple[DataFrame, DataFrame]:
@@ -177,7 +176,7 @@ def run_filter_job(spans: DataFrame, requests: DataFrame, span_names=None, attri
     """T5: the job entry (command-line shape) needs at least one criterion."""
     attributes = parse_attribute_pairs(attribute_pairs) if attribute_pairs else None
     if not span_names and not attributes:
-        raise ValueError("Provide at least one of span names or attributes.")
+        raise ValueError("a filter job without criteria would copy whole traces: give span_names or attribute_pairs")
     return filter_and_create_traces(spans, requests, span_names, attributes, experiment_id)
 
 

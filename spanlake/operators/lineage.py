@@ -89,14 +89,19 @@ def _cut(df: DataFrame, workdir: str | None, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def trace_tree(spans: DataFrame, max_rounds: int = 64, workdir: str | None = None) -> DataFrame:
+def trace_tree(spans: DataFrame, workdir: str | None = None) -> DataFrame:
     """Depth, top span and name path of every span, by pointer jumping.
 
     A span whose parent is NULL or not in its trace is a top (depth 0). Each
     round every unfinished span jumps to its ancestor's ancestor, so a chain of
     depth d finishes in about log2(d) rounds; each round is one join keyed by
     (trace_id, span id) and its result is checkpointed to cut the lineage.
-    Spans on a parent cycle never reach a top: depth, top and path stay NULL.
+    Spans that hang off a parent cycle never reach a top: depth, top and path
+    stay NULL. A span id delivered several times in a trace counts once (the
+    row with the smallest parent, then name, NULL last), so a round never makes
+    more rows than it reads. While any span can still reach a top, the pending
+    one nearest to it does so in the next round: a round that finishes none
+    proves that the rest hangs off cycles, and the loop needs no cap.
     Returns trace_id, span_id, depth, root_span_id, path ('/'-joined names).
     Round states are cut with reliable checkpoint() (into spark.checkpoint.dir);
     with `workdir` ("auto" = a fresh folder in the shared scratch area) they are
@@ -105,7 +110,10 @@ def trace_tree(spans: DataFrame, max_rounds: int = 64, workdir: str | None = Non
     if workdir == "auto":
         from spanlake.session import scratch_dir
         workdir = scratch_dir(spans.sparkSession, "tree", unique=True)
-    nodes = spans.select("trace_id", "span_id", "parent_span_id", "span_name")
+    first = F.min(F.struct(F.col("parent_span_id").isNull().alias("no_p"), F.col("parent_span_id").alias("p"),
+                           F.col("span_name").isNull().alias("no_n"), F.col("span_name").alias("n")))
+    nodes = (spans.groupBy("trace_id", "span_id").agg(first.alias("f"))
+             .select("trace_id", "span_id", F.col("f.p").alias("parent_span_id"), F.col("f.n").alias("span_name")))
     known = spans.select(F.col("trace_id").alias("k_trace"), F.col("span_id").alias("k_id")).distinct()
     n = nodes.join(known, (nodes.trace_id == known.k_trace) & (nodes.parent_span_id == known.k_id), "left")
     is_top = F.col("k_id").isNull()
@@ -121,7 +129,7 @@ def trace_tree(spans: DataFrame, max_rounds: int = 64, workdir: str | None = Non
     pending = state.filter(F.col("anc").isNotNull())
     remaining = pending.count()
     rounds = 0
-    while remaining and rounds < max_rounds:
+    while remaining:
         rounds += 1
         a = (done.unionByName(pending)
              .select(F.col("trace_id").alias("a_trace"), F.col("span_id").alias("a_id"),

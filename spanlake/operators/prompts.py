@@ -8,14 +8,13 @@ scanned by a single task.
 from __future__ import annotations
 
 import hashlib
-import os
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanlake.functions.exprs import commit_message, sha_or_none
+from spanlake.functions.exprs import commit_message, sha_or_none, strip_ws
 from spanlake.functions.scans import change_versions
 from spanlake.schema import SNAPSHOT
 
@@ -85,41 +84,34 @@ def skills_hash(parts: DataFrame, groups: DataFrame | None = None, group: str =
 
 # ---- S7: skill files ------------------------------------------------------------------
 
-def unique_roots(roots: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """Keep the first (label, path) per absolute path (W5 on a config list)."""
-    seen, out = set(), []
-    for label, path in roots:
-        a = os.path.abspath(path)
-        if a not in seen:
-            seen.add(a)
-            out.append((label, a))
-    return out
+def qualified_path(spark: SparkSession, path: str):
+    """(file system, Path with scheme and authority) of any path Spark can read."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
 
 
 def scan_skill_files(spark: SparkSession, roots: list[tuple[str, str]]) -> DataFrame:
     """Every SKILL.md under the roots -> (key = label/relpath, content).
 
-    Recursive listing and reading are distributed (binaryFile source); files
-    that are not valid UTF-8 are skipped, and line ends are normalised to
-    '\\n' as a text-mode read would."""
-    frames = []
-    for label, root in unique_roots(roots):
-        if not os.path.isdir(root):
-            continue
-        f = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", SKILL_FILE).load(root))
-        prefix = "file:" + root.rstrip("/") + "/"
-        rel = F.when(F.col("path").startswith(prefix), F.substring(F.col("path"), len(prefix) + 1, 1 << 30)) \
-               .otherwise(F.regexp_extract("path", r"^.*?" + root.rstrip("/").replace(".", r"\.") + "/(.*)$", 1))
-        text = F.col("content").cast("string")
-        frames.append(f.filter(F.is_valid_utf8(text))
-                      .select(F.concat(F.lit(label + "/"), rel).alias("key"),
-                              F.regexp_replace(text, "\r\n?", "\n").alias("content")))
-    if not frames:
-        return spark.createDataFrame([], "key string, content string")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    Roots are (label, path) on any file system; a path named twice (W5) counts
+    under its first label, one that does not exist has no files. Listing and
+    reading are distributed (binaryFile source); files that are not valid UTF-8
+    are skipped, and line ends are normalised to '\\n' as a text-mode read would."""
+    labels: dict[str, str] = {}
+    for label, root in roots:
+        fs, path = qualified_path(spark, root)
+        if fs.exists(path):
+            labels.setdefault(path.toString().rstrip("/"), label)
+    out = spark.createDataFrame([], "key string, content string")
+    text = F.col("content").cast("string")
+    for base, label in labels.items():
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", SKILL_FILE).load(base))
+        rel = F.substring("path", len(base) + 2, 1 << 30)
+        out = out.unionByName(files.filter(F.is_valid_utf8(text)).select(
+            F.concat(F.lit(label + "/"), rel).alias("key"), F.regexp_replace(text, "\r\n?", "\n").alias("content")))
     return out
 
 
@@ -189,9 +181,9 @@ def normalise_snapshot(raw: DataFrame) -> DataFrame:
     `head` = `git rev-parse HEAD` output (NULL when not a repo), `porcelain` =
     `git status --porcelain` output. Not a repo -> ('none', 'none'); else the
     stripped sha and 'true' iff porcelain has non-blank text."""
-    head = F.regexp_replace(F.col("head"), r"^\s+|\s+$", "")
+    head = strip_ws("head")
     repo = F.coalesce(head != "", F.lit(False))
-    dirty = F.coalesce(F.regexp_replace(F.col("porcelain"), r"^\s+|\s+$", "") != "", F.lit(False))
+    dirty = F.coalesce(strip_ws("porcelain") != "", F.lit(False))
     return raw.select(
         "*",
         F.when(repo, head).otherwise(F.lit("none")).alias("git_sha"),

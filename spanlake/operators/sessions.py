@@ -8,10 +8,10 @@ map-side instead of being gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlake.functions.exprs import iso_utc, prompt_uri, skill_invocation_name
+from spanlake.functions.exprs import iso_utc, prompt_uri, skill_invocation_name, strip_ws
 
 # Fixed values that must equal the reference's.
 SKIP_SKILLS = ("feedback-trace", "tag-trace")
@@ -46,7 +46,7 @@ def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.jsonl
         from_file.alias("_file_session"),
         F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                  F.monotonically_increasing_id().alias("i")).alias("ord"),
-    ).filter(F.regexp_replace("value", r"^\s+|\s+$", "") != "")
+    ).filter(strip_ws("value") != "")
     df = df.withColumn("v", F.try_parse_json("value"))
     session = F.coalesce(F.try_variant_get(F.col("v"), "$.sessionId", "string"), F.col("_file_session"))
     tool = F.try_variant_get(F.col("v"), "$.toolUseResult", "variant")
@@ -175,21 +175,50 @@ def first_stop_after_snapshot(traces: DataFrame, snapshots: DataFrame, bucket_ms
         F.when(hit, F.col("next_ts")).alias("trace_start_ms"))
 
 
+def snapshot_at_stop(traces: DataFrame, snapshots: DataFrame, bucket_ms: int = 86_400_000) -> DataFrame:
+    """The snapshot pending at each Stop: the latest of its session taken at or
+    before it. A running maximum over the merged events, per (session, bucket)
+    plus the largest snapshot of the session's earlier buckets, so a long
+    session is split over time buckets. Stops without one give no row.
+    Returns session_id, trace_id, snapshot_ms, trace_start_ms."""
+    snaps = snapshots.select("session_id", F.col("snapshot_ms").alias("ts"), F.col("snapshot_ms").alias("snap"),
+                             F.lit(None).cast("string").alias("trace_id"))
+    stops = traces.filter(F.col("session_id").isNotNull()).select(
+        "session_id", F.col("timestamp_ms").alias("ts"), F.lit(None).cast("long").alias("snap"), "trace_id")
+    ev = snaps.unionByName(stops).withColumn("_b", F.floor(F.col("ts") / F.lit(bucket_ms)))
+    inside = Window.partitionBy("session_id", "_b").orderBy("ts").rangeBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("session_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (ev.groupBy("session_id", "_b").agg(F.max("snap").alias("_m"))
+               .select("session_id", "_b", F.max("_m").over(before).alias("_carried")))
+    return (ev.withColumn("_in", F.max("snap").over(inside)).join(carried, ["session_id", "_b"])
+            .filter(F.col("snap").isNull())
+            .select("session_id", "trace_id", F.coalesce("_in", "_carried").alias("snapshot_ms"),
+                    F.col("ts").alias("trace_start_ms"))
+            .filter(F.col("snapshot_ms").isNotNull()))
+
+
 # ---- E2 / E3 / J5: enrichment ------------------------------------------------------
 
-def enrich_latest_traces(traces: DataFrame, snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """E2+E3 (J4, J5): the session's latest trace gets the snapshot's five
+def enrich_traces(traces: DataFrame, snapshots: DataFrame,
+                  skipped: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """E2+E3 (E5, J5): the trace of the first Stop after a snapshot gets its five
     cc_env.* values and, when name and version are set, the prompt URI.
 
-    Returns (enriched, unmatched snapshots). Snapshots need session_id, git_sha,
-    git_dirty, claude_md_hash, skills_hash, snapshot_ms, prompt_name, prompt_version.
-    A trace without a snapshot is untouched (not in `enriched`).
+    `skipped` (trace_id) are the traces whose Stop E1 skips: they are neither
+    enriched nor consume a snapshot. Returns (enriched, unmatched snapshots:
+    replaced by a newer one, or without a Stop after them). Snapshots need
+    session_id, git_sha, git_dirty, claude_md_hash, skills_hash, snapshot_ms,
+    prompt_name, prompt_version; of several rows of one session and millisecond
+    the largest is the last. A trace without a snapshot is not in `enriched`.
     """
-    latest = latest_trace_per_session(traces)
-    snap = consume_snapshots(snapshots)
-    j = latest.join(snap, "session_id", "inner")
+    stops = traces if skipped is None else traces.join(skipped.select("trace_id"), "trace_id", "left_anti")
+    keys = ["session_id", "snapshot_ms"]
+    cols = [c for c in snapshots.columns if c not in keys]
+    snap = snapshots.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("s")).select(*keys, "s.*")
+    used = first_stop_after_snapshot(stops, snap.select(*keys)).select(*keys, "trace_id")
+    j = snap.join(used, keys, "left")
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))  # noqa: E731  (X13)
-    enriched = j.select(
+    enriched = j.filter(F.col("trace_id").isNotNull()).select(
         "session_id", "trace_id",
         none("git_sha").alias("git_sha"), none("git_dirty").alias("git_dirty"),
         none("claude_md_hash").alias("claude_md_hash"), none("skills_hash").alias("skills_hash"),
@@ -197,8 +226,7 @@ def enrich_latest_traces(traces: DataFrame, snapshots: DataFrame) -> tuple[DataF
         "prompt_name", "prompt_version",
         prompt_uri("prompt_name", "prompt_version").alias("prompt_uri"),
     )
-    unmatched = snap.join(latest.select("session_id"), "session_id", "left_anti")
-    return enriched, unmatched
+    return enriched, j.filter(F.col("trace_id").isNull()).select(*snapshots.columns)
 
 
 def enrichment_tag_rows(enriched: DataFrame, seq: F.Column | None = None) -> DataFrame:

@@ -75,43 +75,53 @@ def e7(spark, sf):
 
 
 def _enrich(spark, sf):
+    """E1 -> E5 -> E2/E3. A transcript is as of its session's latest Stop, so
+    that is the Stop which a skip decision takes out."""
     env = _versions(spark, sf).withColumnRenamed("instructions_hash", "claude_md_hash")
-    return SS.enrich_latest_traces(SS.session_traces(spans(spark, sf)), env)
-
-
-ENRICH_CTE = LATEST_CTE + "," + VERSIONS_CTE + """,
-enriched AS (SELECT l.session_id, l.trace_id, coalesce(v.git_sha, 'none') AS git_sha,
+    traces = SS.session_traces(spans(spark, sf))
+    skips = SS.skip_decisions(table(spark, sf, "transcripts")).filter("skipped").select("session_id")
+    skipped = SS.latest_trace_per_session(traces).join(skips, "session_id").select("trace_id")
+    return SS.enrich_traces(traces, env, skipped)
+
+
+ENRICH_CTE = LATEST_CTE + "," + LAST_CTE + "," + VERSIONS_CTE + """,
+stops AS (SELECT s.* FROM summary s WHERE s.session_id IS NOT NULL AND s.trace_id NOT IN
+  (SELECT l.trace_id FROM latest l JOIN nm ON nm.session_id = l.session_id
+   WHERE nm.skill_name IN ('feedback-trace', 'tag-trace'))),
+used AS (SELECT v.*, (SELECT arg_min(s.trace_id, (s.timestamp_ms, s.trace_id)) FROM stops s
+   WHERE s.session_id = v.session_id AND s.timestamp_ms >= v.snapshot_ms
+    AND NOT EXISTS (SELECT 1 FROM env_snapshots n WHERE n.session_id = v.session_id
+     AND n.snapshot_ms > v.snapshot_ms AND n.snapshot_ms <= s.timestamp_ms)) AS trace_id FROM versions v),
+enriched AS (SELECT v.session_id, v.trace_id, coalesce(v.git_sha, 'none') AS git_sha,
   coalesce(v.git_dirty, 'none') AS git_dirty, coalesce(v.instructions_hash, 'none') AS claude_md_hash,
   coalesce(v.skills_hash, 'none') AS skills_hash,
   strftime(make_timestamp(v.snapshot_ms * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS snapshot_timestamp,
   v.prompt_name, v.prompt_version,
   CASE WHEN v.prompt_name IS NOT NULL AND v.prompt_name <> '' AND v.prompt_version IS NOT NULL
        AND v.prompt_version <> 0 THEN 'prompts:/' || v.prompt_name || '/' || v.prompt_version END AS prompt_uri
-  FROM latest l JOIN versions v ON l.session_id = v.session_id)"""
+  FROM used v WHERE v.trace_id IS NOT NULL)"""
 
 
 @query("e2_env_enrichment", with_tables("""
 SELECT session_id, trace_id, git_sha, git_dirty, claude_md_hash, skills_hash, snapshot_timestamp FROM enriched""",
-    "spans", "env_snapshots", extra=ENRICH_CTE))
+    "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def e2(spark, sf):
     enriched, _ = _enrich(spark, sf)
     return enriched.select("session_id", "trace_id", "git_sha", "git_dirty", "claude_md_hash", "skills_hash",
                            "snapshot_timestamp")
 
 
-@query("e3_prompt_uri", with_tables("SELECT trace_id, prompt_uri FROM enriched", "spans", "env_snapshots",
-                                    extra=ENRICH_CTE))
+@query("e3_prompt_uri", with_tables("SELECT trace_id, prompt_uri FROM enriched", "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def e3(spark, sf):
     enriched, _ = _enrich(spark, sf)
     return enriched.select("trace_id", "prompt_uri")
 
 
-@query("j5_unmatched_snapshots", with_tables("""
-SELECT session_id FROM env_snapshots e WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.session_id = e.session_id)""",
-    "spans", "env_snapshots", extra=LATEST_CTE))
+@query("j5_unmatched_snapshots", with_tables("SELECT session_id, snapshot_ms FROM used WHERE trace_id IS NULL",
+                                             "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def j5(spark, sf):
     _, unmatched = _enrich(spark, sf)
-    return unmatched.select("session_id")
+    return unmatched.select("session_id", "snapshot_ms")
 
 
 COMPANION_SQL = """
@@ -120,7 +130,7 @@ SELECT 'tr-env-' || substr(sha256('env_snapshot|' || trace_id), 1, 32) AS compan
 FROM enriched WHERE prompt_uri IS NOT NULL"""
 
 
-@query("e4_companion_traces", with_tables(COMPANION_SQL, "spans", "env_snapshots", extra=ENRICH_CTE))
+@query("e4_companion_traces", with_tables(COMPANION_SQL, "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def e4(spark, sf):
     enriched, _ = _enrich(spark, sf)
     return SS.companion_traces(enriched)
@@ -129,7 +139,7 @@ def e4(spark, sf):
 @query("j6_companion_crossref", with_tables(f"""
 SELECT c.session_trace_id AS trace_id, c.companion_trace_id AS snapshot_trace_id, e.session_id
 FROM ({COMPANION_SQL}) c JOIN enriched e ON e.trace_id = c.session_trace_id""",
-    "spans", "env_snapshots", extra=ENRICH_CTE))
+    "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def j6(spark, sf):
     enriched, _ = _enrich(spark, sf)
     comp = SS.companion_traces(enriched)
@@ -169,7 +179,7 @@ def a9(spark, sf):
 
 @query("e8_traces_by_commit", with_tables("""
 SELECT git_sha, claude_md_hash, count(*) AS n_traces FROM enriched WHERE git_sha <> 'none'
-GROUP BY git_sha, claude_md_hash""", "spans", "env_snapshots", extra=ENRICH_CTE))
+GROUP BY git_sha, claude_md_hash""", "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def e8(spark, sf):
     from spanlake.operators.evaluation import traces_for_commit
     enriched, _ = _enrich(spark, sf)
@@ -189,7 +199,7 @@ g AS (SELECT prompt_name, prompt_version, count(*) AS n_traces,
 
 @query("e9_quality_by_version", with_tables("""
 SELECT *, error_rate - lag(error_rate) OVER (PARTITION BY prompt_name ORDER BY prompt_version) AS error_rate_delta
-FROM g""", "spans", "env_snapshots", "feedback_log", extra=ENRICH_CTE + ",\n" + E9_CTE))
+FROM g""", "spans", "env_snapshots", "feedback_log", "transcripts", extra=ENRICH_CTE + ",\n" + E9_CTE))
 def e9(spark, sf):
     from spanlake.operators.evaluation import quality_by_version
     from spanlake.operators.lineage import trace_summary

@@ -19,20 +19,36 @@ def st1(spark, sf):
 
 
 @query("st2_session_snapshot_join", with_tables("""
-SELECT r.session_id, r.trace_id, e.snapshot_ms, r.start_time_ms AS trace_start_ms
-FROM env_snapshots e JOIN spans r ON r.session_id = e.session_id AND r.parent_span_id IS NULL
- AND r.start_time_ms >= e.snapshot_ms AND r.start_time_ms <= e.snapshot_ms + CAST(31 AS BIGINT) * 86400000""",
+SELECT * FROM (SELECT r.session_id, r.trace_id, (SELECT max(e.snapshot_ms) FROM env_snapshots e
+  WHERE e.session_id = r.session_id AND e.snapshot_ms <= r.start_time_ms) AS snapshot_ms, r.start_time_ms AS trace_start_ms
+ FROM (SELECT DISTINCT session_id, trace_id, start_time_ms FROM spans
+       WHERE parent_span_id IS NULL AND session_id IS NOT NULL) r) WHERE snapshot_ms IS NOT NULL""",
     "spans", "env_snapshots"))
 def st2(spark, sf):
     work = scratch_dir(spark, "streams", "st2", unique=True)
     return ST.session_snapshot_join(spark, materialise(spark, sf, "spans"), materialise(spark, sf, "env_snapshots"), work)
 
 
+@query("st2_consume_once_stream", with_tables("""
+SELECT e.session_id, e.snapshot_ms, arg_min(r.trace_id, (r.start_time_ms, r.trace_id)) AS trace_id,
+ min(r.start_time_ms) AS trace_start_ms
+FROM env_snapshots e JOIN spans r ON r.session_id = e.session_id AND r.parent_span_id IS NULL
+ AND r.start_time_ms >= e.snapshot_ms
+WHERE NOT EXISTS (SELECT 1 FROM env_snapshots n WHERE n.session_id = e.session_id
+ AND n.snapshot_ms > e.snapshot_ms AND n.snapshot_ms <= r.start_time_ms)
+GROUP BY e.session_id, e.snapshot_ms""", "spans", "env_snapshots"))
+def st2_once(spark, sf):
+    work = scratch_dir(spark, "streams", "st2-once", unique=True)
+    return ST.consumed_snapshots(spark, materialise(spark, sf, "spans"), materialise(spark, sf, "env_snapshots"), work)
+
+
 @query("st3_incremental_ingest", with_tables("SELECT trace_id, span_id, status, start_time_ms FROM spans", "spans"))
 def st3(spark, sf):
+    """Two deliveries of every span file, at different rates: each span once."""
     work = scratch_dir(spark, "streams", "st3", unique=True)
-    t = ST.ingest_spans(spark, materialise(spark, sf, "spans"), f"{work}/table", work)
-    return t.select("trace_id", "span_id", "status", "start_time_ms")
+    path = materialise(spark, sf, "spans")
+    twice = ST.span_stream(spark, path, 1).unionByName(ST.span_stream(spark, path))
+    return ST.ingest_stream(twice, f"{work}/table", work).select("trace_id", "span_id", "status", "start_time_ms")
 
 
 @query("st3_tag_upsert_stream", with_tables("""
@@ -40,16 +56,3 @@ SELECT trace_id, key, arg_max(value, seq) AS value FROM tag_log GROUP BY trace_i
 def st3_tags(spark, sf):
     work = scratch_dir(spark, "streams", "st3-tags", unique=True)
     return ST.tag_upserts(spark, materialise(spark, sf, "tag_log"), work)
-
-
-@query("st2_consume_once_stream", with_tables("""
-SELECT session_id, snapshot_ms, arg_min(trace_id, (trace_start_ms, trace_id)) AS trace_id,
- min(trace_start_ms) AS trace_start_ms FROM (
- SELECT r.session_id, r.trace_id, e.snapshot_ms, r.start_time_ms AS trace_start_ms
- FROM env_snapshots e JOIN spans r ON r.session_id = e.session_id AND r.parent_span_id IS NULL
-  AND r.start_time_ms >= e.snapshot_ms AND r.start_time_ms <= e.snapshot_ms + CAST(31 AS BIGINT) * 86400000)
-GROUP BY session_id, snapshot_ms""", "spans", "env_snapshots"))
-def st2_once(spark, sf):
-    work = scratch_dir(spark, "streams", "st2-once", unique=True)
-    m = ST.session_snapshot_join(spark, materialise(spark, sf, "spans"), materialise(spark, sf, "env_snapshots"), work)
-    return ST.first_stop_per_snapshot(m)

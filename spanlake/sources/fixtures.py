@@ -11,7 +11,7 @@ pushdown and column pruning, like the production span table at rest.
 from __future__ import annotations
 
 import hashlib
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -205,28 +205,41 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _DERIVERS[name](spark, sf_dir)
 
 
-def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{FIXTURE_VERSION}".encode()).hexdigest()[:16]
-    return scratch_dir(spark, "tables", key, name)
+def _input_identity(spark: SparkSession, sf_dir: str) -> str:
+    """Hash of the input files' paths, lengths and times: other data, other tables."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(sf_dir)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(f"{s.getPath().toString()}|{s.getLen()}|{s.getModificationTime()}" for s in fs.listStatus(folder))
+    return hashlib.sha1("\n".join([*files, str(FIXTURE_VERSION)]).encode()).hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(f"{path}/_SUCCESS").limit(1).collect()
-        return True
-    except Exception:  # noqa: BLE001 - a missing marker raises PATH_NOT_FOUND
-        return False
+def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return scratch_dir(spark, "tables", _input_identity(spark, sf_dir), name)
+
+
+def _publish(spark: SparkSession, path: str, write) -> str:
+    """The folder `path`, written on first use: `write(folder)` fills a fresh
+    folder, which is then renamed, so no reader or second writer sees a part."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        fresh = hadoop.Path(f"{path}-{uuid.uuid4().hex[:12]}")
+        write(fresh.toString())
+        if fs.exists(target) or not fs.rename(fresh, target):
+            if not fs.exists(target):
+                raise OSError(f"cannot publish {path}")
+            fs.delete(fresh, True)      # another session was first
+    return path
 
 
 def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
-    path = table_path(spark, sf_dir, name)
-    if not _exists(spark, path):
+    def write(folder: str) -> None:
         key, order = _LAYOUT[name]
-        df = derive(spark, sf_dir, name)
-        (df.hint("rebalance", key)
-           .sortWithinPartitions(*order)
-           .write.mode("overwrite").option("compression", "zstd").parquet(path))
-    return path
+        (derive(spark, sf_dir, name).hint("rebalance", key).sortWithinPartitions(*order)
+         .write.option("compression", "zstd").parquet(folder))
+    return _publish(spark, table_path(spark, sf_dir, name), write)
 
 
 def _write_transcripts_jsonl(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -250,10 +263,7 @@ _FILE_WRITERS = {"transcripts_jsonl": _write_transcripts_jsonl, "snapshots_json"
 def file_table(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of raw files (JSON Lines transcripts, snapshot JSON) written once
     from the derived tables, for the file readers S4 and S5."""
-    path = table_path(spark, sf_dir, name)
-    if not _exists(spark, path):
-        _FILE_WRITERS[name](spark, sf_dir, path)
-    return path
+    return _publish(spark, table_path(spark, sf_dir, name), lambda folder: _FILE_WRITERS[name](spark, sf_dir, folder))
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

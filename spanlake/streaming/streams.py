@@ -1,138 +1,155 @@
 """Structured Streaming forms of the event-driven parts (ST1-ST3).
 
 Streams read the span table (or snapshot table) folder as a file source, so
-new files are picked up incrementally. Results go through `foreachBatch`
-into one parquet folder per batch id, written with overwrite; readers take
-the latest value per key ("upsert on read"). A retried batch replaces its own
-folder, so the sinks are idempotent under retries and lost executors.
+new files are picked up incrementally. Every stream writes through
+`foreachBatch` into one folder per batch id with overwrite: a retried batch
+replaces its own folder, so the sinks are idempotent under retries and lost
+executors. Nothing depends on a watermark: rows may come in any order and any
+amount late. What must be combined across batches is combined when the sink is
+read (sums, last writes, first stops), so the streams keep no state and a
+back-fill can be rate-limited with `max_files`.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import instant_to_ntz, ntz_to_instant
-from spanlake.schema import SESSION_KEY, SPAN
-
+from spanlake.schema import SESSION_KEY, SPAN, SPAN_COLUMNS
 
 
 def span_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """File-source stream over a span folder. Without `max_files` the first
-    trigger back-fills everything already there (files of a historical table
-    are not in event-time order, so rate-limiting them would make most rows
-    "late"); later triggers pick up new files, and the watermarks bound state."""
+    """File-source stream over a span folder, at most `max_files` files per batch."""
     r = spark.readStream.schema(SPAN)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(path)
 
 
-# ---- ST1 ----------------------------------------------------------------------------
-
-def error_counts_stream(spans: DataFrame, window: str = "1 hour", delay: str = "1 hour") -> DataFrame:
-    """ST1: errors per event-time window, with a watermark bounding the state."""
-    e = spans.filter(F.col("status") == "ERROR").select(ntz_to_instant("timestamp").alias("event_time"))
-    return (e.withWatermark("event_time", delay)
-            .groupBy(F.window("event_time", window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("error_count"))
-            .select(instant_to_ntz("w.start").alias("window_start"), instant_to_ntz("w.end").alias("window_end"),
-                    "error_count"))
-
-
-def upsert_sink(out_path: str):
-    """foreachBatch writer: the batch's rows go to their own `batch_id=N`
-    folder with overwrite, so a batch retried after a failure replaces its
-    earlier partial output instead of adding to it."""
+def batch_sink(out_path: str, rows=None, partition_by: str | None = None):
+    """foreachBatch writer: `rows(batch, batch_id)` (default: the batch itself)
+    goes to the batch's own `batch_id=N` folder with overwrite."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        w = (rows(batch, batch_id) if rows else batch).write.mode("overwrite")
+        (w.partitionBy(partition_by) if partition_by else w).parquet(f"{out_path}/batch_id={batch_id}")
     return write
 
 
-def latest_per_key(spark: SparkSession, out_path: str, keys: list[str], schema: str | None = None) -> DataFrame:
-    """Read an upsert sink: the row of the highest batch id per key."""
+def read_sink(spark: SparkSession, out_path: str, schema: str) -> DataFrame:
+    """All rows of a batch sink with their batch_id. No folder yet means no
+    batch has run: an empty frame. Any other read failure is raised."""
+    schema = f"{schema}, batch_id int"
     try:
-        df = spark.read.parquet(out_path)
-    except Exception:  # noqa: BLE001 - no batch produced output
-        return spark.createDataFrame([], schema) if schema else None
-    vals = [c for c in df.columns if c not in keys and c != "batch_id"]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("v"))
-            .select(*keys, "v.*"))
+        return spark.read.schema(schema).parquet(out_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
-def run_available(query_df: DataFrame, checkpoint: str, mode: str, sink=None, path: str | None = None) -> None:
+def run_available(query_df: DataFrame, checkpoint: str, sink) -> None:
     """Drive a stream over everything available now, then stop."""
-    w = query_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if sink is not None:
-        q = w.foreachBatch(sink).start()
-    else:
-        q = w.format("parquet").option("path", path).start()
-    q.awaitTermination()
+    (query_df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).foreachBatch(sink).start().awaitTermination())
+
+
+# ---- ST1 ----------------------------------------------------------------------------
+
+ERROR_COUNTS = "window_start timestamp_ntz, window_end timestamp_ntz, error_count long"
+
+
+def error_counts(spans: DataFrame, window: str = "1 hour") -> DataFrame:
+    """Errors per event-time window of a batch (a partial aggregate)."""
+    e = spans.filter(F.col("status") == "ERROR").select(ntz_to_instant("timestamp").alias("event_time"))
+    return (e.groupBy(F.window("event_time", window).alias("w"))
+            .agg(F.count(F.lit(1)).alias("error_count"))
+            .select(instant_to_ntz("w.start").alias("window_start"), instant_to_ntz("w.end").alias("window_end"),
+                    "error_count"))
 
 
 def error_alerts(spark: SparkSession, spans_path: str, work: str, threshold: int = 10,
-                 window: str = "1 hour") -> DataFrame:
-    """ST1 end to end: stream the span folder, keep per-window error counts
-    (update mode), return every window with `alert` = count > threshold."""
-    counts = error_counts_stream(span_stream(spark, spans_path), window)
+                 window: str = "1 hour", max_files: int | None = None) -> DataFrame:
+    """ST1 end to end: each batch writes its count per window, the reader adds
+    them up, so an error counts however late it comes. Returns every window
+    with `alert` = count > threshold."""
     out = f"{work}/out"
-    run_available(counts, f"{work}/ckpt", "update", sink=upsert_sink(out))
-    res = latest_per_key(spark, out, ["window_start", "window_end"],
-                         "window_start timestamp_ntz, window_end timestamp_ntz, error_count long")
+    run_available(span_stream(spark, spans_path, max_files), f"{work}/ckpt",
+                  batch_sink(out, lambda batch, _: error_counts(batch, window)))
+    res = (read_sink(spark, out, ERROR_COUNTS).groupBy("window_start", "window_end")
+           .agg(F.sum("error_count").alias("error_count")))
     return res.withColumn("alert", F.col("error_count") > threshold)
 
 
 # ---- ST2 ----------------------------------------------------------------------------
 
+def session_events(spark: SparkSession, spans_path: str, snapshots_path: str, work: str,
+                   max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stream snapshots and Stop events (root spans that name a session) into
+    two lean logs; returns them as (stops, snapshots). Re-delivered events are
+    removed when the logs are read."""
+    r = spark.readStream.schema("session_id string, snapshot_ms long")
+    snaps = (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(snapshots_path)
+    stops = (span_stream(spark, spans_path, max_files).filter(F.col("parent_span_id").isNull())
+             .select(F.col("request_metadata")[SESSION_KEY].alias("session_id"), "trace_id",
+                     F.col("start_time_ms").alias("timestamp_ms"))
+             .filter(F.col("session_id").isNotNull()))
+    run_available(snaps, f"{work}/ckpt-snaps", batch_sink(f"{work}/snaps"))
+    run_available(stops, f"{work}/ckpt-stops", batch_sink(f"{work}/stops"))
+    return (read_sink(spark, f"{work}/stops", "session_id string, trace_id string, timestamp_ms long")
+            .drop("batch_id").distinct(),
+            read_sink(spark, f"{work}/snaps", "session_id string, snapshot_ms long").drop("batch_id").distinct())
+
+
 def session_snapshot_join(spark: SparkSession, spans_path: str, snapshots_path: str, work: str,
-                          horizon_days: int = 31, delay: str = "1 day") -> DataFrame:
-    """ST2: SessionStart snapshots joined to Stop events (root spans of the
-    session's traces) that start within `horizon_days` after the snapshot:
-    a stream-stream interval join whose state is bounded by the watermarks.
-    A trace pairs only with snapshots of its own session taken in the
-    `horizon_days` before it: one per session start, so the output grows with
-    traces x session starts in the horizon, not with all pairs of a session.
+                          max_files: int | None = None) -> DataFrame:
+    """ST2: each Stop with the snapshot pending in its session, i.e. the latest
+    one taken at or before it, however long ago; one row per Stop, none for a
+    Stop without an earlier snapshot.
     Returns session_id, trace_id, snapshot_ms, trace_start_ms."""
-    snaps = (spark.readStream.schema("session_id string, snapshot_ms long").parquet(snapshots_path)
-             .select(F.col("session_id").alias("s_session"), "snapshot_ms", F.timestamp_millis("snapshot_ms").alias("snap_ts"))
-             .withWatermark("snap_ts", delay))
-    roots = (span_stream(spark, spans_path).filter(F.col("parent_span_id").isNull())
-             .select(F.col("request_metadata")[SESSION_KEY].alias("session_id"), "trace_id",
-                     F.col("start_time_ms").alias("trace_start_ms"), F.timestamp_millis("start_time_ms").alias("trace_ts"))
-             .withWatermark("trace_ts", delay))
-    cond = ((F.col("s_session") == F.col("session_id")) & (F.col("trace_ts") >= F.col("snap_ts"))
-            & (F.col("trace_ts") <= F.col("snap_ts") + F.make_dt_interval(F.lit(horizon_days))))
-    joined = snaps.join(roots, cond, "inner").select("session_id", "trace_id", "snapshot_ms", "trace_start_ms")
-    out = f"{work}/out"
-    run_available(joined, f"{work}/ckpt", "append", path=out)
-    try:
-        return spark.read.schema("session_id string, trace_id string, snapshot_ms long, trace_start_ms long").parquet(out)
-    except Exception:  # noqa: BLE001
-        return spark.createDataFrame([], "session_id string, trace_id string, snapshot_ms long, trace_start_ms long")
+    from spanlake.operators.sessions import snapshot_at_stop
+    return snapshot_at_stop(*session_events(spark, spans_path, snapshots_path, work, max_files))
 
 
-def first_stop_per_snapshot(matches: DataFrame) -> DataFrame:
-    """E5 over ST2 output: each snapshot is consumed by its first Stop."""
-    best = F.min(F.struct("trace_start_ms", "trace_id"))
-    return (matches.groupBy("session_id", "snapshot_ms").agg(best.alias("b"))
-            .select("session_id", "snapshot_ms", F.col("b.trace_id").alias("trace_id"),
-                    F.col("b.trace_start_ms").alias("trace_start_ms")))
+def consumed_snapshots(spark: SparkSession, spans_path: str, snapshots_path: str, work: str,
+                       max_files: int | None = None) -> DataFrame:
+    """ST2 + E5: each snapshot with the first Stop that consumes it; a snapshot
+    replaced by a newer one before any Stop is never used.
+    Returns session_id, snapshot_ms, trace_id, trace_start_ms."""
+    from spanlake.operators.sessions import first_stop_after_snapshot
+    stops, snaps = session_events(spark, spans_path, snapshots_path, work, max_files)
+    return first_stop_after_snapshot(stops, snaps).filter(F.col("trace_id").isNotNull())
 
 
 # ---- ST3 ----------------------------------------------------------------------------
 
-def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: str, delay: str = "2 days") -> DataFrame:
-    """ST3: incremental ingest of new span files into a table, dropping
-    re-delivered spans (same span_id) within the watermark."""
-    s = (span_stream(spark, source_path).withColumn("_event_time", ntz_to_instant("timestamp"))
-         .withWatermark("_event_time", delay)
-         .dropDuplicatesWithinWatermark(["trace_id", "span_id"]))
+def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: str,
+                 max_files: int | None = None) -> DataFrame:
+    """ST3: incremental ingest of new span files into a table, each
+    (trace_id, span_id) once, however late it comes or comes again."""
+    return ingest_stream(span_stream(spark, source_path, max_files), table_path, work)
+
 
-    def write(batch: DataFrame, batch_id: int) -> None:  # idempotent per batch (see upsert_sink)
-        batch.drop("_event_time").write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+def ingest_stream(spans: DataFrame, table_path: str, work: str) -> DataFrame:
+    """The table is partitioned by batch and by the span's day ('none' without
+    a timestamp). A batch drops its own repeats, then the spans that earlier
+    batches stored in the same days; other days are pruned. A re-delivery
+    repeats the span as it was, thus with the same timestamp."""
+    spark = spans.sparkSession
+    day = F.coalesce(F.date_format("timestamp", "yyyy-MM-dd"), F.lit("none"))
+    keys = ["trace_id", "span_id", "day"]
 
-    run_available(s, f"{work}/ckpt", "append", sink=write)
-    return spark.read.schema(SPAN).parquet(table_path)
+    def new_rows(batch: DataFrame, batch_id: int) -> DataFrame:
+        fresh = batch.withColumn("day", day).dropDuplicates(keys)
+        days = [r.day for r in fresh.select("day").distinct().collect()]    # calendar days, not keys
+        stored = (read_sink(spark, table_path, "trace_id string, span_id string, day string")
+                  .filter((F.col("batch_id") < batch_id) & F.col("day").isin(days)))
+        same = [fresh[k].eqNullSafe(stored[k]) for k in keys]
+        return fresh.join(stored, same, "left_anti")
+
+    run_available(spans, f"{work}/ckpt", batch_sink(table_path, new_rows, partition_by="day"))
+    return spark.read.schema(SPAN).parquet(table_path).select(*SPAN_COLUMNS)
 
 
 def tag_upserts(spark: SparkSession, tag_log_path: str, work: str, max_files: int | None = None) -> DataFrame:
@@ -143,17 +160,13 @@ def tag_upserts(spark: SparkSession, tag_log_path: str, work: str, max_files: in
     r = spark.readStream.schema("trace_id string, seq long, key string, value string")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    log = r.parquet(tag_log_path)
     out = f"{work}/out"
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("trace_id", "key").agg(F.max_by(F.struct("seq", "value"), "seq").alias("l"))
-         .select("trace_id", "key", "l.seq", "l.value")
-         .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
+    def last_writes(batch: DataFrame, _: int) -> DataFrame:
+        return (batch.groupBy("trace_id", "key").agg(F.max(F.struct("seq", "value")).alias("l"))
+                .select("trace_id", "key", "l.seq", "l.value"))
 
-    run_available(log, f"{work}/ckpt", "append", sink=write)
-    try:
-        merged = spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - no batch produced output
-        return spark.createDataFrame([], "trace_id string, key string, value string")
-    return merged.groupBy("trace_id", "key").agg(F.max_by("value", "seq").alias("value"))
+    run_available(r.parquet(tag_log_path), f"{work}/ckpt", batch_sink(out, last_writes))
+    merged = read_sink(spark, out, "trace_id string, key string, seq long, value string")
+    return (merged.groupBy("trace_id", "key").agg(F.max(F.struct("seq", "value")).alias("l"))
+            .select("trace_id", "key", "l.value"))

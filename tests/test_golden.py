@@ -294,23 +294,30 @@ def test_v2_pluggable_judge_runs_in_pandas(spark):
     assert abs(issue.frequency - 2 / 3) < 1e-12
 
 
-def test_e2_tag_rows_and_companion(spark):
-    from spanlake.operators.sessions import companion_traces, enrich_latest_traces, enrichment_tag_rows
-    traces = spark.createDataFrame([("t1", "s", 10), ("t2", "s", 20), ("t3", None, 30), ("t4", "u", 5)],
-                                   "trace_id string, session_id string, timestamp_ms long")
+def test_e2_first_stop_gets_the_snapshot(spark):
+    from spanlake.operators.sessions import companion_traces, enrich_traces, enrichment_tag_rows
+    t0 = 1704067200000
+    traces = spark.createDataFrame(
+        [("t0", "s", t0 - 9), ("t1", "s", t0 + 400), ("t2", "s", t0 + 800), ("t3", None, t0 + 900), ("t4", "u", t0),
+         ("k1", "k", t0 + 10), ("k2", "k", t0 + 20)], "trace_id string, session_id string, timestamp_ms long")
     snaps = spark.createDataFrame(
-        [("s", "abc", "true", "h", None, 1704067200000, "p", 3), ("x", "d", "false", "h", "k", 1, None, None)],
+        [("s", "abc", "true", "h", None, t0, "p", 3),            # used by t1, not by the later t2
+         ("s", "end", "true", "h", None, t0 + 900, "p", 3),      # after every Stop
+         ("k", "old", "false", "h", "k", t0, None, None),        # replaced before a Stop
+         ("k", "new", "false", "h", "k", t0 + 5, None, None),    # k1's Stop is skipped: k2 uses it
+         ("x", "d", "false", "h", "k", t0, None, None)],         # no trace
         "session_id string, git_sha string, git_dirty string, claude_md_hash string, skills_hash string, "
         "snapshot_ms long, prompt_name string, prompt_version int")
-    enriched, unmatched = enrich_latest_traces(traces, snaps)
-    assert [r.session_id for r in unmatched.collect()] == ["x"]
+    skipped = spark.createDataFrame([("k1",)], "trace_id string")
+    enriched, unmatched = enrich_traces(traces, snaps, skipped)
+    assert sorted(r.git_sha for r in unmatched.collect()) == ["d", "end", "old"]
     tags = {(r.trace_id, r.key): r.value for r in enrichment_tag_rows(enriched).collect()}
-    assert tags[("t2", "cc_env.git_sha")] == "abc" and tags[("t2", "cc_env.skills_hash")] == "none"
-    assert tags[("t2", "cc_env.snapshot_timestamp")] == "2024-01-01T00:00:00+00:00"
-    assert tags[("t2", "cc_env.prompt_uri")] == "prompts:/p/3"
-    assert not any(t == "t1" for t, _ in tags)          # only the session's latest trace
+    assert {t for t, _ in tags} == {"t1", "k2"}
+    assert tags["t1", "cc_env.git_sha"] == "abc" and tags["t1", "cc_env.skills_hash"] == "none"
+    assert tags["t1", "cc_env.snapshot_timestamp"] == "2024-01-01T00:00:00+00:00"
+    assert tags["t1", "cc_env.prompt_uri"] == "prompts:/p/3" and tags["k2", "cc_env.git_sha"] == "new"
     comp = companion_traces(enriched).collect()
-    assert len(comp) == 1 and comp[0].session_trace_id == "t2" and comp[0].companion_trace_id.startswith("tr-env-")
+    assert len(comp) == 1 and comp[0].session_trace_id == "t1" and comp[0].companion_trace_id.startswith("tr-env-")
 
 
 def test_t8_default_target_is_latest_session_trace(spark):

@@ -39,7 +39,7 @@ def test_s7_skill_scan_hash(spark, tmp_path):
     (root / "alpha" / "notes.md").write_text("ignored")
     (root / "bad").mkdir()
     (root / "bad" / "SKILL.md").write_bytes(b"\xff\xfe\xfa")
-    parts = scan_skill_files(spark, [("skills", str(root)), ("dup", str(root))])
+    parts = scan_skill_files(spark, [("skills", f"file:{root}"), ("dup", str(root)), ("gone", str(root / "none"))])
     got = sorted((r.key, r.content) for r in parts.collect())
     assert got == [("skills/alpha/SKILL.md", "A"), ("skills/beta/SKILL.md", "B\nline")]
     h = skills_hash(parts.withColumn("project", F.lit("p"))).collect()[0].skills_hash

@@ -1,82 +1,63 @@
-"""Second oracle: plain sequential Python of the reference's loops for T2, E1
-and E7 on the sf0.01 fixture, and the fixture counts of FIXTURES.md §2."""
+"""T2, E1 and E7 on the sf0.01 fixture: invariants, hand-written tables, and the
+fixture counts of FIXTURES.md §2."""
 
-import os
-
-from pyspark.sql import functions as F
+from itertools import groupby
 
 from tests.conftest import SF01
+from tests.invariants import check_reparented, check_versions, order_key
 from spanlake.sources.fixtures import load_table
 
 
-def test_t2_equals_sequential_loop(spark):
+def test_t2_invariants_on_the_fixture(spark):
     from spanlake.operators.filtering import filter_spans, reparent
     from spanlake.plans.q_filtering import T1_NAMES
-    spans = load_table(spark, SF01, "spans")
-    m = filter_spans(spans, T1_NAMES)
-    got = {(r.trace_id, r.span_id): r.new_parent_span_id for r in reparent(m).collect()}
-    by_trace = {}
-    for r in m.select("trace_id", "span_id", "parent_span_id", "start_time_ms", "execution_order").collect():
-        by_trace.setdefault(r.trace_id, []).append(r)
-    want = {}
-    for t, ss in by_trace.items():
-        ss = sorted(ss, key=lambda s: (s.start_time_ms, s.execution_order, s.span_id))
-        matching = {s.span_id for s in ss}
-        seen = {ss[0].span_id}
-        want[(t, ss[0].span_id)] = None
-        for s in ss[1:]:
-            want[(t, s.span_id)] = s.parent_span_id if (s.parent_span_id in matching and s.parent_span_id in seen) \
-                else ss[0].span_id
-            seen.add(s.span_id)
-    assert got == want
-    # the fixture plants matched parents that start after their child (how many depends on the filter)
-    key = {(r.trace_id, r.span_id): (r.start_time_ms, r.execution_order, r.span_id) for ss in by_trace.values() for r in ss}
-    later = sum(1 for ss in by_trace.values() for r in ss
-                if (r.trace_id, r.parent_span_id) in key and key[(r.trace_id, r.parent_span_id)] > key[(r.trace_id, r.span_id)])
-    assert later > 0
+    m = filter_spans(load_table(spark, SF01, "spans"), T1_NAMES)
+    parents = {(r.trace_id, r.span_id): r.new_parent_span_id for r in reparent(m).collect()}
+    rows = [r.asDict() for r in m.select("trace_id", "span_id", "parent_span_id", "start_time_ms", "execution_order")
+            .orderBy("trace_id").collect()]
+    inverted = 0
+    for trace, group in groupby(rows, key=lambda r: r["trace_id"]):
+        matched = list(group)
+        by_id = {s["span_id"]: s for s in matched}
+        check_reparented(matched, {i: parents[trace, i] for i in by_id})
+        inverted += sum(order_key(by_id[s["parent_span_id"]]) > order_key(s) for s in matched if s["parent_span_id"] in by_id)
+    assert len(rows) == len(parents)
+    assert inverted > 0          # the fixture plants matched parents that start after their child
 
 
-def test_e1_equals_sequential_loop_and_fixture_counts(spark):
-    from spanlake.operators.sessions import skip_decisions, SKIP_SKILLS
-    import os.path
-    t = load_table(spark, SF01, "transcripts")
-    got = {r.session_id: r.skipped for r in skip_decisions(t).collect()}
-    by = {}
-    for r in t.collect():
-        by.setdefault(r.session_id, []).append(r)
-    want = {}
-    for s, es in by.items():
-        res = False
-        for e in sorted(es, key=lambda e: e.ord, reverse=True):
-            if e.type != "user" or e.is_tool_result:
-                continue
-            text = e.text.lstrip()
-            if not text.startswith("Base directory for this skill:"):
-                res = False
-                break
-            name = os.path.basename(text.split("\n", 1)[0].split(":", 1)[1].strip())
-            res = name in SKIP_SKILLS
-            break
-        want[s] = res
-    assert got == want
-    assert sum(want.values()) == 41 and len(want) == 100
+def test_e1_table_and_fixture_counts(spark):
+    from spanlake.operators.sessions import skip_decisions
+    got = skip_decisions(load_table(spark, SF01, "transcripts"))
+    assert got.filter("skipped").count() == 41 and got.count() == 100
+    call = "Base directory for this skill: "
+    user = lambda text: ("user", False, text)
+    cases = {   # session: (entries, skipped)
+        "plain": ([user("hello")], False),
+        "listed": ([user("hello"), user(call + "/a/tag-trace")], True),
+        "other skill": ([user(call + "/a/other")], False),
+        "asked on": ([user(call + "/a/tag-trace"), user("and then?")], False),
+        "answered": ([user(call + "/a/tag-trace"), ("assistant", False, "done")], True),
+        "tool result": ([user(call + "/a/feedback-trace\nmore"), ("user", True, "out")], True),
+        "folder": ([user(call + "/a/tag-trace/")], False),
+        "no entry": ([("assistant", False, call + "/a/tag-trace")], False),
+        "nbsp": ([user("\u00a0" + call + "/a/tag-trace\u3000")], True),
+        "ideographic space": ([user("\u3000\n" + call + "/a/tag-trace")], True),
+        "file separator": ([user("\x1c" + call + "/a/tag-trace\x1f")], True),
+        "zero width": ([user("\u200b" + call + "/a/tag-trace")], False),
+    }
+    rows = [(s, i, *e) for s, (entries, _) in cases.items() for i, e in enumerate(entries)]
+    df = spark.createDataFrame(rows, "session_id string, ord long, type string, is_tool_result boolean, text string")
+    assert {r.session_id: r.skipped for r in skip_decisions(df).collect()} == {s: want for s, (_, want) in cases.items()}
 
 
-def test_e7_equals_sequential_loop(spark):
+def test_e7_invariants_on_the_fixture(spark):
     from spanlake.operators.prompts import assign_prompt_versions
     env = load_table(spark, SF01, "env_snapshots")
-    got = {r.session_id: r.prompt_version for r in assign_prompt_versions(env).collect()}
-    latest, version, want = {}, {}, {}
-    for r in sorted(env.collect(), key=lambda r: (r.project, r.snapshot_ms, r.session_id)):
-        if not r.instructions:
-            want[r.session_id] = None
-            continue
-        if latest.get(r.project) != r.instructions:
-            version[r.project] = version.get(r.project, 0) + 1
-            latest[r.project] = r.instructions
-        want[r.session_id] = version[r.project]
-    assert got == want
-    versioned = [v for v in want.values() if v is not None]
+    rows = assign_prompt_versions(env).orderBy("project", "snapshot_ms", "session_id").collect()
+    for _, group in groupby(rows, key=lambda r: r.project):
+        group = list(group)
+        check_versions([r.instructions for r in group], [r.prompt_version for r in group])
+    versioned = [r.prompt_version for r in rows if r.prompt_version is not None]
     assert len(versioned) == 923 and max(versioned) == 33
 
 

@@ -1,10 +1,12 @@
-"""Streams: incremental runs over new files give the batch answer; state is
-bounded by watermarks (late rows beyond the watermark are dropped)."""
+"""Streams: runs over several batches, with late and re-delivered rows, give the
+batch answer; read failures are raised."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from spanlake.schema import SESSION_KEY as ST_KEY
 from tests.conftest import make_spans
 
 
@@ -14,54 +16,60 @@ def _errors(spark, day, hours, prefix):
         for i, h in enumerate(hours)])
 
 
-def test_st1_incremental_equals_batch(spark, tmp_path):
+def test_st1_counts_errors_however_late(spark, tmp_path):
     from spanlake.streaming import streams as ST
-    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
-    _errors(spark, 1, [0, 0, 1], "a").write.mode("append").parquet(src)
-    q = ST.error_counts_stream(ST.span_stream(spark, src))
-    ST.run_available(q, ck, "update", sink=ST.upsert_sink(out))
-    _errors(spark, 1, [1, 2], "b").write.mode("append").parquet(src)          # same and newer windows
-    ST.run_available(ST.error_counts_stream(ST.span_stream(spark, src)), ck, "update", sink=ST.upsert_sink(out))
-    got = {r.window_start.hour: r.error_count for r in ST.latest_per_key(spark, out, ["window_start", "window_end"]).collect()}
-    assert got == {0: 2, 1: 2, 2: 1}
+    src, work = str(tmp_path / "src"), str(tmp_path / "work")
+    _errors(spark, 2, [0, 0, 1], "a").write.mode("append").parquet(src)
+    ST.error_alerts(spark, src, work)
+    _errors(spark, 2, [1, 2], "b").write.mode("append").parquet(src)          # same and newer windows
+    _errors(spark, 1, [3], "late").write.mode("append").parquet(src)          # a day late
+    got = {(r.window_start.day, r.window_start.hour): (r.error_count, r.alert)
+           for r in ST.error_alerts(spark, src, work, threshold=1, max_files=1).collect()}
+    assert got == {(2, 0): (2, True), (2, 1): (2, True), (2, 2): (1, False), (1, 3): (1, False)}
 
 
-def test_st1_drops_rows_behind_the_watermark(spark, tmp_path):
+def test_a_corrupt_sink_raises(spark, tmp_path):
     from spanlake.streaming import streams as ST
-    src, out, ck = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
-    _errors(spark, 2, [10], "a").write.mode("append").parquet(src)
-    ST.run_available(ST.error_counts_stream(ST.span_stream(spark, src), delay="1 hour"), ck, "update",
-                     sink=ST.upsert_sink(out))
-    _errors(spark, 1, [3], "late").write.mode("append").parquet(src)          # a day late
-    ST.run_available(ST.error_counts_stream(ST.span_stream(spark, src), delay="1 hour"), ck, "update",
-                     sink=ST.upsert_sink(out))
-    got = {(r.window_start.day, r.window_start.hour) for r in ST.latest_per_key(spark, out, ["window_start", "window_end"]).collect()}
-    assert got == {(2, 10)}
+    assert ST.read_sink(spark, str(tmp_path / "none"), "k string").count() == 0
+    (tmp_path / "out" / "batch_id=0").mkdir(parents=True)
+    (tmp_path / "out" / "batch_id=0" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        ST.read_sink(spark, str(tmp_path / "out"), "k string").collect()
+
+
+def test_st3_keeps_late_spans_and_drops_repeats(spark, tmp_path):
+    from spanlake.streaming import streams as ST
+    src, table, work = (str(tmp_path / d) for d in ("src", "table", "work"))
+    a = _errors(spark, 20, [0, 1], "x")
+    deliveries = [a, a, _errors(spark, 1, [5], "late"), a.unionByName(_errors(spark, 20, [7], "new")),
+                  make_spans(spark, [{"span_id": "undated"}]).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))]
+    for d in deliveries * 2:
+        d.write.mode("append").parquet(src)
+        ST.ingest_spans(spark, src, table, work, max_files=1)
+    got = sorted(r.span_id for r in spark.read.parquet(table).collect())
+    assert got == ["late0", "new0", "undated", "x0", "x1"]
+
+
+def _session_log(spark, tmp_path):
+    at = {"t0": 10, "t1": 500_000, "t2": 900_000, "t3": 90 * 86_400_000}
+    make_spans(spark, [{"trace_id": t, "span_id": "r", "start_time_ms": ms, "request_metadata": {ST_KEY: "s"}}
+                       for t, ms in at.items()]).repartition(3).write.parquet(str(tmp_path / "spans"))
+    snaps = [("s", 100_000), ("s", 300_000), ("s", 950_000), ("idle", 1), ("s", 91 * 86_400_000)]
+    spark.createDataFrame(snaps, "session_id string, snapshot_ms long").write.parquet(str(tmp_path / "snaps"))
+    return str(tmp_path / "spans"), str(tmp_path / "snaps"), str(tmp_path / "w")
 
 
-def test_st3_ingest_drops_redelivered_spans(spark, tmp_path):
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_st2_pending_snapshot_of_each_stop(spark, tmp_path, max_files):
     from spanlake.streaming import streams as ST
-    src = str(tmp_path / "src")
-    a = _errors(spark, 1, [0, 1], "x")
-    a.write.mode("append").parquet(src)
-    a.write.mode("append").parquet(src)   # the same spans delivered twice
-    t = ST.ingest_spans(spark, src, str(tmp_path / "table"), str(tmp_path / "work"))
-    assert t.count() == 2
+    m = ST.session_snapshot_join(spark, *_session_log(spark, tmp_path), max_files)
+    assert {(r.trace_id, r.snapshot_ms) for r in m.collect()} == {("t1", 300_000), ("t2", 300_000), ("t3", 950_000)}
 
 
-def test_st2_join_then_consume_once(spark, tmp_path):
+def test_st2_consumes_once_and_never_a_replaced_snapshot(spark, tmp_path):
     from spanlake.streaming import streams as ST
-    spans = make_spans(spark, [
-        {"trace_id": "t1", "span_id": "r1", "start_time_ms": 1_000_000, "request_metadata": {ST.SESSION_KEY: "s"}},
-        {"trace_id": "t2", "span_id": "r2", "start_time_ms": 2_000_000, "request_metadata": {ST.SESSION_KEY: "s"}},
-        {"trace_id": "t0", "span_id": "r0", "start_time_ms": 10, "request_metadata": {ST.SESSION_KEY: "s"}},
-    ])
-    spans.write.parquet(str(tmp_path / "spans"))
-    spark.createDataFrame([("s", 500_000)], "session_id string, snapshot_ms long").write.parquet(str(tmp_path / "snaps"))
-    m = ST.session_snapshot_join(spark, str(tmp_path / "spans"), str(tmp_path / "snaps"), str(tmp_path / "w"))
-    assert sorted(r.trace_id for r in m.collect()) == ["t1", "t2"]     # t0 started before the snapshot
-    first = ST.first_stop_per_snapshot(m).collect()
-    assert [(r.session_id, r.trace_id) for r in first] == [("s", "t1")]
+    m = ST.consumed_snapshots(spark, *_session_log(spark, tmp_path), max_files=1)
+    assert {(r.snapshot_ms, r.trace_id) for r in m.collect()} == {(300_000, "t1"), (950_000, "t3")}
 
 
 def test_st3_tag_upserts_last_write_wins_across_batches(spark, tmp_path):
