@@ -1,7 +1,7 @@
 """Token ids of Arrow string batches with the `tokenizers` library.
 
 Encoding is the cost of every token operator. The vocabulary used here never
-merges across white space, so a text is cut at white space, the distinct pieces
+merges across white space and ignores case (`_shared_form`), so a text is cut at white space, the distinct pieces
 of a batch are found by Arrow's dictionary encoding, and the library encodes
 only pieces that the worker has not seen yet. The result equals encoding the
 whole text (tests compare both). Texts holding U+001C..U+001F, which Arrow
@@ -28,6 +28,17 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _shared_form(texts: pa.StringArray) -> pa.StringArray:
+    """Texts with the same ids and fewer distinct pieces: A-Z in lower case, as
+    the vocabulary's normaliser makes them, and a space between a letter and the
+    punctuation after it, where its pre-tokenizer cuts anyway. Texts with
+    combining marks, which compose with letters of one case only, or with the
+    start of a special token, which is matched by case, keep their case."""
+    kept = pc.match_substring_regex(texts, "[\\x{300}-\\x{36f}]|<[|]")
+    texts = pc.if_else(kept, texts, pc.ascii_lower(texts)) if pc.any(kept).as_py() else pc.ascii_lower(texts)
+    return pc.replace_substring_regex(texts, "([a-z])([.,;:!?])", "\\1 \\2")
+
+
 class Encoder:
     """Encodes white-space separated pieces and remembers them: piece -> row of
     a growing flat id array."""
@@ -76,7 +87,7 @@ class Encoder:
             keep = np.ones(len(texts), bool)
             keep[odd] = False
             texts = pc.if_else(pa.array(keep), texts, "")
-        split = pc.utf8_split_whitespace(texts)
+        split = pc.utf8_split_whitespace(_shared_form(texts))
         bounds = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
         pieces = coded.dictionary.to_pylist()

@@ -336,3 +336,15 @@ def test_packing_plan_has_little_padding():
     assert used == {k: int(v) for k, v in enumerate(h) if v}
     sequences = max(s + hi - lo for _, lo, hi, s, _ in slots)
     assert lengths.sum() / (4096 * sequences) > 0.99
+
+
+def test_shared_piece_form_keeps_the_ids():
+    import pyarrow as pa
+    from spanlake.llm.tokens import Encoder, default_vocabulary
+    enc = Encoder(default_vocabulary())
+    texts = ["H̱ ẖ T̈ J̌.", "<|ENDOFTEXT|> <|endoftext|>. A<|startoftext|>B", "It's. Don't! WE'LL, x;y a.'s B.'S 3.5",
+             "É. İİ ΑΣ. Σ", "", "A", "...a.b,c!?", "K.K;", "a.̸b Á.", "X.\n\tY, Z　q.",
+             "a.‍B!️?", "a.\x1cB."]
+    ids, offsets = enc.encode(pa.array(texts))
+    got = [ids[b:e].tolist() for b, e in zip(offsets, offsets[1:])]
+    assert got == [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
