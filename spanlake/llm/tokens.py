@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CACHE_PIECES = 1_000_000   # pieces a worker remembers; it starts over beyond (memory only, no effect on results)
-ENCODE_BYTES = 4 << 20     # the same for the encoder, where larger slices share more pieces
+ENCODE_BYTES = 8 << 20     # the same for the encoder, where larger slices share more pieces
 SLICE_BYTES = 2 << 20      # text encoded at a time
 
 
