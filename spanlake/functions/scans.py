@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["bucketed_row_number", "change_versions", "bucketed_lead"]
+__all__ = ["bucketed_row_number", "change_versions", "bucketed_lead", "grouped_percentiles"]
 
 
 def bucketed_row_number(df: DataFrame, key: str, order: list[str], bucket: Column, out: str = "seq") -> DataFrame:
@@ -80,3 +80,38 @@ def bucketed_lead(df: DataFrame, key: str, order: list[str], cols: list[str], bu
     for c in cols:
         j = j.withColumn(prefix + c, F.when(F.col("_last"), F.col("_next_first")[c]).otherwise(F.col(prefix + c)))
     return j.drop("_b", "_last", "_next_first")
+
+
+def grouped_percentiles(df: DataFrame, group: str, value: str, probs: dict[str, float], count: str | None = None) -> DataFrame:
+    """Exact percentiles with linear interpolation per group, as `percentile`
+    gives them; null values are left out, a null group is a group. With `count`
+    a row stands for so many equal rows.
+
+    Counts per (group, value) are partial aggregates. Ranks come from running
+    counts inside (group, bucket) plus the counts of the group's lower buckets;
+    the bucket is logarithmic in the value, so a group has a few thousand
+    buckets at most and no task holds all distinct values of a group.
+    Returns `group` and one double column per alias of `probs`."""
+    v = F.col("_v")
+    size = F.floor(F.log2(F.abs(v) + F.lit(1.0)) * F.lit(64.0))
+    bucket = F.when(v < 0, -size).otherwise(size)
+    weight = F.lit(1) if count is None else F.col(count)
+    hist = (df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"), weight.alias("_w")).filter(v.isNotNull())
+            .groupBy("_g", "_v").agg(F.sum("_w").alias("_c")).withColumn("_b", bucket))
+    below = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (hist.groupBy("_g", "_b").agg(F.sum("_c").alias("_n"))
+             .select(F.col("_g").alias("_cg"), F.col("_b").alias("_cb"),
+                     F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_before"),
+                     F.sum("_n").over(Window.partitionBy("_g")).alias("_total")))
+    inside = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (hist.withColumn("_run", F.sum("_c").over(inside))
+              .join(cells, F.col("_g").eqNullSafe(F.col("_cg")) & (F.col("_b") == F.col("_cb")))
+              .withColumn("_to", F.col("_before") + F.col("_run")).withColumn("_from", F.col("_to") - F.col("_c")))
+    picks, out = [F.max("_total").alias("_total")], []
+    for i, (alias, p) in enumerate(probs.items()):
+        at = (F.col("_total") - 1).cast("double") * F.lit(float(p))
+        for end, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            picks.append(F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), v)).alias(f"_{end}{i}"))
+        out.append(F.when(F.floor(at) == F.ceil(at), F.col(f"_lo{i}"))
+                   .otherwise((F.ceil(at) - at) * F.col(f"_lo{i}") + (at - F.floor(at)) * F.col(f"_hi{i}")).alias(alias))
+    return ranked.groupBy("_g").agg(*picks).select(F.col("_g").alias(group), *out)

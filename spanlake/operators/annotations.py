@@ -18,8 +18,9 @@ HUMAN = "HUMAN"
 
 
 def latest_tag_values(tag_log: DataFrame) -> DataFrame:
-    """(trace_id, key, value) with the last write (highest seq) per key."""
-    return tag_log.groupBy("trace_id", "key").agg(F.max_by("value", "seq").alias("value"))
+    """(trace_id, key, value) with the last write per key: the highest seq,
+    of writes with the same seq the largest value."""
+    return tag_log.groupBy("trace_id", "key").agg(F.max_by("value", F.struct("seq", "value")).alias("value"))
 
 
 def tag_maps(tag_log: DataFrame) -> DataFrame:
@@ -74,7 +75,8 @@ def log_feedback(feedback_log: DataFrame, new: DataFrame, default_target: DataFr
 def latest_assessments(feedback_log: DataFrame) -> DataFrame:
     """Latest value per (trace, name) with its count (V4 uses this as labels)."""
     return feedback_log.groupBy("trace_id", "name").agg(
-        F.max_by(F.struct("value", "source_type", "source_id"), "create_ms").alias("latest"),
+        F.max_by(F.struct("value", "source_type", "source_id"),
+                 F.struct("create_ms", "value", "source_type", "source_id")).alias("latest"),
         F.count(F.lit(1)).alias("n"))
 
 
@@ -82,10 +84,8 @@ def feedback_summary(feedback_log: DataFrame) -> DataFrame:
     """Per trace: number of assessments, latest quality/toxic values, has_feedback."""
     return feedback_log.groupBy("trace_id").agg(
         F.count(F.lit(1)).alias("n_assessments"),
-        F.max_by(F.when(F.col("name") == "quality", F.col("value")),
-                 F.when(F.col("name") == "quality", F.col("create_ms"))).alias("latest_quality"),
-        F.max_by(F.when(F.col("name") == "toxic", F.col("value")),
-                 F.when(F.col("name") == "toxic", F.col("create_ms"))).alias("latest_toxic"),
+        F.max_by("value", F.when(F.col("name") == "quality", F.struct("create_ms", "value"))).alias("latest_quality"),
+        F.max_by("value", F.when(F.col("name") == "toxic", F.struct("create_ms", "value"))).alias("latest_toxic"),
         F.count_if(F.col("source_type") == HUMAN).alias("n_human"),
     ).withColumn(HAS_FEEDBACK, F.lit("true"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import avg_seconds, duration_ms, duration_s, error_count, map_text
+from spanlake.functions.scans import grouped_percentiles
 
 # Fixed values that must equal the reference's.
 TRAINING = "TRAINING"
@@ -31,15 +32,6 @@ def _since_instant(as_of: str, hours: int):
     return F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(hours))
 
 
-def order_small(df: DataFrame, *cols) -> DataFrame:
-    """ORDER BY for a result with one row per category (span type or name).
-
-    Such a result is small at any scale, so it is gathered into one partition
-    and sorted there: no range-partition sampling job, and the aggregation
-    before it keeps its full parallelism (repartition, not coalesce)."""
-    return df.repartition(1).sortWithinPartitions(*cols)
-
-
 # ---- S11 views -------------------------------------------------------------
 
 def recent_traces(spans: DataFrame, as_of: str, days: int = RECENT_DAYS) -> DataFrame:
@@ -116,7 +108,7 @@ def q5_recent_top(spans, as_of, days=7, k=100):
 
 
 def q6_training_by_count(spans):
-    return order_small(training_performance(spans), F.desc("execution_count"), "span_name")
+    return training_performance(spans).orderBy(F.desc("execution_count"), "span_name")
 
 
 def q7_slow_operations(spans, threshold_s=SLOW_SECONDS, k=50):
@@ -148,7 +140,7 @@ def q11_training_summary(spans):
     return (spans.filter(F.col("span_type") == TRAINING).groupBy("span_name")
             .agg(F.count(F.lit(1)).alias("execution_count"), avg_seconds().alias("avg_duration_seconds"),
                  F.max(duration_s()).alias("max_duration_seconds"), error_count().alias("error_count"))
-            .transform(lambda g: order_small(g, F.desc("execution_count"), "span_name")))
+            .orderBy(F.desc("execution_count"), "span_name"))
 
 
 def q12_most_recent_trace(spans):
@@ -172,25 +164,21 @@ def q13_latest_hierarchy(spans):
             .orderBy("start_time_ms", "span_id").drop("start_time_ms"))
 
 
-def q14_duration_profile(spans, exact: bool = True, accuracy: int = 100000):
+def q14_duration_profile(spans):
     """Q14: per span_type count, avg/min/max seconds, median and p95.
 
-    Exact PERCENTILE keeps a value->count map per group, bounded by the number of
-    distinct millisecond durations; `exact=False` switches to percentile_approx
-    (fixed-size sketch) for very high-cardinality groups.
-    """
-    ms = duration_ms()
-    probs = F.array(F.lit(0.5), F.lit(0.95))
-    # one call with both probabilities: a single value map per group
-    pct = F.percentile(ms, probs) if exact else F.percentile_approx(ms, probs, accuracy)
-    g = (spans.groupBy("span_type")
-         .agg(F.count(F.lit(1)).alias("total_executions"), avg_seconds().alias("avg_duration"),
-              F.min(duration_s()).alias("min_duration"), F.max(duration_s()).alias("max_duration"),
-              pct.alias("_pct")))
-    g = g.select("span_type", "total_executions", "avg_duration", "min_duration", "max_duration",
-                 (F.col("_pct")[0] / F.lit(1000.0)).alias("median_duration"),
-                 (F.col("_pct")[1] / F.lit(1000.0)).alias("p95_duration"))
-    return order_small(g, F.desc("avg_duration"), "span_type")
+    The percentiles are exact: ranks over the counts per (type, duration), with
+    no value map per group (`scans.grouped_percentiles`)."""
+    plain = spans.groupBy("span_type").agg(
+        F.count(F.lit(1)).alias("total_executions"), avg_seconds().alias("avg_duration"),
+        F.min(duration_s()).alias("min_duration"), F.max(duration_s()).alias("max_duration"))
+    pct = grouped_percentiles(spans.select("span_type", duration_ms().alias("ms")), "span_type", "ms",
+                              {"median_ms": 0.5, "p95_ms": 0.95})
+    return (plain.join(pct.withColumnRenamed("span_type", "_type"), F.col("span_type").eqNullSafe(F.col("_type")), "left")
+            .select("span_type", "total_executions", "avg_duration", "min_duration", "max_duration",
+                    (F.col("median_ms") / F.lit(1000.0)).alias("median_duration"),
+                    (F.col("p95_ms") / F.lit(1000.0)).alias("p95_duration"))
+            .orderBy(F.desc("avg_duration"), "span_type"))
 
 
 def q15_latest_errors(spans, k=10):
@@ -200,7 +188,14 @@ def q15_latest_errors(spans, k=10):
 
 
 def q16_newest(spans, k=10):
-    return spans.orderBy(F.desc("start_time_ms"), "span_id").limit(k)
+    """Q16: the k newest spans, all columns. Top-k over the sort key alone, then
+    the rows of those keys, cut to k again in case a span was delivered twice."""
+    keys = ["start_time_ms", "span_id", "trace_id"]
+    top = spans.select(*keys).orderBy(F.desc("start_time_ms"), "span_id", "trace_id").limit(k).distinct()
+    top = top.select(*[F.col(c).alias(f"_{c}") for c in keys])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return (spans.join(F.broadcast(top), same, "left_semi")      # k keys at most
+            .orderBy(F.desc("start_time_ms"), "span_id", "trace_id").limit(k))
 
 
 def q17_avg_training_seconds(spans):
@@ -227,7 +222,7 @@ def q20_recent_training(spans, k=10):
 def q21_avg_by_operation(spans):
     return (spans.groupBy("span_name")
             .agg(F.count(F.lit(1)).alias("executions"), avg_seconds().alias("avg_seconds"))
-            .transform(lambda g: order_small(g, F.desc("avg_seconds"), "span_name")))
+            .orderBy(F.desc("avg_seconds"), "span_name"))
 
 
 def q22_error_rate(spans):
@@ -246,7 +241,7 @@ def q24_training_by_avg(spans):
     return (spans.filter(F.col("span_type") == TRAINING).groupBy("span_name")
             .agg(avg_seconds().alias("avg_duration_seconds"), F.count(F.lit(1)).alias("execution_count"),
                  error_count().alias("error_count"))
-            .transform(lambda g: order_small(g, F.desc("avg_duration_seconds"), "span_name")))
+            .orderBy(F.desc("avg_duration_seconds"), "span_name"))
 
 
 def q25_failed(spans):

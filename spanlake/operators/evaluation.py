@@ -85,10 +85,8 @@ def issue_summary(scores: DataFrame, k: int = EXAMPLES_PER_ISSUE) -> DataFrame:
 def evaluation_dataset(traces: DataFrame, feedback: DataFrame, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """V4: traces with their latest human labels and a reproducible split by hash."""
     lab = feedback.groupBy("trace_id").agg(
-        F.max_by(F.when(F.col("name") == "quality", F.col("value")),
-                 F.when(F.col("name") == "quality", F.col("create_ms"))).alias("quality_label"),
-        F.max_by(F.when(F.col("name") == "toxic", F.col("value")),
-                 F.when(F.col("name") == "toxic", F.col("create_ms"))).alias("toxic_label"))
+        F.max_by("value", F.when(F.col("name") == "quality", F.struct("create_ms", "value"))).alias("quality_label"),
+        F.max_by("value", F.when(F.col("name") == "toxic", F.struct("create_ms", "value"))).alias("toxic_label"))
     bucket = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}|"), F.col("trace_id")), 256), 1, 8), 16, 10) \
         .cast("bigint") % 1000
     return (traces.select("trace_id").join(lab, "trace_id", "inner")
@@ -120,14 +118,16 @@ def binary_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred"
 
 
 def train_and_evaluate(df: DataFrame, features: str = "embedding", label: str = "label", seed: int = 42):
-    """V7: 80/20 split, standardise, random forest (100 trees, depth 10), predict.
+    """V7: 80/20 split by a hash of the features (the same on every
+    partitioning), standardise, random forest (100 trees, depth 10), predict.
     Returns the test-set predictions (id columns kept) and the fitted model."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector
     data = df.withColumn("features_raw", array_to_vector(F.col(features).cast("array<double>")))
-    train, test = data.randomSplit([0.8, 0.2], seed=seed)
+    held_out = F.coalesce(F.pmod(F.xxhash64(F.lit(seed), F.col(features).cast("array<double>")), F.lit(5)) == 0, F.lit(False))
+    train, test = data.filter(~held_out), data.filter(held_out)
     pipe = Pipeline(stages=[
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
         RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=100, maxDepth=10, seed=seed),
@@ -150,7 +150,7 @@ def quality_by_version(enriched: DataFrame, summary: DataFrame, feedback: DataFr
     good, and the error-rate change from the previous version (window over the
     versions of one prompt: a handful of rows per partition)."""
     q = (feedback.filter(F.col("name") == "quality").groupBy("trace_id")
-         .agg(F.max_by("value", "create_ms").alias("quality")))
+         .agg(F.max_by("value", F.struct("create_ms", "value")).alias("quality")))
     j = (enriched.filter(F.col("prompt_version").isNotNull())
          .select("trace_id", "prompt_name", "prompt_version")
          .join(summary.select("trace_id", "error_span_count"), "trace_id")

@@ -57,24 +57,43 @@ def trace_summary(spans: DataFrame, with_payload: bool = True, with_session: boo
     )
 
 
-def trace_tags(spans: DataFrame) -> DataFrame:
-    """Trace-level tag map (every span of a trace carries the same map)."""
-    return spans.groupBy("trace_id").agg(F.first("tags", ignorenulls=True).alias("tags"))
+def trace_tags(spans: DataFrame, tag_log: DataFrame | None = None) -> DataFrame:
+    """Tag map of every trace: the one stored with its first span that has any
+    (by start, then id), with the tag log laid over it: the last write of a key
+    replaces the stored value. Log rows of traces without spans have no effect."""
+    has_any = F.when(F.size("tags") > 0, F.struct("start_time_ms", "span_id"))
+    stored = spans.groupBy("trace_id").agg(F.min_by("tags", has_any).alias("tags"))
+    none = F.create_map().cast("map<string,string>")
+    if tag_log is None:
+        return stored.select("trace_id", F.coalesce("tags", none).alias("tags"))
+    from spanlake.operators.annotations import tag_maps
+    late = tag_maps(tag_log).withColumnRenamed("tags", "_late")
+    late_map = F.coalesce("_late", none)
+    kept = F.map_filter(F.coalesce("tags", none), lambda k, _: ~F.array_contains(F.map_keys(late_map), k))
+    return stored.join(late, "trace_id", "left").select("trace_id", F.map_concat(kept, late_map).alias("tags"))
 
 
 def list_recent_traces(spans: DataFrame, max_results: int = 10) -> DataFrame:
-    """Id, UTC time, status and a 60-character input preview, newest first."""
-    s = trace_summary(spans, with_session=False)
-    return (s.select("trace_id", "timestamp_ms", "status", "request")
+    """Id, UTC time, status and a 60-character input preview, newest first.
+
+    The newest traces are found without payloads; only their root spans' inputs
+    are then read (of a root delivered twice, the smaller input)."""
+    top = (trace_summary(spans, with_payload=False, with_session=False)
+           .select("trace_id", "root_span_id", "timestamp_ms", "status")
+           .orderBy(F.desc("timestamp_ms"), "trace_id").limit(max_results))
+    roots = spans.select(F.col("trace_id").alias("_trace"), F.col("span_id").alias("_span"), "inputs")
+    at_root = F.col("_trace").eqNullSafe(F.col("trace_id")) & F.col("_span").eqNullSafe(F.col("root_span_id"))
+    return (roots.join(F.broadcast(top), at_root)      # max_results rows
+            .groupBy("trace_id", "timestamp_ms", "status").agg(F.min("inputs").alias("request"))
             .orderBy(F.desc("timestamp_ms"), "trace_id").limit(max_results)
             .select("trace_id", fmt_utc("timestamp_ms").alias("timestamp"), "status",
                     preview("request").alias("input_preview")))
 
 
-def most_recent_session_trace(spans: DataFrame) -> DataFrame:
-    """Newest trace that is not a companion env_snapshot trace (tags lacking
-    the key are kept: null-safe inequality)."""
-    s = trace_summary(spans, with_payload=False, with_session=False).join(trace_tags(spans), "trace_id", "left")
+def most_recent_session_trace(spans: DataFrame, tag_log: DataFrame | None = None) -> DataFrame:
+    """Newest trace that is not a companion env_snapshot trace, by its stored
+    tags and the tag log (tags lacking the key are kept: null-safe inequality)."""
+    s = trace_summary(spans, with_payload=False, with_session=False).join(trace_tags(spans, tag_log), "trace_id", "left")
     return (s.filter(tag_not_equals("cc_env.type", COMPANION_TYPE))
             .orderBy(F.desc("timestamp_ms"), "trace_id").limit(1).select("trace_id"))
 

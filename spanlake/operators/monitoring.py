@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import avg_seconds, duration_ms, error_count
+from spanlake.functions.scans import grouped_percentiles
 
 MAD_SCALE = 0.6745        # robust z-score constant (Iglewicz & Hoaglin)
 MAD_THRESHOLD = 3.5
@@ -29,15 +30,16 @@ def unusual_durations(spans: DataFrame, group: str = "span_name", threshold: flo
     """M2 'unusual patterns': spans whose duration has robust z-score
     |0.6745 (x - median) / MAD| > threshold within their group.
 
-    Median and MAD are exact percentiles over millisecond durations (a
-    value->count map bounded by the distinct durations). Group statistics are
-    one row per group and join back on the group key."""
-    ms = duration_ms().alias("ms")
-    base = spans.select("span_id", "trace_id", group, ms).filter(F.col("ms").isNotNull())
-    med = base.groupBy(group).agg(F.percentile("ms", F.lit(0.5)).alias("median_ms"))
-    dev = base.join(med, group).withColumn("absdev", F.abs(F.col("ms").cast("double") - F.col("median_ms")))
-    mad = dev.groupBy(group).agg(F.percentile("absdev", F.lit(0.5)).alias("mad_ms"))
-    j = dev.join(mad, group).filter(F.col("mad_ms") > 0)
+    Median and MAD are exact and come from the counts per (group, duration):
+    both percentiles see one row per distinct duration, and the spans are
+    scanned once for the counts and once more for the join with the group
+    statistics (one row per group)."""
+    base = spans.select("span_id", "trace_id", group, duration_ms().alias("ms")).filter(F.col("ms").isNotNull() & F.col(group).isNotNull())
+    hist = base.groupBy(group, "ms").agg(F.count(F.lit(1)).alias("n"))
+    med = grouped_percentiles(hist, group, "ms", {"median_ms": 0.5}, count="n")
+    dev = hist.join(med, group).withColumn("absdev", F.abs(F.col("ms").cast("double") - F.col("median_ms")))
+    mad = grouped_percentiles(dev, group, "absdev", {"mad_ms": 0.5}, count="n")
+    j = base.join(med.join(mad.filter(F.col("mad_ms") > 0), group), group)
     z = F.lit(MAD_SCALE) * (F.col("ms").cast("double") - F.col("median_ms")) / F.col("mad_ms")
     return (j.select("span_id", "trace_id", group, F.col("ms").alias("duration_ms"), "median_ms", "mad_ms",
                      z.alias("robust_z"))
@@ -87,27 +89,28 @@ def contract_audit(spans: DataFrame, experiments: DataFrame | None = None, runs:
                                            for c in cols])).alias("c")).select("c.*")
 
 
-def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per column: rows, nulls, distinct values, min and max (as text).
 
-    Two one-row aggregates over the same scan, combined by a one-row cross
-    join: the plain counts/min/max, and the distinct counts. Spark evaluates
-    several exact distinct counts by expanding each row once per counted
-    column; keeping the plain aggregates out of that expansion halves the
-    work (measured). `exact=False` uses HyperLogLog sketches instead (one
-    pass, fixed memory) - the choice for very large tables."""
+    Counts, min and max are one aggregate. The distinct values are counted from
+    (column, value) pairs: duplicates go in the partial aggregate and every
+    value is a group of its own, so no column's values meet in one task. Map and
+    array columns need a comparable form first (`dashboards.flatten_maps`)."""
     columns = columns or df.columns
     plain = [F.count(F.lit(1)).alias("_n")]
     for c in columns:
         plain += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
                   F.min(c).cast("string").alias(f"{c}__min"), F.max(c).cast("string").alias(f"{c}__max")]
-    distinct = [(F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias(f"{c}__distinct")
-                for c in columns]
-    wide = df.agg(*plain).crossJoin(df.agg(*distinct))  # one row each
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col("_n").alias("n_rows"),
-                     F.col(f"{c}__nulls").alias("n_nulls"), F.col(f"{c}__distinct").alias("n_distinct"),
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col("_n").alias("n_rows"), F.col(f"{c}__nulls").alias("n_nulls"),
                      F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value")) for c in columns]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    stats = df.agg(*plain).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
+                                          for c in columns])).alias("p")).select("p.*")
+    values = pairs.filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.lit(1).alias("one"))
+    distinct = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return (stats.join(distinct, "column_name", "left")
+            .select("column_name", "n_rows", "n_nulls", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
+                    "min_value", "max_value"))
 
 
 def with_span_date(spans: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlake.functions.exprs import iso_utc, prompt_uri, skill_invocation_name, strip_ws
+from spanlake.functions.exprs import epoch_ntz, iso_utc, prompt_uri, skill_invocation_name, strip_ws
 
 # Fixed values that must equal the reference's.
 SKIP_SKILLS = ("feedback-trace", "tag-trace")
@@ -251,3 +251,41 @@ def companion_traces(enriched: DataFrame) -> DataFrame:
         "git_sha", "claude_md_hash", "prompt_uri",
         F.lit(COMPANION_TYPE).alias("companion_type"),
     )
+
+
+def companion_spans(companions: DataFrame, traces: DataFrame) -> DataFrame:
+    """The companions as rows of the span table: one root span per companion
+    trace (name env_snapshot, type UNKNOWN), of the experiment of its session
+    trace, at the Stop, which is the end of that trace's root (its start when
+    open). `companions` from `companion_traces`, `traces` with trace_id,
+    experiment_id, timestamp_ms and end_time_ms (T12). The stored tag map is
+    empty: the tags are log rows (`companion_tag_rows`)."""
+    from spanlake.schema import SPAN
+    cid = F.col("companion_trace_id")
+    stop = F.greatest("timestamp_ms", F.coalesce("end_time_ms", "timestamp_ms"))
+    seconds = (stop.cast("decimal(20,3)") / F.lit(1000)).cast("decimal(18,6)")
+    result = F.to_json(F.struct("session_id", "session_trace_id", "git_sha", "claude_md_hash"))
+    t = traces.select(F.col("trace_id").alias("session_trace_id"), "experiment_id", "timestamp_ms", "end_time_ms")
+    values = {
+        "request_id": F.concat(F.lit("rq-"), cid), "trace_id": cid, "span_id": F.concat(F.lit("sp-"), cid),
+        "span_name": F.lit(COMPANION_TYPE), "span_type": F.lit("UNKNOWN"), "start_time_ms": stop, "end_time_ms": stop,
+        "status": F.lit("OK"), "attributes": F.create_map(), "events": F.array(), "request_metadata": F.create_map(),
+        "execution_order": F.lit(1), "outputs": result, "tags": F.create_map(), "experiment_id": F.col("experiment_id"),
+        "timestamp": epoch_ntz() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds),
+    }
+    return companions.join(t, "session_trace_id", "left").select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SPAN.fields])
+
+
+def companion_tag_rows(companions: DataFrame, seq: F.Column | None = None) -> DataFrame:
+    """E4/J6 as tag-log rows (trace_id, seq, key, value): type, session and
+    session trace on the companion, and the back-reference on the session trace."""
+    seq = F.lit(0).cast("bigint") if seq is None else seq
+
+    def row(trace, key, value):
+        return F.struct(F.col(trace).alias("trace_id"), F.lit(ENV_TAG_PREFIX + key).alias("key"), F.col(value).alias("value"))
+
+    rows = F.array(row("companion_trace_id", "type", "companion_type"), row("companion_trace_id", "session_id", "session_id"),
+                   row("companion_trace_id", "session_trace_id", "session_trace_id"),
+                   row("session_trace_id", "snapshot_trace_id", "companion_trace_id"))
+    return companions.select(seq.alias("seq"), F.explode(rows).alias("r")).select("r.trace_id", "seq", "r.key", "r.value")

@@ -56,7 +56,7 @@ def j7(spark, sf):
 SELECT DISTINCT s.trace_id FROM spans s JOIN tag_latest t ON t.trace_id = s.trace_id
 WHERE t.key = 'click' AND t.value = '1'""", "spans", "tag_log", extra=TAG_LATEST))
 def f6(spark, sf):
-    return A.search_by_tag(trace_tags(spans(spark, sf)), "click", "1").select("trace_id")
+    return A.search_by_tag(trace_tags(spans(spark, sf), table(spark, sf, "tag_log")), "click", "1").select("trace_id")
 
 
 @query("f7_tag_exclude", with_tables("""
@@ -64,7 +64,7 @@ SELECT DISTINCT s.trace_id FROM spans s WHERE NOT EXISTS
  (SELECT 1 FROM tag_latest t WHERE t.trace_id = s.trace_id AND t.key = 'purchase' AND t.value = '3')""",
     "spans", "tag_log", extra=TAG_LATEST))
 def f7(spark, sf):
-    return A.search_excluding_tag(trace_tags(spans(spark, sf)), "purchase", "3").select("trace_id")
+    return A.search_excluding_tag(trace_tags(spans(spark, sf), table(spark, sf, "tag_log")), "purchase", "3").select("trace_id")
 
 
 @query("f8_metadata_search", with_tables("""

@@ -3,7 +3,7 @@
 from spanlake.operators import lineage as L
 from spanlake.plans.fixture_sql import with_tables
 from spanlake.plans.q_dashboards import LINEAGE_SQL
-from spanlake.plans.registry import query, spans
+from spanlake.plans.registry import query, spans, table
 from spanlake.operators.dashboards import trace_lineage
 
 ROOT_CTE = """
@@ -42,7 +42,7 @@ WHERE NOT EXISTS (SELECT 1 FROM tag_log t WHERE t.trace_id = s.trace_id AND t.ke
                   AND t.value = 'env_snapshot')
 ORDER BY timestamp_ms DESC, trace_id LIMIT 1""", "spans", "tag_log", extra=ROOT_CTE))
 def t7(spark, sf):
-    return L.most_recent_session_trace(spans(spark, sf))
+    return L.most_recent_session_trace(spans(spark, sf), table(spark, sf, "tag_log"))
 
 
 TREE_CTE = """

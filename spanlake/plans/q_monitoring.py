@@ -1,13 +1,16 @@
 """Registered monitoring / maintenance queries: M1-M3, C1-C4."""
 
 from spanlake.operators import monitoring as M
+from spanlake.operators.dashboards import flatten_maps
 from spanlake.plans.fixture_sql import percentile_ctes, with_tables
+from spanlake.plans.q_dashboards import ALL_SPANS_SQL, TAG_TEXT_CTE
 from spanlake.plans.registry import query, spans
 from spanlake.sources import dimensions as D
 
 AS_OF_RETENTION = "2024-01-31 00:00:00"
-PROFILE_COLUMNS = ["request_id", "trace_id", "span_id", "span_name", "span_type", "parent_span_id",
-                   "start_time_ms", "end_time_ms", "status", "execution_order", "experiment_id"]
+PROFILE_COLUMNS = ["request_id", "trace_id", "span_id", "span_name", "span_type", "parent_span_id", "start_time_ms",
+                   "end_time_ms", "status", "attributes", "events_count", "request_metadata", "execution_order",
+                   "inputs", "outputs", "tags", "experiment_id", "timestamp"]
 
 
 @query("m1_dashboard_hourly", with_tables("""
@@ -67,13 +70,13 @@ def _profile_sql():
     for c in PROFILE_COLUMNS:
         parts.append(f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, "
                      f"count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS VARCHAR) AS min_value, "
-                     f"CAST(max({c}) AS VARCHAR) AS max_value FROM spans")
+                     f"CAST(max({c}) AS VARCHAR) AS max_value FROM flat")
     return "\nUNION ALL ".join(parts)
 
 
-@query("c2_column_profile", with_tables(_profile_sql(), "spans"))
+@query("c2_column_profile", with_tables(_profile_sql(), "spans", "tag_log", extra=TAG_TEXT_CTE + ",\nflat AS (" + ALL_SPANS_SQL + ")"))
 def c2(spark, sf):
-    return M.column_profile(spans(spark, sf), PROFILE_COLUMNS)
+    return M.column_profile(flatten_maps(spans(spark, sf)), PROFILE_COLUMNS)
 
 
 @query("c3_retention_tiers", with_tables(f"""

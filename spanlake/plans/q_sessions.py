@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from spanlake.operators import prompts as P
 from spanlake.operators import sessions as SS
+from spanlake.operators.annotations import search_by_tag
+from spanlake.operators.lineage import most_recent_session_trace, trace_summary, trace_tags
 from spanlake.plans.fixture_sql import with_tables
 from spanlake.plans.q_lineage import ROOT_CTE
 from spanlake.plans.registry import query, spans, table
@@ -149,6 +151,63 @@ def j6(spark, sf):
                        F.col("companion_trace_id").alias("snapshot_trace_id"), "session_id")
 
 
+COMPANION_TAGS_SQL = f"""
+SELECT companion_trace_id AS trace_id, 'cc_env.type' AS key, 'env_snapshot' AS value FROM ({COMPANION_SQL})
+UNION ALL SELECT companion_trace_id, 'cc_env.session_id', session_id FROM ({COMPANION_SQL})
+UNION ALL SELECT companion_trace_id, 'cc_env.session_trace_id', session_trace_id FROM ({COMPANION_SQL})
+UNION ALL SELECT session_trace_id, 'cc_env.snapshot_trace_id', companion_trace_id FROM ({COMPANION_SQL})"""
+COMPANION_SPANS_SQL = f"""
+SELECT c.companion_trace_id AS trace_id, greatest(s.timestamp_ms, coalesce(s.end_time_ms, s.timestamp_ms)) AS start_time_ms,
+ s.experiment_id, '{{"session_id":"' || c.session_id || '","session_trace_id":"' || c.session_trace_id || '","git_sha":"'
+ || c.git_sha || '","claude_md_hash":"' || c.claude_md_hash || '"}}' AS outputs
+FROM ({COMPANION_SQL}) c JOIN summary s ON s.trace_id = c.session_trace_id"""
+
+
+def _store_with_companions(spark, sf):
+    """(spans, tag log) after the enrichment: companions are traces, tags are writes."""
+    s = spans(spark, sf)
+    enriched, _ = _enrich(spark, sf)
+    comp = SS.companion_traces(enriched)
+    found = SS.companion_spans(comp, trace_summary(s, with_payload=False, with_session=False))
+    written = SS.enrichment_tag_rows(enriched).unionByName(SS.companion_tag_rows(comp))
+    log = table(spark, sf, "tag_log").select("trace_id", "seq", "key", "value").unionByName(written)
+    return s.unionByName(found), log, found, comp
+
+
+@query("e4_companion_spans", with_tables(f"""
+SELECT 'rq-' || trace_id AS request_id, trace_id, 'sp-' || trace_id AS span_id, 'env_snapshot' AS span_name,
+ 'UNKNOWN' AS span_type, start_time_ms, start_time_ms AS end_time_ms, 'OK' AS status, experiment_id, outputs,
+ make_timestamp(start_time_ms * 1000) AS timestamp FROM ({COMPANION_SPANS_SQL})""",
+    "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
+def e4_spans(spark, sf):
+    _, _, found, _ = _store_with_companions(spark, sf)
+    return found.select("request_id", "trace_id", "span_id", "span_name", "span_type", "start_time_ms", "end_time_ms",
+                        "status", "experiment_id", "outputs", "timestamp")
+
+
+@query("e4_companion_tags", with_tables(COMPANION_TAGS_SQL, "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
+def e4_tags(spark, sf):
+    _, _, _, comp = _store_with_companions(spark, sf)
+    return SS.companion_tag_rows(comp).drop("seq")
+
+
+@query("e2_search_by_env_tag", with_tables("SELECT DISTINCT trace_id FROM enriched WHERE git_dirty = 'true'",
+                                           "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
+def e2_search(spark, sf):
+    """F6 over tags that the enrichment wrote to the log."""
+    store, log, _, _ = _store_with_companions(spark, sf)
+    return search_by_tag(trace_tags(store, log), "cc_env.git_dirty", "true").select("trace_id")
+
+
+@query("t7_excludes_companions", with_tables(f"""
+SELECT trace_id FROM summary WHERE trace_id NOT IN (SELECT companion_trace_id FROM ({COMPANION_SQL}))
+ORDER BY timestamp_ms DESC, trace_id LIMIT 1""", "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
+def t7_companions(spark, sf):
+    """T7 over a store that holds companion traces, tagged through the log."""
+    store, log, _, _ = _store_with_companions(spark, sf)
+    return most_recent_session_trace(store, log)
+
+
 @query("e5_consume_once", with_tables("""
 SELECT session_id, arg_max(snapshot_ms, snapshot_ms) AS snapshot_ms, arg_max(git_sha, snapshot_ms) AS git_sha
 FROM env_snapshots GROUP BY session_id""", "env_snapshots"))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from spanlake.schema import EXPERIMENT, RUN
 
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def experiments_from_spans(spans: DataFrame) -> DataFrame:
     """One row per experiment seen in the span table."""
@@ -48,10 +46,8 @@ def read_dimension(spark, path: str, kind: str) -> DataFrame:
     return spark.read.schema({"experiment": EXPERIMENT, "run": RUN}[kind]).parquet(path)
 
 
-def join_dimension(facts: DataFrame, dim: DataFrame, key: str, how: str = "left",
-                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact ⋈ dimension. The dimension is broadcast only after a bounded
-    count proves it has at most `max_broadcast_rows` rows; otherwise it is a
-    shuffle join (and AQE may still broadcast from runtime sizes)."""
-    small = dim.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    return facts.join(F.broadcast(dim) if small else dim, key, how)
+def join_dimension(facts: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Fact ⋈ dimension, without a hint: Spark broadcasts the dimension when
+    its size in bytes, estimated or measured at run time (AQE), is under its
+    threshold, and otherwise shuffles both sides, splitting a hot key."""
+    return facts.join(dim, key, how)

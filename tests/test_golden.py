@@ -367,3 +367,31 @@ def test_e5_first_stop_after_snapshot_supersede_and_buckets(spark):
         got = {(r.session_id, r.snapshot_ms): r.trace_id
                for r in first_stop_after_snapshot(traces, snaps, bucket_ms=bucket).collect()}
         assert got == {("s", 10): "t1", ("s", 30): None, ("s", 31): "t2", ("s", 100): None, ("u", 1): "u1"}
+
+
+def test_tag_log_lies_over_stored_tags(spark):
+    from spanlake.operators.lineage import most_recent_session_trace, trace_tags
+    spans = make_spans(spark, [
+        {"trace_id": "a", "span_id": "1", "start_time_ms": 1},
+        {"trace_id": "a", "span_id": "2", "start_time_ms": 2, "tags": {"k": "stored", "m": "kept"}},
+        {"trace_id": "a", "span_id": "3", "start_time_ms": 3, "tags": {"k": "later span"}},
+        {"trace_id": "b", "span_id": "4", "start_time_ms": 9},
+    ])
+    log = spark.createDataFrame([("a", 1, "k", "first"), ("a", 2, "k", "last"), ("b", 1, "cc_env.type", "env_snapshot"),
+                                 ("gone", 1, "k", "v")], "trace_id string, seq long, key string, value string")
+    assert dict(rows(trace_tags(spans), "trace_id", "tags")) == {"a": {"k": "stored", "m": "kept"}, "b": {}}
+    assert dict(rows(trace_tags(spans, log), "trace_id", "tags")) == {
+        "a": {"k": "last", "m": "kept"}, "b": {"cc_env.type": "env_snapshot"}}
+    assert rows(most_recent_session_trace(spans), "trace_id") == [("b",)]
+    assert rows(most_recent_session_trace(spans, log), "trace_id") == [("a",)]
+
+
+def test_exact_percentiles_equal_the_builtin(spark):
+    from pyspark.sql import functions as F
+    from spanlake.functions.scans import grouped_percentiles
+    data = [("a", v) for v in (-7, 0, 0, 3, 10_000, 10_000, 123_456_789)] + [("b", 5), (None, 1), (None, 4), ("c", None)]
+    df = spark.createDataFrame(data, "g string, v long")
+    want = df.filter("v is not null").groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("p50"), F.percentile("v", F.lit(0.95)).alias("p95"))
+    got = grouped_percentiles(df, "g", "v", {"p50": 0.5, "p95": 0.95})
+    key = lambda r: str(r)
+    assert sorted(rows(got, "g", "p50", "p95"), key=key) == sorted(rows(want, "g", "p50", "p95"), key=key)

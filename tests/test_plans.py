@@ -84,14 +84,28 @@ def test_issue_examples_use_group_limit(spark, spans):
     assert "WindowGroupLimit" in p
 
 
-def test_dimension_join_broadcast_is_size_checked(spark, spans):
+def test_dimension_join_has_no_hint_and_no_action(spark, spans):
     from spanlake.sources.dimensions import experiments_from_spans, join_dimension
     exps = experiments_from_spans(spans).select("experiment_id", "name")
-    hinted = plan(join_dimension(spans, exps, "experiment_id"), "extended")
-    assert "strategy=broadcast" in hinted
-    # over the bound: no forced broadcast (Spark's own size estimate / AQE still apply)
-    unhinted = plan(join_dimension(spans, exps, "experiment_id", max_broadcast_rows=1), "extended")
-    assert "strategy=broadcast" not in unhinted
+    tracker = spark.sparkContext.statusTracker()
+    jobs = set(tracker.getJobIdsForGroup(None))
+    joined = join_dimension(spans, exps, "experiment_id")
+    assert set(tracker.getJobIdsForGroup(None)) == jobs
+    assert "strategy=broadcast" not in plan(joined, "extended")
+
+
+def test_exact_percentiles_need_no_value_map_and_no_single_task(spans):
+    from spanlake.operators.dashboards import q14_duration_profile, q21_avg_by_operation
+    from spanlake.operators.monitoring import unusual_durations
+    for df in (q14_duration_profile(spans), unusual_durations(spans), q21_avg_by_operation(spans)):
+        p = plan(df, "simple")
+        assert "percentile(" not in p and "SinglePartition" not in p
+
+
+def test_newest_spans_sort_keys_only(spans):
+    from spanlake.operators.dashboards import q16_newest
+    reads = [l for l in plan(q16_newest(spans)).splitlines() if l.startswith("ReadSchema")]
+    assert any("inputs" not in r for r in reads)
 
 
 def test_session_lookup_does_not_read_payload_columns(spans):
