@@ -96,16 +96,17 @@ def grouped_percentiles(df: DataFrame, group: str, value: str, probs: dict[str,
     size = F.floor(F.log2(F.abs(v) + F.lit(1.0)) * F.lit(64.0))
     bucket = F.when(v < 0, -size).otherwise(size)
     weight = F.lit(1) if count is None else F.col(count)
-    hist = (df.select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"), weight.alias("_w")).filter(v.isNotNull())
-            .groupBy("_g", "_v").agg(F.sum("_w").alias("_c")).withColumn("_b", bucket))
+    # a struct key: equal also where the group is null
+    rows = df.select(F.struct(F.col(group).alias("g")).alias("_g"), F.col(value).cast("double").alias("_v"), weight.alias("_w"))
+    # one exchange by (group, bucket) serves the cells, the running counts and the join
+    hist = (rows.filter(v.isNotNull()).withColumn("_b", bucket)
+            .groupBy("_g", "_b", "_v").agg(F.sum("_w").alias("_c")).repartition("_g", "_b"))
     below = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     cells = (hist.groupBy("_g", "_b").agg(F.sum("_c").alias("_n"))
-             .select(F.col("_g").alias("_cg"), F.col("_b").alias("_cb"),
-                     F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_before"),
+             .select("_g", "_b", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_before"),
                      F.sum("_n").over(Window.partitionBy("_g")).alias("_total")))
     inside = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (hist.withColumn("_run", F.sum("_c").over(inside))
-              .join(cells, F.col("_g").eqNullSafe(F.col("_cg")) & (F.col("_b") == F.col("_cb")))
+    ranked = (hist.withColumn("_run", F.sum("_c").over(inside)).join(cells, ["_g", "_b"])
               .withColumn("_to", F.col("_before") + F.col("_run")).withColumn("_from", F.col("_to") - F.col("_c")))
     picks, out = [F.max("_total").alias("_total")], []
     for i, (alias, p) in enumerate(probs.items()):
@@ -114,4 +115,4 @@ def grouped_percentiles(df: DataFrame, group: str, value: str, probs: dict[str,
             picks.append(F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), v)).alias(f"_{end}{i}"))
         out.append(F.when(F.floor(at) == F.ceil(at), F.col(f"_lo{i}"))
                    .otherwise((F.ceil(at) - at) * F.col(f"_lo{i}") + (at - F.floor(at)) * F.col(f"_hi{i}")).alias(alias))
-    return ranked.groupBy("_g").agg(*picks).select(F.col("_g").alias(group), *out)
+    return ranked.groupBy("_g").agg(*picks).select(F.col("_g.g").alias(group), *out)

@@ -59,34 +59,42 @@ def slo_report(spans: DataFrame, latency_s: float = 10.0, slo: float = 0.99, by:
     return g.withColumn("error_budget_remaining", F.lit(1.0) - F.col("error_rate") / F.lit(1.0 - slo))
 
 
+def _as_checks(one_row: DataFrame) -> DataFrame:
+    """A one-row frame of counters as rows (check_name, violations)."""
+    return one_row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("check_name"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("violations"))
+        for c in one_row.columns])).alias("c")).select("c.*")
+
+
 def contract_audit(spans: DataFrame, experiments: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
-    """Violation counts per check: NOT NULL request_id/span_id, duplicate
-    span ids inside a trace, dangling parents, end before start, and primary-key
-    duplicates of the dimensions. Each part is one aggregate (one row), so the
-    final cross join only combines single rows."""
+    """Violation counts per check: NOT NULL request_id/span_id, end before
+    start, duplicate span ids inside a trace, dangling parents, and duplicate or
+    null primary keys of the dimensions.
+
+    The row checks are one aggregate. Duplicates and dangling parents come from
+    one pass: every span names its own id and its parent's, and each (trace, id)
+    counts both kinds of mention; partial counts keep a parent of very many
+    children from being one group. A null trace id matches no parent."""
+    surplus = lambda n: F.sum(F.when(F.col(n) > 1, F.col(n) - 1))
     row = spans.agg(
         F.count_if(F.col("request_id").isNull()).alias("null_request_id"),
         F.count_if(F.col("span_id").isNull()).alias("null_span_id"),
         F.count_if(F.coalesce(F.col("end_time_ms") < F.col("start_time_ms"), F.lit(False))).alias("end_before_start"))
-    dup = (spans.filter(F.col("span_id").isNotNull()).groupBy("trace_id", "span_id").agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("duplicate_span_id")))
-    ids = spans.select(F.col("trace_id").alias("p_trace"), F.col("span_id").alias("p_id"))
-    dangling = (spans.filter(F.col("parent_span_id").isNotNull())
-                .join(ids, (F.col("trace_id") == F.col("p_trace")) & (F.col("parent_span_id") == F.col("p_id")),
-                      "left_anti")
-                .agg(F.count(F.lit(1)).alias("dangling_parent")))
-    parts = [row, dup, dangling]
-    for name, dim, key in (("experiment_pk_duplicate", experiments, "experiment_id"), ("run_pk_duplicate", runs, "run_id")):
+    mention = lambda c, own: F.struct(F.col(c).alias("id"), F.lit(own).alias("own"))
+    named = (spans.select("trace_id", F.explode(F.array(mention("span_id", 1), mention("parent_span_id", 0))).alias("m"))
+             .filter(F.col("m.id").isNotNull())
+             .groupBy("trace_id", "m.id").agg(F.sum("m.own").alias("n"), F.sum(1 - F.col("m.own")).alias("n_children")))
+    keyed = named.agg(
+        surplus("n").alias("duplicate_span_id"),
+        F.sum(F.when((F.col("n") == 0) | F.col("trace_id").isNull(), F.col("n_children"))).alias("dangling_parent"))
+    out = _as_checks(row).unionByName(_as_checks(keyed))
+    for name, dim, key in (("experiment", experiments, "experiment_id"), ("run", runs, "run_id")):
         if dim is not None:
-            parts.append(dim.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-                         .agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias(name)))
-            parts.append(dim.agg(F.count_if(F.col(key).isNull()).alias(f"{name.split('_pk')[0]}_null_key")))
-    wide = parts[0]
-    for p in parts[1:]:
-        wide = wide.crossJoin(p)  # every part is exactly one row
-    cols = wide.columns
-    return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("check_name"), F.col(c).cast("bigint").alias("violations"))
-                                           for c in cols])).alias("c")).select("c.*")
+            per = dim.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+            out = out.unionByName(_as_checks(per.agg(
+                F.sum(F.when(F.col("k").isNotNull() & (F.col("n") > 1), F.col("n") - 1)).alias(f"{name}_pk_duplicate"),
+                F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias(f"{name}_null_key"))))
+    return out
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

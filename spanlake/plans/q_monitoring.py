@@ -1,5 +1,7 @@
 """Registered monitoring / maintenance queries: M1-M3, C1-C4."""
 
+from pyspark.sql import functions as F
+
 from spanlake.operators import monitoring as M
 from spanlake.operators.dashboards import flatten_maps
 from spanlake.plans.fixture_sql import percentile_ctes, with_tables
@@ -58,11 +60,21 @@ UNION ALL SELECT 'duplicate_span_id', coalesce(sum(n - 1), 0) FROM
   (SELECT count(*) AS n FROM spans WHERE span_id IS NOT NULL GROUP BY trace_id, span_id HAVING count(*) > 1)
 UNION ALL SELECT 'dangling_parent', count(*) FROM spans c WHERE parent_span_id IS NOT NULL AND NOT EXISTS
   (SELECT 1 FROM spans p WHERE p.trace_id = c.trace_id AND p.span_id = c.parent_span_id)
-UNION ALL SELECT 'experiment_pk_duplicate', 0 UNION ALL SELECT 'experiment_null_key', 0
-UNION ALL SELECT 'run_pk_duplicate', 0 UNION ALL SELECT 'run_null_key', 0""", "spans"))
+UNION ALL SELECT 'experiment_pk_duplicate', count(k) - count(DISTINCT k) FROM exps
+UNION ALL SELECT 'experiment_null_key', count(*) FROM exps WHERE k IS NULL
+UNION ALL SELECT 'run_pk_duplicate', count(k) - count(DISTINCT k) FROM run_keys
+UNION ALL SELECT 'run_null_key', count(*) FROM run_keys WHERE k IS NULL""", "spans", extra="""
+exps AS (SELECT experiment_id AS k FROM (SELECT DISTINCT experiment_id FROM spans) UNION ALL
+  SELECT CASE WHEN experiment_id < '3' THEN experiment_id END FROM (SELECT DISTINCT experiment_id FROM spans)),
+run_keys AS (SELECT trace_id AS k FROM (SELECT DISTINCT trace_id FROM spans) UNION ALL
+  SELECT CASE WHEN trace_id LIKE '%-1' THEN trace_id END FROM (SELECT DISTINCT trace_id FROM spans))"""))
 def c1(spark, sf):
+    """The dimensions carry faults: every row a second time, with its key or without one."""
     s = spans(spark, sf)
-    return M.contract_audit(s, D.experiments_from_spans(s), D.runs_from_spans(s))
+    exps, runs = D.experiments_from_spans(s), D.runs_from_spans(s)
+    again = exps.withColumn("experiment_id", F.when(F.col("experiment_id") < "3", F.col("experiment_id")))
+    rerun = runs.withColumn("run_id", F.when(F.col("run_id").like("%-1"), F.col("run_id")))
+    return M.contract_audit(s, exps.unionByName(again), runs.unionByName(rerun))
 
 
 def _profile_sql():
@@ -83,7 +95,6 @@ def c2(spark, sf):
 SELECT CASE WHEN timestamp < TIMESTAMP '{AS_OF_RETENTION}' - INTERVAL 7 DAY THEN 'archive' ELSE 'live' END AS tier,
  CAST(timestamp AS DATE) AS span_date, count(*) AS n_spans FROM spans GROUP BY 1, 2""", "spans"))
 def c3(spark, sf):
-    from pyspark.sql import functions as F
     return (M.retention_tiers(spans(spark, sf), AS_OF_RETENTION).groupBy("tier", "span_date")
             .agg(F.count(F.lit(1)).alias("n_spans")))
 
@@ -92,6 +103,5 @@ def c3(spark, sf):
 SELECT CAST(timestamp AS DATE) AS span_date, count(*) AS n_spans, count(DISTINCT trace_id) AS n_traces
 FROM spans GROUP BY 1""", "spans"))
 def c4(spark, sf):
-    from pyspark.sql import functions as F
     return (M.with_span_date(spans(spark, sf)).groupBy("span_date")
             .agg(F.count(F.lit(1)).alias("n_spans"), F.count_distinct("trace_id").alias("n_traces")))

@@ -215,24 +215,31 @@ def e5(spark, sf):
     return SS.consume_snapshots(table(spark, sf, "env_snapshots")).select("session_id", "snapshot_ms", "git_sha")
 
 
-@query("e6_instruction_hash", with_tables("""
-SELECT session_id, CASE WHEN instructions = '' THEN 'none' ELSE sha256(instructions) END AS claude_md_hash
-FROM env_snapshots""", "env_snapshots"))
+@query("e6_instruction_hash", """
+SELECT 'sess-' || CAST(doc_id AS VARCHAR) AS session_id,
+ CASE WHEN text IS NULL OR text = '' THEN 'none' ELSE sha256(text) END AS claude_md_hash FROM documents""")
 def e6(spark, sf):
-    env = table(spark, sf, "env_snapshots")
-    return env.select("session_id", P.content_hash(F.when(F.col("instructions") != "", F.col("instructions")))
-                      .alias("claude_md_hash"))
+    """The whole text of each document as a session's instructions."""
+    docs = table(spark, sf, "documents")
+    return docs.select(F.concat(F.lit("sess-"), F.col("doc_id").cast("string")).alias("session_id"),
+                       P.content_hash(F.when(F.col("text") != "", F.col("text"))).alias("claude_md_hash"))
+
+
+FILES_PER_SNAPSHOT = 20
 
 
-@query("a9_skills_hash", """
-SELECT source AS project, sha256(string_agg(source || '/' || CAST(doc_id AS VARCHAR) || chr(10) || text, chr(0)
-  ORDER BY source || '/' || CAST(doc_id AS VARCHAR))) AS skills_hash, count(*) AS n_parts
-FROM documents GROUP BY source""")
+@query("a9_skills_hash", f"""
+SELECT source || '/' || CAST(doc_id // {FILES_PER_SNAPSHOT} AS VARCHAR) AS project,
+ sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(10) || text, chr(0) ORDER BY CAST(doc_id AS VARCHAR))) AS skills_hash,
+ count(*) AS n_parts
+FROM documents GROUP BY 1""")
 def a9(spark, sf):
+    """Documents stand for skill files; a project snapshot holds a few of them,
+    so the groups stay small while their number grows with the table."""
     docs = table(spark, sf, "documents")
-    parts = docs.select(F.col("source").alias("project"),
-                        F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("key"),
-                        F.col("text").alias("content"))
+    snapshot = F.floor(F.col("doc_id") / F.lit(float(FILES_PER_SNAPSHOT))).cast("string")
+    parts = docs.select(F.concat("source", F.lit("/"), snapshot).alias("project"),
+                        F.col("doc_id").cast("string").alias("key"), F.col("text").alias("content"))
     return P.skills_hash(parts, groups=parts)
 
 
