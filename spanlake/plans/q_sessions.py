@@ -225,11 +225,11 @@ def e6(spark, sf):
                        P.content_hash(F.when(F.col("text") != "", F.col("text"))).alias("claude_md_hash"))
 
 
-FILES_PER_SNAPSHOT = 20
+IDS_PER_SNAPSHOT = 400
 
 
 @query("a9_skills_hash", f"""
-SELECT source || '/' || CAST(doc_id // {FILES_PER_SNAPSHOT} AS VARCHAR) AS project,
+SELECT source || '/' || CAST(doc_id // {IDS_PER_SNAPSHOT} AS VARCHAR) AS project,
  sha256(string_agg(CAST(doc_id AS VARCHAR) || chr(10) || text, chr(0) ORDER BY CAST(doc_id AS VARCHAR))) AS skills_hash,
  count(*) AS n_parts
 FROM documents GROUP BY 1""")
@@ -237,7 +237,7 @@ def a9(spark, sf):
     """Documents stand for skill files; a project snapshot holds a few of them,
     so the groups stay small while their number grows with the table."""
     docs = table(spark, sf, "documents")
-    snapshot = F.floor(F.col("doc_id") / F.lit(float(FILES_PER_SNAPSHOT))).cast("string")
+    snapshot = F.floor(F.col("doc_id") / F.lit(float(IDS_PER_SNAPSHOT))).cast("string")
     parts = docs.select(F.concat("source", F.lit("/"), snapshot).alias("project"),
                         F.col("doc_id").cast("string").alias("key"), F.col("text").alias("content"))
     return P.skills_hash(parts, groups=parts)
