@@ -12,7 +12,11 @@ level by level up to DEPTH. All others, and what no longer parts (mutually
 similar sets), are compared by brute force, in pairs of chunks of SMALL classes,
 so no bucket ever meets in one task. RUNS gives the recall: a pair at
 the threshold meets at depth two with probability 0.47 or more in a run, so 16
-runs miss it with probability below 1e-4 (above the threshold far less).
+runs miss it with probability 0.53^16 < 4.1e-5 (above the threshold far less).
+It survives to depth 3, 4, 5 and 6 with 0.37, 0.31, 0.26 and 0.23 only, so the
+classes of buckets that were split go through more runs, 22, 28, 33 and 38 in
+all by the deepest level reached: lost there with the same probability at
+most, together below 1e-4 at every bucket size.
 
 A pair that meets in several buckets is compared and counted in one of them
 only: its largest common bucket. Links are counted inside the tasks; what
@@ -22,6 +26,8 @@ class it is connected with there, never all pairs.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -80,6 +86,21 @@ def choose(nodes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return h[h <= np.uint64(min(p, 1.0) * (2**64 - 2**11))]
 
 
+def survival(depth: int) -> float:
+    """At least the probability that a pair at the threshold has a common node
+    at this depth of a run: its common children are one on average or more, at
+    worst spread as Poisson's."""
+    lost = 0.0
+    for _ in range(depth):
+        lost = math.exp(lost - 1)
+    return 1 - lost
+
+
+def runs_for(depth: int, runs: int) -> int:
+    """Runs that miss a pair at this depth as seldom as `runs` at depth two."""
+    return math.ceil(runs * math.log(1 - survival(2)) / math.log(1 - survival(depth)) - 1e-9)
+
+
 def _roots(runs: int) -> np.ndarray:
     return mix(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
@@ -129,6 +150,27 @@ def _split(depth: int):
     return run
 
 
+def _more_runs(done: int, runs: int):
+    """Classes -> their nodes at depth two in the runs after the first `done`."""
+
+    def run(batches):
+        roots = _roots(runs)[done:]
+        for batch in batches:
+            for piece in text_slices(batch, "text"):
+                out = {"cls": [], "rep": [], "n": [], "node": []}
+                sets = shingle_sets(piece.column("text"))
+                for cls, rep, n, tokens in zip(*(piece.column(c).to_pylist() for c in ("cls", "rep", "n")), sets):
+                    if xxhash.xxh3_128_digest(tokens.tobytes()) != cls:
+                        continue        # another row with the same id
+                    for node in set(choose(choose(roots, tokens), tokens).view(np.int64).tolist()):
+                        for k, v in zip(out, (cls, rep, n, node)):
+                            out[k].append(v)
+                yield pa.RecordBatch.from_pydict({"cls": pa.array(out["cls"], pa.binary()), "rep": pa.array(out["rep"], pa.int64()),
+                                                  "n": pa.array(out["n"], pa.int32()), "node": pa.array(out["node"], pa.int64())})
+
+    return run
+
+
 def _groups(batches, key: list[str]):
     """Whole groups from batches sorted by key, as (row range, table)."""
     held = None
@@ -268,23 +310,35 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own_rows = rows.where("n > 0").join(classes.select(F.col("cls").alias("c2"), "rep"),
                                         (F.col("doc_id") == F.col("rep")) & (F.col("cls") == F.col("c2")))
     level = own_rows.select("cls", "rep", "n", F.explode("nodes").alias("node")).distinct()
-    done, depth = [], 2
-    while True:
-        sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        level = written(spark, level.join(sizes, "node"), f"jaccard_level{depth}")
-        big = level.where(F.col("size") > large)
-        n_big = big.count()
-        if not n_big or depth == DEPTH:
-            done.append(level)
-            break
-        done.append(level.where(F.col("size") <= large))
-        depth += 1
-        texts = big.drop("size").join(base, F.col("rep") == base["doc_id"]).select("cls", "rep", "n", "node", "text")
-        level = texts.mapInArrow(_split(depth), "cls binary, rep long, n int, node long").distinct()
+    nodes = "cls binary, rep long, n int, node long"
+
+    def descend(level):
+        """Buckets below these nodes, the large ones of depth two (None if
+        there are none), and the deepest level."""
+        done, split, depth = [], None, 2
+        while True:
+            sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+            level = written(spark, level.join(sizes, "node"), f"jaccard_level{depth}")
+            big = level.where(F.col("size") > large)
+            if depth == DEPTH or big.isEmpty():
+                return [*done, level], split, depth
+            done.append(level.where(F.col("size") <= large))
+            split = big if split is None else split
+            depth += 1
+            texts = big.drop("size").join(base, F.col("rep") == base["doc_id"]).select("cls", "rep", "n", "node", "text")
+            level = texts.mapInArrow(_split(depth), nodes).distinct()
+
+    done, split, deepest = descend(level)
+    have = runs
+    while (need := runs_for(deepest, runs)) > have:
+        # A pair lost below depth two had both its classes in one of these buckets.
+        again = split.select("cls", "rep", "n").distinct().join(base, F.col("rep") == base["doc_id"]).select("cls", "rep", "n", "text")
+        more, _, depth = descend(again.mapInArrow(_more_runs(have, need), nodes).distinct())
+        done, deepest, have = done + more, max(deepest, depth), need
     buckets = done[0]
     for more in done[1:]:
         buckets = buckets.unionByName(more)
-    # A class's buckets: RUNS * 1.6 or so, plus those of its splits.
+    # A class's buckets: 1.6 or so a run, plus those of its splits.
     own = buckets.groupBy("cls").agg(F.collect_list(F.struct("size", "node")).alias("own")).select(
         F.col("cls").alias("c2"), F.col("own.size").alias("own_size"), F.col("own.node").alias("own_node"))
     members = buckets.join(own, F.col("cls") == F.col("c2"))

@@ -251,6 +251,25 @@ def test_jaccard_splits_large_buckets(spark):
     assert {r["group"] for r in jaccard_join.components(edges).collect()} == {0}
 
 
+def test_jaccard_recall_follows_the_depth(spark):
+    """Pairs at exactly 0.8 in families larger than `large`, split to the last
+    depth: a core of 39 shingles, one of a's own, ten more of b's own. Most of
+    these families part in all of 16 runs before depth six."""
+    rows = []
+    for f in (0, 1, 2, 163, 220, 234, 326, 396, 442, 511, 546, 752, 863, 918, 1010):
+        core = " ".join(f"f{f}w{i}" for i in range(43))
+        for k in range(2):
+            a = f"{core} a{k}f{f}"
+            rows += [(len(rows), a), (len(rows) + 1, a + "".join(f" b{k}f{f}x{i}" for i in range(10)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for _, t in rows]
+    want = {i: sum(i != j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in range(i // 4 * 4, i // 4 * 4 + 4))
+            for i in range(len(rows))}
+    assert set(want.values()) == {1, 2}
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.jaccard_join(df, large=2)[0].collect()}
+    assert got == want
+
+
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 100)], "a long, b long")
     assert {r["id"]: r["group"] for r in jaccard_join.components(e).collect()} == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100}
