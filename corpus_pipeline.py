@@ -19,11 +19,18 @@ from spanlake.llm import decontamination, exact_dedup, jaccard_join, packing, to
 from spanlake.llm.common import read_table, written
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a number per row. docs is a stored table, whose partitions do
-    not change between two reads."""
-    row = f"_row_{uuid.uuid4().hex[:8]}"
-    return docs.withColumn(row, F.monotonically_increasing_id()), row
+def _numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number per row: the row's place in its file and the file's
+    number, so that it stays the same however a job splits the files (by the
+    cores registered at that moment). What is not a plain scan is written first."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = written(spark, docs, "pipeline_rows")
+    row, path, file, name = (f"_{x}_{uuid.uuid4().hex[:8]}" for x in ("row", "path", "file", "name"))
+    paths = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+    files = spark.createDataFrame(list(zip(paths, range(len(paths)))), f"{name} string, {file} long")
+    rows = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))
+    rows = rows.join(F.broadcast(files), F.col(path) == F.col(name))
+    return rows.select(*(rows[c] for c in docs.columns), (F.shiftleft(file, 40) + F.col(row)).alias(row)), row
 
 
 def _without(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
@@ -39,14 +46,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the longest original with the smallest id stays."""
-    rows, row = _numbered(docs)
+    rows, row = _numbered(spark, docs)
     found = exact_dedup.exact_dedup(rows, row_col=row)
     return _without(rows, row, found.where(~F.col("kept")).select("row"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each connected group of near duplicates stays."""
-    rows, row = _numbered(docs)
+    rows, row = _numbered(spark, docs)
     members, edges = jaccard_join.jaccard_join(rows, id_col=row)
     groups = jaccard_join.components(edges)
     copies = members.where(F.col("doc_id") != F.col("class_id")).select("doc_id")
@@ -55,7 +62,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
-    rows, row = _numbered(docs)
+    rows, row = _numbered(spark, docs)
     found = decontamination.contamination(rows, read_table(spark, sf_dir, "benchmark"), id_col=row)
     return _without(rows, row, found.where(F.col("n_hit") > 0).select("doc_id"))
 

@@ -44,3 +44,27 @@ def test_stages(spark, tmp_path):
     assert small("decontamination") in ([2, 6, 7], [3, 6, 7])
     assert None in seen["packing"] and len(seen["packing"]) == 4 + 120
     assert P.run(spark, str(tmp_path)).count() == 4 + 120
+
+
+def test_numbers_outlast_other_splits(spark, tmp_path):
+    """Rows keep their numbers when a later job splits the files differently."""
+    split = "spark.sql.files.minPartitionNum"
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    data = [(k, text(k)) for k in range(120)] + [(1000 + k, text(k) + " tail") for k in range(0, 120, 3)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartitionByRange(8, "doc_id").write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    want = {(k,) if k % 3 else (k, 1000 + k) for k in range(120)}
+    try:
+        for d in (docs, docs.where("doc_id >= 0")):
+            spark.conf.set(split, 1)
+            rows, row = P._numbered(spark, d)
+            one = {r["doc_id"]: r[row] for r in rows.collect()}
+            left = P.drop_near_copies(spark, d, str(tmp_path))
+            spark.conf.set(split, 64)
+            many = {r["doc_id"]: r[row] for r in rows.select("doc_id", row).collect()}
+            assert one == many and len(set(one.values())) == len(data)
+            kept = {r["doc_id"] for r in left.collect()}
+            assert len(kept) == 120 and all(len(kept & set(g)) == 1 for g in want)
+    finally:
+        spark.conf.unset(split)
