@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from spanlake.llm import decontamination, exact_dedup, html_text, jaccard_join, packing, secrets, suffix_dedup, token_counts, token_output, toxicity
+from spanlake.llm import (best_fit, decontamination, exact_dedup, filter_audit, html_text, jaccard_join, merkle, packing, secrets, suffix_dedup,
+                          token_counts, token_output, toxicity)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,9 +16,14 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_html_text": html_text.op9_html_text,
     "op10_packing": packing.op10_packing,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_best_fit": best_fit.op12_best_fit,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLE_SQL = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op3_secret_scan": secrets.OP3_SQL,
+    "op11_merkle_manifest": merkle.OP11_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
