@@ -26,9 +26,10 @@ def _numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
         docs = written(spark, docs, "pipeline_rows")
     row, path, file, name = (f"_{x}_{uuid.uuid4().hex[:8]}" for x in ("row", "path", "file", "name"))
-    paths = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())
+    meta = docs.metadataColumn("_metadata")          # the file's, also where a column has that name
+    paths = sorted(r[0] for r in docs.select(meta["file_path"]).distinct().collect())
     files = spark.createDataFrame(list(zip(paths, range(len(paths)))), f"{name} string, {file} long")
-    rows = docs.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(row))
+    rows = docs.select("*", meta["file_path"].alias(path), meta["row_index"].alias(row))
     rows = rows.join(F.broadcast(files), F.col(path) == F.col(name))
     return rows.select(*(rows[c] for c in docs.columns), (F.shiftleft(file, 40) + F.col(row)).alias(row)), row
 
@@ -41,7 +42,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ordinal regression fitted on the labelled documents; rejects grade 1 and up."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     scored = toxicity.severity(docs, model, carry=True)
-    return scored.where(~F.col("_toxic")).select(*docs.columns)
+    names = [f"c{i}" for i in range(len(scored.columns))]
+    return scored.toDF(*names).where(~F.col(names[-1])).select(*names[:len(docs.columns)]).toDF(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
