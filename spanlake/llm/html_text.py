@@ -31,7 +31,8 @@ from spanlake.llm.common import pick, read_table
 from spanlake.llm.tokens import text_slices
 
 TRAIN_PAGES = 200          # pages sampled for training
-TRAIN_CHARS = 100_000      # only pages up to this long are sampled (every page is extracted whole)
+TRAIN_CHARS = 100_000      # of a longer page training sees this much (every page is extracted whole)
+SCORE_ROWS = 1 << 16       # nodes scored at a time
 LAYOUTS = 5                # dressed pages per sampled page
 TREES, TREE_DEPTH, BINS, RATE = 80, 4, 32, 0.2
 
@@ -90,12 +91,14 @@ class Page:
         self.text: dict[int, str] = {}
         self.link: dict[int, int] = {}
         stack, run, links, in_link = [0], [], 0, False
+        places: dict[str, list[int]] = {}        # of a tag: its places in the stack
+        unseen = 0                               # open tags of UNSEEN
 
         def flush():
             nonlocal run, links
             if run:
                 text = " ".join("".join(run).split())
-                if text and not any(self.tag[k] in UNSEEN for k in stack):
+                if text and not unseen:
                     self.parent.append(stack[-1])
                     self.tag.append("text")
                     self.attrs.append({})
@@ -103,13 +106,17 @@ class Page:
                     self.link[len(self.tag) - 1] = min(links, len(text))
                 run, links = [], 0
 
+        def last(names):
+            return max((places[t][-1] for t in names if places.get(t)), default=0)
+
         def pop_to(names, scope=()):
-            for i in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[i]] in names:
-                    del stack[i:]
-                    return
-                if self.tag[stack[i]] in scope:
-                    return
+            nonlocal unseen
+            i = last(names)
+            if i and i > last(scope):
+                while len(stack) > i:
+                    tag = self.tag[stack.pop()]
+                    places[tag].pop()
+                    unseen -= tag in UNSEEN
 
         at, lower = 0, None
         while at < len(source):
@@ -154,22 +161,27 @@ class Page:
                 self.tag.append(name)
                 self.attrs.append({k.lower(): a or b or c for k, a, b, c in ATTR.findall(m[3])})
                 if name not in VOID and not (m[3].endswith("/") and name in ("svg", "iframe")):
+                    places.setdefault(name, []).append(len(stack))
                     stack.append(len(self.tag) - 1)
+                    unseen += name in UNSEEN
         flush()
 
     def features(self) -> np.ndarray:
+        return np.concatenate(list(self.feature_blocks(len(self.tag))))
+
+    def feature_blocks(self, rows: int):
+        """The features of `rows` nodes at a time, in document order."""
         n = len(self.tag)
         parent = np.array(self.parent)
-        x = np.zeros((n, N_FEATURES), np.float32)
+        kind = np.zeros(n, np.int64)
         depth, chars, link, leaves, words, stops, kids, tags = (np.zeros(n) for _ in range(8))
-        own_hint = np.zeros((n, N_HINTS), np.float32)
+        own_hint = np.zeros((n, N_HINTS), bool)
         index, same, in_p = np.zeros(n), np.zeros(n), np.zeros(n)
         seen: dict[tuple[int, str], int] = {}
-        above = np.zeros((n, N_HINTS), np.float32)
-        above_tag = np.zeros((n, N_TAGS), np.float32)
+        above = np.zeros((n, N_HINTS), bool)
+        above_tag = np.zeros((n, N_TAGS), bool)
         for i in range(n):
-            t = TAG_OF.get(self.tag[i], N_TAGS - 1)
-            x[i, t] = 1
+            kind[i] = TAG_OF.get(self.tag[i], N_TAGS - 1)
             a = self.attrs[i]
             if a:
                 for w in WORDS.findall(" ".join(filter(None, (a.get("class"), a.get("id"), a.get("role"))))):
@@ -184,9 +196,9 @@ class Page:
                 kids[p] += 1
                 same[i] = seen.get((p, self.tag[i]), 0)
                 seen[(p, self.tag[i])] = same[i] + 1
-                np.maximum(above[p], own_hint[p], out=above[i])
+                np.logical_or(above[p], own_hint[p], out=above[i])
                 above_tag[i] = above_tag[p]
-                above_tag[i, TAG_OF.get(self.tag[p], N_TAGS - 1)] = 1
+                above_tag[i, kind[p]] = 1
             if self.tag[i] == "text":
                 s = self.text[i]
                 chars[i], link[i], leaves[i], words[i] = len(s), self.link[i], 1, s.count(" ") + 1
@@ -200,26 +212,22 @@ class Page:
                 v[p] += v[i]
         total = max(chars[0], 1)
         up = np.where(parent < 0, 0, parent)
-        k = N_TAGS
-        x[:, k:k + N_HINTS] = own_hint
-        x[:, k + N_HINTS:k + 2 * N_HINTS] = above
-        k += 2 * N_HINTS
-        x[:, k:k + N_TAGS] = above_tag
-        k += N_TAGS
         c = np.maximum(chars, 1)
-        x[:, k:] = np.stack([np.log1p(chars), link / c, chars / np.maximum(tags, 1), chars / np.maximum(leaves, 1), stops / np.maximum(words, 1),
-                             c / np.maximum(words, 1), depth, index, kids[up], same, before / total, chars / total, chars / np.maximum(chars[up], 1),
-                             in_p / c, np.log1p(chars[up]), (link / c)[up], (in_p / c)[up], np.log1p(chars[up[up]]), (in_p / c)[up[up]]], 1)
-        return x
+        numbers = [np.log1p(chars), link / c, chars / np.maximum(tags, 1), chars / np.maximum(leaves, 1), stops / np.maximum(words, 1),
+                   c / np.maximum(words, 1), depth, index, kids[up], same, before / total, chars / total, chars / np.maximum(chars[up], 1),
+                   in_p / c, np.log1p(chars[up]), (link / c)[up], (in_p / c)[up], np.log1p(chars[up[up]]), (in_p / c)[up[up]]]
+        for a in range(0, n, rows):
+            b = min(a + rows, n)
+            yield np.concatenate([np.eye(N_TAGS, dtype=np.float32)[kind[a:b]], own_hint[a:b], above[a:b], above_tag[a:b],
+                                  np.stack([v[a:b] for v in numbers], 1)], 1, dtype=np.float32, casting="unsafe")
 
     def labels(self) -> np.ndarray:
         """1 for nodes that hold a leaf marked as main text (training pages)."""
         y = np.zeros(len(self.tag), np.int8)
-        for i in self.text:
-            p = i
-            while p >= 0 and "data-y" not in self.attrs[p]:
-                p = self.parent[p]
-            y[i] = p >= 0 and self.attrs[p]["data-y"] == "1"
+        marked = [False] * len(self.tag)         # by the nearest mark above
+        for i, a in enumerate(self.attrs):
+            marked[i] = a["data-y"] == "1" if "data-y" in a else i > 0 and marked[self.parent[i]]
+            y[i] = marked[i] and i in self.text
         for i in range(len(y) - 1, 0, -1):
             y[self.parent[i]] |= y[i]
         return y
@@ -266,7 +274,8 @@ class Boosted:
     """Gradient-boosted complete trees on binned features (logistic loss)."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
+        steps = np.linspace(0, 1, BINS + 1)[1:-1]
+        self.edges = [np.unique(np.quantile(x[:, f], steps)) if len(x) else np.zeros(0) for f in range(x.shape[1])]
         b = self.bins(x)
         n, m = b.shape
         self.base = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))) if n else -1.0
@@ -313,6 +322,21 @@ class Boosted:
         return out
 
 
+def score_pages(model: Boosted, pages: list[Page]) -> np.ndarray:
+    """Scores of all nodes; about SCORE_ROWS of them have features at a time."""
+    out, held, n = [], [], 0
+    for page in pages:
+        for x in page.feature_blocks(SCORE_ROWS):
+            held.append(x)
+            n += len(x)
+            if n >= SCORE_ROWS:
+                out.append(model.score(np.concatenate(held)))
+                held, n = [], 0
+    if held:
+        out.append(model.score(np.concatenate(held)))
+    return np.concatenate(out)
+
+
 # ---- training pages ----
 
 def _dress(rng: random.Random, title: str, body: list[str], other: list[str]) -> str:
@@ -415,8 +439,10 @@ def training_rows(pages: list[str], seed: int = 7) -> tuple[np.ndarray, np.ndarr
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train_pages: int = TRAIN_PAGES) -> Boosted:
-    """Fit on at most `train_pages` sampled pages of at most TRAIN_CHARS characters."""
-    rows = pick(pages, page_id=id_col, html=html_col).where(F.col("html").isNotNull() & (F.length("html") <= TRAIN_CHARS))
+    """Fit on at most `train_pages` sampled pages, of long ones on the first
+    TRAIN_CHARS characters. Where no page has html, there is nothing to fit and
+    nothing to extract: such a model finds no text."""
+    rows = pick(pages, page_id=id_col, html=html_col).where("html is not null").withColumn("html", F.substring("html", 1, TRAIN_CHARS))
     chosen = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(train_pages)
     found = rows.join(F.broadcast(chosen), "page_id", "left_semi").groupBy("page_id").agg(F.min("html").alias("html")).orderBy("page_id").collect()
     return Boosted(*training_rows([r["html"] for r in found]))
@@ -426,7 +452,8 @@ def extract(pages: DataFrame, model: Boosted, id_col: str = "page_id", url_col:
     """One row per page: page_id, url, text, n_chars.
 
     Null or empty html gives an empty text; unclosed, stray and unknown tags
-    are tolerated; repeated rows and null ids are kept; an empty table gives an
+    are tolerated; a very long or deeply nested page takes time in proportion
+    to its length, its nodes being scored in blocks; repeated rows and null ids are kept; an empty table gives an
     empty result; other columns are ignored."""
     rows = pick(pages, page_id=id_col, url=url_col, text=html_col).select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -436,7 +463,7 @@ def extract(pages: DataFrame, model: Boosted, id_col: str = "page_id", url_col:
             for piece in text_slices(batch, "text", 1 << 20):
                 parsed = [Page(s) for s in piece.column("text").to_pylist()]
                 ends = np.cumsum([0, *(len(p.tag) for p in parsed)])
-                score = model.score(np.concatenate([p.features() for p in parsed]))
+                score = score_pages(model, parsed)
                 texts = [p.decode(score[a:b]) for p, a, b in zip(parsed, ends, ends[1:])]
                 yield pa.RecordBatch.from_pydict({
                     "page_id": piece.column("page_id"), "url": piece.column("url"), "text": pa.array(texts, pa.string()),
