@@ -124,13 +124,13 @@ class Shard:
         return at
 
 
-def windows_of(items: list[tuple[int, np.ndarray]], window: int) -> list[tuple[int, np.ndarray]]:
+def windows_of(items: list[tuple[int | None, np.ndarray]], window: int) -> list[tuple[int | None, np.ndarray]]:
     """(item number, words) per window; an item of fewer words is one window."""
     return [(no, words[k:k + window]) for no, words in items if len(words)
             for k in range(max(1, len(words) - window + 1))]
 
 
-def _search(windows: list[tuple[int, np.ndarray]], only: bool):
+def _search(windows: list[tuple[int | None, np.ndarray]], only: bool):
     """Per document of each shard: merged hit ranges and the items found, or,
     for the only block, their final form (one Python worker per task, not two)."""
 
@@ -138,7 +138,8 @@ def _search(windows: list[tuple[int, np.ndarray]], only: bool):
         flat = np.concatenate([w for _, w in windows]) if windows else np.zeros(0, np.uint64)
         size = np.array([len(w) for _, w in windows], np.int64)
         first = np.cumsum(size) - size
-        item = np.array([no for no, _ in windows], np.int64)
+        named = np.array([no is not None for no, _ in windows], bool)
+        item = np.array([no if no is not None else 0 for no, _ in windows], np.int64)
         for batch in batches:
             for row in range(batch.num_rows):
                 shard = Shard(batch, row)
@@ -152,7 +153,8 @@ def _search(windows: list[tuple[int, np.ndarray]], only: bool):
                     if len(at):
                         np.add.at(cover, at, 1)
                         np.add.at(cover, at + size[k], -1)
-                        pairs.append(np.stack([shard.doc_of(at), np.full(len(at), item[k])], 1))
+                        if named[k]:
+                            pairs.append(np.stack([shard.doc_of(at), np.full(len(at), item[k])], 1))
                 hit = np.cumsum(cover[:-1]) > 0
                 edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
                 begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -227,7 +229,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     index = written(spark, build_index(docs, id_col, text_col), "positional_index")
     items = id_text(benchmark, item_col, item_text_col)
     def windows(block):
-        return windows_of([(-1 if i is None else i, words) for i, words in block], window)
+        return windows_of(block, window)
 
     blocks = _blocks(items, block_words)
     block, later = next(blocks, []), next(blocks, None)
@@ -241,7 +243,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
         found = found.groupBy("part", "shard", "doc_no", "doc_id", "n_words").agg(
             F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
         merged = found.mapInArrow(_merge, MERGED)
-    return merged.withColumn("items", F.filter("items", lambda i: i != -1))
+    return merged
 
 
 def proximity(index: DataFrame, phrases: list[tuple[int, str]], distance: int) -> DataFrame:
