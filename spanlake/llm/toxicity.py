@@ -22,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanlake.llm.common import id_text, pick, read_table
+from spanlake.llm.common import id_text, pick, read_table, written
 from spanlake.llm.tokens import text_slices
 from spanlake.llm.wordhash import Words, mix
 
@@ -130,13 +130,17 @@ def fit_ordinal(doc: np.ndarray, feature: np.ndarray, value: np.ndarray, grade:
 
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, features: int = FEATURES,
           id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id", toxic_col: str = "toxic") -> Severity:
-    """Fit on at most `train_rows` labelled documents. Labels that are null or
-    have no document are ignored; without toxic and other examples the model
+    """Fit on at most `train_rows` labelled documents, one row per id. Labels that
+    are null or have no document are ignored; without toxic and other examples the model
     finds nothing toxic."""
+    spark = docs.sparkSession
     marks = pick(labels, doc_id=label_id_col, toxic=toxic_col).where("toxic is not null and doc_id is not null")
     marks = (marks.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
              .orderBy(F.xxhash64("label_id"), "label_id").limit(train_rows))
     sample = id_text(docs, id_col, text_col).join(F.broadcast(marks), F.col("doc_id") == F.col("label_id")).select("doc_id", "toxic", "text")
+    # Of rows with one id one is used, so that the sample is as bounded as its labels.
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    sample = written(spark, sample.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth"), "toxicity_sample")
     seen = {r["toxic"] > 0: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = seen.get(True, 0), seen.get(False, 0)
     nothing = Severity(np.zeros(0, np.uint64), np.zeros(0), np.array([20.0, 21.0, 22.0]))
