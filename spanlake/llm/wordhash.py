@@ -3,8 +3,10 @@
 A word is a run of the characters `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]` after
 lower-casing A-Z: digits, ASCII letters and everything beyond ASCII. In UTF-8
 that is a property of single bytes, so words are found on the batch's byte
-buffer. The hash of a byte range is a polynomial in an odd base over random
-byte values, modulo 2^64, read from prefix sums, then mixed.
+buffer. The hash of a word of up to LONG bytes is a polynomial in an odd base
+over random byte values, modulo 2^64, read from prefix sums, then mixed. Such
+polynomials collide on certain long words, so longer ones get a seeded xxHash
+of their bytes.
 """
 
 from __future__ import annotations
@@ -14,8 +16,10 @@ import types
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SEED = 20240607
+LONG = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,6 +91,10 @@ class Words:
         np.cumsum(values[data] * powers[:n], out=self._sums[1:])
         self.first = np.searchsorted(self.start, offsets)
         self.hash = self._of(self.start, self.end)
+        long = np.flatnonzero(self.end - self.start > LONG)
+        if len(long):
+            raw = memoryview(data)
+            self.hash[long] = [xxhash.xxh3_64_intdigest(raw[a:b], SEED) for a, b in zip(self.start[long].tolist(), self.end[long].tolist())]
 
     def _of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self._sums[end] - self._sums[start]) * self._inverses[start] + (end - start).astype(np.uint64))
