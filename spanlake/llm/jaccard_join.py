@@ -385,5 +385,15 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("id"), F.col("v").alias("group")).distinct())
 
 
+def near_classes(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest id of its connected
+    group of links), set_id (smallest id with the same shingle set), set_size,
+    n_links (other sets of similarity >= 0.8)."""
+    groups = components(edges)
+    return members.join(groups, F.col("class_id") == F.col("id"), "left").select(
+        "doc_id", F.coalesce("group", "class_id").alias("class_id"), F.col("class_id").alias("set_id"),
+        F.col("class_size").alias("set_size"), "n_links")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(read_table(spark, sf_dir, "documents"))[0]
+    return near_classes(*jaccard_join(read_table(spark, sf_dir, "documents")))
