@@ -3,7 +3,7 @@
 ``get_spark`` is for tests, benches and scripts; library code only reads the
 session it is handed. ``scratch_dir`` resolves the shared folder used for
 lineage cuts and materialised tables: the cluster's ``spark.checkpoint.dir``
-when set, else (tests, local runs) a fresh local folder.
+when set, else (local master only: tests, local runs) a fixed local folder.
 """
 
 from __future__ import annotations
@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     # Unset (tests, local runs): one fixed local folder so derived tables are reused.
     local = os.path.join(tempfile.gettempdir(), "spanlake-checkpoints")
     sc.setCheckpointDir(local)

@@ -5,19 +5,23 @@ new files are picked up incrementally. Every stream writes through
 `foreachBatch` into one folder per batch id with overwrite: a retried batch
 replaces its own folder, so the sinks are idempotent under retries and lost
 executors. Nothing depends on a watermark: rows may come in any order and any
-amount late. What must be combined across batches is combined when the sink is
-read (sums, last writes, first stops), so the streams keep no state and a
-back-fill can be rate-limited with `max_files`.
+amount late, and a back-fill can be rate-limited with `max_files`. ST2 keeps
+state per session and day; ST1 and the tag stream combine their batches when
+the sink is read; ST3 commits its batches to a versioned span table.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import instant_to_ntz, ntz_to_instant
 from spanlake.schema import SESSION_KEY, SPAN, SPAN_COLUMNS
+from spanlake.sources.span_table import SpanTable
 
 
 def span_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -49,9 +53,9 @@ def read_sink(spark: SparkSession, out_path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def run_available(query_df: DataFrame, checkpoint: str, sink) -> None:
+def run_available(query_df: DataFrame, checkpoint: str, sink, mode: str = "append") -> None:
     """Drive a stream over everything available now, then stop."""
-    (query_df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    (query_df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).foreachBatch(sink).start().awaitTermination())
 
 
@@ -84,22 +88,67 @@ def error_alerts(spark: SparkSession, spans_path: str, work: str, threshold: int
 
 # ---- ST2 ----------------------------------------------------------------------------
 
-def session_events(spark: SparkSession, spans_path: str, snapshots_path: str, work: str,
-                   max_files: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Stream snapshots and Stop events (root spans that name a session) into
-    two lean logs; returns them as (stops, snapshots). Re-delivered events are
-    removed when the logs are read."""
-    r = spark.readStream.schema("session_id string, snapshot_ms long")
-    snaps = (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(snapshots_path)
+DAY_MS = 86_400_000
+DAY_STATE = "snaps array<long>, stop_ms array<long>, stop_ids array<string>"
+DAY_EVENTS = ("session_id string, day long, head struct<trace_id:string,ts:long>, last_snap long, "
+              "snaps array<struct<snapshot_ms:long,trace_id:string,trace_start_ms:long>>, "
+              "stops array<struct<trace_id:string,ts:long,snapshot_ms:long>>")
+
+
+def _day_of_session():
+    """The stateful function: a session's events of a day so far -> the day's
+    matches. Built here so that it is shipped to the workers by value."""
+    left, right = bisect_left, bisect_right
+
+    def run(key, frames, state):
+        snaps, stop_ms, stop_ids = state.get if state.exists else ([], [], [])
+        snaps, stops = set(snaps), set(zip(stop_ms, stop_ids))
+        for frame in frames:
+            for ts, trace in zip(frame["ts"], frame["trace_id"]):
+                if isinstance(trace, str):
+                    stops.add((int(ts), trace))
+                else:
+                    snaps.add(int(ts))
+        snaps, stops = sorted(snaps), sorted(stops)
+        at = [ts for ts, _ in stops]
+        state.update((snaps, at, [t for _, t in stops]))
+        used = []
+        for snap, after in zip(snaps, [*snaps[1:], None]):
+            k = left(at, snap)                        # the first Stop from the snapshot on
+            hit = k < len(at) and (after is None or at[k] < after)
+            used.append({"snapshot_ms": snap, "trace_id": stops[k][1] if hit else None, "trace_start_ms": at[k] if hit else None})
+        pending = []
+        for ts, trace in stops:
+            k = right(snaps, ts)                      # the last snapshot up to the Stop
+            pending.append({"trace_id": trace, "ts": ts, "snapshot_ms": snaps[k - 1] if k else None})
+        head = {"trace_id": stops[0][1], "ts": at[0]} if stops and (not snaps or at[0] < snaps[0]) else None
+        yield pd.DataFrame({"session_id": [key[0]], "day": [key[1]], "head": [head], "last_snap": [snaps[-1] if snaps else None],
+                            "snaps": [used], "stops": [pending]}).astype({"last_snap": "Int64"})
+
+    return run
+
+
+def session_days(spark: SparkSession, spans_path: str, snapshots_path: str, work: str, max_files: int | None = None) -> DataFrame:
+    """Snapshots and Stops (root spans that name a session) as one keyed stream.
+
+    The state of a session and day holds the day's snapshot times and Stops; an
+    event, however late, changes the matches of its own day only, which are
+    emitted anew. A long session is many keys, and a refresh reads new files,
+    the state they touch, and one emitted row per day. Re-delivered events
+    change nothing. Returns the last row of every (session, day)."""
+    read = spark.readStream.schema("session_id string, snapshot_ms long")
+    snaps = (read.option("maxFilesPerTrigger", max_files) if max_files else read).parquet(snapshots_path)
+    snaps = snaps.select("session_id", F.col("snapshot_ms").alias("ts"), F.lit(None).cast("string").alias("trace_id"))
     stops = (span_stream(spark, spans_path, max_files).filter(F.col("parent_span_id").isNull())
-             .select(F.col("request_metadata")[SESSION_KEY].alias("session_id"), "trace_id",
-                     F.col("start_time_ms").alias("timestamp_ms"))
-             .filter(F.col("session_id").isNotNull()))
-    run_available(snaps, f"{work}/ckpt-snaps", batch_sink(f"{work}/snaps"))
-    run_available(stops, f"{work}/ckpt-stops", batch_sink(f"{work}/stops"))
-    return (read_sink(spark, f"{work}/stops", "session_id string, trace_id string, timestamp_ms long")
-            .drop("batch_id").distinct(),
-            read_sink(spark, f"{work}/snaps", "session_id string, snapshot_ms long").drop("batch_id").distinct())
+             .select(F.col("request_metadata")[SESSION_KEY].alias("session_id"), F.col("start_time_ms").alias("ts"), "trace_id")
+             .filter(F.col("trace_id").isNotNull()))
+    events = snaps.unionByName(stops).filter(F.col("session_id").isNotNull() & F.col("ts").isNotNull())
+    days = (events.withColumn("day", F.floor(F.col("ts") / F.lit(DAY_MS))).groupBy("session_id", "day")
+            .applyInPandasWithState(_day_of_session(), DAY_EVENTS, DAY_STATE, "update", "NoTimeout"))
+    run_available(days, f"{work}/ckpt", batch_sink(f"{work}/days"), "update")
+    rows = read_sink(spark, f"{work}/days", DAY_EVENTS)
+    values = F.struct("head", "last_snap", "snaps", "stops")
+    return rows.groupBy("session_id", "day").agg(F.max_by(values, "batch_id").alias("d")).select("session_id", "day", "d.*")
 
 
 def session_snapshot_join(spark: SparkSession, spans_path: str, snapshots_path: str, work: str,
@@ -108,8 +157,11 @@ def session_snapshot_join(spark: SparkSession, spans_path: str, snapshots_path:
     one taken at or before it, however long ago; one row per Stop, none for a
     Stop without an earlier snapshot.
     Returns session_id, trace_id, snapshot_ms, trace_start_ms."""
-    from spanlake.operators.sessions import snapshot_at_stop
-    return snapshot_at_stop(*session_events(spark, spans_path, snapshots_path, work, max_files))
+    days = session_days(spark, spans_path, snapshots_path, work, max_files)
+    earlier = Window.partitionBy("session_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    d = days.withColumn("carried", F.max("last_snap").over(earlier)).select("session_id", "carried", F.explode("stops").alias("s"))
+    return d.select("session_id", "s.trace_id", F.coalesce("s.snapshot_ms", "carried").alias("snapshot_ms"),
+                    F.col("s.ts").alias("trace_start_ms")).filter(F.col("snapshot_ms").isNotNull())
 
 
 def consumed_snapshots(spark: SparkSession, spans_path: str, snapshots_path: str, work: str,
@@ -117,13 +169,21 @@ def consumed_snapshots(spark: SparkSession, spans_path: str, snapshots_path: str
     """ST2 + E5: each snapshot with the first Stop that consumes it; a snapshot
     replaced by a newer one before any Stop is never used.
     Returns session_id, snapshot_ms, trace_id, trace_start_ms."""
-    from spanlake.operators.sessions import first_stop_after_snapshot
-    stops, snaps = session_events(spark, spans_path, snapshots_path, work, max_files)
-    return first_stop_after_snapshot(stops, snaps).filter(F.col("trace_id").isNotNull())
+    days = session_days(spark, spans_path, snapshots_path, work, max_files)
+    following = F.lead("head").over(Window.partitionBy("session_id").orderBy("day"))
+    d = days.withColumn("next", following).select("session_id", "last_snap", "next", F.explode("snaps").alias("s"))
+    open_ = F.col("s.trace_id").isNull() & (F.col("s.snapshot_ms") == F.col("last_snap"))     # pending at the day's end
+    return d.select("session_id", "s.snapshot_ms",
+                    F.when(open_, F.col("next.trace_id")).otherwise(F.col("s.trace_id")).alias("trace_id"),
+                    F.when(open_, F.col("next.ts")).otherwise(F.col("s.trace_start_ms")).alias("trace_start_ms")
+                    ).filter(F.col("trace_id").isNotNull())
 
 
 # ---- ST3 ----------------------------------------------------------------------------
 
+FOLD_EVERY = 8       # batches
+
+
 def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: str,
                  max_files: int | None = None) -> DataFrame:
     """ST3: incremental ingest of new span files into a table, each
@@ -131,25 +191,35 @@ def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: s
     return ingest_stream(span_stream(spark, source_path, max_files), table_path, work)
 
 
-def ingest_stream(spans: DataFrame, table_path: str, work: str) -> DataFrame:
-    """The table is partitioned by batch and by the span's day ('none' without
-    a timestamp). A batch drops its own repeats, then the spans that earlier
-    batches stored in the same days; other days are pruned. A re-delivery
-    repeats the span as it was, thus with the same timestamp."""
+def ingest_stream(spans: DataFrame, table_path: str, work: str, fold_every: int = FOLD_EVERY) -> DataFrame:
+    """Every batch is a version of a `SpanTable`: it drops its own repeats, then
+    the spans that the table holds in the same stretch of time (file and row
+    group statistics prune the rest; a re-delivery repeats the span as it was,
+    thus with the same timestamp). A retried batch finds its id in the table's
+    log. Every `fold_every` batches the small folders are folded and those
+    folded before are dropped, so the number of files stays bounded."""
     spark = spans.sparkSession
-    day = F.coalesce(F.date_format("timestamp", "yyyy-MM-dd"), F.lit("none"))
-    keys = ["trace_id", "span_id", "day"]
-
-    def new_rows(batch: DataFrame, batch_id: int) -> DataFrame:
-        fresh = batch.withColumn("day", day).dropDuplicates(keys)
-        days = [r.day for r in fresh.select("day").distinct().collect()]    # calendar days, not keys
-        stored = (read_sink(spark, table_path, "trace_id string, span_id string, day string")
-                  .filter((F.col("batch_id") < batch_id) & F.col("day").isin(days)))
-        same = [fresh[k].eqNullSafe(stored[k]) for k in keys]
-        return fresh.join(stored, same, "left_anti")
-
-    run_available(spans, f"{work}/ckpt", batch_sink(table_path, new_rows, partition_by="day"))
-    return spark.read.schema(SPAN).parquet(table_path).select(*SPAN_COLUMNS)
+    table = SpanTable(spark, table_path)
+    keys = ["trace_id", "span_id", "timestamp"]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if table.batch() >= batch_id:
+            return
+        batch = batch.persist()
+        try:
+            span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count_if(F.col("timestamp").isNull()).alias("undated")).first()
+            near = F.col("timestamp").between(F.lit(span["lo"]), F.lit(span["hi"]))
+            stored = table.read().filter(near | F.col("timestamp").isNull() if span["undated"] else near).select(*(F.col(k).alias(f"k_{k}") for k in keys))
+            fresh = batch.dropDuplicates(keys)
+            table.append(fresh.join(stored, [fresh[k].eqNullSafe(stored[f"k_{k}"]) for k in keys], "left_anti"), batch_id)
+        finally:
+            batch.unpersist()
+        if (batch_id + 1) % fold_every == 0:
+            table.vacuum(1)
+            table.fold()
+
+    run_available(spans, f"{work}/ckpt", sink)
+    return table.read().select(*SPAN_COLUMNS)
 
 
 def tag_upserts(spark: SparkSession, tag_log_path: str, work: str, max_files: int | None = None) -> DataFrame:

@@ -45,8 +45,8 @@ def test_st3_keeps_late_spans_and_drops_repeats(spark, tmp_path):
                   make_spans(spark, [{"span_id": "undated"}]).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))]
     for d in deliveries * 2:
         d.write.mode("append").parquet(src)
-        ST.ingest_spans(spark, src, table, work, max_files=1)
-    got = sorted(r.span_id for r in spark.read.parquet(table).collect())
+        stored = ST.ingest_spans(spark, src, table, work, max_files=1)
+    got = sorted(r.span_id for r in stored.collect())
     assert got == ["late0", "new0", "undated", "x0", "x1"]
 
 
@@ -81,3 +81,30 @@ def test_st3_tag_upserts_last_write_wins_across_batches(spark, tmp_path):
     spark.createDataFrame([("t", 3, "a", "2"), ("t", 0, "b", "old")], sch).write.mode("append").parquet(src)
     got = {(r.key, r.value) for r in ST.tag_upserts(spark, src, work).collect()}
     assert got == {("a", "2"), ("b", "x")}
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3, 4], [4, 2, 0, 3, 1]])
+def test_st2_state_over_batches_in_any_order(spark, tmp_path, order):
+    """Snapshots replaced before a Stop, Stops and snapshots that come late, and
+    every file twice: after every batch the state gives the batch answer of
+    what has come so far."""
+    from spanlake.operators.sessions import first_stop_after_snapshot, snapshot_at_stop
+    from spanlake.streaming import streams as ST
+    day = 86_400_000
+    files = [([5, 10 * day + 3], [("a", 20), ("b", 12 * day)]), ([7], [("c", 6), ("d", 30)]), ([20], [("e", 10 * day + 3)]),
+             ([11 * day, 25], [("f", 11 * day - 1)]), ([40 * day], [("g", 39 * day), ("h", 60 * day)])]
+    spans, snaps, work = (str(tmp_path / d) for d in ("spans", "snaps", "work"))
+    for n, k in enumerate([*order, *order]):
+        at, stops = files[k]
+        spark.createDataFrame([(s, t) for t in at for s in ("s", "other")], "session_id string, snapshot_ms long").coalesce(1).write.mode("append").parquet(snaps)
+        make_spans(spark, [{"trace_id": t, "span_id": "r", "start_time_ms": ms, "request_metadata": {ST_KEY: "s"}} for t, ms in stops]).coalesce(1).write.mode("append").parquet(spans)
+        if n not in (2, 9):
+            continue
+        come = [files[j] for j in {*order[:n + 1]}]
+        traces = spark.createDataFrame([("s", t, ms) for _, ts in come for t, ms in ts], "session_id string, trace_id string, timestamp_ms long")
+        shots = spark.createDataFrame([(s, t) for ats, _ in come for t in ats for s in ("s", "other")], "session_id string, snapshot_ms long")
+        got = {tuple(r) for r in ST.consumed_snapshots(spark, spans, snaps, work, max_files=1).collect()}
+        want = first_stop_after_snapshot(traces, shots).filter("trace_id IS NOT NULL")
+        assert got == {(r.session_id, r.snapshot_ms, r.trace_id, r.trace_start_ms) for r in want.collect()} and len(got) > 1
+        pending = {(r.trace_id, r.snapshot_ms) for r in ST.session_snapshot_join(spark, spans, snaps, work, max_files=1).collect()}
+        assert pending == {(r.trace_id, r.snapshot_ms) for r in snapshot_at_stop(traces, shots).collect()}
