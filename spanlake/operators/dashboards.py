@@ -101,10 +101,11 @@ def q1_recent(spans, as_of, days=RECENT_DAYS):
 
 
 def q5_recent_top(spans, as_of, days=7, k=100):
-    """Q5: the Q1 view filtered to the last `days`, first `k` by start (desc)."""
+    """Q5: the Q1 view filtered to the last `days`, first `k` by start (desc);
+    ties by trace and span."""
     v = recent_traces(spans, as_of)
     return v.filter(F.col("timestamp") >= _since_midnight(as_of, days)) \
-            .orderBy(F.desc("start_time_ms"), "trace_id").limit(k)
+            .orderBy(F.desc("start_time_ms"), "trace_id", "span_id").limit(k).select(*v.columns)
 
 
 def q6_training_by_count(spans):

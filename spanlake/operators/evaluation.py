@@ -35,7 +35,7 @@ def rule_scores(summary: DataFrame, feedback: DataFrame | None = None, max_secon
     neg = F.lit(False)
     if feedback is not None:
         q = (feedback.filter(F.col("name") == "quality")
-             .groupBy("trace_id").agg(F.max_by("value", "create_ms").alias("q")))
+             .groupBy("trace_id").agg(F.max_by("value", F.struct("create_ms", "value")).alias("q")))
         s = s.join(q, "trace_id", "left")
         neg = F.coalesce(F.col("q") == "poor", F.lit(False))
     category = (F.when(F.col("error_span_count") > 0, F.lit("errors"))

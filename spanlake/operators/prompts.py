@@ -71,6 +71,12 @@ def ordered_concat_digest(df: DataFrame, group: str, key: str, content: str) ->
     return d.mapInPandas(_digest_partition, "g string, digest string, n_parts long").withColumnRenamed("g", group)
 
 
+def prompts_hash(prompts: Column) -> Column:
+    """A9 of one snapshot's own files, a map of key to content: 'none' if empty."""
+    parts = F.transform(F.array_sort(F.map_entries(prompts)), lambda e: F.concat(e["key"], F.lit("\n"), e["value"]))
+    return F.when(F.size(prompts) > 0, F.sha2(F.array_join(parts, "\0"), 256)).otherwise(F.lit("none"))
+
+
 def skills_hash(parts: DataFrame, groups: DataFrame | None = None, group: str = "project",
                 key: str = "key", content: str = "content") -> DataFrame:
     """Skills fingerprint per group; a group without files gets 'none'."""
@@ -124,13 +130,18 @@ def assign_prompt_versions(snapshots: DataFrame, project: str = "project", conte
 
     New version iff the text differs from the latest registered text (A->B->A
     gives 3 versions); empty/absent text gives (NULL, NULL) and leaves the
-    latest unchanged. Adds prompt_name, prompt_version, is_new_version and the
+    latest unchanged. Texts are compared by SHA-256 (the snapshot's own
+    `<content>_hash` if there is one), so a query that does not return them
+    does not read them. Adds prompt_name, prompt_version, is_new_version and the
     registration metadata commit_message (X10)."""
-    has = F.coalesce(F.col(content) != "", F.lit(False))
+    own = f"{content}_hash"
+    digest = F.col(own) if own in snapshots.columns else content_hash(F.nullif(F.col(content), F.lit("")))
+    snapshots = snapshots.withColumn("_digest", digest)
+    has = F.coalesce(F.col("_digest") != "none", F.lit(False))
     nonempty = snapshots.filter(has)
-    empty = snapshots.filter(~has)
+    empty = snapshots.filter(~has).drop("_digest")
     bucket = F.floor(F.col(order[0]) / F.lit(bucket_ms))
-    v = change_versions(nonempty, project, list(order), content, bucket, out="prompt_version")
+    v = change_versions(nonempty, project, list(order), "_digest", bucket, out="prompt_version").drop("_digest")
     v = v.withColumn("prompt_name", F.concat(F.lit(name_prefix + "."), F.col(project)))
     e = (empty.withColumn("prompt_version", F.lit(None).cast("int"))
          .withColumn("is_new_version", F.lit(False))
@@ -149,7 +160,7 @@ def snapshot_rows(env: DataFrame) -> DataFrame:
         F.col("instructions_hash").alias("claude_md_hash"),
         F.col("instructions").alias("claude_md_content"),
         "skills_hash",
-        F.create_map().cast("map<string,string>").alias("skills_prompts"),
+        "skills_prompts",
         "prompt_name", F.col("prompt_version").cast("int").alias("prompt_version"),
         iso_utc("snapshot_ms").alias("snapshot_timestamp"),
     )

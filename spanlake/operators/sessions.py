@@ -31,8 +31,8 @@ def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.jsonl
     Blank lines are skipped. Entry order is the file order, kept as (file,
     split start, position in split): splits of one file are read by different
     tasks, so no task must see a whole file. An unparsable line marks its
-    session `parse_ok = false` (a line that cannot be parsed has no sessionId,
-    so it is attributed through the file or directory name).
+    session `parse_ok = false`: the session of the last line before it in its
+    file that names one (`carried_session`), else that of the file.
     """
     reader = spark.read
     if glob:
@@ -48,7 +48,8 @@ def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.jsonl
                  F.monotonically_increasing_id().alias("i")).alias("ord"),
     ).filter(strip_ws("value") != "")
     df = df.withColumn("v", F.try_parse_json("value"))
-    session = F.coalesce(F.try_variant_get(F.col("v"), "$.sessionId", "string"), F.col("_file_session"))
+    df = carried_session(df.withColumn("_named", F.try_variant_get(F.col("v"), "$.sessionId", "string")))
+    session = F.coalesce("_named", "_carried", "_file_session")
     tool = F.try_variant_get(F.col("v"), "$.toolUseResult", "variant")
     content = F.try_variant_get(F.col("v"), "$.message.content", "variant")
     parts = F.try_variant_get(content, "$", "array<variant>")
@@ -71,6 +72,29 @@ def read_transcripts(spark: SparkSession, path: str, glob: str | None = "*.jsonl
     )
 
 
+def carried_session(lines: DataFrame) -> DataFrame:
+    """Lines (`ord` = file, split start, place; `_named` = the session they
+    name; `v` = parsed line) with `_carried`: for an unparsable line the
+    session of the last line before it in the file that names one.
+
+    Lines that parse are not shuffled. The bad lines are scanned together with
+    the (place, session) of the good ones per split, and a split's last session
+    is carried on to the file's later splits by one row per split, so that no
+    task sees a file. A line's place is its task's, so `lines` must be a scan."""
+    bad = F.col("v").isNull()
+    f, b, i = (F.col(f"ord.{c}").alias(f"_{c}") for c in "fbi")
+    keys = lines.select(f, b, i, "_named", bad.alias("_bad")).filter(F.col("_bad") | F.col("_named").isNotNull())
+    inside = Window.partitionBy("_f", "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = keys.withColumn("_in", F.last("_named", ignorenulls=True).over(inside)).filter("_bad").select("_f", "_b", "_i", "_in")
+    splits = keys.groupBy("_f", "_b").agg(F.max_by("_named", F.when(F.col("_named").isNotNull(), F.col("_i"))).alias("_last"))
+    before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_f", "_b", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    found = near.join(splits, ["_f", "_b"]).select("_f", "_b", "_i", F.coalesce("_in", "_before").alias("_carried"))
+    same = (F.col("ord.f") == found["_f"]) & (F.col("ord.b") == found["_b"]) & (F.col("ord.i") == found["_i"])
+    poor = lines.filter(bad).join(found, same, "left").drop("_f", "_b", "_i")
+    return lines.filter(~bad).withColumn("_carried", F.lit(None).cast("string")).unionByName(poor)
+
+
 def transcripts_to_jsonl(entries: DataFrame) -> DataFrame:
     """Render flat transcript rows as JSON Lines (one `value` per entry), the
     way the host writes them: every entry names its `sessionId`; odd entries
@@ -141,12 +165,18 @@ def latest_trace_per_session(traces: DataFrame) -> DataFrame:
             .select("session_id", F.col("b.trace_id").alias("trace_id"), (-F.col("b.neg")).alias("timestamp_ms")))
 
 
+def _orderable(df: DataFrame, column: str) -> F.Column:
+    """The column, or a map's sorted entries, which can be compared."""
+    is_map = df.schema[column].dataType.typeName() == "map"
+    return F.array_sort(F.map_entries(column)).alias(column) if is_map else F.col(column)
+
+
 def consume_snapshots(snapshots: DataFrame, order: str = "snapshot_ms") -> DataFrame:
     """E5 (batch): one snapshot per session - the sidecar present at the first
     Stop is the last one written before it; later duplicates are dropped."""
     cols = [c for c in snapshots.columns if c != "session_id"]
     return (snapshots.groupBy("session_id")
-            .agg(F.max_by(F.struct(*cols), F.struct(order, *[c for c in cols if c != order])).alias("s"))
+            .agg(F.max_by(F.struct(*cols), F.struct(order, *[_orderable(snapshots, c) for c in cols if c != order])).alias("s"))
             .select("session_id", "s.*"))
 
 
@@ -214,7 +244,8 @@ def enrich_traces(traces: DataFrame, snapshots: DataFrame,
     stops = traces if skipped is None else traces.join(skipped.select("trace_id"), "trace_id", "left_anti")
     keys = ["session_id", "snapshot_ms"]
     cols = [c for c in snapshots.columns if c not in keys]
-    snap = snapshots.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("s")).select(*keys, "s.*")
+    best = F.max_by(F.struct(*cols), F.struct(*[_orderable(snapshots, c) for c in cols]))
+    snap = snapshots.groupBy(*keys).agg(best.alias("s")).select(*keys, "s.*")
     used = first_stop_after_snapshot(stops, snap.select(*keys)).select(*keys, "trace_id")
     j = snap.join(used, keys, "left")
     none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))  # noqa: E731  (X13)

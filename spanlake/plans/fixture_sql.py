@@ -24,13 +24,17 @@ FROM q)"""
 
 ENV_SNAPSHOTS = """
 env_snapshots AS (
-SELECT concat('sess-',doc_id) AS session_id, source AS project,
+SELECT concat('sess-',doc_id//3) AS session_id, source AS project,
  CASE WHEN doc_id%17=0 THEN 'none' ELSE substr(sha256(CAST(CAST(floor(doc_id/10.0) AS INT) AS VARCHAR)),1,40) END AS git_sha,
  CASE WHEN doc_id%17=0 THEN 'none' WHEN doc_id%4=0 THEN 'true' ELSE 'false' END AS git_dirty,
- CASE WHEN doc_id%13=0 THEN '' ELSE lang END AS instructions,
- CASE WHEN doc_id%13=0 THEN 'none' ELSE sha256(lang) END AS instructions_hash,
- CASE WHEN doc_id%5=0 THEN 'none' ELSE sha256(source) END AS skills_hash,
- 1704067200000 + doc_id*60000 AS snapshot_ms FROM documents)"""
+ instructions, CASE WHEN instructions='' THEN 'none' ELSE sha256(instructions) END AS instructions_hash,
+ CASE WHEN doc_id%5=0 THEN 'none' ELSE sha256(concat('extra/',source,'/SKILL.md',chr(10),'About ',source,chr(0),'skills/',lang,'/SKILL.md',chr(10),
+  'Write in ',lang,chr(10),text)) END AS skills_hash,
+ CASE WHEN doc_id%5=0 THEN '' ELSE concat('extra/',source,'/SKILL.md=About ',source,' | skills/',lang,'/SKILL.md=Write in ',lang,chr(10),text) END AS skills_text,
+ unnest(CASE WHEN doc_id%7=0 THEN [taken, taken+30000] ELSE [taken] END) AS snapshot_ms
+FROM (SELECT *, 1704067200000 + doc_id*60000 + (doc_id%3)*777600000 AS taken,
+  CASE WHEN doc_id%13=0 THEN '' WHEN doc_id%2=1 THEN first_value(text) OVER (PARTITION BY source, lang ORDER BY doc_id) ELSE text END AS instructions
+ FROM (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents)))"""
 
 TRANSCRIPTS = """
 u_last AS (SELECT conv_id, max(turn) AS lu FROM conversations WHERE role='user' GROUP BY conv_id),

@@ -78,11 +78,11 @@ def q4(spark, sf):
 
 
 @query("q5_recent_7d_top100", with_tables(f"""
-SELECT * FROM (SELECT request_id, trace_id, span_name, span_type, start_time_ms, end_time_ms,
+SELECT * EXCLUDE (span_id) FROM (SELECT request_id, trace_id, span_id, span_name, span_type, start_time_ms, end_time_ms,
  {DUR} AS duration_seconds, status, experiment_id, timestamp FROM spans
  WHERE timestamp >= DATE '{AS_OF_RECENT}' - INTERVAL 30 DAYS) v
 WHERE timestamp >= DATE '{AS_OF_RECENT}' - INTERVAL 7 DAYS
-ORDER BY start_time_ms DESC, trace_id LIMIT 100""", "spans"))
+ORDER BY start_time_ms DESC, trace_id, span_id LIMIT 100""", "spans"))
 def q5(spark, sf):
     return d.q5_recent_top(spans(spark, sf), AS_OF_RECENT)
 

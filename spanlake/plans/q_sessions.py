@@ -9,7 +9,7 @@ from spanlake.operators.lineage import most_recent_session_trace, trace_summary,
 from spanlake.plans.fixture_sql import with_tables
 from spanlake.plans.q_lineage import ROOT_CTE
 from spanlake.plans.registry import query, spans, table
-from spanlake.sources.fixtures import file_table
+from spanlake.sources.fixtures import derived_folder, file_table
 
 LAST_CTE = r"""
 last AS (SELECT session_id, arg_max(text, ord) FILTER (WHERE type = 'user' AND NOT is_tool_result) AS last_text,
@@ -26,7 +26,11 @@ def e1(spark, sf):
     return SS.skip_decisions(table(spark, sf, "transcripts"))
 
 
-@query("s4_transcript_reader", with_tables(E1_SQL, "transcripts", extra=LAST_CTE))
+S4_SQL = """SELECT session_id, skill_name, coalesce(skill_name IN ('feedback-trace', 'tag-trace'), false)
+ AND CAST(substr(session_id, 6) AS BIGINT) % 7 <> 0 AS skipped FROM nm"""      # every seventh session has a bad line
+
+
+@query("s4_transcript_reader", with_tables(S4_SQL, "transcripts", extra=LAST_CTE))
 def s4(spark, sf):
     return SS.skip_decisions(SS.read_transcripts(spark, file_table(spark, sf, "transcripts_jsonl"), glob=None))
 
@@ -55,13 +59,13 @@ VERSIONS_CTE = """
 ne AS (SELECT *, lag(instructions) OVER (PARTITION BY project ORDER BY snapshot_ms, session_id) AS prev
   FROM env_snapshots WHERE instructions <> ''),
 ch AS (SELECT *, CASE WHEN prev IS NULL OR prev <> instructions THEN 1 ELSE 0 END AS changed FROM ne),
-vv AS (SELECT session_id, changed, CAST(sum(changed) OVER (PARTITION BY project ORDER BY snapshot_ms, session_id
+vv AS (SELECT session_id, snapshot_ms, changed, CAST(sum(changed) OVER (PARTITION BY project ORDER BY snapshot_ms, session_id
   ROWS UNBOUNDED PRECEDING) AS INT) AS prompt_version FROM ch),
 versions AS (SELECT e.*, v.prompt_version, coalesce(v.changed = 1, false) AS is_new_version,
   CASE WHEN v.prompt_version IS NOT NULL THEN 'main.default.claude_md.' || e.project END AS prompt_name,
   CASE WHEN e.git_sha IS NOT NULL AND e.git_sha <> 'none' THEN 'git:' || substr(e.git_sha, 1, 8) ELSE 'no-git' END
    AS commit_message
-  FROM env_snapshots e LEFT JOIN vv v ON e.session_id = v.session_id)"""
+  FROM env_snapshots e LEFT JOIN vv v ON e.session_id = v.session_id AND e.snapshot_ms = v.snapshot_ms)"""
 
 
 def _versions(spark, sf):
@@ -69,23 +73,28 @@ def _versions(spark, sf):
 
 
 @query("e7_prompt_versions", with_tables("""
-SELECT session_id, project, prompt_name, prompt_version, is_new_version, commit_message FROM versions""",
+SELECT session_id, snapshot_ms, project, prompt_name, prompt_version, is_new_version, commit_message FROM versions""",
     "env_snapshots", extra=VERSIONS_CTE))
 def e7(spark, sf):
-    return _versions(spark, sf).select("session_id", "project", "prompt_name", "prompt_version",
+    return _versions(spark, sf).select("session_id", "snapshot_ms", "project", "prompt_name", "prompt_version",
                                        "is_new_version", "commit_message")
 
 
 def _enrich(spark, sf):
     """E1 -> E5 -> E2/E3. A transcript is as of its session's latest Stop, so
     that is the Stop which a skip decision takes out."""
-    env = _versions(spark, sf).withColumnRenamed("instructions_hash", "claude_md_hash")
+    env = _versions(spark, sf).withColumnRenamed("instructions_hash", "claude_md_hash").drop("instructions", "skills_prompts")
     traces = SS.session_traces(spans(spark, sf))
     skips = SS.skip_decisions(table(spark, sf, "transcripts")).filter("skipped").select("session_id")
     skipped = SS.latest_trace_per_session(traces).join(skips, "session_id").select("trace_id")
     return SS.enrich_traces(traces, env, skipped)
 
 
+def _enriched(spark, sf):
+    """The enriched traces, written once per data folder for what builds on them."""
+    return derived_folder(spark, sf, "enriched", lambda: _enrich(spark, sf)[0])
+
+
 ENRICH_CTE = LATEST_CTE + "," + LAST_CTE + "," + VERSIONS_CTE + """,
 stops AS (SELECT s.* FROM summary s WHERE s.session_id IS NOT NULL AND s.trace_id NOT IN
   (SELECT l.trace_id FROM latest l JOIN nm ON nm.session_id = l.session_id
@@ -134,7 +143,7 @@ FROM enriched WHERE prompt_uri IS NOT NULL"""
 
 @query("e4_companion_traces", with_tables(COMPANION_SQL, "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def e4(spark, sf):
-    enriched, _ = _enrich(spark, sf)
+    enriched = _enriched(spark, sf)
     return SS.companion_traces(enriched)
 
 
@@ -143,7 +152,7 @@ SELECT c.session_trace_id AS trace_id, c.companion_trace_id AS snapshot_trace_id
 FROM ({COMPANION_SQL}) c JOIN enriched e ON e.trace_id = c.session_trace_id""",
     "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def j6(spark, sf):
-    enriched, _ = _enrich(spark, sf)
+    enriched = _enriched(spark, sf)
     comp = SS.companion_traces(enriched)
     return comp.join(enriched.select(F.col("trace_id").alias("session_trace_id"), "session_id"),
                      ["session_trace_id", "session_id"]) \
@@ -166,7 +175,7 @@ FROM ({COMPANION_SQL}) c JOIN summary s ON s.trace_id = c.session_trace_id"""
 def _store_with_companions(spark, sf):
     """(spans, tag log) after the enrichment: companions are traces, tags are writes."""
     s = spans(spark, sf)
-    enriched, _ = _enrich(spark, sf)
+    enriched = _enriched(spark, sf)
     comp = SS.companion_traces(enriched)
     found = SS.companion_spans(comp, trace_summary(s, with_payload=False, with_session=False))
     written = SS.enrichment_tag_rows(enriched).unionByName(SS.companion_tag_rows(comp))
@@ -248,7 +257,7 @@ SELECT git_sha, claude_md_hash, count(*) AS n_traces FROM enriched WHERE git_sha
 GROUP BY git_sha, claude_md_hash""", "spans", "env_snapshots", "transcripts", extra=ENRICH_CTE))
 def e8(spark, sf):
     from spanlake.operators.evaluation import traces_for_commit
-    enriched, _ = _enrich(spark, sf)
+    enriched = _enriched(spark, sf)
     return traces_for_commit(enriched)
 
 
@@ -269,7 +278,7 @@ FROM g""", "spans", "env_snapshots", "feedback_log", "transcripts", extra=ENRICH
 def e9(spark, sf):
     from spanlake.operators.evaluation import quality_by_version
     from spanlake.operators.lineage import trace_summary
-    enriched, _ = _enrich(spark, sf)
+    enriched = _enriched(spark, sf)
     s = spans(spark, sf)
     return quality_by_version(enriched, trace_summary(s, with_payload=False, with_session=False), table(spark, sf, "feedback_log"))
 
@@ -302,13 +311,14 @@ def e10(spark, sf):
 
 @query("s5_s6_snapshot_files", with_tables("""
 SELECT session_id, git_sha, git_dirty, instructions_hash AS claude_md_hash, instructions AS claude_md_content,
- skills_hash, prompt_name, prompt_version,
+ skills_hash, skills_text AS skills_prompts, prompt_name, prompt_version,
  strftime(make_timestamp(snapshot_ms * 1000), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS snapshot_timestamp
 FROM versions""", "env_snapshots", extra=VERSIONS_CTE))
 def s5_s6(spark, sf):
     snaps = P.read_snapshots(spark, file_table(spark, sf, "snapshots_json"))
+    prompts = F.array_join(F.transform(F.array_sort(F.map_entries("skills_prompts")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), " | ")
     return snaps.select("session_id", "git_sha", "git_dirty", "claude_md_hash", "claude_md_content", "skills_hash",
-                        "prompt_name", "prompt_version", "snapshot_timestamp")
+                        prompts.alias("skills_prompts"), "prompt_name", "prompt_version", "snapshot_timestamp")
 
 
 @query("e5_first_stop_after_snapshot", with_tables("""

@@ -21,12 +21,15 @@ from spanlake.functions.scans import bucketed_row_number
 from spanlake.schema import EVENT, SESSION_KEY
 from spanlake.session import scratch_dir
 
-FIXTURE_VERSION = "v6"
+FIXTURE_VERSION = "v7"
 TABLES = ("spans", "env_snapshots", "transcripts", "tag_log", "feedback_log")
 
 # Fixed values of the fixture recipe (FIXTURES.md §2).
 CLOCK_SKEW_MS = 864000000      # +10 days on every 97th event
 SNAPSHOT_EPOCH_MS = 1704067200000  # 2024-01-01T00:00:00Z
+LATER_MS = 9 * 86400000        # between a session's snapshots
+AGAIN_MS = 30000               # until a snapshot is taken again
+BAD_LINE = '{"type": "user", "message": {"cont'
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,18 +126,32 @@ def derive_spans(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = N
 
 
 def derive_env_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _raw(spark, sf_dir, "documents")
+    """Snapshots of sessions of three documents each, days apart, and every
+    seventh taken once more. Instructions are whole texts: the document's own,
+    or (odd ids) the one that its source and language began with, so that a
+    project goes back to earlier instructions. Two skill files a snapshot."""
+    from spanlake.operators.prompts import prompts_hash
+    d = _raw(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    began = d.groupBy("source", "lang").agg(F.min_by("text", "doc_id").alias("began_with"))
+    d = d.join(began, ["source", "lang"])
     doc = F.col("doc_id")
     sha_src = F.floor(doc / F.lit(10.0)).cast("int").cast("string")
+    instructions = F.when(doc % 13 == 0, "").when(doc % 2 == 1, F.col("began_with")).otherwise(F.col("text"))
+    skills = F.when(doc % 5 == 0, F.create_map().cast("map<string,string>")).otherwise(F.create_map(
+        F.concat(F.lit("skills/"), F.col("lang"), F.lit("/SKILL.md")), F.concat(F.lit("Write in "), F.col("lang"), F.lit("\n"), F.col("text")),
+        F.concat(F.lit("extra/"), F.col("source"), F.lit("/SKILL.md")), F.concat(F.lit("About "), F.col("source"))))
+    at = F.lit(SNAPSHOT_EPOCH_MS) + doc * 60000 + (doc % 3) * LATER_MS
+    times = F.when(doc % 7 == 0, F.array(at, at + AGAIN_MS)).otherwise(F.array(at))
     return d.select(
-        F.concat(F.lit("sess-"), doc.cast("string")).alias("session_id"),
+        F.concat(F.lit("sess-"), F.floor(doc / F.lit(3.0)).cast("string")).alias("session_id"),
         F.col("source").alias("project"),
         F.when(doc % 17 == 0, "none").otherwise(F.substring(F.sha2(sha_src, 256), 1, 40)).alias("git_sha"),
         F.when(doc % 17 == 0, "none").when(doc % 4 == 0, "true").otherwise("false").alias("git_dirty"),
-        F.when(doc % 13 == 0, "").otherwise(F.col("lang")).alias("instructions"),
-        F.when(doc % 13 == 0, "none").otherwise(F.sha2("lang", 256)).alias("instructions_hash"),
-        F.when(doc % 5 == 0, "none").otherwise(F.sha2("source", 256)).alias("skills_hash"),
-        (F.lit(SNAPSHOT_EPOCH_MS) + doc * 60000).alias("snapshot_ms"),
+        instructions.alias("instructions"),
+        F.when(instructions == "", "none").otherwise(F.sha2(instructions, 256)).alias("instructions_hash"),
+        prompts_hash(skills).alias("skills_hash"),
+        skills.alias("skills_prompts"),
+        F.explode(times).alias("snapshot_ms"),
     )
 
 
@@ -244,7 +261,12 @@ def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 def _write_transcripts_jsonl(spark: SparkSession, sf_dir: str, path: str) -> None:
     from spanlake.operators.sessions import transcripts_to_jsonl
-    lines = transcripts_to_jsonl(load_table(spark, sf_dir, "transcripts"))
+    t = load_table(spark, sf_dir, "transcripts")
+    lines = transcripts_to_jsonl(t)
+    # every seventh session has a line cut off after its first entry
+    number = F.substring("session_id", 6, 20).cast("long")
+    bad = t.filter(number % 7 == 0).groupBy("session_id").agg((F.min("ord") + F.lit(0.5)).alias("ord"))
+    lines = lines.withColumn("ord", F.col("ord").cast("double")).unionByName(bad.withColumn("value", F.lit(BAD_LINE)))
     # a session stays inside one file (hash partitioning never splits a key),
     # its lines in order; a flat folder of a few files lists fast
     (lines.repartition("session_id").sortWithinPartitions("session_id", "ord")
@@ -260,6 +282,12 @@ def _write_snapshots_json(spark: SparkSession, sf_dir: str, path: str) -> None:
 _FILE_WRITERS = {"transcripts_jsonl": _write_transcripts_jsonl, "snapshots_json": _write_snapshots_json}
 
 
+def derived_folder(spark: SparkSession, sf_dir: str, name: str, rows) -> DataFrame:
+    """The result of `rows()` as a table written once per data folder."""
+    path = table_path(spark, sf_dir, name)
+    return spark.read.parquet(_publish(spark, path, lambda folder: rows().write.parquet(folder)))
+
+
 def file_table(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of raw files (JSON Lines transcripts, snapshot JSON) written once
     from the derived tables, for the file readers S4 and S5."""

@@ -88,3 +88,39 @@ def test_s5_session_from_file_name(spark, tmp_path):
     from spanlake.operators.prompts import read_snapshots
     (tmp_path / "env_abc.json").write_text(json.dumps({"git_sha": "none"}) + "\n")
     assert [r.session_id for r in read_snapshots(spark, str(tmp_path)).collect()] == ["abc"]
+
+
+def test_s4_bad_lines_belong_to_the_session_before_them(spark, tmp_path):
+    """A shared file of many sessions, read in splits of a few lines: only the
+    sessions with a bad line inside are marked."""
+    from spanlake.operators.sessions import read_transcripts, skip_decisions
+    call = "Base directory for this skill: /a/tag-trace"
+    line = lambda s: json.dumps({"type": "user", "sessionId": s, "message": {"role": "user", "content": call}})
+    lines, marked = ["{bad at the start"], set()
+    for k in range(200):
+        lines += [line(f"s{k}"), json.dumps({"type": "user", "message": {"role": "user", "content": call}}).replace("user\", \"m", "system\", \"m")]
+        if k % 9 == 0:
+            lines += ["", "{cut off", "   ", "also bad"]
+            marked.add(f"s{k}")
+    (tmp_path / "shared.jsonl").write_text("\n".join(lines) + "\n")
+    (tmp_path / "alone.jsonl").write_text("not json\n" + json.dumps({"type": "user", "message": {"content": call}}) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        entries = read_transcripts(spark, str(tmp_path))
+        assert entries.rdd.getNumPartitions() > 20
+        bad = {r.session_id: r.n for r in entries.filter("NOT parse_ok").groupBy("session_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert bad == {**dict.fromkeys(marked, 2), "shared": 1, "alone": 1}
+        got = {r.session_id: r.skipped for r in skip_decisions(entries).collect()}
+        assert {s for s, skipped in got.items() if skipped} == {f"s{k}" for k in range(200)} - marked
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_prompts_hash_equals_the_grouped_digest(spark):
+    from spanlake.operators.prompts import prompts_hash, skills_hash
+    files = {"b/SKILL.md": "B\n", "a/SKILL.md": "\u00e9", "a/x/SKILL.md": ""}
+    df = spark.createDataFrame([("p", files), ("none", {})], "project string, prompts map<string,string>")
+    got = {r.project: r.h for r in df.select("project", prompts_hash(F.col("prompts")).alias("h")).collect()}
+    parts = spark.createDataFrame([("p", k, v) for k, v in files.items()], "project string, key string, content string")
+    assert got == {"p": skills_hash(parts).first().skills_hash, "none": "none"}

@@ -58,11 +58,11 @@ def test_e7_invariants_on_the_fixture(spark):
         group = list(group)
         check_versions([r.instructions for r in group], [r.prompt_version for r in group])
     versioned = [r.prompt_version for r in rows if r.prompt_version is not None]
-    assert len(versioned) == 923 and max(versioned) == 33
+    assert len(versioned) == 1055 and max(versioned) == 47
 
 
 def test_fixture_sizes(spark):
     s = load_table(spark, SF01, "spans")
     assert s.count() == 10000
     assert s.select("trace_id").distinct().count() == 749
-    assert load_table(spark, SF01, "env_snapshots").count() == 1000
+    assert load_table(spark, SF01, "env_snapshots").count() == 1143
