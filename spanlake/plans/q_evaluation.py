@@ -7,7 +7,10 @@ from spanlake.operators.lineage import trace_summary, trace_tags
 from spanlake.plans.fixture_sql import with_tables
 from spanlake.plans.q_lineage import ROOT_CTE
 from spanlake.plans.registry import query, spans, table
+from spanlake.functions.exprs import map_text
+from spanlake.schema import SPAN
 from spanlake.sources import dimensions as D
+from spanlake.sources.fixtures import derived_path
 
 
 @query("v1_sample_traces", with_tables("""
@@ -91,26 +94,40 @@ def v7(spark, sf):
     return pred.select("vec_id", "target", "prediction")
 
 
+def _experiments(spark, sf):
+    path = derived_path(spark, sf, "experiments", lambda: D.experiments_from_spans(spans(spark, sf)))
+    return D.read_dimension(spark, path, "experiment")
+
+
+def _runs(spark, sf):
+    return D.read_dimension(spark, derived_path(spark, sf, "runs", lambda: D.runs_from_spans(spans(spark, sf))), "run")
+
+
 @query("s2_experiments", with_tables("""
 SELECT experiment_id, 'experiment-' || experiment_id AS name, '/experiments/' || experiment_id AS artifact_location,
- 'active' AS lifecycle_stage, min(timestamp) AS creation_time, max(timestamp) AS last_update_time
+ 'active' AS lifecycle_stage, min(timestamp) AS creation_time, max(timestamp) AS last_update_time,
+ 'n_errors=' || count(*) FILTER (WHERE status = 'ERROR') || ',n_spans=' || count(*) AS tags
 FROM spans GROUP BY experiment_id""", "spans"))
 def s2(spark, sf):
-    return D.experiments_from_spans(spans(spark, sf)).drop("tags")
+    """The stored table, maps included."""
+    return _experiments(spark, sf).withColumn("tags", map_text("tags"))
 
 
 RUNS_SQL = """
 SELECT 'run-' || s.trace_id AS run_id, s.experiment_id, s.root_span_name AS run_name,
  CASE WHEN s.error_span_count > 0 THEN 'FAILED' ELSE 'FINISHED' END AS status,
  t.start_time, t.end_time, '/experiments/' || s.experiment_id || '/' || s.trace_id AS artifact_uri,
- 'active' AS lifecycle_stage
-FROM summary s JOIN (SELECT trace_id, min(timestamp) AS start_time, max(timestamp) AS end_time FROM spans
+ 'active' AS lifecycle_stage, CAST(s.span_count AS DOUBLE) AS n_spans, CAST(s.error_span_count AS DOUBLE) AS n_errors,
+ 'event_type=' || r.attr_event_type || ',k=' || r.attr_k || ',tokens=' || r.attr_tokens AS params
+FROM summary s JOIN ranked r ON r.trace_id = s.trace_id AND r.rn = 1 JOIN (SELECT trace_id, min(timestamp) AS start_time, max(timestamp) AS end_time FROM spans
  GROUP BY trace_id) t ON t.trace_id = s.trace_id"""
 
 
 @query("s3_runs", with_tables(RUNS_SQL, "spans", extra=ROOT_CTE))
 def s3(spark, sf):
-    return D.runs_from_spans(spans(spark, sf)).drop("params", "metrics")
+    runs = _runs(spark, sf)
+    return runs.select(*[c for c in runs.columns if c not in ("params", "metrics")], map_text("params").alias("params"),
+                       F.col("metrics")["n_spans"].alias("n_spans"), F.col("metrics")["n_errors"].alias("n_errors"))
 
 
 @query("j8_span_dimension_join", with_tables(f"""
@@ -118,13 +135,26 @@ SELECT sp.span_id, 'experiment-' || sp.experiment_id AS name, r.status AS run_st
 FROM spans sp LEFT JOIN ({RUNS_SQL}) r ON r.run_id = 'run-' || sp.trace_id""", "spans", extra=ROOT_CTE))
 def j8(spark, sf):
     s = spans(spark, sf)
-    exps = D.experiments_from_spans(s).select("experiment_id", "name")
-    runs = D.runs_from_spans(s).select(F.col("run_id"), F.col("status").alias("run_status"))
+    exps = _experiments(spark, sf).select("experiment_id", "name")
+    runs = _runs(spark, sf).select(F.col("run_id"), F.col("status").alias("run_status"))
     j = D.join_dimension(s.select("span_id", "experiment_id", F.concat(F.lit("run-"), "trace_id").alias("run_id")),
                          exps, "experiment_id")
     return D.join_dimension(j, runs, "run_id").select("span_id", "name", "run_status")
 
 
+@query("j8_pruned_experiments", with_tables("""
+SELECT trace_id, span_id, 'experiment-' || experiment_id AS name FROM spans WHERE experiment_id IN
+ (SELECT experiment_id FROM spans GROUP BY experiment_id HAVING count(*) FILTER (WHERE status = 'ERROR') * 100 < 8 * count(*))""", "spans"))
+def j8_pruned(spark, sf):
+    """Spans stored by experiment; a condition on the stored experiments picks
+    the partitions that are read."""
+    path = derived_path(spark, sf, "spans_by_experiment", lambda: spans(spark, sf), by="experiment_id")
+    stored = spark.read.schema(SPAN).parquet(path)
+    tags = F.col("tags")
+    calm = _experiments(spark, sf).filter(tags["n_errors"].cast("long") * 100 < tags["n_spans"].cast("long") * 8).select("experiment_id", "name")
+    return D.join_dimension(stored.select("trace_id", "span_id", "experiment_id"), calm, "experiment_id", "inner").select("trace_id", "span_id", "name")
+
+
 @query("s9_store_search", with_tables("""
 SELECT s.trace_id, s.timestamp_ms, s.status FROM summary s JOIN
  (SELECT trace_id, arg_max(value, seq) AS v FROM tag_log WHERE key = 'purchase' GROUP BY trace_id) t

@@ -7,6 +7,8 @@ from spanlake.operators import filtering as FL
 from spanlake.plans.fixture_sql import with_tables
 from spanlake.plans.q_dashboards import ATTR_TEXT
 from spanlake.plans.registry import query, spans, table
+from spanlake.session import scratch_dir
+from spanlake.sources.spans import read_spans
 
 # Fixed filter criteria of the registered checks.
 F5_NAMES = ["purchase_0", "purchase_1", "purchase_2", "view_0"]
@@ -36,10 +38,14 @@ def j2(spark, sf):
 
 
 @query("j2_missing_requests", with_tables("""
-SELECT f.create_ms AS request_key, f.trace_id FROM feedback_log f
+SELECT request_key, trace_id FROM (SELECT create_ms AS request_key, trace_id FROM feedback_log
+ UNION ALL SELECT create_ms, trace_id || '-gone' FROM feedback_log WHERE create_ms % 3 = 0) f
 WHERE NOT EXISTS (SELECT 1 FROM spans s WHERE s.trace_id = f.trace_id)""", "spans", "feedback_log"))
 def j2_missing(spark, sf):
-    _, missing = FL.lookup_traces(spans(spark, sf), _feedback_requests(spark, sf))
+    """Every third request also asks for a trace that is not there."""
+    asked = _feedback_requests(spark, sf).select("request_key", "trace_id")
+    gone = asked.filter("request_key % 3 = 0").withColumn("trace_id", F.concat("trace_id", F.lit("-gone")))
+    _, missing = FL.lookup_traces(spans(spark, sf), asked.unionByName(gone))
     return missing.select("request_key", "trace_id")
 
 
@@ -93,6 +99,21 @@ def t1(spark, sf):
                       "is_root", map_text("attributes").alias("attributes"), map_text("tags").alias("tags"))
 
 
+@query("s8_filtered_trace_table", with_tables("""
+SELECT 'new' AS kind, new_trace_id AS trace_id, experiment_id, span_name, start_time_ms FROM ids
+UNION ALL SELECT 'old', trace_id, experiment_id, span_name, start_time_ms FROM spans WHERE experiment_id IN ('1', '3')""",
+    "spans", extra=MATCHED_CTE + "," + NEW_IDS))
+def s8(spark, sf):
+    """The filtered traces appended to a span table that holds some spans, read back."""
+    path = scratch_dir(spark, "sinks", "s8", unique=True)
+    s = spans(spark, sf)
+    FL.write_filtered_traces(s.filter(F.col("experiment_id").isin("1", "3")), path)
+    requests = s.select(F.col("trace_id").alias("request_key"), "trace_id").distinct()
+    FL.write_filtered_traces(FL.filter_and_create_traces(s, requests, T1_NAMES), path)
+    new = F.col("tags")["filtered"] == "true"
+    return read_spans(spark, path).select(F.when(new, "new").otherwise("old").alias("kind"), "trace_id", "experiment_id", "span_name", "start_time_ms")
+
+
 @query("t3_new_trace_identity", with_tables("""
 SELECT trace_id AS request_key, trace_id AS source_trace_id, new_trace_id AS trace_id, experiment_id,
  count(*) AS span_count FROM ids GROUP BY ALL""", "spans", extra=MATCHED_CTE + "," + NEW_IDS))

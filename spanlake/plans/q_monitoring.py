@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from spanlake.operators import monitoring as M
+from spanlake.operators import sketches as K
 from spanlake.operators.dashboards import flatten_maps
 from spanlake.plans.fixture_sql import percentile_ctes, with_tables
 from spanlake.plans.q_dashboards import ALL_SPANS_SQL, TAG_TEXT_CTE
 from spanlake.plans.registry import query, spans
+from spanlake.session import scratch_dir
 from spanlake.sources import dimensions as D
 
 AS_OF_RETENTION = "2024-01-31 00:00:00"
@@ -99,9 +101,59 @@ def c3(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_spans")))
 
 
+@query("c4_partitioned_table", with_tables("""
+SELECT CAST(timestamp AS DATE) AS span_date, trace_id, span_id, start_time_ms FROM spans
+WHERE timestamp >= TIMESTAMP '2024-01-10 00:00:00'""", "spans"))
+def c4_table(spark, sf):
+    """Written in two appends by date, read back with a condition on the date."""
+    path = scratch_dir(spark, "sinks", "c4", unique=True)
+    s = spans(spark, sf)
+    M.write_partitioned(s.filter("experiment_id < '2'"), path)
+    M.write_partitioned(s.filter("experiment_id >= '2'"), path)
+    back = spark.read.parquet(path).filter(F.col("span_date") >= F.lit("2024-01-10").cast("date"))
+    return back.select("span_date", "trace_id", "span_id", "start_time_ms")
+
+
 @query("c4_date_partitions", with_tables("""
 SELECT CAST(timestamp AS DATE) AS span_date, count(*) AS n_spans, count(DISTINCT trace_id) AS n_traces
 FROM spans GROUP BY 1""", "spans"))
 def c4(spark, sf):
     return (M.with_span_date(spans(spark, sf)).groupBy("span_date")
             .agg(F.count(F.lit(1)).alias("n_spans"), F.count_distinct("trace_id").alias("n_traces")))
+
+
+# ---- sketches beside the exact forms ---------------------------------------------------
+
+SKETCH_PROBS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+SECOND_DAYS = "2024-01-16"
+
+
+def _stored(spark, rows, name):
+    """Sketches stored in two runs: the second run reads the later days only."""
+    path = scratch_dir(spark, "sketches", name, unique=True)
+    for part in ("coalesce(timestamp < TIMESTAMP_NTZ '{d} 00:00:00', true)", "timestamp >= TIMESTAMP_NTZ '{d} 00:00:00'"):
+        K.write_days(rows(F.expr(part.format(d=SECOND_DAYS))), path)
+    return K.read_days(spark, path)
+
+
+@query("a6_sketch_percentiles", with_tables("""
+SELECT span_type, count(*) AS n, true AS p50, true AS p95, true AS p99 FROM spans WHERE end_time_ms IS NOT NULL AND start_time_ms IS NOT NULL
+GROUP BY span_type""", "spans"))
+def a6_sketch(spark, sf):
+    """Whether each estimate's rank is within the sketch's bound of the exact one."""
+    s = spans(spark, sf)
+    stored = _stored(spark, lambda part: K.duration_sketches(s.filter(part)), "durations")
+    errors = K.rank_errors(s, K.merged_percentiles(stored, SKETCH_PROBS), SKETCH_PROBS)
+    return errors.select("span_type", "n", *[(F.col(a) <= K.RANK_BOUND).alias(a) for a in SKETCH_PROBS])
+
+
+@query("c2_approx_distinct", with_tables("SELECT column_name, n_rows, n_nulls, true AS within_bound FROM (" + _profile_sql() + ")",
+    "spans", "tag_log", extra=TAG_TEXT_CTE + ",\nflat AS (" + ALL_SPANS_SQL + ")"))
+def c2_sketch(spark, sf):
+    """Whether each column's estimate is within three standard errors of the exact count."""
+    s = flatten_maps(spans(spark, sf))
+    stored = _stored(spark, lambda part: K.distinct_sketches(s.filter(part), PROFILE_COLUMNS), "distinct")
+    exact = M.column_profile(s, PROFILE_COLUMNS).select("column_name", F.col("n_distinct").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact"))
+    return K.approx_distinct(stored).join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", (off <= F.col("exact") * K.HLL_BOUND + 1).alias("within_bound"))

@@ -9,24 +9,29 @@ from spanlake.schema import EXPERIMENT, RUN
 
 
 def experiments_from_spans(spans: DataFrame) -> DataFrame:
-    """One row per experiment seen in the span table."""
-    g = spans.groupBy("experiment_id").agg(F.min("timestamp").alias("creation_time"),
-                                           F.max("timestamp").alias("last_update_time"))
+    """One row per experiment seen in the span table, tagged with its
+    numbers of spans and of failed ones."""
+    g = spans.groupBy("experiment_id").agg(
+        F.min("timestamp").alias("creation_time"), F.max("timestamp").alias("last_update_time"),
+        F.count(F.lit(1)).alias("n_spans"), F.count_if(F.coalesce(F.col("status") == "ERROR", F.lit(False))).alias("n_errors"))
     return g.select(
         "experiment_id",
         F.concat(F.lit("experiment-"), "experiment_id").alias("name"),
         F.concat(F.lit("/experiments/"), "experiment_id").alias("artifact_location"),
         F.lit("active").alias("lifecycle_stage"),
         "creation_time", "last_update_time",
-        F.create_map().cast("map<string,string>").alias("tags"),
+        F.create_map(F.lit("n_spans"), F.col("n_spans").cast("string"), F.lit("n_errors"), F.col("n_errors").cast("string")).alias("tags"),
     ).select(*[f.name for f in EXPERIMENT.fields])
 
 
 def runs_from_spans(spans: DataFrame) -> DataFrame:
-    """S3: one run per trace (root span's experiment and name)."""
+    """S3: one run per trace (root span's experiment and name; its attributes
+    are the params, the trace's span counts the metrics)."""
     from spanlake.operators.lineage import trace_summary
     s = trace_summary(spans, with_payload=False, with_session=False)
-    times = spans.groupBy("trace_id").agg(F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time"))
+    root = F.struct(F.col("parent_span_id").isNotNull(), "start_time_ms", "span_id")
+    times = spans.groupBy("trace_id").agg(F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time"),
+                                          F.min_by("attributes", root).alias("params"))
     j = s.join(times, "trace_id")
     return j.select(
         F.concat(F.lit("run-"), "trace_id").alias("run_id"),
@@ -36,8 +41,8 @@ def runs_from_spans(spans: DataFrame) -> DataFrame:
         "start_time", "end_time",
         F.concat(F.lit("/experiments/"), "experiment_id", F.lit("/"), "trace_id").alias("artifact_uri"),
         F.lit("active").alias("lifecycle_stage"),
-        F.create_map().cast("map<string,string>").alias("params"),
-        F.create_map().cast("map<string,double>").alias("metrics"),
+        "params",
+        F.create_map(F.lit("n_spans"), F.col("span_count").cast("double"), F.lit("n_errors"), F.col("error_span_count").cast("double")).alias("metrics"),
     ).select(*[f.name for f in RUN.fields])
 
 

@@ -282,10 +282,18 @@ def _write_snapshots_json(spark: SparkSession, sf_dir: str, path: str) -> None:
 _FILE_WRITERS = {"transcripts_jsonl": _write_transcripts_jsonl, "snapshots_json": _write_snapshots_json}
 
 
+def derived_path(spark: SparkSession, sf_dir: str, name: str, rows, by: str | None = None) -> str:
+    """Folder of the result of `rows()`, written once per data folder, in
+    partitions of the column `by` if one is named."""
+    def write(folder: str) -> None:
+        w = rows().hint("rebalance", by).write.partitionBy(by) if by else rows().write
+        w.parquet(folder)
+
+    return _publish(spark, table_path(spark, sf_dir, name), write)
+
+
 def derived_folder(spark: SparkSession, sf_dir: str, name: str, rows) -> DataFrame:
-    """The result of `rows()` as a table written once per data folder."""
-    path = table_path(spark, sf_dir, name)
-    return spark.read.parquet(_publish(spark, path, lambda folder: rows().write.parquet(folder)))
+    return spark.read.parquet(derived_path(spark, sf_dir, name, rows))
 
 
 def file_table(spark: SparkSession, sf_dir: str, name: str) -> str:
