@@ -13,6 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanlake.functions.scans import bucketed_lead
+
+VERSIONS_PER_TASK = 1000
 SAMPLE_SIZE = 50          # fixed value: the reference's discovery sample size
 EXAMPLES_PER_ISSUE = 3    # fixed value: example trace ids shown per issue
 
@@ -61,12 +64,14 @@ def judge_traces(summary: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFram
     return summary.mapInPandas(run, "trace_id string, passed boolean, category string, rationale string")
 
 
-def issue_summary(scores: DataFrame, k: int = EXAMPLES_PER_ISSUE) -> DataFrame:
+def issue_summary(scores: DataFrame, k: int = EXAMPLES_PER_ISSUE, spans: DataFrame | None = None) -> DataFrame:
     """V3 / A10: per failure category: trace count, frequency among all scored
-    traces, confidence (share of failing traces in the category, 0-100) and the
-    first k example trace ids. The examples use a row_number <= k filter, which
-    Spark plans as a per-partition group limit before the shuffle, so a huge
-    category never ships all its ids."""
+    traces, confidence (share of failing traces in the category, 0-100), the
+    first k example trace ids, a description (its commonest rationale) and, with
+    `spans`, the root causes: the k operations that failed in most of its
+    traces. Examples and causes use a row_number <= k filter, which Spark plans
+    as a per-partition group limit before the shuffle, so a huge category never
+    ships all its ids."""
     total = scores.agg(F.count(F.lit(1)).alias("n_total"), F.count_if(~F.col("passed")).alias("n_failed"))
     failing = scores.filter(~F.col("passed"))
     counts = failing.groupBy("category").agg(F.count_distinct("trace_id").alias("n_traces"))
@@ -74,12 +79,24 @@ def issue_summary(scores: DataFrame, k: int = EXAMPLES_PER_ISSUE) -> DataFrame:
     ex = (failing.select("category", "trace_id").withColumn("_rn", F.row_number().over(w))
           .filter(F.col("_rn") <= k).groupBy("category")
           .agg(F.array_join(F.array_sort(F.collect_list("trace_id")), ",").alias("example_trace_ids")))
+    told = failing.groupBy("category", "rationale").agg(F.count(F.lit(1)).alias("n")).groupBy("category").agg(
+        F.max_by("rationale", F.struct("n", "rationale")).alias("description"))
+    counts = counts.join(told, "category")
+    causes = []
+    if spans is not None:
+        failed = spans.filter(F.col("status") == "ERROR").select("trace_id", "span_name").distinct()
+        each = failing.select("category", "trace_id").distinct().join(failed, "trace_id").groupBy("category", "span_name").agg(F.count(F.lit(1)).alias("n"))
+        most = Window.partitionBy("category").orderBy(F.desc("n"), "span_name")
+        named = each.withColumn("_rn", F.row_number().over(most)).filter(F.col("_rn") <= k).groupBy("category").agg(
+            F.array_sort(F.collect_list(F.struct("_rn", "span_name"))).alias("_c"))
+        counts = counts.join(named, "category", "left")
+        causes = [F.coalesce(F.array_join("_c.span_name", ","), F.lit("")).alias("root_causes")]
     j = counts.join(ex, "category").crossJoin(F.broadcast(total))  # `total` is one row
     return j.select(
         F.col("category").alias("name"), "n_traces",
         (F.col("n_traces").cast("double") / F.col("n_total")).alias("frequency"),
         F.floor(F.col("n_traces") * F.lit(100) / F.col("n_failed")).cast("int").alias("confidence"),
-        "example_trace_ids")
+        "example_trace_ids", "description", *causes)
 
 
 def evaluation_dataset(traces: DataFrame, feedback: DataFrame, test_share: float = 0.2, seed: int = 42) -> DataFrame:
@@ -147,8 +164,8 @@ def traces_for_commit(enriched: DataFrame, git_sha: str | None = None) -> DataFr
 
 def quality_by_version(enriched: DataFrame, summary: DataFrame, feedback: DataFrame) -> DataFrame:
     """Per prompt version: traces, error rate, rated traces, share rated
-    good, and the error-rate change from the previous version (window over the
-    versions of one prompt: a handful of rows per partition)."""
+    good, and the error-rate change from the previous version that has traces
+    (a scan of a prompt's versions, split into ranges of versions)."""
     q = (feedback.filter(F.col("name") == "quality").groupBy("trace_id")
          .agg(F.max_by("value", F.struct("create_ms", "value")).alias("quality")))
     j = (enriched.filter(F.col("prompt_version").isNotNull())
@@ -161,5 +178,7 @@ def quality_by_version(enriched: DataFrame, summary: DataFrame, feedback: DataFr
         F.count("quality").alias("n_rated"),
         F.when(F.count("quality") > 0,
                F.count_if(F.col("quality") == "good").cast("double") / F.count("quality")).alias("good_rate"))
-    w = Window.partitionBy("prompt_name").orderBy("prompt_version")
-    return g.withColumn("error_rate_delta", F.col("error_rate") - F.lag("error_rate").over(w))
+    # Downwards, the next version is the previous one; a prompt of very many versions is split into ranges.
+    down = g.withColumn("_down", -F.col("prompt_version"))
+    led = bucketed_lead(down, "prompt_name", ["_down"], ["error_rate"], F.floor(F.col("_down") / F.lit(VERSIONS_PER_TASK)), prefix="_previous_")
+    return led.withColumn("error_rate_delta", F.col("error_rate") - F.col("_previous_error_rate")).drop("_down", "_previous_error_rate")

@@ -41,14 +41,30 @@ def v2(spark, sf):
     return _scores(spark, sf)
 
 
+@query("v2_pluggable_judge", with_tables("""
+SELECT trace_id, error_span_count * 5 <= span_count AS passed, CASE WHEN error_span_count * 5 > span_count THEN 'many_errors' END AS category,
+ error_span_count || '/' || span_count AS rationale FROM summary""", "spans", extra=ROOT_CTE))
+def v2_judge(spark, sf):
+    """A judge in Python over batches of trace summaries."""
+    def judge(batch):
+        bad = batch["error_span_count"] * 5 > batch["span_count"]
+        rationale = batch["error_span_count"].astype(str) + "/" + batch["span_count"].astype(str)
+        return batch.assign(passed=~bad, category=bad.map({True: "many_errors", False: None}), rationale=rationale)
+
+    return EV.judge_traces(trace_summary(spans(spark, sf), with_payload=False, with_session=False), judge)
+
+
 @query("v3_issue_summary", with_tables("""
 SELECT category AS name, count(DISTINCT trace_id) AS n_traces,
  CAST(count(DISTINCT trace_id) AS DOUBLE) / (SELECT count(*) FROM scores) AS frequency,
  CAST(floor(count(DISTINCT trace_id) * 100 / (SELECT count(*) FROM scores WHERE category IS NOT NULL)) AS INT) AS confidence,
- array_to_string(list_sort(list(trace_id ORDER BY trace_id)[1:3]), ',') AS example_trace_ids
-FROM scores WHERE category IS NOT NULL GROUP BY category""", "spans", "feedback_log", extra=SCORES_CTE))
+ array_to_string(list_sort(list(trace_id ORDER BY trace_id)[1:3]), ',') AS example_trace_ids,
+(SELECT arg_max(rationale, (n, rationale)) FROM (SELECT rationale, count(*) AS n FROM scores s WHERE s.category = c.category GROUP BY rationale)) AS description,
+coalesce((SELECT string_agg(span_name, ',' ORDER BY n DESC, span_name) FROM (SELECT span_name, count(DISTINCT p.trace_id) AS n FROM spans p JOIN scores s
+ ON s.trace_id = p.trace_id WHERE p.status = 'ERROR' AND s.category = c.category GROUP BY span_name ORDER BY n DESC, span_name LIMIT 3)), '') AS root_causes
+FROM scores c WHERE category IS NOT NULL GROUP BY category""", "spans", "feedback_log", extra=SCORES_CTE))
 def v3(spark, sf):
-    return EV.issue_summary(_scores(spark, sf))
+    return EV.issue_summary(_scores(spark, sf), spans=spans(spark, sf))
 
 
 @query("v4_evaluation_dataset", with_tables("""

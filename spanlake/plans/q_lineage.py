@@ -5,6 +5,7 @@ from spanlake.plans.fixture_sql import with_tables
 from spanlake.plans.q_dashboards import LINEAGE_SQL
 from spanlake.plans.registry import query, spans, table
 from spanlake.operators.dashboards import trace_lineage
+from spanlake.sources.fixtures import bucketed_spans
 
 ROOT_CTE = """
 ranked AS (SELECT s.*, count(*) OVER (PARTITION BY trace_id) AS span_count,
@@ -21,6 +22,16 @@ def j1(spark, sf):
     return trace_lineage(spans(spark, sf))
 
 
+@query("j1_bucketed_lineage", with_tables(LINEAGE_SQL, "spans"))
+def j1_bucketed(spark, sf):
+    return trace_lineage(bucketed_spans(spark, sf))
+
+
+@query("t12_bucketed_summary", with_tables("SELECT * FROM summary", "spans", extra=ROOT_CTE))
+def t12_bucketed(spark, sf):
+    return L.trace_summary(bucketed_spans(spark, sf))
+
+
 @query("t12_trace_summary", with_tables("SELECT * FROM summary", "spans", extra=ROOT_CTE))
 def t12(spark, sf):
     return L.trace_summary(spans(spark, sf))

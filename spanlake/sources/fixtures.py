@@ -292,6 +292,14 @@ def derived_path(spark: SparkSession, sf_dir: str, name: str, rows, by: str | No
     return _publish(spark, table_path(spark, sf_dir, name), write)
 
 
+def bucketed_spans(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
+    """The span table bucketed by trace, written once per data folder."""
+    from spanlake.sources.layouts import read_bucketed, write_bucketed
+    path = _publish(spark, table_path(spark, sf_dir, f"spans_bucketed_{buckets}"),
+                    lambda folder: write_bucketed(load_table(spark, sf_dir, "spans"), folder, buckets))
+    return read_bucketed(spark, path, buckets)
+
+
 def derived_folder(spark: SparkSession, sf_dir: str, name: str, rows) -> DataFrame:
     return spark.read.parquet(derived_path(spark, sf_dir, name, rows))
 

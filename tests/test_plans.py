@@ -122,3 +122,37 @@ def test_scoring_reads_no_payload_or_metadata(spans):
     read = [l for l in p.splitlines() if l.startswith("ReadSchema")][0]
     for col in ("inputs", "outputs", "request_metadata", "attributes", "tags"):
         assert col not in read
+
+
+def test_bucketed_spans_join_without_an_exchange_of_spans(spark):
+    from spanlake.operators.dashboards import trace_lineage
+    from spanlake.operators.filtering import filter_spans, reparent
+    from spanlake.operators.lineage import trace_summary
+    from spanlake.sources.fixtures import bucketed_spans
+    from spanlake.sources.layouts import read_bucketed
+    s = bucketed_spans(spark, SF001)
+    settings = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for df in (trace_lineage(s), trace_summary(s), reparent(filter_spans(s, ["view_0", "click_1"]))):
+            p = plan(df, "simple")
+            assert "Bucketed: true" in p or "Bucketed: true" in plan(df)
+            assert "Exchange" not in p
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert read_bucketed(spark, "/nowhere/else", 4).schema.fieldNames() == s.schema.fieldNames()
+
+
+def test_condition_on_experiments_prunes_partitions(spark):
+    from spanlake.plans.registry import load_all
+    p = plan(load_all()["j8_pruned_experiments"][0](spark, SF001))
+    assert "dynamicpruning" in p.lower()
+
+
+def test_snapshot_texts_are_read_only_where_returned(spark):
+    from spanlake.operators.prompts import assign_prompt_versions
+    p = plan(assign_prompt_versions(load_table(spark, SF001, "env_snapshots")).select("session_id", "prompt_version"))
+    assert all("instructions:" not in l and "skills_prompts" not in l for l in p.splitlines() if l.startswith("ReadSchema"))
