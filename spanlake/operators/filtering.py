@@ -18,6 +18,7 @@ from spanlake.functions.exprs import attributes_match, map_or_empty, split_kv, s
 from spanlake.schema import EVENT, SPAN_COLUMNS
 
 INT_MAX = 2147483647
+SALTS = 256            # shares of a trace that meet their root separately
 
 
 def requests_frame(spark: SparkSession, trace_ids: list[str]) -> DataFrame:
@@ -81,18 +82,23 @@ def reparent(matched: DataFrame, group=("trace_id",)) -> DataFrame:
     off the nearest matching ancestor). The rank the reference walks in order
     is replaced by comparing sort keys directly, so there is no window over a
     whole trace: the root is a partial aggregate and the parent test a join.
+    A trace is dealt over SALTS shares by span id, each with a row of its own
+    for the root, so that the spans of a huge trace don't meet in one task; a
+    small trace has a row per share that it uses, never more than spans.
     Adds columns: new_parent_span_id (source ids), is_root, root_span_id.
     """
     g = list(group)
-    keyed = matched.withColumn("_key", _order_key())
-    roots = keyed.groupBy(*g).agg(F.min("_key").alias("_root"))
-    j = parent_in_matched(keyed, g).join(roots, g)
+    keyed = matched.withColumns({"_key": _order_key(), "_salt": F.pmod(F.xxhash64("span_id"), F.lit(SALTS)).cast("int")})
+    shares = keyed.groupBy(*g, "_salt").agg(F.min("_key").alias("_first"))
+    root = shares.groupBy(*g).agg(F.min("_first").alias("_root"))
+    roots = shares.select(*g, "_salt").join(root, g)
+    j = parent_in_matched(keyed, g).join(roots, [*g, "_salt"])
     is_root = F.col("_key") == F.col("_root")
     keep = F.col("p_key").isNotNull() & (F.col("p_key") < F.col("_key"))
     new_parent = (F.when(is_root, F.lit(None).cast("string"))
                   .when(keep, F.col("parent_span_id"))
                   .otherwise(F.col("_root.i")))
-    return j.select(*[c for c in keyed.columns if c != "_key"],
+    return j.select(*matched.columns,
                     new_parent.alias("new_parent_span_id"), is_root.alias("is_root"),
                     F.col("_root.i").alias("root_span_id"))
 

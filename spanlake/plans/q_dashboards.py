@@ -1,5 +1,7 @@
 """Registered forms of the SQL family: S1, Q1-Q26, P/F/X/A checks."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from spanlake.functions.exprs import duration_s
@@ -239,6 +241,23 @@ def q26(spark, sf):
     return d.q26_count(spans(spark, sf))
 
 
+@query("s11_all_views", with_tables(f"""
+SELECT 'recent_traces' AS view_name, count(*) AS n, count(DISTINCT trace_id) AS n_keys FROM spans WHERE timestamp >= DATE '{AS_OF_RECENT}' - INTERVAL 30 DAYS
+UNION ALL SELECT 'training_performance', count(DISTINCT span_name), count(DISTINCT span_name) FROM spans WHERE span_type = 'TRAINING'
+UNION ALL SELECT 'error_traces', count(*), count(DISTINCT trace_id) FROM spans WHERE status = 'ERROR'
+UNION ALL SELECT 'trace_lineage', count(*), count(DISTINCT trace_id) FROM spans""", "spans"))
+def s11_all(spark, sf):
+    """Rows and keys of each of the four views, read through the catalog."""
+    names = d.register_views(spans(spark, sf), AS_OF_RECENT, prefix="spanlake_all_")
+    key = {"training_performance": "span_name"}
+    parts = []
+    for name in names:
+        view = name.removeprefix("spanlake_all_")
+        parts.append(spark.table(name).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key.get(view, "trace_id")).alias("n_keys"))
+                     .select(F.lit(view).alias("view_name"), "n", "n_keys"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("s11_named_views", with_tables(LINEAGE_SQL, "spans"))
 def s11(spark, sf):
     """Publish the four views, read one back through the catalog."""

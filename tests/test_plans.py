@@ -156,3 +156,19 @@ def test_snapshot_texts_are_read_only_where_returned(spark):
     from spanlake.operators.prompts import assign_prompt_versions
     p = plan(assign_prompt_versions(load_table(spark, SF001, "env_snapshots")).select("session_id", "prompt_version"))
     assert all("instructions:" not in l and "skills_prompts" not in l for l in p.splitlines() if l.startswith("ReadSchema"))
+
+
+def test_reparenting_deals_a_trace_over_shares(spark, spans):
+    """No exchange of spans is by trace alone; only root rows are."""
+    from spanlake.operators.filtering import filter_spans, reparent
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reparent(filter_spans(spans, ["view_0", "click_1"]))
+        lines = plan(df, "simple").splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    alone = [k for k, l in enumerate(lines) if "Exchange hashpartitioning(trace_id" in l and "_salt" not in l and "span_id" not in l.split("hashpartitioning")[1]]
+    for k in alone:      # below it an aggregate per share: at most SALTS rows a trace
+        assert any("HashAggregate" in l or "SortAggregate" in l for l in lines[k + 1:k + 3])
+    assert any("_salt" in l and "Exchange" in l for l in lines)
