@@ -13,6 +13,7 @@ travels to the tasks, so what is sent stays bounded however large it grows.
 
 from __future__ import annotations
 
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -236,11 +237,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     if later is None:
         merged = index.mapInArrow(_search(windows(block), True), MERGED)
     else:
-        found = index.mapInArrow(_search(windows(block), False), FOUND)
-        while later is not None:
-            found = found.unionByName(index.mapInArrow(_search(windows(later), False), FOUND))
-            later = next(blocks, None)
-        found = found.groupBy("part", "shard", "doc_no", "doc_id", "n_words").agg(
+        # A block's hits are written before the next block is read: the driver holds one.
+        parts = []
+        while block is not None:
+            parts.append(written(spark, index.mapInArrow(_search(windows(block), False), FOUND), f"positional_hits{len(parts)}"))
+            block, later = later, next(blocks, None) if later is not None else None
+        found = reduce(lambda a, b: a.unionByName(b), parts).groupBy("part", "shard", "doc_no", "doc_id", "n_words").agg(
             F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
         merged = found.mapInArrow(_merge, MERGED)
     return merged
