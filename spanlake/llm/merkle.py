@@ -290,6 +290,8 @@ def manifest(docs: DataFrame, tampered: Column | None = None, fields: tuple[str,
         F.when(lang.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), lang)).alias("tree"), col[key].cast("long").alias("key"),
         leaf_digest([col[c] for c in fields]).alias("digest"),
         F.when(touched, leaf_digest(lowered)).alias("probe"))
+    # Written first: cutting ranges looks at the keys once more, but not at the texts.
+    leaves = written(spark, leaves, "merkle_digests")
     leaves = ranked(spark, leaves, ["key", "digest"], "merkle_leaves")
     most = leaves.agg(F.max("n")).first()[0] or 0
     groups = build(spark, leaves, most, "merkle_groups")
