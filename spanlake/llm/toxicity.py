@@ -36,6 +36,7 @@ MIN_ODDS = 8.0         # and is so many times as frequent in toxic texts as in o
 PREFIXES = (4, 5)
 GRADES = 3
 STEPS = 400
+TRAIN_BYTES = 1 << 19  # text whose features are counted at a time in training (memory only)
 
 
 def _features(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,8 +52,8 @@ def _features(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _class_counts(batches):
-    """Per partition: texts that hold a feature, toxic and others."""
-    for batch in batches:
+    """Per slice of a batch: texts that hold a feature, toxic and others."""
+    for batch in (piece for whole in batches for piece in text_slices(whole, "text", TRAIN_BYTES)):
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
         doc, feat = _features(batch.column("text"))
         pairs = np.unique(np.stack([feat, doc.astype(np.uint64)], 1), axis=0)
@@ -158,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, feat
     count = Counter(chosen)
 
     def cells(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in text_slices(whole, "text", TRAIN_BYTES)):
             d, f, n = count(batch.column("text"))
             rows = [([], []) for _ in range(batch.num_rows)]
             for i, k, c in zip(d.tolist(), f.tolist(), n.tolist()):
