@@ -55,6 +55,9 @@ def _pieces(path: str, end_id: int, window: int, pieces: int, slice_bytes: int):
                     "doc_id": part.column("doc_id").take(pa.array(row)), "start": pa.array(start, pa.int64()),
                     "length": pa.array(length, pa.int32()), "ids_crc32": pa.array(crc, pa.int64()),
                     "doc_tokens": pa.array(sizes[row], pa.int64())})
+        if pieces < CACHE_PIECES:          # asked to be lean: nothing stays in the worker
+            enc.reset()
+            pa.default_memory_pool().release_unused()
 
     return run
 
