@@ -71,7 +71,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces packed into sequences."""
-    return packing.pack(docs, cache_pieces=400_000, slice_bytes=2 << 20)    # memory only: earlier stages share the workers
+    return packing.pack(docs, cache_pieces=200_000, slice_bytes=2 << 20)    # memory only: earlier stages share the workers
 
 
 STAGES = [
