@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name_ in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {name_} AS SELECT * FROM '{SF}/{name_}.parquet'")
     want = con.sql(ORACLE_SQL[name]).df()
     got = QUERIES[name](spark, SF).toPandas()[list(want.columns)]
     key = lambda d: sorted(map(tuple, d.astype(str).values.tolist()))
