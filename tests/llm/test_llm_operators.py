@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from spanlake.llm import decontamination as D
 from spanlake.llm import exact_dedup, html_text, jaccard_join, packing, secrets, suffix_dedup, token_counts, token_output, tokens, toxicity
+from spanlake.llm.common import id_text
 
 PASSAGE = "When the quiet river turned toward the northern hills every farmer carried a lantern and two baskets of early pears " * 2
 BASE = " ".join(f"word{i}" for i in range(200))
@@ -183,12 +184,62 @@ def test_token_counts(spark, docs, rows, encoded, awkward, empty, tmp_path, monk
     assert token_counts.count_tokens(spark, str(tmp_path / "c")).count() == 0
 
 
-def test_separators_across_blocks(monkeypatch):
-    monkeypatch.setattr(token_counts, "BLOCK_IDS", 4)
-    ids = np.array([5, 5, 124, 124, 5, 5, 5, 5, 5, 124, 5], "<u2")
-    batch = pa.RecordBatch.from_pydict({"path": ["f"], "content": [ids.tobytes()]})
-    out = next(token_counts._scan(124, 0)(iter([batch]))).to_pydict()
-    assert out["n_tokens"] == [2, 0, 5, 1] and out["start"] == [0, 3, 4, 10] and out["closed"] == [True, True, True, False]
+@pytest.fixture
+def byte_ranges(monkeypatch, spark):
+    """Lets token files, and nothing else, be read in ranges of so many bytes."""
+    real, names = token_counts.written, ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+
+    def cut(n):
+        def written(session, df, name):
+            old = [session.conf.get(k) for k in names]
+            try:
+                for k, v in zip(names, (n, 0) if name == "token_blocks" else old):
+                    session.conf.set(k, v)
+                return real(session, df.coalesce(4) if name == "token_blocks" else df, name)
+            finally:
+                for k, v in zip(names, old):
+                    session.conf.set(k, v)
+        monkeypatch.setattr(token_counts, "written", written)
+
+    return cut
+
+
+@pytest.mark.parametrize("end_id, block", [(124, 4), (124, 1 << 20), (50256, 5), (257, 3)])
+def test_separators_across_blocks(spark, tmp_path, byte_ranges, end_id, block):
+    """Files cut into byte ranges of a few bytes, among them ids that hold the
+    end id's bytes across two ids, against a plain split of the ids."""
+    rng = np.random.default_rng(end_id + block)
+    low, high = end_id & 255, end_id >> 8
+    pool = np.array([5, end_id, end_id, low << 8 | 7, 9 << 8 | high, low << 8 | high ^ 1, 0xBBEF, 0x12BF, 65535])
+    files = {"a": [5, 5, end_id, end_id, 5, 5, 5, 5, 5, end_id, 5], "b": [end_id], "c": [], "d": [7], "e": [0xBBEF, 0x12BF, end_id, 3],
+             "f": rng.choice(pool, 60), "g": rng.choice(pool[1:5], 40), "h": [low << 8] * 3, "i": [low << 8 | 1, end_id]}
+    want = {}
+    for name, ids in files.items():
+        (tmp_path / name).write_bytes(np.array(ids, "<u2").tobytes())
+        start, n = 0, 0
+        for k, v in enumerate([*ids, None]):
+            if v == end_id or v is None and k > start:
+                want[name, n] = (None, start, k - start, v is not None)
+                start, n = k + 1, n + 1
+    byte_ranges(block)
+    got = token_counts.count_tokens(spark, str(tmp_path), end_id, 0).collect()
+    assert {(r["file"].rsplit("/", 1)[1], r["ordinal"]): (r["doc_id"], r["start"], r["n_tokens"], r["closed"]) for r in got} == want
+    assert len(got) == len(want)
+
+
+def test_marked_documents_across_blocks(spark, docs, rows, encoded, tmp_path, byte_ranges):
+    plain = id_text(docs)
+    token_counts.write_flat(plain.unionByName(plain.limit(1).withColumn("doc_id", F.lit(None).cast("long"))).coalesce(2), str(tmp_path / "m"))
+    byte_ranges(997)
+    got = token_counts.count_tokens(spark, str(tmp_path / "m")).collect()
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got if r["doc_id"] is not None) == sorted((i, len(encoded[i])) for i, _ in rows)
+    assert sum(r["doc_id"] is None for r in got) == 1 and all(r["closed"] for r in got)
+
+
+def test_odd_file_is_an_error(spark, tmp_path):
+    (tmp_path / "x").write_bytes(b"abc")
+    with pytest.raises(Exception, match="odd number of bytes"):
+        token_counts.count_tokens(spark, str(tmp_path), 124, 0).collect()
 
 
 def words(t):
