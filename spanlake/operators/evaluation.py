@@ -104,10 +104,15 @@ def evaluation_dataset(traces: DataFrame, feedback: DataFrame, test_share: float
     lab = feedback.groupBy("trace_id").agg(
         F.max_by("value", F.when(F.col("name") == "quality", F.struct("create_ms", "value"))).alias("quality_label"),
         F.max_by("value", F.when(F.col("name") == "toxic", F.struct("create_ms", "value"))).alias("toxic_label"))
-    bucket = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}|"), F.col("trace_id")), 256), 1, 8), 16, 10) \
-        .cast("bigint") % 1000
     return (traces.select("trace_id").join(lab, "trace_id", "inner")
-            .withColumn("split", F.when(bucket < int(test_share * 1000), "test").otherwise("train")))
+            .withColumn("split", F.when(held_out("trace_id", test_share, seed), "test").otherwise("train")))
+
+
+def held_out(key: str, test_share: float = 0.2, seed: int = 42) -> Column:
+    """True for the rows of the test part: by SHA-256 of seed and key, the same
+    on every partitioning and in every engine; a null key is never held out."""
+    bucket = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")), 256), 1, 8), 16, 10).cast("bigint") % 1000
+    return F.coalesce(bucket < int(test_share * 1000), F.lit(False))
 
 
 def aggregated_metrics(spans: DataFrame, by: str = "experiment_id") -> DataFrame:
@@ -134,17 +139,16 @@ def binary_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred"
                     F.when((prec + rec) == 0, F.lit(0.0)).otherwise(2 * prec * rec / (prec + rec)).alias("f1_score"))
 
 
-def train_and_evaluate(df: DataFrame, features: str = "embedding", label: str = "label", seed: int = 42):
-    """V7: 80/20 split by a hash of the features (the same on every
-    partitioning), standardise, random forest (100 trees, depth 10), predict.
-    Returns the test-set predictions (id columns kept) and the fitted model."""
+def train_and_evaluate(df: DataFrame, features: str = "embedding", label: str = "label", seed: int = 42, key: str = "vec_id"):
+    """V7: 80/20 split by a hash of the row's key (`held_out`), standardise,
+    random forest (100 trees, depth 10), predict. Returns the test-set predictions (id columns kept) and the fitted model."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector
     data = df.withColumn("features_raw", array_to_vector(F.col(features).cast("array<double>")))
-    held_out = F.coalesce(F.pmod(F.xxhash64(F.lit(seed), F.col(features).cast("array<double>")), F.lit(5)) == 0, F.lit(False))
-    train, test = data.filter(~held_out), data.filter(held_out)
+    test_part = held_out(key, seed=seed)
+    train, test = data.filter(~test_part), data.filter(test_part)
     pipe = Pipeline(stages=[
         StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
         RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=100, maxDepth=10, seed=seed),

@@ -98,6 +98,17 @@ def qualified_path(spark: SparkSession, path: str):
     return fs, fs.makeQualified(p)
 
 
+def first_per_path(roots: DataFrame, path: str = "path", ordinal: str = "ordinal") -> DataFrame:
+    """W5 for a table of roots: of the rows that name one absolute path (a
+    trailing slash and repeated slashes don't count) the one with the smallest
+    ordinal stays (null before all), of equal ordinals the smallest other columns;
+    a null path is dropped. A partial aggregate, no window over a popular path."""
+    at = F.regexp_replace(F.regexp_replace(F.col(path), "/+", "/"), "(?<=.)/$", "")
+    rest = [c for c in roots.columns if c not in (path, ordinal)]
+    kept = roots.filter(F.col(path).isNotNull()).groupBy(at.alias("_at")).agg(F.min(F.struct(ordinal, *rest)).alias("_row"))
+    return kept.select(F.col("_at").alias(path), "_row.*").select(*roots.columns)
+
+
 def scan_skill_files(spark: SparkSession, roots: list[tuple[str, str]]) -> DataFrame:
     """Every SKILL.md under the roots -> (key = label/relpath, content).
 

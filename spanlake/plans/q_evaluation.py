@@ -110,6 +110,17 @@ def v7(spark, sf):
     return pred.select("vec_id", "target", "prediction")
 
 
+@query("v7_test_split", """
+SELECT vec_id, CAST(label % 2 AS DOUBLE) AS target,
+ CASE WHEN CAST('0x' || substr(sha256('42|' || vec_id), 1, 8) AS BIGINT) % 1000 < 200 THEN 'test' ELSE 'train' END AS split
+FROM embeddings""")
+def v7_split(spark, sf):
+    """The parts that V7 trains on and predicts."""
+    emb = table(spark, sf, "embeddings")
+    return emb.select("vec_id", (F.col("label") % 2).cast("double").alias("target"),
+                      F.when(EV.held_out("vec_id"), "test").otherwise("train").alias("split"))
+
+
 def _experiments(spark, sf):
     path = derived_path(spark, sf, "experiments", lambda: D.experiments_from_spans(spans(spark, sf)))
     return D.read_dimension(spark, path, "experiment")

@@ -331,3 +331,16 @@ FROM (SELECT *, lead(kind) OVER w AS nk, lead(trace_id) OVER w AS nt, lead(ts) O
 WHERE kind = 0""", "spans", "env_snapshots", extra=SUMMARY_SESSION))
 def e5_first_stop(spark, sf):
     return SS.first_stop_after_snapshot(SS.session_traces(spans(spark, sf)), table(spark, sf, "env_snapshots"))
+
+
+@query("w5_first_root", """
+SELECT path, arg_min(label, ordinal) AS label, min(ordinal) AS ordinal FROM (
+ SELECT '/projects/' || coalesce(source, 'none') || '/' || (n_chars % 97) AS path, lang || '-' || doc_id AS label, doc_id AS ordinal FROM documents)
+GROUP BY path""")
+def w5(spark, sf):
+    """Roots as sessions name them, some with a slash too many; the first one named keeps the path."""
+    slash = F.when(F.col("doc_id") % 3 == 0, "//").otherwise("/")
+    roots = table(spark, sf, "documents").select(
+        F.concat(F.lit("/projects"), slash, F.coalesce("source", F.lit("none")), F.lit("/"), F.col("n_chars") % 97, F.when(F.col("doc_id") % 2 == 0, "/").otherwise("")).alias("path"),
+        F.concat("lang", F.lit("-"), "doc_id").alias("label"), F.col("doc_id").alias("ordinal"))
+    return P.first_per_path(roots)
