@@ -57,6 +57,20 @@ def feedback_tags(feedback_log: DataFrame, seq_offset: int = 0) -> DataFrame:
     return flag.unionByName(named)
 
 
+def tag_writes(tag_log: DataFrame, feedback_log: DataFrame) -> DataFrame:
+    """Explicit tags and the tags implied by feedback as one log in the
+    columns of a tag log, `seq` being (time, source, sequence). The clock is the
+    store's, in ms: `create_ms` of feedback and `write_ms` of the tag log; at the
+    same time an explicit tag is the later write. Tags without a time (no such
+    column, or null in it) count as written before all feedback; their own
+    sequence numbers are compared among tags only."""
+    time = F.col("write_ms") if "write_ms" in tag_log.columns else F.lit(None)
+    order = lambda at, source, seq: F.struct(at.cast("long").alias("at"), F.lit(source).alias("source"), seq.cast("long").alias("seq"))
+    tags = tag_log.select("trace_id", order(time, 1, F.col("seq")).alias("seq"), "key", "value")
+    implied = feedback_tags(feedback_log).select("trace_id", order(F.col("seq"), 0, F.col("seq")).alias("seq"), "key", "value")
+    return tags.unionByName(implied)
+
+
 def log_feedback(feedback_log: DataFrame, new: DataFrame, default_target: DataFrame | None = None) -> DataFrame:
     """Append assessments (many per trace are kept). New rows without a
     trace_id go to `default_target` (one row, e.g. the latest session trace);
@@ -117,7 +131,7 @@ def feedback_search_counts(traces: DataFrame, tag_log: DataFrame, feedback_log:
                            name: str = "quality", positive: str = "good", negative: str = "poor") -> DataFrame:
     """The round trip of the feedback test as one aggregate over the store:
     traces tagged has_feedback, positive and negative ratings, and all traces."""
-    tags = tag_maps(tag_log.unionByName(feedback_tags(feedback_log)))
+    tags = tag_maps(tag_writes(tag_log, feedback_log))
     t = traces.select("trace_id").join(tags, "trace_id", "left")
     key = FEEDBACK_TAG_PREFIX + name
     return t.agg(
