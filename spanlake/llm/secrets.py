@@ -2,10 +2,12 @@
 
 For each rule a Boolean query over trigrams is derived from its pattern: a text
 that matches must contain those trigrams. The index stores, for every trigram
-that some query uses, its posting list (trigram, doc_id). Posting lists are
-intersected per document, the queries pick the candidates, and only those are
-verified with the rule's regular expression. A rule whose pattern has no
-mandatory trigram (hex runs) scans every text.
+that some query uses, its posting list of ascending ids, cut into blocks of
+BLOCK consecutive ids so that a frequent trigram is many short lists. Within a
+block the lists are intersected (and) and united (or) as each query says; the
+ids that remain are the rule's candidates, and only those are verified with its
+regular expression. A rule whose pattern has no mandatory trigram (hex runs)
+scans every text.
 """
 
 from __future__ import annotations
@@ -60,6 +62,7 @@ MORE = (
 )
 RULES = BASE + MORE
 MOST_STRINGS = 64    # exact strings followed while deriving a query
+BLOCK = 4096         # ids per block of a posting list
 
 
 # ---- trigram queries: True (no constraint), a trigram, ("and", [..]) or ("or", [..]) ----
@@ -153,42 +156,76 @@ def trigrams(query) -> set[str]:
     return set() if query is True else {query} if isinstance(query, str) else set().union(*map(trigrams, query[1]))
 
 
-def _holds(query, have: Column) -> Column:
-    if query is True:
-        return F.lit(True)
+def _postings(query, lists: Column) -> Column:
+    """The ids of a block that satisfy the query, from its map of posting lists."""
     if isinstance(query, str):
-        return F.array_contains(have, query)
-    return reduce(lambda a, b: a & b if query[0] == "and" else a | b, [_holds(q, have) for q in query[1]])
+        return F.coalesce(F.element_at(lists, query), F.array().cast("array<bigint>"))
+    join = F.array_intersect if query[0] == "and" else F.array_union
+    return reduce(join, [_postings(q, lists) for q in query[1]])
 
 
 # ---- index, candidates, verification ----
 
+def used_trigrams(rules=RULES) -> list[str]:
+    return sorted(set().union(*(trigrams(trigram_query(r.pattern)) for r in rules)))
+
+
 def build_index(docs: DataFrame, rules=RULES) -> DataFrame:
-    """Posting lists (trigram, doc_id) of the trigrams the rules ask for."""
-    used = sorted(set().union(*(trigrams(trigram_query(r.pattern)) for r in rules)))
+    """Posting lists (block, trigram, ids ascending) of the trigrams the rules
+    ask for; repeated ids count once, null ids are left out."""
+    used = used_trigrams(rules)
     wanted = F.array(*map(F.lit, used)) if used else F.array().cast("array<string>")
     # The one-element array binds the lower-cased text once for all trigrams.
     found = F.flatten(F.transform(F.array(F.lower("text")), lambda low: F.filter(wanted, lambda t: F.contains(low, t))))
-    return docs.select("doc_id", F.explode(found).alias("trigram"))
+    block = F.floor(F.col("doc_id") / F.lit(BLOCK)).cast("long")
+    pairs = docs.where(F.col("doc_id").isNotNull()).select(block.alias("block"), F.explode(found).alias("trigram"), "doc_id")
+    return pairs.groupBy("block", "trigram").agg(F.sort_array(F.collect_set("doc_id")).alias("ids"))    # BLOCK ids at most
+
+
+def store_index(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The index written to the shared folder, each file sorted by trigram, for any
+    number of scans of the same documents with these rules or some of them."""
+    index = build_index(id_text(docs, id_col, text_col), rules)
+    return written(docs.sparkSession, index.sortWithinPartitions("trigram", "block"), "secret_index")
+
+
+def candidates(index: DataFrame, rules=RULES) -> DataFrame:
+    """(doc_id, may): the ids that satisfy some rule's query; bit n of `may` is rule n."""
+    asked = [(no, q) for no, q in enumerate(trigram_query(r.pattern) for r in rules) if q is not True]
+    none = F.array().cast("array<struct<doc_id:bigint,may:bigint>>")
+    lists = (index.where(F.col("trigram").isin(used_trigrams(rules))).groupBy("block")
+             .agg(F.map_from_entries(F.collect_list(F.struct("trigram", "ids"))).alias("lists")))
+
+    def hits(no: int, query) -> Column:
+        bit = F.lit(1 << no).cast("long").alias("may")
+        return F.transform(_postings(query, F.col("lists")), lambda d: F.struct(d.alias("doc_id"), bit))
+
+    found = lists.select(F.explode(F.concat(none, *(hits(no, q) for no, q in asked))).alias("f")).select("f.*")
+    return found.groupBy("doc_id").agg(F.bit_or("may").alias("may"))
 
 
-def scan_secrets(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, rules=RULES, id_col: str = "doc_id", text_col: str = "text",
+                 index: DataFrame | None = None) -> DataFrame:
     """Per input row: doc_id, row, and `spans`, an array of (start, kind no.,
     end) in code points, end exclusive, sorted by start, then rule order.
 
-    Null text counts as empty; rows with a null id are scanned without the
-    index; repeated ids share their candidates and are verified row by row; an
-    empty table gives an empty result; other columns are ignored."""
+    `index` is what store_index gave for these documents and rules; without it
+    one is stored first. Null text counts as empty, whole texts of any length are
+    scanned; rows with a null id are scanned without the index; repeated ids
+    share their candidates and are verified row by row; an empty table gives an
+    empty result; other columns are ignored."""
     spark = docs.sparkSession
     base = id_text(docs, id_col, text_col)
-    have = (build_index(base, rules).groupBy(F.col("doc_id").alias("have_id"))
-            .agg(F.collect_set("trigram").alias("have")))       # at most the queries' trigrams
-    joined = base.join(have, base["doc_id"] == have["have_id"], "left")
-    none = F.array().cast("array<string>")
+    if index is None:
+        index = store_index(docs, rules, id_col, text_col)
+    may = candidates(index, rules).select(F.col("doc_id").alias("may_id"), F.lit(True).alias("may_known"), "may")
+    # Rows without an id meet no list; a hash of the text spreads them over the partitions.
+    base = base.select("*", F.coalesce("doc_id", F.xxhash64("text")).alias("key"), F.col("doc_id").isNotNull().alias("known"))
+    joined = base.join(may, (base["key"] == may["may_id"]) & (base["known"] == may["may_known"]), "left")
     found = []
     for no, rule in enumerate(rules):
         query = trigram_query(rule.pattern)
-        may = F.lit(True) if query is True else F.col("doc_id").isNull() | _holds(query, F.coalesce("have", none))
+        may = F.lit(True) if query is True else ~F.col("known") | (F.coalesce("may", F.lit(0)).bitwiseAND(1 << no) != 0)
         if rule.group == 0 and rule.pattern.endswith("]+"):
             # A run of one class: dropping short runs after the match equals asking for the length.
             pattern = rule.java[:-1] + "{%d,}" % (rule.least - len(re.match(r"\w*", rule.pattern)[0]))
