@@ -268,11 +268,13 @@ def _remove(batches):
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, copies, repeats): the bucketed documents (row, doc_id, text), the
-    rows that repeat an earlier document whole, and items of repeated windows."""
+    rows that repeat an earlier document whole (equal SHA-256, which cannot be
+    made at will as md5 can), and items of repeated windows."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     name = f"suffix_texts_{uuid.uuid4().hex[:12]}"
-    rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()).withColumn("same", F.md5("text"))
+    rows = id_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()).withColumn(
+        "same", F.unhex(F.sha2("text", 256)))
     (rows.repartition(parts, "row").write.bucketBy(parts, "row")
      .option("path", work_dir(spark, "suffix_texts")).saveAsTable(name))
     texts = spark.table(name)
@@ -297,7 +299,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    Null text counts as empty; texts under 100 bytes lose nothing; rows with
+    Null text counts as empty; texts under 100 bytes lose nothing, long ones are
+    read whole; rows with
     the same id are ordered by an internal row number, null ids come last; an
     empty table gives an empty result; other columns are ignored."""
     texts, copies, repeats = find_repeats(docs, id_col, text_col)
