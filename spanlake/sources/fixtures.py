@@ -57,17 +57,22 @@ def latest_tags(tag_log: DataFrame) -> DataFrame:
     return tag_maps(tag_log)
 
 
-def derive_spans(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = None) -> DataFrame:
+def _ms(ts) -> F.Column:
+    return F.timestamp_diff("MILLISECOND", epoch_ntz(), ts)
+
+
+def span_events(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = None) -> DataFrame:
+    """The events with what their spans need from other rows: position in the
+    trace (`seq`), `parent_event` and the trace's `tags`. Everything else of a
+    span comes from its own row (`span_rows`) and goes through no shuffle."""
     ev = _raw(spark, sf_dir, "events")
     e = ev.select(
         "event_id", "ts", "user_id", "event_type", "value", "props",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.timestamp_diff("MILLISECOND", epoch_ntz(), F.col("ts")).alias("ms0"),
         _trace_id(F.col("user_id"), F.col("ts")).alias("trace_id"),
     )
     # Position of each event in its trace, per (trace, hour) plus the counts of
     # the trace's earlier hours, so a very large trace is not numbered by one task.
-    s = bucketed_row_number(e, "trace_id", ["ts", "event_id"], F.floor(F.col("ms0") / F.lit(3_600_000)), out="seq")
+    s = bucketed_row_number(e, "trace_id", ["ts", "event_id"], F.floor(_ms(F.col("ts")) / F.lit(3_600_000)), out="seq")
     parents = s.select(
         F.col("trace_id").alias("p_trace"), F.col("seq").alias("p_seq"), F.col("event_id").alias("parent_event")
     )
@@ -76,8 +81,15 @@ def derive_spans(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = N
         (s.trace_id == parents.p_trace) & (s.seq > 1) & (parents.p_seq == F.floor(s.seq / F.lit(2.0)).cast("int")),
         "left",
     )
-    st = F.col("ms0") + F.when(F.col("event_id") % 97 == 0, F.lit(CLOCK_SKEW_MS)).otherwise(F.lit(0))
-    q = p.withColumn("st", st)
+    tags = latest_tags(tag_log if tag_log is not None else derive_tag_log(spark, sf_dir))
+    return p.drop("p_trace", "p_seq").join(tags, "trace_id", "left")
+
+
+def span_rows(events: DataFrame) -> DataFrame:
+    """Each row of `span_events` as a span."""
+    from spanlake.schema import SPAN_COLUMNS
+    st = _ms(F.col("ts")) + F.when(F.col("event_id") % 97 == 0, F.lit(CLOCK_SKEW_MS)).otherwise(F.lit(0))
+    q = events.withColumns({"st": st, "k": F.get_json_object("props", "$.k").cast("int")})
     k = F.col("k")
     span_type = (
         F.when(F.col("seq") == 1, "WORKFLOW")
@@ -116,15 +128,23 @@ def derive_spans(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = N
         F.concat(F.lit('{"k2": '), (k * 2).cast("string"), F.lit("}")).alias("outputs"),
         (F.col("user_id") % 5).cast("string").alias("experiment_id"),
         F.col("ts").alias("timestamp"),
+        F.coalesce("tags", F.create_map().cast("map<string,string>")).alias("tags"),
     )
-    tags = latest_tags(tag_log if tag_log is not None else derive_tag_log(spark, sf_dir))
-    spans = spans.join(tags, "trace_id", "left").withColumn(
-        "tags", F.coalesce("tags", F.create_map().cast("map<string,string>"))
-    )
-    from spanlake.schema import SPAN_COLUMNS
     return spans.select(*SPAN_COLUMNS)
 
 
+def derive_spans(spark: SparkSession, sf_dir: str, tag_log: DataFrame | None = None) -> DataFrame:
+    return span_rows(span_events(spark, sf_dir, tag_log))
+
+
+def first_texts(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """(source, lang, began_with): the text of each group's smallest id, `first`
+    (source, lang, first_id) from an aggregate that does not read the texts."""
+    f = first.withColumnsRenamed({"source": "_source", "lang": "_lang"})
+    same = (docs["source"] == f["_source"]) & (docs["lang"] == f["_lang"]) & docs["doc_id"].eqNullSafe(f["first_id"])
+    return docs.join(f, same, "left_semi").groupBy("source", "lang").agg(F.min_by("text", "doc_id").alias("began_with"))
+
+
 def derive_env_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots of sessions of three documents each, days apart, and every
     seventh taken once more. Instructions are whole texts: the document's own,
@@ -132,7 +152,10 @@ def derive_env_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     project goes back to earlier instructions. Two skill files a snapshot."""
     from spanlake.operators.prompts import prompts_hash
     d = _raw(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
-    began = d.groupBy("source", "lang").agg(F.min_by("text", "doc_id").alias("began_with"))
+    # Stored first, so that Spark knows their sizes: a small side is broadcast
+    # and the documents' texts are not shuffled.
+    first = derived_folder(spark, sf_dir, "first_ids", lambda: d.groupBy("source", "lang").agg(F.min("doc_id").alias("first_id")))
+    began = derived_folder(spark, sf_dir, "first_texts", lambda: first_texts(d, first))
     d = d.join(began, ["source", "lang"])
     doc = F.col("doc_id")
     sha_src = F.floor(doc / F.lit(10.0)).cast("int").cast("string")
@@ -208,9 +231,11 @@ _DERIVERS = {
 
 # Sort keys inside each written file: keep a trace's spans together so row-group
 # statistics prune `trace_id = ?` lookups; the rebalance splits oversized partitions.
+# Snapshots hold two whole texts a row: they are written as the documents are
+# read, neither shuffled nor sorted.
 _LAYOUT = {
     "spans": ("trace_id", ["trace_id", "start_time_ms"]),
-    "env_snapshots": ("session_id", ["project", "snapshot_ms"]),
+    "env_snapshots": (None, []),
     "transcripts": ("session_id", ["session_id", "ord"]),
     "tag_log": ("trace_id", ["trace_id", "seq"]),
     "feedback_log": ("trace_id", ["trace_id", "create_ms"]),
@@ -254,8 +279,13 @@ def _publish(spark: SparkSession, path: str, write) -> str:
 def materialise(spark: SparkSession, sf_dir: str, name: str) -> str:
     def write(folder: str) -> None:
         key, order = _LAYOUT[name]
-        (derive(spark, sf_dir, name).hint("rebalance", key).sortWithinPartitions(*order)
-         .write.option("compression", "zstd").parquet(folder))
+        if key is None:
+            rows = derive(spark, sf_dir, name)
+        elif name == "spans":       # dealt out before the rows are made wide
+            rows = span_rows(span_events(spark, sf_dir).hint("rebalance", key))
+        else:
+            rows = derive(spark, sf_dir, name).hint("rebalance", key)
+        (rows.sortWithinPartitions(*order) if order else rows).write.option("compression", "zstd").parquet(folder)
     return _publish(spark, table_path(spark, sf_dir, name), write)
 
 

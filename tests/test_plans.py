@@ -172,3 +172,33 @@ def test_reparenting_deals_a_trace_over_shares(spark, spans):
     for k in alone:      # below it an aggregate per share: at most SALTS rows a trace
         assert any("HashAggregate" in l or "SortAggregate" in l for l in lines[k + 1:k + 3])
     assert any("_salt" in l and "Exchange" in l for l in lines)
+
+
+def test_input_tables_are_dealt_out_narrow(spark, tmp_path, monkeypatch):
+    """Spans are made wide after the last shuffle; whole texts of snapshots are not shuffled."""
+    import datetime as dt
+    from spanlake.sources import fixtures as FX
+    sf = str(tmp_path / "sf")
+    docs = [(k, f"text {k}", None if k and k % 3 == 0 else "en", "s", 6) for k in (None, *range(1, 30), 29)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+    (spark.createDataFrame([(k, dt.datetime(2024, 1, 1, k % 24), k % 5, "click", 1.0, '{"k": 7}') for k in range(60)],
+                           "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+     .withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{sf}/events.parquet"))
+    frame = type(spark.range(1))
+    plans, write = [], frame.write.fget
+
+    def noted(self):
+        plans.append((self._jdf.queryExecution().executedPlan().toString(), self.columns))
+        return write(self)
+
+    monkeypatch.setattr(frame, "write", property(noted))
+    snaps = spark.read.parquet(FX.materialise(spark, sf, "env_snapshots"))
+    FX.materialise(spark, sf, "spans")
+    monkeypatch.undo()
+    texts = next(p for p, c in plans if "skills_prompts" in c)
+    assert "Exchange hashpartitioning" not in texts and "Exchange rangepartitioning" not in texts and "REBALANCE" not in texts
+    wide = next(p for p, c in plans if "request_metadata" in c)
+    dealt = wide[wide.index("REBALANCE"):]
+    assert "AS attributes" in wide[:wide.index("REBALANCE")] and "AS attributes" not in dealt
+    told = {r.instructions for r in snaps.collect()}
+    assert "text 1" in told and not told & {"text 3", "text 5", "text 7"} and snaps.count() == 22 + 3      # odd ids: the first text; null languages join nothing
