@@ -28,6 +28,12 @@ KEYS = ["trace_id", "span_id"]
 CHANGES = T.StructType([*SPAN.fields, T.StructField("change", T.StringType()), T.StructField("version", T.LongType())])
 
 
+def file_system(spark: SparkSession, path: str):
+    """(file system, Path) of any path that Spark reads."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
 class SpanTable:
     """The table in a folder of any file system that Spark reads; a missing
     folder is an empty table at version 0."""
@@ -35,8 +41,7 @@ class SpanTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self._hadoop = spark.sparkContext._jvm.org.apache.hadoop
-        self._log = self._hadoop.fs.Path(f"{self.path}/_log")
-        self._fs = self._log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs, self._log = file_system(spark, f"{self.path}/_log")
 
     # ---- the log ----
 
@@ -87,6 +92,16 @@ class SpanTable:
         base, later = self._state()
         return max([base["batch"], *(e["batch"] for e in later)])
 
+    def unfolded(self) -> int:
+        """Versions since the last base."""
+        return len(self._state()[1])
+
+    def size(self) -> int:
+        """Bytes of the folders that make up the table now."""
+        base, later = self._state()
+        folders = base["folders"] + [f for e in later for f in e["folders"]]
+        return sum(self._fs.getContentSummary(self._hadoop.fs.Path(f"{self.path}/{name}")).getLength() for name, _ in folders)
+
     # ---- reading ----
 
     def _rows(self, folders: list) -> DataFrame:
@@ -123,7 +138,7 @@ class SpanTable:
     def _folder(self, rows: DataFrame) -> list:
         """[[name, rows]] of a new folder, [] if there are none."""
         name = f"part-{uuid.uuid4().hex}"
-        rows.select(*CHANGES.fieldNames()).write.parquet(f"{self.path}/{name}")
+        rows.select(*CHANGES.fieldNames()).write.option("compression", "zstd").parquet(f"{self.path}/{name}")
         n = self._rows([[name, 0]]).count()          # from the footers
         return [[name, n]] if n else []
 
@@ -167,10 +182,10 @@ class SpanTable:
             fresh = [f for e in later for f in e["folders"]]
             for folder in sorted(base["folders"], key=lambda f: f[1]):
                 (fresh if folder[1] <= 2 * sum(n for _, n in fresh) else kept).append(folder)
-            rows = self._rows(fresh)
+            rows = self._rows(fresh)      # a scan packs small files into its splits: no shuffle
         else:
             rows = self.read(at).withColumn("change", F.lit(INSERT))
-        made = self._folder(rows.hint("rebalance").sortWithinPartitions("trace_id", "start_time_ms"))
+        made = self._folder(rows.sortWithinPartitions("trace_id", "start_time_ms"))
         self._publish(f"{at:012d}.base.json", {"version": at, "folders": kept + made, "batch": max([base["batch"], *(e["batch"] for e in later)])})
 
     def vacuum(self, keep: int) -> None:

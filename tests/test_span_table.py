@@ -113,3 +113,15 @@ def test_an_update_joins_keys_and_regroups_no_rows(spark, tmp_path):
     plan = t.read()._jdf.queryExecution().optimizedPlan().toString()
     aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
     assert len(aggregates) == 1 and "inputs" not in aggregates[0]
+
+
+def test_a_fold_shuffles_no_rows(spark, tmp_path, monkeypatch):
+    t = SpanTable(spark, str(tmp_path / "t"))
+    t.append(spans(spark, "a", "b"))
+    t.append(spans(spark, "c"))
+    written, folder = [], SpanTable._folder
+    monkeypatch.setattr(SpanTable, "_folder", lambda self, rows: written.append(rows) or folder(self, rows))
+    t.fold()
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" in plan and "Exchange" not in plan
+    assert ids(t.read()) == ["a", "b", "c"]
