@@ -12,9 +12,6 @@ the sink is read; ST3 commits its batches to a versioned span table.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
-
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,51 +86,40 @@ def error_alerts(spark: SparkSession, spans_path: str, work: str, threshold: int
 # ---- ST2 ----------------------------------------------------------------------------
 
 DAY_MS = 86_400_000
-DAY_STATE = "snaps array<long>, stop_ms array<long>, stop_ids array<string>"
 DAY_EVENTS = ("session_id string, day long, head struct<trace_id:string,ts:long>, last_snap long, "
               "snaps array<struct<snapshot_ms:long,trace_id:string,trace_start_ms:long>>, "
               "stops array<struct<trace_id:string,ts:long,snapshot_ms:long>>")
 
 
-def _day_of_session():
-    """The stateful function: a session's events of a day so far -> the day's
-    matches. Built here so that it is shipped to the workers by value."""
-    left, right = bisect_left, bisect_right
-
-    def run(key, frames, state):
-        snaps, stop_ms, stop_ids = state.get if state.exists else ([], [], [])
-        snaps, stops = set(snaps), set(zip(stop_ms, stop_ids))
-        for frame in frames:
-            for ts, trace in zip(frame["ts"], frame["trace_id"]):
-                if isinstance(trace, str):
-                    stops.add((int(ts), trace))
-                else:
-                    snaps.add(int(ts))
-        snaps, stops = sorted(snaps), sorted(stops)
-        at = [ts for ts, _ in stops]
-        state.update((snaps, at, [t for _, t in stops]))
-        used = []
-        for snap, after in zip(snaps, [*snaps[1:], None]):
-            k = left(at, snap)                        # the first Stop from the snapshot on
-            hit = k < len(at) and (after is None or at[k] < after)
-            used.append({"snapshot_ms": snap, "trace_id": stops[k][1] if hit else None, "trace_start_ms": at[k] if hit else None})
-        pending = []
-        for ts, trace in stops:
-            k = right(snaps, ts)                      # the last snapshot up to the Stop
-            pending.append({"trace_id": trace, "ts": ts, "snapshot_ms": snaps[k - 1] if k else None})
-        head = {"trace_id": stops[0][1], "ts": at[0]} if stops and (not snaps or at[0] < snaps[0]) else None
-        yield pd.DataFrame({"session_id": [key[0]], "day": [key[1]], "head": [head], "last_snap": [snaps[-1] if snaps else None],
-                            "snaps": [used], "stops": [pending]}).astype({"last_snap": "Int64"})
-
-    return run
+def day_matches(days: DataFrame) -> DataFrame:
+    """(session_id, day, snaps, stops) with all events of each day -> the day's
+    matches (DAY_EVENTS): in order of time, a snapshot before a Stop of the same
+    millisecond, a snapshot is used by the event after it if that is a Stop, and
+    the last snapshot so far is pending at a Stop."""
+    snaps = F.transform("snaps", lambda ts: F.struct(ts.alias("ts"), F.lit(None).cast("string").alias("trace_id")))
+    stops = F.transform("stops", lambda s: F.struct(s["ts"].alias("ts"), s["trace_id"].alias("trace_id")))
+    keys = ["session_id", "day"]
+    ev = days.select(*keys, F.explode(F.concat(snaps, stops)).alias("e")).select(*keys, "e.*")
+    order = Window.partitionBy(*keys).orderBy("ts", F.col("trace_id").asc_nulls_first())
+    snap = F.when(F.col("trace_id").isNull(), F.col("ts"))
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = ev.select(*keys, "ts", "trace_id", F.row_number().over(order).alias("n"), F.max(snap).over(so_far).alias("pending"),
+                  F.lead("trace_id").over(order).alias("next_id"), F.lead("ts").over(order).alias("next_ts"))
+    used = F.struct(F.col("ts").alias("snapshot_ms"), F.col("next_id").alias("trace_id"),
+                    F.when(F.col("next_id").isNotNull(), F.col("next_ts")).alias("trace_start_ms"))
+    stop = F.struct("trace_id", "ts", F.col("pending").alias("snapshot_ms"))
+    is_stop = F.col("trace_id").isNotNull()
+    return x.groupBy(*keys).agg(
+        F.max(F.when(is_stop & (F.col("n") == 1), F.struct("trace_id", "ts"))).alias("head"), F.max(snap).alias("last_snap"),
+        F.collect_list(F.when(~is_stop, used)).alias("snaps"), F.collect_list(F.when(is_stop, stop)).alias("stops"))
 
 
 def session_days(spark: SparkSession, spans_path: str, snapshots_path: str, work: str, max_files: int | None = None) -> DataFrame:
     """Snapshots and Stops (root spans that name a session) as one keyed stream.
 
-    The state of a session and day holds the day's snapshot times and Stops; an
-    event, however late, changes the matches of its own day only, which are
-    emitted anew. A long session is many keys, and a refresh reads new files,
+    The state of a session and day, an aggregate that Spark keeps, holds the
+    day's snapshot times and Stops; an event, however late, changes the matches
+    of its own day only, which are found and written anew (`day_matches`). A long session is many keys, and a refresh reads new files,
     the state they touch, and one emitted row per day. Re-delivered events
     change nothing. Returns the last row of every (session, day)."""
     read = spark.readStream.schema("session_id string, snapshot_ms long")
@@ -143,9 +129,11 @@ def session_days(spark: SparkSession, spans_path: str, snapshots_path: str, work
              .select(F.col("request_metadata")[SESSION_KEY].alias("session_id"), F.col("start_time_ms").alias("ts"), "trace_id")
              .filter(F.col("trace_id").isNotNull()))
     events = snaps.unionByName(stops).filter(F.col("session_id").isNotNull() & F.col("ts").isNotNull())
+    of = F.col("trace_id")
     days = (events.withColumn("day", F.floor(F.col("ts") / F.lit(DAY_MS))).groupBy("session_id", "day")
-            .applyInPandasWithState(_day_of_session(), DAY_EVENTS, DAY_STATE, "update", "NoTimeout"))
-    run_available(days, f"{work}/ckpt", batch_sink(f"{work}/days"), "update")
+            .agg(F.collect_set(F.when(of.isNull(), F.col("ts"))).alias("snaps"),
+                 F.collect_set(F.when(of.isNotNull(), F.struct("ts", "trace_id"))).alias("stops")))
+    run_available(days, f"{work}/ckpt", batch_sink(f"{work}/days", lambda batch, _: day_matches(batch)), "update")
     rows = read_sink(spark, f"{work}/days", DAY_EVENTS)
     values = F.struct("head", "last_snap", "snaps", "stops")
     return rows.groupBy("session_id", "day").agg(F.max_by(values, "batch_id").alias("d")).select("session_id", "day", "d.*")

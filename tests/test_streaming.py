@@ -108,3 +108,31 @@ def test_st2_state_over_batches_in_any_order(spark, tmp_path, order):
         assert got == {(r.session_id, r.snapshot_ms, r.trace_id, r.trace_start_ms) for r in want.collect()} and len(got) > 1
         pending = {(r.trace_id, r.snapshot_ms) for r in ST.session_snapshot_join(spark, spans, snaps, work, max_files=1).collect()}
         assert pending == {(r.trace_id, r.snapshot_ms) for r in snapshot_at_stop(traces, shots).collect()}
+
+
+def test_st2_needs_no_python_per_session_and_day(spark, tmp_path, monkeypatch):
+    """Many sessions and days at once: native state, the batch answer."""
+    from pyspark.sql import GroupedData
+    from spanlake.operators.sessions import first_stop_after_snapshot, snapshot_at_stop
+    from spanlake.streaming import streams as ST
+
+    def refuse(*_, **__):
+        raise AssertionError("a Python call per key")
+
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", refuse)
+    n, half_day = 3000, 43_200_000
+    ids = spark.range(n).selectExpr("concat('s', id % 500) AS session_id", "id")
+    shots = ids.select("session_id", (F.col("id") * half_day % (40 * half_day)).alias("snapshot_ms"))
+    stops = ids.select("session_id", F.concat(F.lit("t"), F.col("id").cast("string")).alias("trace_id"),
+                       (F.col("id") * 7 * half_day % (40 * half_day) + F.col("id") % 2).alias("timestamp_ms"))
+    spans, snaps, work = (str(tmp_path / d) for d in ("spans", "snaps", "work"))
+    shots.write.parquet(snaps)
+    empty = make_spans(spark, [{"span_id": "r"}])
+    (stops.crossJoin(empty.drop("trace_id", "start_time_ms", "request_metadata"))
+     .withColumn("request_metadata", F.create_map(F.lit(ST_KEY), F.col("session_id"))).withColumnRenamed("timestamp_ms", "start_time_ms")
+     .select(*empty.columns).write.parquet(spans))
+    got = {tuple(r) for r in ST.consumed_snapshots(spark, spans, snaps, work).collect()}
+    want = first_stop_after_snapshot(stops, shots.distinct()).filter("trace_id IS NOT NULL")
+    assert got == {(r.session_id, r.snapshot_ms, r.trace_id, r.trace_start_ms) for r in want.collect()} and len(got) > 500
+    pending = {tuple(r) for r in ST.session_snapshot_join(spark, spans, snaps, work).collect()}
+    assert pending == {(r.session_id, r.trace_id, r.snapshot_ms, r.trace_start_ms) for r in snapshot_at_stop(stops, shots).collect()}
