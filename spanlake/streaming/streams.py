@@ -15,10 +15,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanlake.functions.exprs import instant_to_ntz, ntz_to_instant
 from spanlake.schema import SESSION_KEY, SPAN, SPAN_COLUMNS
-from spanlake.sources.span_table import SpanTable
+from spanlake.sources.span_table import SpanTable, file_system
 
 
 def span_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -169,7 +170,8 @@ def consumed_snapshots(spark: SparkSession, spans_path: str, snapshots_path: str
 
 # ---- ST3 ----------------------------------------------------------------------------
 
-FOLD_EVERY = 8       # batches
+FOLD_EVERY = 8       # versions
+TAKE_SHARE = 2       # batches wait until they are a half of the table
 
 
 def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: str,
@@ -180,36 +182,79 @@ def ingest_spans(spark: SparkSession, source_path: str, table_path: str, work: s
 
 
 def ingest_stream(spans: DataFrame, table_path: str, work: str, fold_every: int = FOLD_EVERY) -> DataFrame:
-    """Every batch is a version of a `SpanTable`: it drops its own repeats, then
-    the spans that the table holds in the same stretch of time (file and row
-    group statistics prune the rest; a re-delivery repeats the span as it was,
-    thus with the same timestamp). A retried batch finds its id in the table's
-    log. Every `fold_every` batches the small folders are folded and those
-    folded before are dropped, so the number of files stays bounded."""
+    """A batch waits in the stream's folder as it came. Once the waiting batches
+    have a half of the table's bytes, and at the end of a run, they become a
+    version of a `SpanTable` together: each span once, from the earliest of them,
+    less those that the table holds in the same stretch of time
+    (file and row group statistics prune the rest; a re-delivery repeats the
+    span as it was, thus with the same timestamp). So the table's keys are read
+    a few times a run, not once a batch. A retried batch replaces its folder or
+    finds its id in the table's log; batches left by a run that died are taken
+    by the next one. Every `fold_every` versions the small folders are folded
+    and those folded before are dropped, so the number of files stays bounded."""
     spark = spans.sparkSession
-    table = SpanTable(spark, table_path)
+    table, waiting = SpanTable(spark, table_path), BatchFolders(spark, f"{work}/waiting")
     keys = ["trace_id", "span_id", "timestamp"]
 
+    def take() -> None:
+        ids = [i for i in waiting.ids() if i > table.batch()]
+        if ids:
+            rows = waiting.read(ids, SPAN)
+            span = rows.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count_if(F.col("timestamp").isNull()).alias("undated")).first()
+            near = F.col("timestamp").between(F.lit(span["lo"]), F.lit(span["hi"]))
+            stored = table.read().filter(near | F.col("timestamp").isNull() if span["undated"] else near).select(*(F.col(k).alias(f"k_{k}") for k in keys))
+            first = F.row_number().over(Window.partitionBy(*keys).orderBy("batch_id"))      # limited before the shuffle
+            fresh = rows.withColumn("_n", first).filter("_n = 1").drop("_n", "batch_id")
+            table.append(fresh.join(stored, [fresh[k].eqNullSafe(stored[f"k_{k}"]) for k in keys], "left_anti"), ids[-1])
+            if table.unfolded() >= fold_every:
+                table.vacuum(1)
+                table.fold()
+        waiting.drop(table.batch())
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         if table.batch() >= batch_id:
             return
-        batch = batch.persist()
-        try:
-            span = batch.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"), F.count_if(F.col("timestamp").isNull()).alias("undated")).first()
-            near = F.col("timestamp").between(F.lit(span["lo"]), F.lit(span["hi"]))
-            stored = table.read().filter(near | F.col("timestamp").isNull() if span["undated"] else near).select(*(F.col(k).alias(f"k_{k}") for k in keys))
-            fresh = batch.dropDuplicates(keys)
-            table.append(fresh.join(stored, [fresh[k].eqNullSafe(stored[f"k_{k}"]) for k in keys], "left_anti"), batch_id)
-        finally:
-            batch.unpersist()
-        if (batch_id + 1) % fold_every == 0:
-            table.vacuum(1)
-            table.fold()
+        waiting.write(batch, batch_id)
+        if waiting.size() * TAKE_SHARE >= table.size():
+            take()
 
     run_available(spans, f"{work}/ckpt", sink)
+    take()
     return table.read().select(*SPAN_COLUMNS)
 
 
+class BatchFolders:
+    """Batches of a stream that wait in one folder each."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._fs, self._root = file_system(spark, path)
+
+    def _at(self, batch_id: int) -> str:
+        return f"{self.path}/batch_id={batch_id}"
+
+    def ids(self) -> list[int]:
+        if not self._fs.exists(self._root):
+            return []
+        return sorted(int(s.getPath().getName().split("=")[1]) for s in self._fs.listStatus(self._root))
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(self._at(batch_id))
+
+    def read(self, ids: list[int], schema) -> DataFrame:
+        rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+        return rows.option("basePath", self.path).parquet(*(self._at(i) for i in ids))
+
+    def size(self) -> int:
+        """Bytes."""
+        return self._fs.getContentSummary(self._root).getLength() if self._fs.exists(self._root) else 0
+
+    def drop(self, up_to: int) -> None:
+        for i in self.ids():
+            if i <= up_to:
+                self._fs.delete(file_system(self.spark, self._at(i))[1], True)
+
+
 def tag_upserts(spark: SparkSession, tag_log_path: str, work: str, max_files: int | None = None) -> DataFrame:
     """ST3 (tags): stream the append-only tag log; each micro-batch writes its
     own last-write-per-(trace, key) rows (a partial aggregate of the batch) to

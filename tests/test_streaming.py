@@ -136,3 +136,23 @@ def test_st2_needs_no_python_per_session_and_day(spark, tmp_path, monkeypatch):
     assert got == {(r.session_id, r.snapshot_ms, r.trace_id, r.trace_start_ms) for r in want.collect()} and len(got) > 500
     pending = {tuple(r) for r in ST.session_snapshot_join(spark, spans, snaps, work).collect()}
     assert pending == {(r.session_id, r.trace_id, r.snapshot_ms, r.trace_start_ms) for r in snapshot_at_stop(stops, shots).collect()}
+
+
+def test_st3_reads_the_table_a_few_times_for_many_batches(spark, tmp_path, monkeypatch):
+    from spanlake.sources.span_table import SpanTable
+    from spanlake.streaming import streams as ST
+    src, table, work = (str(tmp_path / d) for d in ("src", "table", "work"))
+    _errors(spark, 3, range(20), "a").repartition(1).write.parquet(src)
+    ST.ingest_spans(spark, src, table, work)
+    for k in range(9):                                                        # repeats, and one new span each
+        (_errors(spark, 3, range(20), "a").filter(F.col("span_id") == f"a{k}").unionByName(_errors(spark, 3, [k], f"new{k}-"))
+         .coalesce(1).write.mode("append").parquet(src))
+    reads, read = [], SpanTable.read
+    monkeypatch.setattr(SpanTable, "read", lambda self, version=None: reads.append(1) or read(self, version))
+    stored = ST.ingest_spans(spark, src, table, work, max_files=1)
+    assert sorted(r.span_id for r in stored.collect()) == sorted([f"a{k}" for k in range(20)] + [f"new{k}-0" for k in range(9)])
+    assert len(reads) < 10                                                    # one a batch before, and one at the end
+    left = ST.BatchFolders(spark, f"{work}/waiting")
+    assert left.ids() == []
+    _errors(spark, 4, [1], "dead").write.parquet(f"{work}/waiting/batch_id=99")      # left by a run that died
+    assert "dead0" in {r.span_id for r in ST.ingest_spans(spark, src, table, work).collect()}
